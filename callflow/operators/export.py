@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callflow.functions import records, text
 from callflow.operators.merge import last_per_key
+from callflow.operators.running import block_starts, total_before
 from callflow.session import written
-from callflow.sources.exports import ORDER
+from callflow.sources.exports import ORDER, write_options
 from callflow.sources.landing import record_id
 
 ROWS_PER_CHUNK = 2000  # fixed value: default size of a chunk
@@ -59,38 +60,14 @@ def write_projection(rows: DataFrame, path: str, files: int | None = None) -> No
         raise ValueError("no valid data to write")
     if files:
         rows = rows.coalesce(files)
-    rows.write.option("header", True).option("escape", '"').csv(path)
-
-
-def _with_offsets(rows: DataFrame, source: Column, block: Column, row: Column) -> DataFrame:
-    """Number rows from 0 per ``source``, given blocks in order and rows in a block.
-
-    Blocks are counted first. Their counts, one per input split, add up to the
-    offset of each block, so no row moves to be numbered.
-    """
-    keyed = rows.withColumn("_source", source).withColumn("_block", block).withColumn("_row", row)
-    counts = keyed.groupBy("_source", "_block").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = Window.partitionBy("_source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("_source").alias("_s"),
-        F.col("_block").alias("_b"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"),
-    )
-    # one row per input split, far below the number of rows
-    joined = keyed.join(
-        F.broadcast(starts), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
-    )
-    return joined.withColumn("row_index", F.col("_start") + F.col("_row")).drop(
-        "_source", "_block", "_row", "_s", "_b", "_start"
-    )
+    rows.write.options(**write_options()).csv(path)
 
 
 def number_export_rows(rows: DataFrame) -> DataFrame:
     """``row_index`` from 0 in file order, for each file of an export scan."""
-    place = F.col(ORDER)
-    return _with_offsets(rows, place["path"], place["block"], place["row"])
+    placed = rows.select("*", *[F.col(f"{ORDER}.{c}").alias(f"_{c}") for c in ("path", "block", "row")])
+    counted = total_before(placed, "_path", "_block", "_row", F.lit(1))
+    return counted.select(*rows.columns, F.col("before").alias("row_index"))
 
 
 def number_rows(rows: DataFrame, *order: str) -> DataFrame:
@@ -100,11 +77,13 @@ def number_rows(rows: DataFrame, *order: str) -> DataFrame:
     the same partitions twice.
     """
     in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = in_order.withColumn("_id", F.monotonically_increasing_id())
-    stored = written(placed, "numbered")
     # the id holds the partition above bit 33 and the place in it below
-    task = F.shiftright(F.col("_id"), 33)
-    return _with_offsets(stored, F.lit(0), task, F.col("_id")).drop("_id")
+    place = F.monotonically_increasing_id()
+    stored = written(in_order.withColumn("_row", place), "numbered")
+    stored = stored.withColumn("_source", F.lit(0)).withColumn("_block", F.shiftright("_row", 33))
+    starts = block_starts(stored, "_source", "_block", "_row", F.lit(1)).drop("_source")
+    index = F.col("before") + F.col("_row") - F.col("first_row")
+    return stored.join(starts, "_block").select(*rows.columns, index.alias("row_index"))
 
 
 def chunk_number(row_index: Column, size: int = ROWS_PER_CHUNK) -> Column:
@@ -116,18 +95,13 @@ def write_chunks(rows: DataFrame, path: str, size: int = ROWS_PER_CHUNK) -> None
     """Write an export scan as CSV files of at most ``size`` rows in input order.
 
     Each chunk is one file with a header in the folder ``chunk=<base>-part<n>.csv``.
+    Rows from ``read_large_export`` keep cells to the character.
     """
     columns = [c for c in rows.columns if c != ORDER]
     part = chunk_number(F.col("row_index"), size)
     named = number_export_rows(rows).withColumn("chunk", text.chunk_key(F.col(f"{ORDER}.path"), part))
     placed = named.repartition("chunk").sortWithinPartitions("chunk", "row_index")
-    (
-        placed.select(*columns, "chunk")
-        .write.partitionBy("chunk")
-        .option("header", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    placed.select(*columns, "chunk").write.partitionBy("chunk").options(**write_options()).csv(path)
 
 
 def chunk_counts(numbered: DataFrame, size: int = ROWS_PER_CHUNK) -> DataFrame:

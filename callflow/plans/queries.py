@@ -12,7 +12,7 @@ from callflow.functions import records, text
 from callflow.operators import export, filters, joins, manifest, merge, normalize, quality, retention
 from callflow.plans import inputs
 from callflow.plans.inputs import table
-from callflow.session import new_work_path
+from callflow.session import new_work_path, written
 from callflow.sources import exports, landing, tables
 from callflow.sources.exports import ORDER
 from callflow.streaming import arrivals
@@ -86,7 +86,7 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
         *[F.col(c).cast("string").alias(c) for c in ("conv_id", "turn", "role", "text")]
     )
     path = new_work_path(spark, "turns")
-    turns.write.option("header", True).option("escape", '"').csv(path)
+    turns.write.options(**exports.write_options()).csv(path)
     rows = exports.read_export(spark, path, turns.columns)
     return rows.select(
         text.whole_number(F.col("conv_id")).cast("bigint").alias("conv_id"),
@@ -214,9 +214,8 @@ def delete_where(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def call_broker_transcript(spark: SparkSession, folder: str) -> DataFrame:
-    return joins.call_report(
-        _calls(spark, folder), inputs.brokers(spark, folder).drop(ORDER), _transcripts(spark, folder)
-    )
+    stored = written(inputs.brokers(spark, folder).drop(ORDER), "brokers")
+    return joins.call_report(_calls(spark, folder), stored, _transcripts(spark, folder))
 
 
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,7 +293,7 @@ def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
     """The call export written as files, loaded as they arrive, and merged."""
     rows = inputs.call_export(table(spark, folder, "events"))
     inbox, root = new_work_path(spark, "inbox"), new_work_path(spark, "tables")
-    rows.withColumnRenamed(ORDER, "Row").write.option("header", True).option("escape", '"').csv(inbox)
+    rows.withColumnRenamed(ORDER, "Row").write.options(**exports.write_options()).csv(inbox)
     arrivals.load_arrived_calls(
         spark,
         inbox,

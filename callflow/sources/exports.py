@@ -12,15 +12,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 ORDER = "_position"
 
 
-def csv_options(multi_line: bool = True) -> dict[str, str]:
+def csv_options(multi_line: bool = True, line_end: str | None = None) -> dict[str, str]:
     """Doubled quotes and line breaks inside quotes are part of the value.
 
     A file whose quoted cells may hold line breaks is read by one task. Set
     ``multi_line=False`` for exports known to have none, which lets large files
     be split. Header names are compared, so a file with other columns fails
-    instead of loading into the wrong ones.
+    instead of loading into the wrong ones. Line ends are found by looking, and
+    then a cell's own ``\\r\\n`` reads as ``\\n``; name ``line_end`` to keep it.
     """
-    return {
+    options = {"lineSep": line_end} if line_end else {}
+    return options | {
         "header": "true",
         "escape": '"',
         "multiLine": str(multi_line).lower(),
@@ -29,6 +31,16 @@ def csv_options(multi_line: bool = True) -> dict[str, str]:
     }
 
 
+def write_options() -> dict[str, str]:
+    """Every cell reads back as it was written."""
+    return {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
 def text_schema(headers: Sequence[str]) -> StructType:
     return StructType([StructField(name, StringType(), True) for name in headers])
 
@@ -52,27 +64,19 @@ def read_export(
     paths: str | list[str],
     headers: Sequence[str] | None = None,
     multi_line: bool = True,
+    line_end: str | None = None,
 ) -> DataFrame:
     """Rows of one or many exports plus ``_position``.
 
     Without ``headers`` the names come from the first file. Cells missing at the
     end of a short row are NULL and cells beyond the header are ignored.
     """
-    reader = spark.read.options(**csv_options(multi_line))
+    reader = spark.read.options(**csv_options(multi_line, line_end))
     if headers is None:
         headers = reader.csv(paths).columns
     return reader.schema(text_schema(headers)).csv(paths).withColumn(ORDER, position())
 
 
-def read_exports(spark: SparkSession, *groups: str | list[str], **options) -> DataFrame:
-    """Bag union of exports with different headers, one group per header."""
-    frames = [read_export(spark, group, **options) for group in groups]
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame, allowMissingColumns=True)
-    return union
-
-
 def stream_exports(
     spark: SparkSession,
     path: str,

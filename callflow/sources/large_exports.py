@@ -1,0 +1,90 @@
+"""CSV exports read in parallel although cells may hold line breaks."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callflow.functions.text import CSV_SUFFIX
+from callflow.operators.running import total_before
+from callflow.sources.exports import ORDER, csv_options, place, read_export
+from callflow.sources.listing import list_objects
+
+_PLACE = ("modified", "path", "block", "row")
+LARGE_FILE_BYTES = 256 * 1024 * 1024
+_STRAY = "a quote stands inside an unquoted cell: read this export as one piece"
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def _has_stray_quote(line: Column, opened: Column) -> Column:
+    """Whether a quote opens elsewhere than at the start of a cell.
+
+    Between quotes a line alternates between text outside and inside of cells.
+    An outside piece that a quote follows must be empty (first on the line, or
+    between the two quotes that stand for one) or end with a comma.
+    """
+    pieces = F.split(line, '"')
+    last = F.size(pieces) - 1
+    outside = F.filter(pieces, lambda piece, i: (i < last) & (i % 2 == opened))
+    return F.exists(outside, lambda piece: (piece != "") & ~piece.endswith(","))
+
+
+def read_large_export(spark: SparkSession, paths: str | list[str], headers: Sequence[str] | None = None) -> DataFrame:
+    """The rows of :func:`read_export`, for files of any size.
+
+    Lines are read in parallel. The number of quotes before a line tells whether
+    it starts inside a cell; lines from one even count to the next form a record.
+    Quotes inside unquoted cells would break that rule and raise an error.
+    """
+    if headers is None:
+        headers = spark.read.options(**csv_options()).csv(paths).columns
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    lines = lines.select(*place(), F.monotonically_increasing_id().alias("row"), "value")
+    lines = lines.withColumn("quotes", _quotes(F.col("value")))
+    quoted = total_before(lines, "path", "block", "row", F.col("quotes"))
+    opened = (F.col("before") % 2).cast("int")
+    stray = (F.col("quotes") > 0) & _has_stray_quote(F.col("value"), opened)
+    checked = F.when(stray, F.raise_error(F.lit(_STRAY))).otherwise(F.col("value"))
+    header = (F.col("block") == 0) & (F.col("place") == 1)
+    parts = quoted.select(*_PLACE, header.alias("header"), "quotes", opened.alias("opened"), checked.alias("value"))
+
+    # most records are a line of their own and need no grouping
+    closes = F.col("quotes") % 2 == 0
+    whole = parts.filter((F.col("opened") == 0) & closes).select(*_PLACE, "header", "value")
+    # of the others, the lines between one start and the next belong together
+    pieces = parts.filter((F.col("opened") == 1) | ~closes)
+    starts = (F.col("opened") == 0).cast("long")
+    numbered = total_before(pieces, "path", "block", "row", starts).withColumn("record", F.col("before") + starts)
+    joined = numbered.groupBy("path", "record").agg(
+        F.min("modified").alias("modified"),
+        F.array_sort(F.collect_list(F.struct("block", "row", "header", "value"))).alias("lines"),
+    )
+    first = F.col("lines")[0]
+    assembled = joined.select(
+        "modified",
+        "path",
+        first["block"].alias("block"),
+        first["row"].alias("row"),
+        first["header"].alias("header"),
+        F.array_join(F.transform("lines", lambda line: line["value"]), "\n").alias("value"),
+    )
+    records = whole.unionByName(assembled).filter(~F.col("header"))
+    text = F.regexp_replace("value", "\r$", "")
+    columns = ", ".join("`{}` string".format(name.replace("`", "``")) for name in headers)
+    cells = F.from_csv(text, columns, {"escape": '"'})
+    parsed = records.filter(text != "").select(cells.alias("cells"), F.struct(*_PLACE).alias(ORDER))
+    return parsed.select("cells.*", ORDER)
+
+
+def read_exports(
+    spark: SparkSession, paths: str | list[str], headers: Sequence[str] | None = None, large: int = LARGE_FILE_BYTES
+) -> DataFrame:
+    """Exports of any size: one task per file unless a file is larger than ``large``."""
+    largest = list_objects(spark, paths, CSV_SUFFIX).agg(F.max("length")).first()[0] or 0
+    read = read_large_export if largest > large else read_export
+    return read(spark, paths, headers)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from callflow.functions import text
 
 
-def list_objects(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+def list_objects(spark: SparkSession, root: str | list[str], suffix: str = "") -> DataFrame:
     """``path, modificationTime, length`` of every object whose name ends in ``suffix``.
 
     The contents column is not selected, so no file is opened.
