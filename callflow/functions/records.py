@@ -36,8 +36,14 @@ TRACKING_EXTRA_FIELDS = (
 
 
 def parse(text: Column) -> Column:
-    """VARIANT of JSON text; NULL when malformed."""
-    return F.try_parse_json(text)
+    """VARIANT of JSON text; NULL when malformed.
+
+    The parser stops after one value and would take ``{"a":1} rest`` for valid.
+    Read as the only element of an array, such text is malformed.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    second = F.try_variant_get(wrapped, "$[1]", "variant")
+    return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def is_object(record: Column) -> Column:

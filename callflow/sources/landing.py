@@ -21,10 +21,10 @@ def read_json(
     the layout :func:`callflow.operators.export.land_records` writes, which large
     inputs should use: its files can be split.
     """
-    reader = spark.read.option("wholetext", one_per_file).option("recursiveFileLookup", one_per_file)
+    reader = spark.read.option("recursiveFileLookup", one_per_file)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    lines = reader.text(path)
+    lines = reader.text(path, wholetext=one_per_file)
     return lines.select(
         F.col("_metadata.file_path").alias("path"),
         position().alias("position"),
