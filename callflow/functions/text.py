@@ -18,13 +18,12 @@ EXPORT_TIME_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy")
 
 _WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 _DURATION = r"^\s*[+-]?[0-9]+\s*:\s*[+-]?[0-9]+\s*:\s*[+-]?[0-9]+\s*$"
-_EDGE_SPACE = r"^\s+|\s+$"
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
 def clean(text: Column) -> Column:
     """NULL for a missing cell, an empty cell and the word NULL; spaces are kept."""
-    return F.nullif(F.nullif(text, F.lit("")), F.lit(NULL_TEXT))
+    return F.when(~text.isin("", NULL_TEXT), text)
 
 
 def field(df: DataFrame, name: str) -> Column:
@@ -37,33 +36,41 @@ def whole_number(text: Column) -> Column:
 
     The pattern comes first because casts differ on ``12.5`` and ``1e3``.
     """
-    trimmed = F.regexp_replace(text, _EDGE_SPACE, "")
-    return F.when(text.rlike(_WHOLE_NUMBER), trimmed.try_cast("int"))
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("int"))
 
 
-def _seconds(text: Column) -> Column:
-    parts = F.split(text, ":")
+def is_duration(text: Column) -> Column:
+    """Whether text is ``h:m:s`` in whole numbers, signed or padded with spaces."""
+    return F.coalesce(text.rlike(_DURATION), F.lit(False))
 
-    def part(i: int) -> Column:
-        return F.regexp_replace(F.get(parts, F.lit(i)), _EDGE_SPACE, "").try_cast("bigint")
 
-    hours = F.try_multiply(part(0), F.lit(3600).cast("bigint"))
-    minutes = F.try_multiply(part(1), F.lit(60).cast("bigint"))
-    return F.try_add(F.try_add(hours, minutes), part(2))
+def total_seconds(text: Column) -> Column:
+    """BIGINT seconds of an ``h:m:s`` text; NULL beyond that type."""
+    hours = F.substring_index(text, ":", 1)
+    minutes = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
+    seconds = F.substring_index(text, ":", -1)
+    scaled = [
+        F.try_multiply(part.try_cast("bigint"), F.lit(scale).cast("bigint"))
+        for part, scale in ((hours, 3600), (minutes, 60))
+    ]
+    return F.try_add(F.try_add(*scaled), seconds.try_cast("bigint"))
 
 
 def duration_seconds(text: Column) -> Column:
     """Seconds in ``h:m:s``; NULL when malformed and also when the total is zero.
 
-    Parts may be signed, padded with spaces and of any size, so ``0:99:-5`` counts.
+    Parts may be of any size, so ``0:99:-5`` counts.
     """
-    return F.when(text.rlike(_DURATION), F.nullif(_seconds(text), F.lit(0).cast("bigint")))
+    return F.when(is_duration(text), F.nullif(total_seconds(text), F.lit(0).cast("bigint")))
+
+
+def fits_int(number: Column) -> Column:
+    return F.coalesce((number >= _INT_MIN) & (number <= _INT_MAX), F.lit(False))
 
 
 def duration_out_of_range(text: Column) -> Column:
     """True for a well-formed duration whose seconds do not fit an INT."""
-    fits = F.coalesce(_seconds(text).between(_INT_MIN, _INT_MAX), F.lit(False))
-    return F.coalesce(text.rlike(_DURATION), F.lit(False)) & ~fits
+    return is_duration(text) & ~fits_int(total_seconds(text))
 
 
 def timestamp(text: Column, formats: Sequence[str] = EXPORT_TIME_FORMATS) -> Column:

@@ -39,6 +39,16 @@ def _first_reason(*checks: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(failed, F.lit(name)) for failed, name in checks])
 
 
+def _with_parsed(cells: DataFrame, **values: Column) -> DataFrame:
+    """``cells`` plus columns that are parsed once.
+
+    A filter on a reason would be pushed below a projection and parse everything
+    a second time. It is not pushed below a generator.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return cells.select("*", F.inline(F.array(row)))
+
+
 def _raw_row(rows: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != ORDER]))
 
@@ -59,31 +69,40 @@ def normalize_calls(
     """
     if not isinstance(broker_id, Column):
         broker_id = F.lit(broker_id)
-    lead_text, time_text = field(rows, "Lead Id"), field(rows, "Time")
-    duration = rows["`Call Duration (hrs:min:sec)`"] if CALL_HEADERS[4] in rows.columns else F.lit("0:00:00")
-    seconds = text.duration_seconds(duration)
-    lead_id, date_time = text.whole_number(lead_text), text.timestamp(time_text, time_formats)
-    out = rows.select(
+    duration = F.col(f"`{CALL_HEADERS[4]}`") if CALL_HEADERS[4] in rows.columns else F.lit("0:00:00")
+    cells = rows.select(
         field(rows, "Call Id").alias("call_id"),
-        F.lit(platform).alias("call_platform"),
-        broker_id.cast("string").alias("broker_id"),
-        lead_id.alias("lead_id"),
+        field(rows, "Lead Id").alias("lead_text"),
         field(rows, "Origin").alias("call_type"),
-        date_time.alias("date_time"),
-        F.when(~text.duration_out_of_range(duration), seconds).cast("int").alias("talk_time"),
+        field(rows, "Time").alias("time_text"),
         field(rows, "Recording").alias("recording"),
-        _first_reason(
-            (field(rows, "Call Id").isNull(), CALL_ID_MISSING),
-            (lead_text.isNotNull() & lead_id.isNull(), LEAD_ID_NOT_INTEGER),
-            (time_text.isNotNull() & date_time.isNull(), TIME_UNPARSABLE),
-            (text.duration_out_of_range(duration), TALK_TIME_OUT_OF_RANGE),
-        ).alias(REASON),
-        # a lead is created from any row with a usable lead id and time,
-        # whether or not the call itself can be loaded
-        (lead_id.isNotNull() & (time_text.isNull() | date_time.isNotNull())).alias("names_lead"),
+        F.when(text.is_duration(duration), duration).alias("duration"),
+        broker_id.cast("string").alias("broker_id"),
         _raw_row(rows).alias(RAW),
         *_order_column(rows),
     )
+    typed = _with_parsed(
+        cells,
+        lead_id=text.whole_number(F.col("lead_text")),
+        date_time=text.timestamp(F.col("time_text"), time_formats),
+        seconds=text.total_seconds(F.col("duration")),
+    )
+    bad_time = F.col("time_text").isNotNull() & F.col("date_time").isNull()
+    out = typed.withColumns(
+        {
+            "call_platform": F.lit(platform),
+            "talk_time": F.nullif(F.col("seconds").try_cast("int"), F.lit(0)),
+            REASON: _first_reason(
+                (F.col("call_id").isNull(), CALL_ID_MISSING),
+                (F.col("lead_text").isNotNull() & F.col("lead_id").isNull(), LEAD_ID_NOT_INTEGER),
+                (bad_time, TIME_UNPARSABLE),
+                (F.col("duration").isNotNull() & ~text.fits_int(F.col("seconds")), TALK_TIME_OUT_OF_RANGE),
+            ),
+            # a lead is created from any row with a usable lead id and time,
+            # whether or not the call itself can be loaded
+            "names_lead": F.col("lead_id").isNotNull() & ~bad_time,
+        }
+    )
     return as_table(out, "call", "recording", REASON, "names_lead", RAW, *_order_column(rows))
 
 
@@ -99,23 +118,26 @@ def leads_of_calls(normalized: DataFrame, source: str = DIALER_PLATFORM) -> Data
 
 
 def normalize_leads(rows: DataFrame, time_formats: Sequence[str] = EXPORT_TIME_FORMATS) -> DataFrame:
-    lead_text, date_text = field(rows, "Id"), field(rows, "Date Added")
-    lead_id, created = text.whole_number(lead_text), text.timestamp(date_text, time_formats)
-    out = rows.select(
-        lead_id.alias("lead_id"),
+    cells = rows.select(
+        field(rows, "Id").alias("lead_text"),
         field(rows, "Lead Source").alias("source"),
         field(rows, "Status").alias("lead_status"),
         field(rows, "Lead Score #").alias("lead_score"),
-        created.alias("creation_date"),
-        _first_reason(
-            (lead_text.isNull(), LEAD_ID_MISSING),
-            (lead_id.isNull(), LEAD_ID_NOT_INTEGER),
-            (date_text.isNotNull() & created.isNull(), TIME_UNPARSABLE),
-        ).alias(REASON),
+        field(rows, "Date Added").alias("date_text"),
         _raw_row(rows).alias(RAW),
         *_order_column(rows),
     )
-    return as_table(out, "lead", REASON, RAW, *_order_column(rows))
+    typed = _with_parsed(
+        cells,
+        lead_id=text.whole_number(F.col("lead_text")),
+        creation_date=text.timestamp(F.col("date_text"), time_formats),
+    )
+    reason = _first_reason(
+        (F.col("lead_text").isNull(), LEAD_ID_MISSING),
+        (F.col("lead_id").isNull(), LEAD_ID_NOT_INTEGER),
+        (F.col("date_text").isNotNull() & F.col("creation_date").isNull(), TIME_UNPARSABLE),
+    )
+    return as_table(typed.withColumn(REASON, reason), "lead", REASON, RAW, *_order_column(rows))
 
 
 def normalize_brokers(roster: DataFrame) -> DataFrame:
