@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,20 +34,39 @@ TRACKING_EXTRA_FIELDS = (
     "zip_code",
 )
 
+_FALSY = r'^(null|false|""|\{\}|\[\]|-?0+(\.0*)?([eE][+-]?[0-9]+)?)$'
+
 
 def parse(text: Column) -> Column:
-    """VARIANT of JSON text; NULL when malformed.
+    """VARIANT of JSON text; NULL when malformed. See also :func:`with_record`."""
+    values = _values(text)
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+
+
+def with_record(df: DataFrame, text: Column, name: str = "record") -> DataFrame:
+    """``df`` plus :func:`parse` of ``text``, parsed once however often it is used.
+
+    No filter on the record is pushed below the generator, where it would parse
+    a second time.
+    """
+    listed = df.select("*", F.inline(F.array(F.struct(_values(text).alias("_values")))))
+    record = F.when(F.size("_values") == 1, F.get("_values", F.lit(0)))
+    return listed.withColumn(name, record).drop("_values")
+
+
+def _values(text: Column) -> Column:
+    """The values in JSON text, one when it is valid.
 
     The parser stops after one value and would take ``{"a":1} rest`` for valid.
     Read as the only element of an array, such text is malformed.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    second = F.try_variant_get(wrapped, "$[1]", "variant")
-    return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.try_variant_get(wrapped, "$", "array<variant>")
 
 
-def is_object(record: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(record).startswith("OBJECT<"), F.lit(False))
+def is_object_text(text: Column) -> Column:
+    """Whether valid JSON text is an object, which its first character tells."""
+    return F.coalesce(F.ltrim(text, F.lit(" \t\n\r")).startswith("{"), F.lit(False))
 
 
 def member(record: Column, path: str, kind: str = "string") -> Column:
@@ -57,12 +76,8 @@ def member(record: Column, path: str, kind: str = "string") -> Column:
 
 def truthy(record: Column, path: str) -> Column:
     """False for an absent member, null, '', {}, [], any zero and false."""
-    value = F.try_variant_get(record, path, "variant")
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    text = F.to_json(value)
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    empty = text.isin("null", '""', "{}", "[]", "false")
-    return F.when(kind == "VOID", F.lit(False)).when(numeric, text.try_cast("double") != 0).otherwise(~empty)
+    text = F.to_json(F.try_variant_get(record, path, "variant"))
+    return F.coalesce(~text.rlike(_FALSY), F.lit(False))
 
 
 def as_text(record: Column) -> Column:

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from callflow.functions import text
 from callflow.functions.text import EXPORT_TIME_FORMATS, field
 from callflow.schemas import TABLES
+from callflow.sources.batches import ROSTER_FIELDS
 from callflow.sources.exports import ORDER
 
 # Platform of dialer calls, headers of the two exports, reasons.
 DIALER_PLATFORM = "Velocify"
 CALL_HEADERS = ("Call Id", "Lead Id", "Origin", "Time", "Call Duration (hrs:min:sec)", "Recording")
 LEAD_HEADERS = ("Id", "Lead Source", "Status", "Lead Score #", "Date Added")
-ROSTER_FIELDS = ("name", "phoneNumber", "email", "extension", "state", "role")
 CALL_ID_MISSING = "call_id_missing"
 LEAD_ID_MISSING = "lead_id_missing"
 LEAD_ID_NOT_INTEGER = "lead_id_not_integer"
@@ -49,8 +49,12 @@ def _with_parsed(cells: DataFrame, **values: Column) -> DataFrame:
     return cells.select("*", F.inline(F.array(row)))
 
 
-def _raw_row(rows: DataFrame) -> Column:
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != ORDER]))
+def _raw_cells(rows: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != ORDER])
+
+
+def _raw_of_rejects() -> Column:
+    return F.when(F.col(REASON).isNotNull(), F.to_json(F.col(RAW)))
 
 
 def _order_column(rows: DataFrame) -> list[str]:
@@ -65,6 +69,7 @@ def normalize_calls(
 ) -> DataFrame:
     """Call rows plus ``recording``, ``reason`` (NULL when loadable) and ``raw``.
 
+    ``raw`` is the row as JSON where there is a reason.
     ``broker_id`` is the broker all calls of the export belong to, or a column.
     """
     if not isinstance(broker_id, Column):
@@ -78,7 +83,7 @@ def normalize_calls(
         field(rows, "Recording").alias("recording"),
         F.when(text.is_duration(duration), duration).alias("duration"),
         broker_id.cast("string").alias("broker_id"),
-        _raw_row(rows).alias(RAW),
+        _raw_cells(rows).alias(RAW),
         *_order_column(rows),
     )
     typed = _with_parsed(
@@ -103,6 +108,7 @@ def normalize_calls(
             "names_lead": F.col("lead_id").isNotNull() & ~bad_time,
         }
     )
+    out = out.withColumn(RAW, _raw_of_rejects())
     return as_table(out, "call", "recording", REASON, "names_lead", RAW, *_order_column(rows))
 
 
@@ -124,7 +130,7 @@ def normalize_leads(rows: DataFrame, time_formats: Sequence[str] = EXPORT_TIME_F
         field(rows, "Status").alias("lead_status"),
         field(rows, "Lead Score #").alias("lead_score"),
         field(rows, "Date Added").alias("date_text"),
-        _raw_row(rows).alias(RAW),
+        _raw_cells(rows).alias(RAW),
         *_order_column(rows),
     )
     typed = _with_parsed(
@@ -137,7 +143,8 @@ def normalize_leads(rows: DataFrame, time_formats: Sequence[str] = EXPORT_TIME_F
         (F.col("lead_id").isNull(), LEAD_ID_NOT_INTEGER),
         (F.col("date_text").isNotNull() & F.col("creation_date").isNull(), TIME_UNPARSABLE),
     )
-    return as_table(typed.withColumn(REASON, reason), "lead", REASON, RAW, *_order_column(rows))
+    out = typed.withColumn(REASON, reason).withColumn(RAW, _raw_of_rejects())
+    return as_table(out, "lead", REASON, RAW, *_order_column(rows))
 
 
 def normalize_brokers(roster: DataFrame) -> DataFrame:

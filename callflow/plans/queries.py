@@ -97,20 +97,18 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_scan(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events")
-    record = records.parse(F.col("props"))
-    return events.filter(records.is_object(record)).select(
+    events = table(spark, folder, "events").select("event_id", "props")
+    parsed = records.with_record(events.filter(records.is_object_text(F.col("props"))), F.col("props"))
+    record = F.col("record")
+    return parsed.filter(record.isNotNull()).select(
         "event_id", records.member(record, "$.k", "bigint").alias("k"), records.as_text(record).alias("json")
     )
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     pages = inputs.telephony_pages(table(spark, folder, "events"))
-    return pages.select(
-        F.col("number").cast("string").alias("path"),
-        F.col("number").alias("position"),
-        records.parse(F.col("text")).alias("record"),
-    )
+    placed = pages.select(F.col("number").cast("string").alias("path"), F.col("number").alias("position"), "text")
+    return records.with_record(placed, F.col("text"))
 
 
 def page_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,8 +242,9 @@ def overlong_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_export(spark: SparkSession, folder: str) -> DataFrame:
-    record = records.parse(F.col("props"))
-    kept = table(spark, folder, "events").filter(records.truthy(record, "$.k"))
+    events = records.with_record(table(spark, folder, "events").select("event_id", "props"), F.col("props"))
+    record = F.col("record")
+    kept = events.filter(records.truthy(record, "$.k"))
     return kept.select(F.col("event_id").alias("id"), records.member(record, "$.k", "bigint").alias("k"))
 
 

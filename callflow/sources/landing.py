@@ -24,21 +24,16 @@ def read_json(
     reader = spark.read.option("recursiveFileLookup", one_per_file)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    lines = reader.text(path, wholetext=one_per_file)
-    return lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        position().alias("position"),
-        records.parse(F.col("value")).alias("record"),
-        F.col("value").alias("raw"),
+    lines = reader.text(path, wholetext=one_per_file).select(
+        F.col("_metadata.file_path").alias("path"), position().alias("position"), F.col("value").alias("raw")
     )
+    return records.with_record(lines, F.col("raw"))
 
 
 def split_objects(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(objects, malformed)``; valid values that are no objects are in neither."""
-    return (
-        values.filter(records.is_object(F.col("record"))).drop("raw"),
-        values.filter(F.col("record").isNull()).select("path", "raw"),
-    )
+    objects = F.col("record").isNotNull() & records.is_object_text(F.col("raw"))
+    return values.filter(objects).drop("raw"), values.filter(F.col("record").isNull()).select("path", "raw")
 
 
 def page_records(pages: DataFrame, member: str = records.TELEPHONY_RECORDS) -> DataFrame:

@@ -140,6 +140,15 @@ def test_malformed_text_is_no_record(spark):
     assert got == ['{"a":1}', '{"a":1}', None, None, None, None, None, None, None, "null"]
 
 
-@pytest.mark.parametrize("value,want", [('{"a":1}', True), ("[1]", False), ('"x"', False), ("3", False), ("{", False)])
-def test_is_object(spark, value, want):
-    assert values(spark, "string", [value], lambda c: records.is_object(records.parse(c))) == [want]
+def test_a_record_parsed_once_is_the_same(spark):
+    inputs = ['{"a":1}', '{"a":1} rest', "[1,2]", "[1]", "null", "", None]
+    rows = spark.createDataFrame([(v,) for v in inputs], "v string")
+    both = records.with_record(rows, F.col("v")).select(
+        records.as_text(F.col("record")), records.as_text(records.parse(F.col("v")))
+    )
+    assert all(a == b for a, b in both.collect())
+
+
+@pytest.mark.parametrize("value,want", [('{"a":1}', True), ("[1]", False), ('"{"', False), ("3", False), (" \n{}", True), (None, False)])
+def test_object_text(spark, value, want):
+    assert values(spark, "string", [value], records.is_object_text) == [want]
