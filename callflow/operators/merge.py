@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callflow.sources.exports import ORDER
 
 
-def _one_per_key(rows: DataFrame, key: str, order: str, pick) -> DataFrame:
-    values = [c for c in rows.columns if c not in (key, order)]
-    kept = rows.groupBy(key).agg(pick(F.struct(*values), F.col(order)).alias("row"))
-    return kept.select(*[F.col(key) if c == key else F.col(f"row.{c}") for c in rows.columns if c != order])
+def _one_per_key(rows: DataFrame, key: str, *order: Column) -> DataFrame:
+    """The first row of each key in ``order``.
 
+    Spark keeps one row per key and task before the shuffle (WindowGroupLimit),
+    so a key with a large share of the rows does not gather in one task.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
 
-def last_per_key(rows: DataFrame, key: str, order: str = ORDER) -> DataFrame:
-    """The row of each key that stands last in ``order``, without that column.
 
-    Aggregates before the shuffle, so a key with a large share of the rows sends
-    one row per input task.
-    """
-    return _one_per_key(rows, key, order, F.max_by)
+def last_per_key(rows: DataFrame, key: str, order: str = ORDER) -> DataFrame:
+    """The row of each key that stands last in ``order``, without that column."""
+    return _one_per_key(rows, key, F.col(order).desc()).drop(order)
 
 
 def first_per_key(rows: DataFrame, key: str, order: str = ORDER) -> DataFrame:
     """The row of each key that stands first in ``order``, without that column."""
-    return _one_per_key(rows, key, order, F.min_by)
+    return _one_per_key(rows, key, F.col(order).asc()).drop(order)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, keyless: bool = True) -> DataFrame:

@@ -122,3 +122,31 @@ def telephony_pages(events: DataFrame, size: int = 100) -> DataFrame:
     )
     next_page = F.struct(F.struct(_text(F.col("number") + 1).alias("uri")).alias("nextPage"))
     return pages.select("number", F.to_json(F.struct("records", next_page.alias("navigation"))).alias("text"))
+
+
+def tracking_pages(orders: DataFrame, size: int = 100) -> DataFrame:
+    """``orders`` as landed pages of a call-tracking feed: ``number, text``, from page 1."""
+    record = F.struct(
+        F.col("o_orderkey").alias("place"),
+        _text(F.col("o_orderkey")).alias("id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_time"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("https://rec.example/")).alias("recording"),
+        F.col("o_orderpriority").alias("campaign"),
+        F.col("o_orderstatus").alias("lead_status"),
+        F.col("o_custkey").alias("person_id"),
+    )
+    pages = orders.groupBy((F.floor(F.col("o_orderkey") / size) + 1).alias("number")).agg(
+        F.array_sort(F.collect_list(record)).alias("calls")
+    )
+    return pages.select("number", F.to_json(F.struct("calls")).alias("text"))
+
+
+def landed_files(events: DataFrame) -> DataFrame:
+    """``events`` as landed JSON values, some of them broken or no objects: ``event_id, text``."""
+    kind, props = F.col("event_type"), F.col("props")
+    text = (
+        F.when(kind == "error", F.concat(props, F.lit("}")))
+        .when(kind == "signup", F.concat(F.lit("["), props, F.lit("]")))
+        .otherwise(props)
+    )
+    return events.select("event_id", text.alias("text"))

@@ -62,6 +62,40 @@ SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 20
 FROM orders
 """
 
+REJECTS = CALLS + """
+SELECT seq, CASE WHEN call_id IS NULL THEN 'call_id_missing' ELSE 'lead_id_not_integer' END AS reason
+FROM n WHERE call_id IS NULL OR (lead_text IS NOT NULL AND lead_id IS NULL)
+"""
+
+NEW_LEADS = CALLS + """
+SELECT CAST(s_suppkey AS INTEGER) AS lead_id, s_name AS source, CAST(NULL AS TIMESTAMP) AS creation_date FROM supplier
+UNION ALL
+SELECT lead_id, 'Velocify', date_time
+FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY seq) AS rn FROM n WHERE lead_id IS NOT NULL) AS t
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM supplier AS s WHERE s.s_suppkey = t.lead_id)
+"""
+
+REPLACED_LEADS = """
+WITH b AS (
+  SELECT CAST(user_id AS INTEGER) AS lead_id, event_type AS source,
+    CASE WHEN value > 20 THEN NULL ELSE 'Open' END AS lead_status,
+    CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS lead_score, ts AS creation_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) AS t
+  WHERE rn = 1)
+SELECT lead_id, source, lead_status, lead_score, creation_date FROM b
+UNION ALL
+SELECT CAST(c_custkey AS INTEGER), c_mktsegment, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP)
+FROM customer AS c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.lead_id = c.c_custkey)
+"""
+
+WANTED = """
+SELECT call_id, concat('https://rec.example/', CAST(event_id AS VARCHAR)) AS url, concat(call_id, '.mp3') AS target_key
+FROM (SELECT event_id, CAST(event_id % 4000 AS VARCHAR) AS call_id,
+        row_number() OVER (PARTITION BY event_id % 4000 ORDER BY event_id DESC) AS rn
+      FROM events WHERE event_type = 'purchase' AND event_id % 97 <> 0) AS t
+WHERE rn = 1
+"""
+
 ALL: dict[str, str] = {
     "duration_seconds": CALLS + "SELECT seq, talk_time FROM n",
     "clean_text": CALLS + "SELECT seq, call_id, lead_text, lead_id, CAST(NULL AS VARCHAR) AS absent FROM n",
@@ -73,6 +107,7 @@ FROM customer
 """,
     "iso_times": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM events",
     "csv_scan": "SELECT conv_id, turn, role, text FROM conversations",
+    "large_csv_scan": "SELECT doc_id, lang, text FROM documents",
     "json_scan": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
   concat('{"k":', json_extract_string(props, '$.k'), '}') AS json
@@ -85,6 +120,27 @@ SELECT CAST(floor(event_id / 100) AS BIGINT) AS page,
 FROM events
 """,
     "open_cursor": "SELECT CAST(CAST(floor(max(event_id) / 100) AS BIGINT) + 1 AS VARCHAR) AS cursor FROM events",
+    "page_counts": "SELECT CAST(floor(event_id / 100) AS BIGINT) AS page, count(*) AS n FROM events GROUP BY 1",
+    "numbered_pages": """
+SELECT CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS page,
+  CAST(row_number() OVER (PARTITION BY floor(o_orderkey / 100) ORDER BY o_orderkey) - 1 AS INTEGER) AS place,
+  CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS start_time,
+  o_orderpriority AS campaign, o_orderstatus AS lead_status, CAST(o_custkey AS VARCHAR) AS person_id
+FROM orders
+""",
+    "pages_complete": """
+SELECT page AS last_page, n < 100 AS complete
+FROM (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS page, count(*) AS n FROM orders GROUP BY 1) AS p
+ORDER BY page DESC LIMIT 1
+""",
+    "malformed_records": "SELECT event_id, concat(props, '}') AS raw FROM events WHERE event_type = 'error'",
+    "wanted_records": """
+SELECT call_id, url, concat(call_id, '.mp3') AS target_key
+FROM (SELECT CAST(event_id % 4000 AS VARCHAR) AS call_id, props AS url,
+        row_number() OVER (PARTITION BY event_id % 4000 ORDER BY event_id DESC) AS rn
+      FROM events WHERE event_type = 'purchase') AS t
+WHERE rn = 1
+""",
     "source_filters": """
 SELECT event_id, ts FROM events
 WHERE event_type IN ('view', 'click') AND props IS NOT NULL AND props <> '' AND ts >= TIMESTAMP '2024-01-20 00:00:00'
@@ -95,32 +151,24 @@ WHERE event_type IN ('view', 'click') AND props IS NOT NULL AND props <> '' AND
 SELECT call_id, call_type AS origin, CAST(NULL AS BIGINT) AS turn FROM n
 UNION ALL SELECT CAST(conv_id AS VARCHAR), CAST(NULL AS VARCHAR), turn FROM conversations
 """,
-    "reject_rows": CALLS + """
-SELECT seq, CASE WHEN call_id IS NULL THEN 'call_id_missing' ELSE 'lead_id_not_integer' END AS reason
-FROM n WHERE call_id IS NULL OR (lead_text IS NOT NULL AND lead_id IS NULL)
-""",
+    "reject_rows": REJECTS,
     "upsert_calls": LATEST_CALLS,
-    "upsert_leads": """
-WITH b AS (
-  SELECT CAST(user_id AS INTEGER) AS lead_id, event_type AS source,
-    CASE WHEN value > 20 THEN NULL ELSE 'Open' END AS lead_status,
-    CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS lead_score, ts AS creation_date
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) AS t
-  WHERE rn = 1)
-SELECT lead_id, source, lead_status, lead_score, creation_date FROM b
-UNION ALL
-SELECT CAST(c_custkey AS INTEGER), c_mktsegment, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP)
-FROM customer AS c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.lead_id = c.c_custkey)
-""",
-    "upsert_transcripts": TRANSCRIPTS,
-    "brokers": BROKERS,
-    "insert_absent_leads": CALLS + """
-SELECT CAST(s_suppkey AS INTEGER) AS lead_id, s_name AS source, CAST(NULL AS TIMESTAMP) AS creation_date FROM supplier
+    "upsert_leads": REPLACED_LEADS,
+    "leads_of_both_feeds": CALLS + """, stored AS (
+  SELECT CAST(c_custkey AS INTEGER) AS lead_id, c_mktsegment AS source, CAST(NULL AS TIMESTAMP) AS creation_date
+  FROM customer
+  UNION ALL
+  SELECT CAST(s_suppkey AS INTEGER), s_name, CAST(NULL AS TIMESTAMP) FROM supplier AS s
+  WHERE NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = s.s_suppkey))
+SELECT lead_id, source, creation_date FROM stored
 UNION ALL
 SELECT lead_id, 'Velocify', date_time
 FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY seq) AS rn FROM n WHERE lead_id IS NOT NULL) AS t
-WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM supplier AS s WHERE s.s_suppkey = t.lead_id)
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM stored AS s WHERE s.lead_id = t.lead_id)
 """,
+    "upsert_transcripts": TRANSCRIPTS,
+    "brokers": BROKERS,
+    "insert_absent_leads": NEW_LEADS,
     "insert_values": """
 SELECT p_partkey, p_name FROM part
 UNION ALL SELECT * FROM (VALUES (5, 'fixture five'), (6, 'fixture six')) AS v(p_partkey, p_name)
@@ -167,18 +215,17 @@ WHERE rn = 1
 """,
     "chunk_rows": CHUNKS,
     "chunk_counts": f"SELECT part, count(*) AS n FROM ({CHUNKS}) AS c GROUP BY part",
-    "pending_recordings": """
-SELECT call_id, concat('https://rec.example/', CAST(event_id AS VARCHAR)) AS url, concat(call_id, '.mp3') AS target_key
-FROM (SELECT event_id, CAST(event_id % 4000 AS VARCHAR) AS call_id,
-        row_number() OVER (PARTITION BY event_id % 4000 ORDER BY event_id DESC) AS rn
-      FROM events WHERE event_type = 'purchase' AND event_id % 97 <> 0) AS t
-WHERE rn = 1 AND call_id NOT IN (SELECT CAST(conv_id AS VARCHAR) FROM conversations)
-""",
+    "pending_recordings": WANTED + " AND call_id NOT IN (SELECT CAST(conv_id AS VARCHAR) FROM conversations)",
     "retention_expired": """
 SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-02-14 00:00:00' - INTERVAL '2592000' SECOND
 """,
     "retention_kept": """
 SELECT event_id FROM events WHERE NOT coalesce(ts < TIMESTAMP '2024-02-14 00:00:00' - INTERVAL '2592000' SECOND, false)
 """,
+    "export_chunks": "SELECT o_orderkey, o_orderpriority FROM orders",
     "stream_calls": LATEST_CALLS,
+    "stream_new_leads": NEW_LEADS,
+    "stream_rejects": REJECTS,
+    "stream_recordings": WANTED,
+    "stream_leads": REPLACED_LEADS,
 }

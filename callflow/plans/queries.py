@@ -13,7 +13,7 @@ from callflow.operators import export, filters, joins, manifest, merge, normaliz
 from callflow.plans import inputs
 from callflow.plans.inputs import table
 from callflow.session import new_work_path, written
-from callflow.sources import exports, landing, tables
+from callflow.sources import exports, landing, large_exports, tables
 from callflow.sources.exports import ORDER
 from callflow.streaming import arrivals
 
@@ -96,6 +96,15 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def large_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, whole texts, written as CSV and read in parallel by line."""
+    documents = table(spark, folder, "documents").select(F.col("doc_id").cast("string"), "lang", "text")
+    path = new_work_path(spark, "documents")
+    documents.write.options(**exports.write_options()).csv(path)
+    rows = large_exports.read_large_export(spark, path, documents.columns)
+    return rows.select(text.whole_number(F.col("doc_id")).cast("bigint").alias("doc_id"), "lang", "text")
+
+
 def json_scan(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "props")
     parsed = records.with_record(events.filter(records.is_object_text(F.col("props"))), F.col("props"))
@@ -126,6 +135,49 @@ def open_cursor(spark: SparkSession, folder: str) -> DataFrame:
     return landing.open_cursor(_pages(spark, folder))
 
 
+def page_counts(spark: SparkSession, folder: str) -> DataFrame:
+    listed = landing.page_records(_pages(spark, folder))
+    return listed.groupBy(F.col("position").alias("page")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _tracking_pages(spark: SparkSession, folder: str) -> DataFrame:
+    pages = inputs.tracking_pages(table(spark, folder, "orders"))
+    placed = pages.select(F.col("number").cast("string").alias("path"), F.col("number").alias("position"), "text")
+    return records.with_record(placed, F.col("text"))
+
+
+def numbered_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of numbered pages with the extra members that occur here."""
+    listed = landing.page_records(_tracking_pages(spark, folder), records.TRACKING_RECORDS)
+    record = F.col("record")
+    chosen = listed.select(
+        F.col("position").alias("page"),
+        "place",
+        records.member(record, records.RECORD_ID).alias("id"),
+        records.member(record, records.TRACKING_START).alias("start_time"),
+        *landing.select_extra_fields(record),
+    )
+    return chosen.select("page", "place", "id", "start_time", "campaign", "lead_status", "person_id")
+
+
+def pages_complete(spark: SparkSession, folder: str) -> DataFrame:
+    return landing.numbered_pages_complete(_tracking_pages(spark, folder), "position")
+
+
+def malformed_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed values that are no JSON; arrays are valid and in neither part."""
+    files = inputs.landed_files(table(spark, folder, "events"))
+    values = files.select(F.col("event_id").alias("path"), F.col("text").alias("raw"))
+    _, malformed = landing.split_objects(records.with_record(values, F.col("raw")))
+    return malformed.select(F.col("path").alias("event_id"), "raw")
+
+
+def wanted_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Recordings that records of the telephony pages name, the last one per call."""
+    listed = landing.page_records(_pages(spark, folder))
+    return manifest.wanted_of_records(listed.withColumn("position", F.struct("position", "place")))
+
+
 def source_filters(spark: SparkSession, folder: str) -> DataFrame:
     calls = table(spark, folder, "events").withColumn(
         "kind", F.when(F.col("event_type").isin("view", "click"), "Voice").otherwise("Fax")
@@ -175,6 +227,15 @@ def upsert_leads(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select("lead_id", "source", "lead_status", "lead_score", "creation_date")
 
 
+def leads_of_both_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as leads, replaced by the lead export of customers, then those calls name."""
+    customers = table(spark, folder, "customer")
+    batch = inputs.customer_leads(customers).withColumn(ORDER, F.col("lead_id"))
+    stored = merge.upsert(inputs.supplier_leads(table(spark, folder, "supplier")), batch, "lead_id")
+    named = normalize.leads_of_calls(_normalized(spark, folder))
+    return merge.insert_absent(stored, named, "lead_id").select("lead_id", "source", "creation_date")
+
+
 def upsert_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     return _transcripts(spark, folder).select("transcript_id", "call_id", "transcript")
 
@@ -270,6 +331,16 @@ def chunk_counts(spark: SparkSession, folder: str) -> DataFrame:
     return export.chunk_counts(numbered)
 
 
+def export_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders written as CSV, split into chunk files, and read back."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string"), "o_orderpriority")
+    source, out = new_work_path(spark, "orders"), new_work_path(spark, "chunks")
+    orders.write.options(**exports.write_options()).csv(source)
+    export.write_chunks(exports.read_export(spark, source, orders.columns, multi_line=False), out)
+    rows = spark.read.options(**exports.csv_options()).schema(exports.text_schema(orders.columns)).csv(out)
+    return rows.select(text.whole_number(F.col("o_orderkey")).cast("bigint").alias("o_orderkey"), "o_orderpriority")
+
+
 def pending_recordings(spark: SparkSession, folder: str) -> DataFrame:
     """Recordings of the call export that are not stored; conversations are."""
     wanted = manifest.wanted_of_export(inputs.call_export(table(spark, folder, "events")))
@@ -288,8 +359,8 @@ def retention_kept(spark: SparkSession, folder: str) -> DataFrame:
 # streaming
 
 
-def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
-    """The call export written as files, loaded as they arrive, and merged."""
+def _streamed_calls(spark: SparkSession, folder: str) -> str:
+    """The call export written as files and loaded as they arrive; where to."""
     rows = inputs.call_export(table(spark, folder, "events"))
     inbox, root = new_work_path(spark, "inbox"), new_work_path(spark, "tables")
     rows.withColumnRenamed(ORDER, "Row").write.options(**exports.write_options()).csv(inbox)
@@ -302,7 +373,44 @@ def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
         headers=(*normalize.CALL_HEADERS, "Row"),
         row_order=F.col("Row").cast("bigint"),
     )
-    return arrivals.current_calls(spark, root).select(*CALL_COLUMNS)
+    return root
+
+
+def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return arrivals.current_calls(spark, _streamed_calls(spark, folder)).select(*CALL_COLUMNS)
+
+
+def stream_new_leads(spark: SparkSession, folder: str) -> DataFrame:
+    stored = inputs.supplier_leads(table(spark, folder, "supplier"))
+    leads = arrivals.leads_with_calls(spark, _streamed_calls(spark, folder), stored)
+    return leads.select("lead_id", "source", "creation_date")
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    kept = arrivals.rejects(spark, _streamed_calls(spark, folder))
+    return kept.select(F.get_json_object("raw", "$.Row").cast("bigint").alias("seq"), "reason")
+
+
+def stream_recordings(spark: SparkSession, folder: str) -> DataFrame:
+    return arrivals.wanted_recordings(spark, _streamed_calls(spark, folder))
+
+
+def stream_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """The lead export written as files, loaded as they arrive, into the stored leads."""
+    rows = inputs.lead_export(table(spark, folder, "events"))
+    inbox, root = new_work_path(spark, "inbox"), new_work_path(spark, "tables")
+    rows.withColumnRenamed(ORDER, "Row").write.options(**exports.write_options()).csv(inbox)
+    arrivals.load_arrived_leads(
+        spark,
+        inbox,
+        root,
+        new_work_path(spark, "checkpoint"),
+        headers=(*normalize.LEAD_HEADERS, "Row"),
+        row_order=F.col("Row").cast("bigint"),
+    )
+    stored = inputs.customer_leads(table(spark, folder, "customer"))
+    leads = arrivals.current_leads(spark, root, stored)
+    return leads.select("lead_id", "source", "lead_status", "lead_score", "creation_date")
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -313,9 +421,15 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         object_keys,
         iso_times,
         csv_scan,
+        large_csv_scan,
         json_scan,
         page_records,
         open_cursor,
+        page_counts,
+        numbered_pages,
+        pages_complete,
+        malformed_records,
+        wanted_records,
         source_filters,
         calls_yesterday,
         table_scan,
@@ -323,6 +437,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         reject_rows,
         upsert_calls,
         upsert_leads,
+        leads_of_both_feeds,
         upsert_transcripts,
         brokers,
         insert_absent_leads,
@@ -338,9 +453,14 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         land_records,
         chunk_rows,
         chunk_counts,
+        export_chunks,
         pending_recordings,
         retention_expired,
         retention_kept,
         stream_calls,
+        stream_new_leads,
+        stream_rejects,
+        stream_recordings,
+        stream_leads,
     )
 }

@@ -107,6 +107,15 @@ def test_upsert_properties(spark, seed):
     assert sort(both.collect()) == sort(loaded.collect())
 
 
+def test_a_hot_key_is_reduced_before_the_shuffle(spark):
+    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.col("id").alias(ORDER))
+    for pick, want in ((merge.last_per_key, {997, 998, 999}), (merge.first_per_key, {0, 1, 2})):
+        picked = pick(rows, "k")
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+        assert {r.v for r in picked.collect()} == want
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_insert_absent_properties(spark, seed):
     rng = random.Random(seed)
