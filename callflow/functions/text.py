@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +81,11 @@ def timestamp(text: Column, formats: Sequence[str] = EXPORT_TIME_FORMATS) -> Col
     return F.coalesce(*readings)
 
 
+def moment(time: datetime) -> Column:
+    """``time`` as a zone-free literal, whatever the zone of session and driver."""
+    return F.expr(f"timestamp_ntz'{time.isoformat(sep=' ')}'")
+
+
 def iso_utc(time: Column) -> Column:
     return F.date_format(time, ISO_UTC)
 

@@ -7,6 +7,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callflow.functions.text import moment
+
 VOICE = "Voice"  # fixed value: the call type that feeds ask for
 
 
@@ -14,9 +16,9 @@ def in_window(time: Column, since: datetime | None = None, until: datetime | Non
     """``since <= time < until``; either end may be open, both open keeps all rows."""
     bounds = []
     if since is not None:
-        bounds.append(time >= F.lit(since).cast("timestamp_ntz"))
+        bounds.append(time >= moment(since))
     if until is not None:
-        bounds.append(time < F.lit(until).cast("timestamp_ntz"))
+        bounds.append(time < moment(until))
     if not bounds:
         return F.lit(True)
     return bounds[0] if len(bounds) == 1 else bounds[0] & bounds[1]

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callflow.functions.text import moment
+
 RETENTION_SECONDS = 2_592_000  # fixed value: 30 days
 
 
 def is_expired(time: Column, as_of: datetime, seconds: int = RETENTION_SECONDS) -> Column:
     """Strictly older than ``seconds`` at ``as_of``. An unknown time is kept.
 
-    The bound is a literal of the column's side, so it reaches the scan.
+    The bound is a literal, so the predicate reaches the scan.
     """
-    return time < F.expr(f"timestamp_ntz'{as_of.isoformat(sep=' ')}' - INTERVAL '{int(seconds)}' SECOND")
+    return time < moment(as_of - timedelta(seconds=seconds))
 
 
 def split_by_age(

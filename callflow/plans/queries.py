@@ -215,8 +215,8 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Calls of a first load replaced by those of a second one."""
     good = _good(spark, folder)
-    first = merge.last_per_key(good.filter(F.col("date_time") < F.lit(SECOND_LOAD)), "call_id")
-    second = good.filter(F.col("date_time") >= F.lit(SECOND_LOAD))
+    first = merge.last_per_key(good.filter(F.col("date_time") < text.moment(SECOND_LOAD)), "call_id")
+    second = good.filter(F.col("date_time") >= text.moment(SECOND_LOAD))
     return merge.upsert(first, second, "call_id", keyless=False).select(*CALL_COLUMNS)
 
 
