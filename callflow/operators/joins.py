@@ -21,12 +21,12 @@ def will_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT_ROWS) -> list:
-    """Keys that hold more than ``share`` of all rows, hence fewer than ``1 / share``.
+    """Keys that hold at least ``share`` of all rows, hence at most ``1 / share``.
 
+    NULL counts as a key: it matches nothing, but its rows would share a task.
     Reads the key column only and counts before the shuffle.
     """
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).count()
-    largest = counts.orderBy(F.desc("count")).limit(int(1 / share)).collect()
+    largest = rows.groupBy(key).count().orderBy(F.desc("count")).limit(int(1 / share)).collect()
     if not largest or largest[0]["count"] < least:
         return []
     bar = max(least, share * rows.count())
@@ -54,8 +54,9 @@ def join_unique(
     hot = [] if will_broadcast(unique) else hot_keys(rows, key, share, least)
     if not hot:
         return rows.join(unique, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    few = unique.filter(F.col(key).isin(hot)).dropDuplicates([key])
+    named = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    is_hot = named | F.col(key).isNull() if None in hot else named
+    few = unique.filter(named).dropDuplicates([key])
     spread = rows.filter(is_hot).join(F.broadcast(few), key, how)
     return rows.filter(~is_hot).join(unique, key, how).unionByName(spread)
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callflow.functions.text import CSV_SUFFIX
-from callflow.operators.running import total_before
+from callflow.session import written
 from callflow.sources.exports import ORDER, csv_options, place, read_export
 from callflow.sources.listing import list_objects
 
@@ -16,6 +16,8 @@ _PLACE = ("modified", "path", "block", "row")
 LARGE_FILE_BYTES = 256 * 1024 * 1024
 _STRAY = "a quote stands inside an unquoted cell: read this export as one piece"
 
+_UNCLOSED = "a quoted cell never ends: read this export as one piece"
+
 
 def _quotes(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
@@ -24,14 +26,34 @@ def _quotes(line: Column) -> Column:
 def _has_stray_quote(line: Column, opened: Column) -> Column:
     """Whether a quote opens elsewhere than at the start of a cell.
 
-    Between quotes a line alternates between text outside and inside of cells.
-    An outside piece that a quote follows must be empty (first on the line, or
-    between the two quotes that stand for one) or end with a comma.
+    Each quoted piece shrinks to one quote, and so does the rest of a cell that
+    was open before. What then stands before a quote must be a comma, or another
+    quote where two stand for one inside a cell.
+    """
+    rest = F.when(opened == 1, F.regexp_replace(line, '^[^"]*"', "")).otherwise(line)
+    shrunk = F.regexp_replace(rest, '"[^"]*"', '"')
+    return F.when(opened == 1, F.concat(F.lit('"'), shrunk)).otherwise(shrunk).rlike('[^,"]"')
+
+
+def _split_starts(lines: DataFrame) -> DataFrame:
+    """How each input split begins: inside a cell or not, and where that record began.
+
+    A record that is open at the end of a split began at the split's last line
+    with an odd count of quotes, or further back if it has none. A file with an
+    odd count as a whole is an error: its last record would never end.
     """
-    pieces = F.split(line, '"')
-    last = F.size(pieces) - 1
-    outside = F.filter(pieces, lambda piece, i: (i < last) & (i % 2 == opened))
-    return F.exists(outside, lambda piece: (piece != "") & ~piece.endswith(","))
+    odd_line = F.when(F.col("quotes") % 2 == 1, F.struct("block", "row"))
+    splits = lines.groupBy("path", "block").agg(F.sum("quotes").alias("total"), F.max(odd_line).alias("last_odd"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    unclosed = F.sum("total").over(Window.partitionBy("path")) % 2 == 1
+    before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
+    starts = splits.select(
+        "path",
+        "block",
+        F.when(unclosed, F.raise_error(F.lit(_UNCLOSED)).cast("bigint")).otherwise(before).alias("before"),
+        F.last("last_odd", ignorenulls=True).over(earlier).alias("open_since"),
+    )
+    return written(starts, "split_starts")
 
 
 def read_large_export(spark: SparkSession, paths: str | list[str], headers: Sequence[str] | None = None) -> DataFrame:
@@ -46,38 +68,43 @@ def read_large_export(spark: SparkSession, paths: str | list[str], headers: Sequ
     lines = spark.read.option("lineSep", "\n").text(paths)
     lines = lines.select(*place(), F.monotonically_increasing_id().alias("row"), "value")
     lines = lines.withColumn("quotes", _quotes(F.col("value")))
-    quoted = total_before(lines, "path", "block", "row", F.col("quotes"))
-    opened = (F.col("before") % 2).cast("int")
-    stray = (F.col("quotes") > 0) & _has_stray_quote(F.col("value"), opened)
-    checked = F.when(stray, F.raise_error(F.lit(_STRAY))).otherwise(F.col("value"))
-    header = (F.col("block") == 0) & (F.col("place") == 1)
-    parts = quoted.select(*_PLACE, header.alias("header"), "quotes", opened.alias("opened"), checked.alias("value"))
+
+    in_split = Window.partitionBy("path", "block").orderBy("row")
+    quotes_before = F.coalesce(F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.withColumns({"inside": quotes_before, "place": F.row_number().over(in_split)})
+    placed = placed.join(_split_starts(lines), ["path", "block"])
+    opened = ((F.col("before") + F.col("inside")) % 2).cast("int")
+    odd = F.col("quotes") % 2 == 1
+    stray = (F.col("quotes") > 0) & _has_stray_quote(F.col("value"), F.col("opened"))
+    parts = placed.withColumn("opened", opened).select(
+        *_PLACE,
+        "opened",
+        "open_since",
+        odd.alias("odd"),
+        ((F.col("block") == 0) & (F.col("place") == 1)).alias("header"),
+        F.when(stray, F.raise_error(F.lit(_STRAY))).otherwise(F.col("value")).alias("value"),
+    )
 
     # most records are a line of their own and need no grouping
-    closes = F.col("quotes") % 2 == 0
-    whole = parts.filter((F.col("opened") == 0) & closes).select(*_PLACE, "header", "value")
-    # of the others, the lines between one start and the next belong together
-    pieces = parts.filter((F.col("opened") == 1) | ~closes)
-    starts = (F.col("opened") == 0).cast("long")
-    numbered = total_before(pieces, "path", "block", "row", starts).withColumn("record", F.col("before") + starts)
-    joined = numbered.groupBy("path", "record").agg(
+    is_whole = (F.col("opened") == 0) & ~F.col("odd")
+    blank = F.col("value").isin("", "\r")
+    whole = parts.filter(is_whole & ~F.col("header") & ~blank).select(*_PLACE, "value")
+    begins = F.when((F.col("opened") == 0) & F.col("odd"), F.struct("block", "row"))
+    begun = F.last(begins, ignorenulls=True).over(in_split.rowsBetween(Window.unboundedPreceding, 0))
+    pieces = parts.withColumn("since", F.coalesce(begun, F.col("open_since"))).filter(~is_whole)
+    joined = pieces.groupBy("path", "since").agg(
         F.min("modified").alias("modified"),
-        F.array_sort(F.collect_list(F.struct("block", "row", "header", "value"))).alias("lines"),
+        F.max("header").alias("header"),
+        F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("lines"),
     )
-    first = F.col("lines")[0]
-    assembled = joined.select(
-        "modified",
-        "path",
-        first["block"].alias("block"),
-        first["row"].alias("row"),
-        first["header"].alias("header"),
-        F.array_join(F.transform("lines", lambda line: line["value"]), "\n").alias("value"),
+    assembled = joined.filter(~F.col("header")).select(
+        "modified", "path", "since.block", "since.row", F.array_join("lines.value", "\n").alias("value")
     )
-    records = whole.unionByName(assembled).filter(~F.col("header"))
-    text = F.regexp_replace("value", "\r$", "")
+    text = F.col("value")
+    text = F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
     columns = ", ".join("`{}` string".format(name.replace("`", "``")) for name in headers)
     cells = F.from_csv(text, columns, {"escape": '"'})
-    parsed = records.filter(text != "").select(cells.alias("cells"), F.struct(*_PLACE).alias(ORDER))
+    parsed = whole.unionByName(assembled).select(cells.alias("cells"), F.struct(*_PLACE).alias(ORDER))
     return parsed.select("cells.*", ORDER)
 
 

@@ -139,25 +139,27 @@ def test_predicates_that_are_unknown_change_nothing(spark):
     assert merge.append(rows, rows).count() == 6
 
 
-def hot_rows(spark):
+def hot_rows(spark, value):
     # one key holds a third of the rows, some keys match nothing, some are NULL
-    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40)
+    key = F.when(F.col("id") % 3 == 0, 7 if value else None).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40)
     return spark.range(6000).select(key.cast("int").alias("k"), F.col("id"))
 
 
 @pytest.mark.parametrize("how", ["left", "left_anti"])
 @pytest.mark.parametrize("has_hot", [True, False])
-def test_join_with_hot_keys_equals_the_plain_join(spark, how, has_hot):
-    rows = hot_rows(spark)
+@pytest.mark.parametrize("value", [7, None])
+def test_join_with_hot_keys_equals_the_plain_join(spark, how, has_hot, value):
+    rows = hot_rows(spark, value)
     unique = spark.range(0 if has_hot else 8, 30).select(F.col("id").cast("int").alias("k"), F.upper(F.hex("id")).alias("w"))
     want = sort(rows.join(unique, "k", how).select(*(["id", "w"] if how == "left" else ["id"])).collect())
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert joins.hot_keys(rows, "k", 0.1, 10) == [7]
+        assert joins.hot_keys(rows, "k", 0.1, 10) == [value]
         got = joins.join_unique(rows, unique, "k", how, share=0.1, least=10)
         plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        assert "Union" in plan and "SortMergeJoin" in plan
+        assert ("BroadcastHashJoin" in plan) == (value is not None)  # NULL needs no join at all
         assert sort(got.select(*(["id", "w"] if how == "left" else ["id"])).collect()) == want
         assert joins.hot_keys(rows, "k", 0.1, 1_000_000) == []
     finally:
