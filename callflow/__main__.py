@@ -44,6 +44,11 @@ def parser() -> argparse.ArgumentParser:
     add("split-export", "source", "out").add_argument("--rows", type=int, default=2000)
     add("list-expired", "store", "out").add_argument("--as-of", type=datetime.fromisoformat)
     add("check-tables", "tables", "out")
+    add("query", "tables", "statement").add_argument("--out", help="write Parquet instead of showing rows")
+    add("insert-rows", "tables", "name", "rows", "out")
+    updated = add("update-rows", "tables", "name", "where", "out")
+    updated.add_argument("--set", action="append", required=True, metavar="COLUMN=EXPRESSION")
+    add("delete-rows", "tables", "name", "where", "out")
     return top
 
 
@@ -74,8 +79,18 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "list-expired":
         as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
         jobs.list_expired(spark, args.store, args.out, as_of)
-    else:
+    elif args.job == "check-tables":
         jobs.check_tables(spark, args.tables, args.out)
+    elif args.job == "query":
+        rows = jobs.query(spark, args.tables, args.statement)
+        rows.write.parquet(args.out) if args.out else rows.show(truncate=False)
+    elif args.job == "insert-rows":
+        jobs.insert_rows(spark, args.tables, args.name, args.rows, args.out)
+    elif args.job == "update-rows":
+        changes = dict(change.split("=", 1) for change in args.set)
+        jobs.update_rows(spark, args.tables, args.name, args.where, changes, args.out)
+    else:
+        jobs.delete_rows(spark, args.tables, args.name, args.where, args.out)
 
 
 if __name__ == "__main__":

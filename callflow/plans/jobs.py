@@ -87,7 +87,7 @@ def land_pages(spark: SparkSession, pages: str, out: str, member: str, time_memb
     fetched, malformed = landing.split_objects(landing.read_json(spark, pages))
     order = F.struct(F.col("position"), F.col("place"))
     latest = written(export.latest_records(landing.page_records(fetched, member), order), "records")
-    start = records.member(records.parse(F.col("json")), time_member)
+    start = F.get_json_object("json", time_member)
     export.land_records(latest, f"{out}/records", F.substring(start, 1, 10))
     _write(malformed, out, "malformed")
     cursor = landing.open_cursor(fetched).first()
@@ -104,9 +104,13 @@ def export_records(
     strict: bool = False,
     files: int | None = None,
 ) -> None:
-    """``id`` and start time of landed records as CSV. ``strict`` fails on malformed files."""
+    """``id`` and start time of landed records as CSV. ``strict`` fails on malformed files.
+
+    Lines may hold an id several times, once per fetch; the last one counts.
+    """
     suffix = ".json" if one_per_file else ""
     objects, malformed = landing.split_objects(landing.read_json(spark, landed, one_per_file, suffix))
+    objects = objects if one_per_file else landing.latest_objects(objects)
     if strict and not malformed.isEmpty():
         raise ValueError("malformed records in the landing zone")
     export.write_projection(export.project_records(objects, time_member, only_recorded), out, files)
@@ -129,6 +133,29 @@ def list_expired(spark: SparkSession, store: str, out: str, as_of: datetime) ->
     retention.split_by_age(listing.list_objects(spark, store), "modificationTime", as_of)[1].write.parquet(out)
 
 
+def query(spark: SparkSession, tables: str, statement: str) -> DataFrame:
+    """Rows of a SELECT over the six tables, named as they are."""
+    for name in PRIMARY_KEYS:
+        read_table(spark, tables, name).createOrReplaceTempView(name)
+    return spark.sql(statement)
+
+
+def insert_rows(spark: SparkSession, tables: str, name: str, rows: str, out: str) -> None:
+    """Rows of a CSV whose headers are column names, appended without a look at keys."""
+    added = normalize.as_table(read_exports(spark, rows).drop(ORDER), name)
+    _write(merge.append(read_table(spark, tables, name), added), out, name)
+
+
+def update_rows(spark: SparkSession, tables: str, name: str, where: str, changes: dict[str, str], out: str) -> None:
+    """``changes`` maps columns to SQL expressions, applied where ``where`` is true."""
+    values = {column: F.expr(value) for column, value in changes.items()}
+    _write(merge.update_where(read_table(spark, tables, name), F.expr(where), **values), out, name)
+
+
+def delete_rows(spark: SparkSession, tables: str, name: str, where: str, out: str) -> None:
+    _write(merge.delete_where(read_table(spark, tables, name), F.expr(where)), out, name)
+
+
 def check_tables(spark: SparkSession, tables: str, out: str) -> None:
     """Broken keys, references and text bounds of the six tables, one report each."""
     stored = {name: read_table(spark, tables, name) for name in PRIMARY_KEYS}

@@ -314,7 +314,7 @@ def land_records(spark: SparkSession, folder: str) -> DataFrame:
     listed = landing.page_records(_pages(spark, folder))
     order = F.struct(F.col("position"), F.col("place"))
     latest = export.latest_records(listed, order)
-    start = records.member(records.parse(F.col("json")), records.TELEPHONY_START)
+    start = F.get_json_object("json", records.TELEPHONY_START)
     path = new_work_path(spark, "landed")
     export.land_records(latest, path, F.substring(start, 1, 10))
     objects, _ = landing.split_objects(landing.read_json(spark, path, one_per_file=False, suffix=""))

@@ -101,7 +101,12 @@ LOAD_KEYS = {
 }
 
 
+def create_table(spark: SparkSession, path: str, schema: StructType | str) -> None:
+    """An empty table; ``schema`` may be DDL text such as ``id int, name string``."""
+    spark.createDataFrame([], schema).write.parquet(path)
+
+
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Write each of the six tables empty, as ``<root>/<table>``."""
+    """Each of the six tables, empty, as ``<root>/<table>``."""
     for name, schema in TABLES.items():
-        spark.createDataFrame([], schema).write.parquet(f"{root}/{name}")
+        create_table(spark, f"{root}/{name}", schema)

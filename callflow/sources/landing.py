@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from callflow.functions import records
 from callflow.functions.text import RECORD_SUFFIX, stable_id
-from callflow.sources.exports import position
+from callflow.operators.merge import last_per_key
+from callflow.sources.exports import ORDER, position
 
 PAGE_SIZE = 100  # fixed value: records per full page
 
@@ -36,6 +37,17 @@ def split_objects(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     return values.filter(objects).drop("raw"), values.filter(F.col("record").isNull()).select("path", "raw")
 
 
+def latest_objects(objects: DataFrame) -> DataFrame:
+    """One object per id, the last landed; all of those without an id.
+
+    Needed where several fetches are read together: each lands what it got.
+    """
+    keyed = objects.withColumn("_id", F.nullif(records.member(F.col("record"), records.RECORD_ID), F.lit("")))
+    last = keyed.filter(F.col("_id").isNotNull()).withColumn(ORDER, F.col("position"))
+    nameless = keyed.filter(F.col("_id").isNull())
+    return last_per_key(last, "_id").unionByName(nameless).drop("_id")
+
+
 def page_records(pages: DataFrame, member: str = records.TELEPHONY_RECORDS) -> DataFrame:
     """One row per record of each page: ``path, position, place, record``.
 

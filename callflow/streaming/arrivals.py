@@ -25,38 +25,41 @@ from callflow.sources.exports import ORDER, complete_position, stream_exports
 
 BATCH = "batch_id"
 
-CALL_OUTPUTS = ("calls", "new_leads", "recordings", "rejects")
-LEAD_OUTPUTS = ("leads", "rejects")
-
-
-def _call_outputs(rows: DataFrame, broker_id, formats) -> dict[str, DataFrame]:
-    normalized = normalize_calls(rows, broker_id, formats)
+def _call_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
     good, rejects = split_rejects(normalized)
+    named = normalized.withColumnsRenamed({"call_id": "Call Id", "recording": "Recording"})
     return {
         "calls": last_per_key(good.drop("recording", "names_lead"), "call_id"),
         "new_leads": first_per_key(leads_of_calls(normalized), "lead_id"),
-        "recordings": wanted_of_export(rows),
+        "recordings": wanted_of_export(named),
         "rejects": rejects.drop(ORDER),
     }
 
 
-def _lead_outputs(rows: DataFrame, formats) -> dict[str, DataFrame]:
-    good, rejects = split_rejects(normalize_leads(rows, formats))
+def _lead_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
+    good, rejects = split_rejects(normalized)
     return {"leads": last_per_key(good, "lead_id"), "rejects": rejects.drop(ORDER)}
 
 
-def _run(arrivals: DataFrame, root: str, checkpoint: str, outputs: Callable[[DataFrame], dict], row_order) -> None:
+def _run(
+    arrivals: DataFrame,
+    root: str,
+    checkpoint: str,
+    normalized: Callable[[DataFrame], DataFrame],
+    outputs: Callable[[DataFrame], dict[str, DataFrame]],
+    row_order: Column | None,
+) -> None:
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = complete_position(batch) if row_order is None else batch.withColumn(ORDER, row_order)
-        # several outputs read the batch; it may spill, and lost blocks are
-        # computed again from the files
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # parsed once for all outputs; it may spill, and lost blocks are computed
+        # again from the files
+        rows = normalized(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name, rows in outputs(batch).items():
+            for name, output in outputs(rows).items():
                 # named by batch, so that a replay rewrites what it wrote before
-                rows.write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
+                output.write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     query = (
         arrivals.writeStream.foreachBatch(store)
@@ -86,7 +89,9 @@ def load_arrived_calls(
     tables are merged when read, see :func:`current_calls`.
     """
     stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
-    _run(stream, root, checkpoint, lambda rows: _call_outputs(rows, broker_id, time_formats), row_order)
+    _run(
+        stream, root, checkpoint, lambda rows: normalize_calls(rows, broker_id, time_formats), _call_outputs, row_order
+    )
 
 
 def load_arrived_leads(
@@ -101,7 +106,7 @@ def load_arrived_leads(
     multi_line: bool = True,
 ) -> None:
     stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
-    _run(stream, root, checkpoint, lambda rows: _lead_outputs(rows, time_formats), row_order)
+    _run(stream, root, checkpoint, lambda rows: normalize_leads(rows, time_formats), _lead_outputs, row_order)
 
 
 def changes(spark: SparkSession, root: str, output: str, table: str, after: int = -1) -> DataFrame:

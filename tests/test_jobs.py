@@ -127,3 +127,19 @@ def test_check_tables(spark, tmp_path, tables):
     assert report("broker_overlong") == []
     assert set(TABLES) == {"stage", "lead", "customer", "call", "broker", "transcript"}
     assert read_table(spark, tables, "call").filter(F.col("lead_id") == 7).count() == 2
+
+
+def test_rows_of_a_table(spark, tmp_path, tables, capsys):
+    step = lambda n: str(tmp_path / f"step{n}")
+    rows = put_csv(tmp_path / "rows.csv", ["stage_id", "stage_name"], [[1, "first"], [6, "o'clock"], [7, "x"]])
+    main(["insert-rows", tables, "stage", rows, step(1)])
+    main(["update-rows", step(1), "stage", "stage_id = 1", step(2), "--set", "description='new'", "--set", "stage_name=upper(stage_name)"])
+    main(["delete-rows", step(2), "stage", "stage_id = 6 OR description = 'old'", step(3)])
+    got = read_table(spark, step(3), "stage").orderBy("stage_id").collect()
+    assert [tuple(r) for r in got] == [(1, "FIRST", "new"), (7, "x", None)]
+    create_tables(spark, step(4))
+    store(spark, step(4), "stage", [(1, "only")], "stage_id int, stage_name string")
+    main(["query", step(4), "SELECT stage_name, count(*) AS n FROM stage GROUP BY stage_name"])
+    assert "only" in capsys.readouterr().out
+    main(["query", step(4), "SELECT * FROM stage LEFT JOIN lead USING (stage_id)", "--out", step(5)])
+    assert spark.read.parquet(step(5)).count() == 1

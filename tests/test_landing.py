@@ -100,6 +100,21 @@ def test_landing_keeps_the_last_record_of_an_id(spark, tmp_path):
     ]
 
 
+def test_several_fetches_together(spark, tmp_path):
+    for age, (name, lines) in enumerate({"a": ['{"id":"1","v":1}', '{"v":2}'], "b": ['{"id":"1","v":3}', '{"v":2}']}.items()):
+        folder = tmp_path / "fetches" / name
+        folder.mkdir(parents=True)
+        (folder / "part").write_text("\n".join(lines))
+        os.utime(folder / "part", (1_000_000_000 + age, 1_000_000_000 + age))
+    paths = [str(tmp_path / "fetches" / n) for n in "ab"]
+    objects, _ = landing.split_objects(landing.read_json(spark, paths, one_per_file=False, suffix=""))
+    latest = landing.latest_objects(objects)
+    assert latest.columns == objects.columns
+    assert sorted(r[0] for r in latest.select(records.as_text(F.col("record"))).collect()) == [
+        '{"id":"1","v":3}', '{"v":2}', '{"v":2}'
+    ]
+
+
 def test_recordings(spark, tmp_path):
     store = tmp_path / "store"
     (store / "day").mkdir(parents=True)
