@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callflow.functions import records, text
 from callflow.operators.filters import has_recording, has_web_recording
-from callflow.operators.merge import last_per_key
+from callflow.operators.merge import last_per_key, not_in
 from callflow.sources.exports import ORDER
 
 
@@ -41,4 +41,4 @@ def wanted_of_records(
 
 def pending(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     """Wanted recordings that are not among the ``call_id`` values of ``stored``."""
-    return wanted.join(stored.select("call_id"), "call_id", "left_anti").select(*wanted.columns)
+    return not_in(wanted, wanted, stored, "call_id")

@@ -51,8 +51,19 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: str, order: str = OR
 
 def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER) -> DataFrame:
     """The rows :func:`insert_absent` adds. NULL keys are skipped."""
-    first = first_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-    return first.join(target.select(key), key, "left_anti").select(*first.columns)
+    keyed = batch.filter(F.col(key).isNotNull())
+    return not_in(first_per_key(keyed, key, order), keyed, target, key)
+
+
+def not_in(rows: DataFrame, keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key is not in ``table``, which may be far larger.
+
+    An anti join can broadcast its right side only, and would shuffle all keys of
+    ``table`` for a few rows. So the table is first cut down to ``keys``, the keys
+    of ``rows``, which it can do where it lies while they fit a broadcast.
+    """
+    known = table.select(key).join(keys.select(key).distinct(), key, "left_semi")
+    return rows.join(known, key, "left_anti").select(*rows.columns)
 
 
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Position of a row: files by age, then path, then place inside the file.
 ORDER = "_position"
 
+FILES_PER_BATCH = 10_000
+
 
 def csv_options(multi_line: bool = True, line_end: str | None = None) -> dict[str, str]:
     """Doubled quotes and line breaks inside quotes are part of the value.
@@ -82,7 +84,7 @@ def stream_exports(
     path: str,
     headers: Sequence[str],
     multi_line: bool = True,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """A stream of the exports that arrive in ``path``, each file read once.
 
@@ -90,8 +92,7 @@ def stream_exports(
     :func:`complete_position` adds it to each batch.
     """
     reader = spark.readStream.options(**csv_options(multi_line)).schema(text_schema(headers))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path).withColumn(ORDER, F.struct(*place()))
 
 

@@ -21,7 +21,7 @@ from callflow.operators.normalize import (
     split_rejects,
 )
 from callflow.schemas import TABLES
-from callflow.sources.exports import ORDER, complete_position, stream_exports
+from callflow.sources.exports import FILES_PER_BATCH, ORDER, complete_position, stream_exports
 
 BATCH = "batch_id"
 
@@ -79,7 +79,7 @@ def load_arrived_calls(
     headers: Sequence[str] = CALL_HEADERS,
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     multi_line: bool = True,
 ) -> None:
     """Load every call export not loaded before; one arrival feeds all four outputs.
@@ -102,7 +102,7 @@ def load_arrived_leads(
     headers: Sequence[str] = LEAD_HEADERS,
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     multi_line: bool = True,
 ) -> None:
     stream = stream_exports(spark, arrivals, headers, multi_line, max_files)

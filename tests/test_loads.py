@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from callflow.operators import filters, joins, merge, normalize, quality, retention
 from callflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES, create_tables
 from callflow.sources.exports import ORDER
-from callflow.sources.tables import read_table, run_sql
+from callflow.sources.tables import read_table, run_sql, save_bucketed
 
 
 def call_rows(spark, *rows):
@@ -130,6 +130,39 @@ def test_insert_absent_properties(spark, seed):
     assert sort(merge.insert_absent(got, table_of(spark, batch), "k").collect()) == sort(want)
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+def test_a_small_batch_does_not_shuffle_the_table(spark, tmp_path):
+    spark.range(200_000).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("v")).write.parquet(str(tmp_path / "t"))
+    spark.range(10).select((F.col("id") + 199_995).cast("int").alias("k"), F.lit(1).alias("v"), F.col("id").cast("int").alias(ORDER)).write.parquet(str(tmp_path / "b"))
+    target, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
+    # the batch is shuffled to its keys, the table is only scanned
+    inserted = merge.absent_rows(target, batch, "k")
+    assert exchanges(inserted) == 2 and "LeftSemi, BuildRight" in inserted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in inserted.collect()) == [200_000 + i for i in range(5)]
+    replaced = merge.upsert(target, batch, "k", keyless=False)
+    assert exchanges(replaced) == 2 and replaced.count() == 200_005
+
+
+def test_a_bucketed_table_is_not_shuffled(spark):
+    save_bucketed(spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("v")), "bucketed_t", "k", 16)
+    batch = table_of(spark, [(k, 1, i) for i, k in enumerate(range(990, 1010))])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge.upsert(spark.table("bucketed_t"), batch, "k", keyless=False)
+        plan = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, line in enumerate(plan) if "Bucketed: true" in line)
+        above = [line.split("+- ")[-1].split(":- ")[-1] for line in plan[scan - 2 : scan]]
+        assert [line.split(" ")[0] for line in above] == ["SortMergeJoin", "Sort"]  # no Exchange
+        assert merged.count() == 1010 and merged.filter("v = 1").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_predicates_that_are_unknown_change_nothing(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k int, v string")
     assert sort(merge.delete_where(rows, F.col("v") == "a").collect()) == [("2", None), ("None", "c")]
