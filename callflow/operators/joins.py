@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.002
+HOT_SHARE = 0.0005
 HOT_ROWS = 1_000_000
 
 

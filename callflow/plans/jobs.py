@@ -11,7 +11,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from callflow.functions import records
 from callflow.operators import export, manifest, merge, normalize, quality, retention
 from callflow.schemas import BOUNDED_TEXT, FOREIGN_KEYS, LOAD_KEYS, PRIMARY_KEYS
 from callflow.session import written

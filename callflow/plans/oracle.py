@@ -174,7 +174,8 @@ SELECT p_partkey, p_name FROM part
 UNION ALL SELECT * FROM (VALUES (5, 'fixture five'), (6, 'fixture six')) AS v(p_partkey, p_name)
 """,
     "update_where": """
-SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'updated' ELSE o_orderpriority END AS o_orderpriority
+SELECT o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'P' THEN 'updated' ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """,
     "delete_where": """

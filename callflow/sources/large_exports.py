@@ -16,6 +16,8 @@ _PLACE = ("modified", "path", "block", "row")
 LARGE_FILE_BYTES = 256 * 1024 * 1024
 _STRAY = "a quote stands inside an unquoted cell: read this export as one piece"
 
+_HEADER = "the header of a file does not conform to the others"
+_BYTE_ORDER_MARK = "\ufeff"
 _UNCLOSED = "a quoted cell never ends: read this export as one piece"
 
 
@@ -88,7 +90,7 @@ def read_large_export(spark: SparkSession, paths: str | list[str], headers: Sequ
     # most records are a line of their own and need no grouping
     is_whole = (F.col("opened") == 0) & ~F.col("odd")
     blank = F.col("value").isin("", "\r")
-    whole = parts.filter(is_whole & ~F.col("header") & ~blank).select(*_PLACE, "value")
+    whole = parts.filter(is_whole & ~blank).select(*_PLACE, "header", "value")
     begins = F.when((F.col("opened") == 0) & F.col("odd"), F.struct("block", "row"))
     begun = F.last(begins, ignorenulls=True).over(in_split.rowsBetween(Window.unboundedPreceding, 0))
     pieces = parts.withColumn("since", F.coalesce(begun, F.col("open_since"))).filter(~is_whole)
@@ -97,15 +99,24 @@ def read_large_export(spark: SparkSession, paths: str | list[str], headers: Sequ
         F.max("header").alias("header"),
         F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("lines"),
     )
-    assembled = joined.filter(~F.col("header")).select(
-        "modified", "path", "since.block", "since.row", F.array_join("lines.value", "\n").alias("value")
+    assembled = joined.select(
+        "modified", "path", "since.block", "since.row", "header", F.array_join("lines.value", "\n").alias("value")
     )
+    return _cells(whole.unionByName(assembled), headers)
+
+
+def _cells(records: DataFrame, headers: Sequence[str]) -> DataFrame:
+    """The cells of each record that is no header; a header must name ``headers``."""
     text = F.col("value")
     text = F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
+    text = F.when(F.col("header"), F.ltrim(text, F.lit(_BYTE_ORDER_MARK))).otherwise(text)
     columns = ", ".join("`{}` string".format(name.replace("`", "``")) for name in headers)
     cells = F.from_csv(text, columns, {"escape": '"'})
-    parsed = whole.unionByName(assembled).select(cells.alias("cells"), F.struct(*_PLACE).alias(ORDER))
-    return parsed.select("cells.*", ORDER)
+    parsed = records.select("header", cells.alias("cells"), F.struct(*_PLACE).alias(ORDER))
+    expected = F.struct(*[F.lit(name).alias(name) for name in headers])
+    renamed = F.col("header") & ~F.col("cells").eqNullSafe(expected)
+    rows = parsed.filter(F.when(renamed, F.raise_error(F.lit(_HEADER)).cast("boolean")).otherwise(~F.col("header")))
+    return rows.select("cells.*", ORDER)
 
 
 def read_exports(

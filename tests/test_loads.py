@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callflow.operators import filters, joins, merge, normalize, quality, retention
+from callflow.plans import inputs
 from callflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES, create_tables
 from callflow.sources.exports import ORDER
 from callflow.sources.tables import read_table, run_sql, save_bucketed
@@ -250,3 +251,14 @@ def test_empty_tables(spark, tmp_path):
 def test_sql_over_tables(spark):
     stage = spark.createDataFrame([(1, "x", True)], "stage_id int, stage_name string, open boolean")
     assert [tuple(r) for r in run_sql(spark, "SELECT * FROM {stage}", stage=stage).collect()] == [(1, "x", True)]
+
+
+def test_splits_lose_no_row(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    normalized = normalize.normalize_calls(inputs.call_export(events))
+    good, rejects = normalize.split_rejects(normalized)
+    assert good.count() + rejects.count() == events.count() and rejects.count() > 0
+    kept, expired = retention.split_by_age(events, "ts", datetime(2024, 2, 14))
+    assert sort([(r.event_id,) for r in kept.select("event_id").union(expired.select("event_id")).collect()]) == [
+        (i,) for i in range(events.count())
+    ]
