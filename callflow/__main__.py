@@ -33,14 +33,17 @@ def parser() -> argparse.ArgumentParser:
     add("load-leads", "exports", "tables", "out")
     add("load-brokers", "roster", "tables", "out")
     add("load-transcripts", "transcripts", "tables", "out")
-    add("land-pages", "pages", "out").add_argument("--feed", choices=FEEDS, default="telephony")
+    landed = add("land-pages", "pages", "out")
+    landed.add_argument("--feed", choices=FEEDS, default="telephony")
     exported = add("export-records", "landed", "out")
     exported.add_argument("--feed", choices=FEEDS, default="tracking")
     exported.add_argument("--only-recorded", action="store_true")
-    exported.add_argument("--lines", action="store_true", help="many records per file")
     exported.add_argument("--strict", action="store_true")
     exported.add_argument("--files", type=int)
-    add("pending-recordings", "landed", "store", "out").add_argument("--feed", choices=FEEDS, default="telephony")
+    pending = add("pending-recordings", "landed", "store", "out")
+    pending.add_argument("--feed", choices=FEEDS, default="telephony")
+    for sub in (landed, exported, pending):
+        sub.add_argument("--lines", action="store_true", help="one JSON value per line, not per file")
     add("split-export", "source", "out").add_argument("--rows", type=int, default=2000)
     add("list-expired", "store", "out").add_argument("--as-of", type=datetime.fromisoformat)
     add("check-tables", "tables", "out")
@@ -66,14 +69,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load-transcripts":
         print(jobs.load_transcripts(spark, args.transcripts, args.tables, args.out))
     elif args.job == "land-pages":
-        print(jobs.land_pages(spark, args.pages, args.out, *FEEDS[args.feed][:2]))
+        print(jobs.land_pages(spark, args.pages, args.out, *FEEDS[args.feed][:2], not args.lines))
     elif args.job == "export-records":
         time_member, one_per_file = FEEDS[args.feed][1], not args.lines
         jobs.export_records(
             spark, args.landed, args.out, time_member, args.only_recorded, one_per_file, args.strict, args.files
         )
     elif args.job == "pending-recordings":
-        jobs.pending_recordings(spark, args.landed, args.store, args.out, FEEDS[args.feed][2])
+        jobs.pending_recordings(spark, args.landed, args.store, args.out, FEEDS[args.feed][2], not args.lines)
     elif args.job == "split-export":
         jobs.split_export(spark, args.source, args.out, args.rows)
     elif args.job == "list-expired":

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from callflow.functions.text import RECORD_SUFFIX, RECORDING_SUFFIX
 from callflow.operators import export, manifest, merge, normalize, quality, retention
 from callflow.schemas import BOUNDED_TEXT, FOREIGN_KEYS, LOAD_KEYS, PRIMARY_KEYS
 from callflow.session import written
@@ -81,9 +82,15 @@ def _replaced(target: DataFrame, latest: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
-def land_pages(spark: SparkSession, pages: str, out: str, member: str, time_member: str) -> dict[str, str | None]:
+def _read_json(spark: SparkSession, path: str, one_per_file: bool) -> DataFrame:
+    return landing.read_json(spark, path, one_per_file, RECORD_SUFFIX if one_per_file else "")
+
+
+def land_pages(
+    spark: SparkSession, pages: str, out: str, member: str, time_member: str, one_per_file: bool = True
+) -> dict[str, str | None]:
     """Records of landed API pages as JSON lines by day; tells an unfinished fetch by its cursor."""
-    fetched, malformed = landing.split_objects(landing.read_json(spark, pages))
+    fetched, malformed = landing.split_objects(_read_json(spark, pages, one_per_file))
     order = F.struct(F.col("position"), F.col("place"))
     latest = written(export.latest_records(landing.page_records(fetched, member), order), "records")
     start = F.get_json_object("json", time_member)
@@ -107,18 +114,19 @@ def export_records(
 
     Lines may hold an id several times, once per fetch; the last one counts.
     """
-    suffix = ".json" if one_per_file else ""
-    objects, malformed = landing.split_objects(landing.read_json(spark, landed, one_per_file, suffix))
+    objects, malformed = landing.split_objects(_read_json(spark, landed, one_per_file))
     objects = objects if one_per_file else landing.latest_objects(objects)
     if strict and not malformed.isEmpty():
         raise ValueError("malformed records in the landing zone")
     export.write_projection(export.project_records(objects, time_member, only_recorded), out, files)
 
 
-def pending_recordings(spark: SparkSession, landed: str, store: str, out: str, member: str) -> None:
+def pending_recordings(
+    spark: SparkSession, landed: str, store: str, out: str, member: str, one_per_file: bool = True
+) -> None:
     """Recordings that landed records name and the store lacks."""
-    objects, _ = landing.split_objects(landing.read_json(spark, landed))
-    stored = listing.stored_recordings(listing.list_objects(spark, store, ".mp3"))
+    objects, _ = landing.split_objects(_read_json(spark, landed, one_per_file))
+    stored = listing.stored_recordings(listing.list_objects(spark, store, RECORDING_SUFFIX))
     manifest.pending(manifest.wanted_of_records(objects, member), stored).write.parquet(out)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from callflow.functions.text import EXPORT_TIME_FORMATS
 from callflow.operators.manifest import wanted_of_export
@@ -24,6 +24,12 @@ from callflow.schemas import TABLES
 from callflow.sources.exports import FILES_PER_BATCH, ORDER, complete_position, stream_exports
 
 BATCH = "batch_id"
+BEFORE_FIRST = -1
+
+REJECTS = StructType([StructField(name, StringType()) for name in ("reason", "raw")])
+RECORDINGS = StructType([StructField(name, StringType()) for name in ("call_id", "url", "target_key")])
+CALL_OUTPUTS = {"calls": TABLES["call"], "new_leads": TABLES["lead"], "recordings": RECORDINGS, "rejects": REJECTS}
+LEAD_OUTPUTS = {"leads": TABLES["lead"], "rejects": REJECTS}
 
 def _call_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
     good, rejects = split_rejects(normalized)
@@ -47,8 +53,14 @@ def _run(
     checkpoint: str,
     normalized: Callable[[DataFrame], DataFrame],
     outputs: Callable[[DataFrame], dict[str, DataFrame]],
+    schemas: dict[str, StructType],
     row_order: Column | None,
 ) -> None:
+    for name, schema in schemas.items():
+        # an empty batch, so that the outputs can be read before anything arrives
+        empty = arrivals.sparkSession.createDataFrame([], schema)
+        empty.write.mode("ignore").parquet(f"{root}/{name}/{BATCH}={BEFORE_FIRST}")
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = complete_position(batch) if row_order is None else batch.withColumn(ORDER, row_order)
         # parsed once for all outputs; it may spill, and lost blocks are computed
@@ -89,9 +101,11 @@ def load_arrived_calls(
     tables are merged when read, see :func:`current_calls`.
     """
     stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
-    _run(
-        stream, root, checkpoint, lambda rows: normalize_calls(rows, broker_id, time_formats), _call_outputs, row_order
-    )
+
+    def normalized(rows: DataFrame) -> DataFrame:
+        return normalize_calls(rows, broker_id, time_formats)
+
+    _run(stream, root, checkpoint, normalized, _call_outputs, CALL_OUTPUTS, row_order)
 
 
 def load_arrived_leads(
@@ -106,16 +120,20 @@ def load_arrived_leads(
     multi_line: bool = True,
 ) -> None:
     stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
-    _run(stream, root, checkpoint, lambda rows: normalize_leads(rows, time_formats), _lead_outputs, row_order)
+
+    def normalized(rows: DataFrame) -> DataFrame:
+        return normalize_leads(rows, time_formats)
+
+    _run(stream, root, checkpoint, normalized, _lead_outputs, LEAD_OUTPUTS, row_order)
 
 
-def changes(spark: SparkSession, root: str, output: str, table: str, after: int = -1) -> DataFrame:
+def changes(spark: SparkSession, root: str, output: str, table: str, after: int = BEFORE_FIRST) -> DataFrame:
     """Stored batches of an output with their ``batch_id``, those later than ``after``."""
     schema = StructType([*TABLES[table].fields, StructField(BATCH, LongType(), True)])
     return spark.read.schema(schema).parquet(f"{root}/{output}").filter(F.col(BATCH) > after)
 
 
-def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = -1) -> DataFrame:
+def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST) -> DataFrame:
     """The call table after all batches: the last batch of a call counts.
 
     ``base`` is a snapshot that holds the batches up to ``after``. Writing this
@@ -125,22 +143,22 @@ def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None,
     return last_per_key(later, "call_id", BATCH) if base is None else upsert(base, later, "call_id", BATCH, False)
 
 
-def current_leads(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = -1) -> DataFrame:
+def current_leads(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST) -> DataFrame:
     """The lead table after all lead batches, see :func:`current_calls`."""
     later = changes(spark, root, "leads", "lead", after)
     return last_per_key(later, "lead_id", BATCH) if base is None else upsert(base, later, "lead_id", BATCH, False)
 
 
-def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, after: int = -1) -> DataFrame:
+def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, after: int = BEFORE_FIRST) -> DataFrame:
     """``leads`` plus those that only calls name, as the first call named them."""
     return insert_absent(leads, changes(spark, calls_root, "new_leads", "lead", after), "lead_id", BATCH)
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/rejects")
+    return spark.read.schema(REJECTS).parquet(f"{root}/rejects")
 
 
 def wanted_recordings(spark: SparkSession, root: str) -> DataFrame:
     """``call_id, url, target_key`` of all batches, the last address of each call."""
-    listed = spark.read.parquet(f"{root}/recordings")
-    return last_per_key(listed, "call_id", BATCH).select("call_id", "url", "target_key")
+    schema = StructType([*RECORDINGS.fields, StructField(BATCH, LongType())])
+    return last_per_key(spark.read.schema(schema).parquet(f"{root}/recordings"), "call_id", BATCH)

@@ -95,6 +95,9 @@ def test_pages_to_csv_and_pending(spark, tmp_path, capsys):
     rows = spark.read.option("header", True).csv(out).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [("1", "2024-01-01T00:00:00"), ("2", "2024-01-02T00:00:00")]
 
+    main(["pending-recordings", f"{landed}/records", str(pages), str(tmp_path / "all"), "--lines"])
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 2
+
     single, stored = tmp_path / "single", tmp_path / "store"
     single.mkdir(), stored.mkdir()
     for i in (1, 2):

@@ -57,6 +57,7 @@ def test_arrivals_equal_a_batch_load(spark, tmp_path):
     }
 
     before = sorted(os.listdir(f"{root}/calls"))
+    assert before == ["batch_id=-1", "batch_id=0", "batch_id=1", "batch_id=2"]
     load()  # nothing new
     assert sorted(os.listdir(f"{root}/calls")) == before
     assert snapshot(arrivals.current_calls(spark, root)) == snapshot(batch)
@@ -81,6 +82,16 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
         earlier = got  # noqa: F841
 
 
+def test_nothing_arrived_yet(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    inbox.mkdir()
+    arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    for output in (arrivals.current_calls, arrivals.rejects, arrivals.wanted_recordings):
+        assert output(spark, root).collect() == []
+    stored = normalize.as_table(spark.createDataFrame([(5, "kept")], "lead_id int, source string"), "lead")
+    assert arrivals.leads_with_calls(spark, root, stored).count() == 1
+
+
 def test_lead_arrivals(spark, tmp_path):
     inbox, root, check = tmp_path / "inbox", str(tmp_path / "tables"), str(tmp_path / "check")
     arrive(inbox, "a.csv", LEADS, ["1,web,New,9,2024-01-01", '2,"a ""b""",,,', ",web,New,9,"], 0)
