@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from callflow.functions.text import CSV_SUFFIX
+
 # Position of a row: files by age, then path, then place inside the file.
 ORDER = "_position"
 
@@ -79,25 +81,17 @@ def read_export(
     return reader.schema(text_schema(headers)).csv(paths).withColumn(ORDER, position())
 
 
-def stream_exports(
-    spark: SparkSession,
-    path: str,
-    headers: Sequence[str],
-    multi_line: bool = True,
-    max_files: int = FILES_PER_BATCH,
-) -> DataFrame:
-    """A stream of the exports that arrive in ``path``, each file read once.
+def stream_arrivals(spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """A stream of ``path, length`` of the exports that arrive in ``path``, each once.
 
-    A stream can not number rows, so ``_position`` lacks the row until
-    :func:`complete_position` adds it to each batch.
+    Only names stream, at most ``max_files`` to a batch. A batch reads its files
+    like any other set of exports, so that a large one is split.
     """
-    reader = spark.readStream.options(**csv_options(multi_line)).schema(text_schema(headers))
-    reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path).withColumn(ORDER, F.struct(*place()))
-
-
-def complete_position(batch: DataFrame) -> DataFrame:
-    return batch.withColumn(ORDER, F.col(ORDER).withField("row", F.monotonically_increasing_id()))
+    files = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp_ltz, length bigint, content binary"
+    )
+    files = files.option("pathGlobFilter", f"*{CSV_SUFFIX}").option("maxFilesPerTrigger", max_files)
+    return files.load(path).select("path", "length")
 
 
 def rows_per_file(rows: DataFrame) -> DataFrame:

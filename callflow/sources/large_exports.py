@@ -120,9 +120,17 @@ def _cells(records: DataFrame, headers: Sequence[str]) -> DataFrame:
 
 
 def read_exports(
-    spark: SparkSession, paths: str | list[str], headers: Sequence[str] | None = None, large: int = LARGE_FILE_BYTES
+    spark: SparkSession,
+    paths: str | list[str],
+    headers: Sequence[str] | None = None,
+    large: int = LARGE_FILE_BYTES,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Exports of any size: one task per file unless a file is larger than ``large``."""
-    largest = list_objects(spark, paths, CSV_SUFFIX).agg(F.max("length")).first()[0] or 0
+    """Exports of any size: one task per file unless a file is larger than ``large``.
+
+    ``largest`` is the size of the largest file, looked up when not given.
+    """
+    if largest is None:
+        largest = list_objects(spark, paths, CSV_SUFFIX).agg(F.max("length")).first()[0] or 0
     read = read_large_export if largest > large else read_export
     return read(spark, paths, headers)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -21,15 +22,15 @@ from callflow.operators.normalize import (
     split_rejects,
 )
 from callflow.schemas import TABLES
-from callflow.sources.exports import FILES_PER_BATCH, ORDER, complete_position, stream_exports
+from callflow.sources.exports import FILES_PER_BATCH, ORDER, stream_arrivals
+from callflow.sources.large_exports import read_exports
 
 BATCH = "batch_id"
 BEFORE_FIRST = -1
 
 REJECTS = StructType([StructField(name, StringType()) for name in ("reason", "raw")])
 RECORDINGS = StructType([StructField(name, StringType()) for name in ("call_id", "url", "target_key")])
-CALL_OUTPUTS = {"calls": TABLES["call"], "new_leads": TABLES["lead"], "recordings": RECORDINGS, "rejects": REJECTS}
-LEAD_OUTPUTS = {"leads": TABLES["lead"], "rejects": REJECTS}
+
 
 def _call_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
     good, rejects = split_rejects(normalized)
@@ -51,21 +52,22 @@ def _run(
     arrivals: DataFrame,
     root: str,
     checkpoint: str,
+    headers: Sequence[str],
     normalized: Callable[[DataFrame], DataFrame],
     outputs: Callable[[DataFrame], dict[str, DataFrame]],
-    schemas: dict[str, StructType],
     row_order: Column | None,
 ) -> None:
-    for name, schema in schemas.items():
-        # an empty batch, so that the outputs can be read before anything arrives
-        empty = arrivals.sparkSession.createDataFrame([], schema)
-        empty.write.mode("ignore").parquet(f"{root}/{name}/{BATCH}={BEFORE_FIRST}")
-
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = complete_position(batch) if row_order is None else batch.withColumn(ORDER, row_order)
+        files = batch.collect()  # names and sizes, at most max_files
+        if not files:
+            return
+        largest = max(file["length"] for file in files)
+        exports = read_exports(batch.sparkSession, [file["path"] for file in files], headers, largest=largest)
+        if row_order is not None:
+            exports = exports.withColumn(ORDER, row_order)
         # parsed once for all outputs; it may spill, and lost blocks are computed
         # again from the files
-        rows = normalized(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = normalized(exports).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, output in outputs(rows).items():
                 # named by batch, so that a replay rewrites what it wrote before
@@ -92,7 +94,6 @@ def load_arrived_calls(
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
     max_files: int = FILES_PER_BATCH,
-    multi_line: bool = True,
 ) -> None:
     """Load every call export not loaded before; one arrival feeds all four outputs.
 
@@ -100,12 +101,12 @@ def load_arrived_calls(
     where the export itself carries one. Each batch adds its own rows only: the
     tables are merged when read, see :func:`current_calls`.
     """
-    stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
 
     def normalized(rows: DataFrame) -> DataFrame:
         return normalize_calls(rows, broker_id, time_formats)
 
-    _run(stream, root, checkpoint, normalized, _call_outputs, CALL_OUTPUTS, row_order)
+    names = stream_arrivals(spark, arrivals, max_files)
+    _run(names, root, checkpoint, headers, normalized, _call_outputs, row_order)
 
 
 def load_arrived_leads(
@@ -117,20 +118,30 @@ def load_arrived_leads(
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
     max_files: int = FILES_PER_BATCH,
-    multi_line: bool = True,
 ) -> None:
-    stream = stream_exports(spark, arrivals, headers, multi_line, max_files)
+    """Load every lead export not loaded before, see :func:`load_arrived_calls`."""
 
     def normalized(rows: DataFrame) -> DataFrame:
         return normalize_leads(rows, time_formats)
 
-    _run(stream, root, checkpoint, normalized, _lead_outputs, LEAD_OUTPUTS, row_order)
+    names = stream_arrivals(spark, arrivals, max_files)
+    _run(names, root, checkpoint, headers, normalized, _lead_outputs, row_order)
+
+
+def _stored(spark: SparkSession, root: str, output: str, schema: StructType) -> DataFrame:
+    """All batches of an output with their ``batch_id``; none before the first arrival."""
+    schema = StructType([*schema.fields, StructField(BATCH, LongType())])
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/{output}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def changes(spark: SparkSession, root: str, output: str, table: str, after: int = BEFORE_FIRST) -> DataFrame:
     """Stored batches of an output with their ``batch_id``, those later than ``after``."""
-    schema = StructType([*TABLES[table].fields, StructField(BATCH, LongType(), True)])
-    return spark.read.schema(schema).parquet(f"{root}/{output}").filter(F.col(BATCH) > after)
+    return _stored(spark, root, output, TABLES[table]).filter(F.col(BATCH) > after)
 
 
 def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST) -> DataFrame:
@@ -155,10 +166,9 @@ def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, aft
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(REJECTS).parquet(f"{root}/rejects")
+    return _stored(spark, root, "rejects", REJECTS).drop(BATCH)
 
 
 def wanted_recordings(spark: SparkSession, root: str) -> DataFrame:
     """``call_id, url, target_key`` of all batches, the last address of each call."""
-    schema = StructType([*RECORDINGS.fields, StructField(BATCH, LongType())])
-    return last_per_key(spark.read.schema(schema).parquet(f"{root}/recordings"), "call_id", BATCH)
+    return last_per_key(_stored(spark, root, "recordings", RECORDINGS), "call_id", BATCH)

@@ -5,7 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from callflow.operators import merge, normalize
-from callflow.sources import exports
+from callflow.sources import exports, large_exports
+from callflow.sources.large_exports import read_large_export as by_line
 from callflow.streaming import arrivals
 
 CALLS = ",".join(normalize.CALL_HEADERS)
@@ -57,7 +58,7 @@ def test_arrivals_equal_a_batch_load(spark, tmp_path):
     }
 
     before = sorted(os.listdir(f"{root}/calls"))
-    assert before == ["batch_id=-1", "batch_id=0", "batch_id=1", "batch_id=2"]
+    assert before == ["batch_id=0", "batch_id=1", "batch_id=2"]
     load()  # nothing new
     assert sorted(os.listdir(f"{root}/calls")) == before
     assert snapshot(arrivals.current_calls(spark, root)) == snapshot(batch)
@@ -70,6 +71,20 @@ def test_arrivals_equal_a_batch_load(spark, tmp_path):
     assert snapshot(later) == snapshot(batch)
 
 
+def test_a_large_arrival_is_split(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    lines = [f'{i},{i},"a\n{i}",2024-01-01 00:00:00,0:00:01,' for i in range(500)]
+    arrive(inbox, "a.csv", CALLS, lines, 0)
+    read = []
+    monkeypatch.setattr(large_exports, "read_large_export", lambda *a: read.append(a) or by_line(*a))
+    monkeypatch.setattr(large_exports.read_exports, "__defaults__", (None, 1000, None))
+    arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    assert len(read) == 1
+    assert {(r.call_id, r.call_type) for r in arrivals.current_calls(spark, root).collect()} == {
+        (str(i), f"a\n{i}") for i in range(500)
+    }
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
     arrive(inbox, "a.csv", CALLS, [call(i % 4, i, "a") for i in range(1, 9)], 0)
