@@ -144,7 +144,9 @@ def changes(spark: SparkSession, root: str, output: str, table: str, after: int
     return _stored(spark, root, output, TABLES[table]).filter(F.col(BATCH) > after)
 
 
-def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST) -> DataFrame:
+def current_calls(
+    spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST
+) -> DataFrame:
     """The call table after all batches: the last batch of a call counts.
 
     ``base`` is a snapshot that holds the batches up to ``after``. Writing this
@@ -154,7 +156,9 @@ def current_calls(spark: SparkSession, root: str, base: DataFrame | None = None,
     return last_per_key(later, "call_id", BATCH) if base is None else upsert(base, later, "call_id", BATCH, False)
 
 
-def current_leads(spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST) -> DataFrame:
+def current_leads(
+    spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST
+) -> DataFrame:
     """The lead table after all lead batches, see :func:`current_calls`."""
     later = changes(spark, root, "leads", "lead", after)
     return last_per_key(later, "lead_id", BATCH) if base is None else upsert(base, later, "lead_id", BATCH, False)
