@@ -80,16 +80,16 @@ def best_fit(sizes, capacity: int) -> list[int]:
 
 
 def fewest_capacity(sizes: list[int], shards: int) -> int:
-    """The least capacity, bisected to one in 8192, at which best fit needs at most ``shards`` bins."""
+    """The least capacity, bisected to one in 65536, at which best fit needs at most ``shards`` bins."""
     low = max([1, *sizes, -(-sum(sizes) // shards)])
     high = 2 * low
-    while high - low > low >> 13:
+    while high - low > low >> 16:
         mid = (low + high) // 2
         if max(best_fit(sizes, mid), default=0) < shards:
             high = mid
         else:
             low = mid + 1
-    return low
+    return high
 
 
 def _pack_cells(capacity: int):
