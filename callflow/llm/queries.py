@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callflow.llm import bpe_automaton, sharding, token_files, window_packing
+from callflow.llm import (
+    bpe_automaton,
+    embedding_links,
+    quality_cascade,
+    sharding,
+    token_files,
+    window_packing,
+)
 from callflow.llm.shared import read
 
 
@@ -15,6 +22,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_cascade.document_quality(read(spark, folder, "documents"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return window_packing.pack_documents(read(spark, folder, "documents"), tokenizer_path())
 
@@ -31,11 +42,17 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"))
 
 
+def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links.link_vectors(read(spark, folder, "embeddings"))
+
+
 ALL = {
+    "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_token_files": op5_token_files,
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
+    "op10_embedding_links": op10_embedding_links,
 }
 
 ORACLE: dict[str, str] = {}
