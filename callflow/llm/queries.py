@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from callflow.llm import (
     bpe_automaton,
     embedding_links,
+    jaccard_join,
     quality_cascade,
+    repeated_spans,
     sharding,
     token_files,
     window_packing,
@@ -22,6 +24,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, folder, "documents")).drop("hash")
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cascade.document_quality(read(spark, folder, "documents"))
 
@@ -42,16 +48,22 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(read(spark, folder, "documents"))
 
 
+def op9_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.span_digests(read(spark, folder, "documents"))
+
+
 def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links.link_vectors(read(spark, folder, "embeddings"))
 
 
 ALL = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_token_files": op5_token_files,
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
+    "op9_repeated_spans": op9_repeated_spans,
     "op10_embedding_links": op10_embedding_links,
 }
 
