@@ -12,6 +12,7 @@ from callflow.llm import (
     repeated_spans,
     sharding,
     token_files,
+    toxicity_chain,
     window_packing,
 )
 from callflow.llm.shared import read
@@ -40,6 +41,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_digests(read(spark, folder, "documents"), tokenizer_path())
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_chain.document_toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.document_digests(read(spark, folder, "documents"), tokenizer_path())
 
@@ -61,6 +66,7 @@ ALL = {
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
     "op5_token_files": op5_token_files,
+    "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_sharding": op8_sharding,
     "op9_repeated_spans": op9_repeated_spans,
