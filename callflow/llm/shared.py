@@ -201,6 +201,14 @@ _WORD[[0x20, *range(0x09, 0x0E)]] = False
 PART = 1 << 22
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of some bytes."""
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = _WORD[raw]
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    return turns[::2], turns[1::2]
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` in order."""
     out, at = [], 0
@@ -210,10 +218,7 @@ def word_hashes(data: bytes) -> np.ndarray:
             while end < len(data) and _WORD[data[end]]:
                 end += 1
         raw = np.frombuffer(data, np.uint8, end - at, at)
-        inside = np.zeros(len(raw) + 2, np.int8)
-        inside[1:-1] = _WORD[raw]
-        turns = np.flatnonzero(inside[1:] != inside[:-1])
-        out.append(spans_hash(prefix_sums(raw), turns[::2], turns[1::2]))
+        out.append(spans_hash(prefix_sums(raw), *word_bounds(raw)))
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 

@@ -12,7 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callflow.llm.encoding import chunk_encoder, text_parts
+from callflow.llm.encoding import text_encoder, text_parts
 from callflow.llm.shared import crc32
 from callflow.session import new_work_path, written
 
@@ -152,12 +152,11 @@ def _encode(tokenizer: str, end_id: int, width: int, bounds: list[int]):
     cuts = np.array(bounds, np.int64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(tokenizer)
-        last = np.array([end_id], "<u4").tobytes()
+        encoder = text_encoder(tokenizer)
         for batch in batches:
             texts = batch["text"].to_pylist()
             for start, stop in text_parts(texts):
-                ids = [np.frombuffer(x + last, "<u4") for x in encoder.encode(texts[start:stop])]
+                ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(texts[start:stop])]
                 keys = batch["doc_id"].slice(start, stop - start)
                 known = np.array(keys.is_valid())
                 file = np.where(known, np.searchsorted(cuts, np.array(keys.fill_null(0)), "right"), 0)

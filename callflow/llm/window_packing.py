@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from callflow.llm.encoding import chunk_encoder, text_parts
+from callflow.llm.encoding import text_encoder, text_parts
 from callflow.llm.shared import cells_for, crc32
 from callflow.session import written
 
@@ -59,14 +59,14 @@ class SumOfSquares:
 
 def _pieces(tokenizer: str, end_id: int, window: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunk_encoder(tokenizer)
+        encoder = text_encoder(tokenizer)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts, keys = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
             for begin, stop in text_parts(texts):
                 rows = []
                 for key, ids in zip(keys[begin:stop], encoder.encode(texts[begin:stop]), strict=True):
-                    ids += last
+                    ids = ids.tobytes() + last
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         part = ids[4 * start : 4 * (start + window)]
