@@ -7,12 +7,13 @@ import json
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.encoding import CACHED_CHUNKS, load_tokenizer, text_parts
+from callflow.llm.encoding import CACHED_UNITS, Kept, UsualText, distinct_units, load_tokenizer, text_parts
 
 
 class MergeAutomaton:
@@ -32,7 +33,16 @@ class MergeAutomaton:
 
     def __init__(self, merges: list[tuple[str, str]], vocabulary: dict[str, int], suffix: str = ""):
         self.vocabulary, self.suffix = vocabulary, suffix
-        self.longest = max(map(len, vocabulary), default=1)
+        # Tokens spelt backwards, as trees: those that end a word, and the others.
+        self.last: dict = {}
+        self.inner: dict = {}
+        for token, number in vocabulary.items():
+            ends = bool(suffix) and token.endswith(suffix)
+            for tree in (self.last, self.inner) if not suffix else (self.last if ends else self.inner,):
+                node = tree
+                for letter in reversed(token[: len(token) - len(suffix)] if ends else token):
+                    node = node.setdefault(letter, {})
+                node[""] = number
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.birth: dict[int, int] = {}
@@ -77,36 +87,39 @@ class MergeAutomaton:
         The state after each prefix is unique, so the longest token that ends here and has an arc
         from the state where it begins is the only one.
         """
-        n, vocabulary, suffix = len(word), self.vocabulary, self.suffix
+        n = len(word)
         found: list[tuple[int, int] | None] = [None] * (n + 1)  # token that ends at i, and its begin
-
-        def solve(end: int) -> bool:
-            stack = [(end, max(0, end - self.longest))]
-            while stack:
-                i, begin = stack.pop()
-                text = word[begin:i] + (suffix if i == n else "")
-                while begin < i:
-                    token = vocabulary.get(text)
-                    if token is not None:
-                        if begin == 0:
-                            found[i] = (token, 0)
-                            break
-                        if found[begin] is None:
-                            stack += [(i, begin), (begin, max(0, begin - self.longest))]
-                            break
-                        if self.has_arc(found[begin][0], token):
-                            found[i] = (token, begin)
-                            break
-                    begin += 1
-                    text = text[1:]
-                else:
-                    return False
-            return True
+        open_ends: list[tuple[int, list]] = []
+
+        def endings(i: int) -> list[tuple[int, int]]:
+            """Tokens that end at ``i`` with their begins, longest last."""
+            node, out = (self.last if i == n else self.inner), []
+            while i:
+                node = node.get(word[i - 1])
+                if node is None:
+                    break
+                i -= 1
+                if "" in node:
+                    out.append((node[""], i))
+            return out
 
         if not n:
             return []
-        if not solve(n):
-            return None
+        open_ends.append((n, endings(n)))
+        while open_ends:
+            i, choices = open_ends[-1]
+            while choices:
+                token, begin = choices[-1]
+                if begin and found[begin] is None:
+                    open_ends.append((begin, endings(begin)))
+                    break
+                if not begin or self.has_arc(found[begin][0], token):
+                    found[i] = (token, begin)
+                    open_ends.pop()
+                    break
+                choices.pop()
+            else:
+                return None
         out, at = [], n
         while at:
             token, at = found[at]
@@ -139,20 +152,21 @@ class AutomatonTokenizer:
         names = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.label = self.automaton.label | {i: t for t, i in self.added.items()}
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.usual = UsualText(path)
+        self.words, self.units = Kept(CACHED_UNITS // 4), Kept(CACHED_UNITS)
+
+    def _word(self, word: str) -> list[int]:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.words[word] = self.automaton.encode(word) or []
+        return ids
 
     def _plain(self, text: str) -> Iterator[int]:
-        for word, _ in self.split(self.normalize(text)) if text else ():
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.automaton.encode(word)
-                if ids is None:  # a symbol that the vocabulary lacks is left out, as without unk_token
-                    ids = []
-                if len(self.words) >= CACHED_CHUNKS:
-                    self.words.clear()
-                self.words[word] = ids
-            yield from ids
+        words = [w for w, _ in self.split(self.normalize(text))] if text else []
+        for word in self.words.missing(list(set(words))):
+            self._word(word)
+        for word in words:
+            yield from self._word(word)
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text; added tokens are found in the raw text, as the library does."""
@@ -168,24 +182,36 @@ class AutomatonTokenizer:
         """As the library without a decoder: the labels joined by spaces, added tokens included."""
         return " ".join(self.label[i] for i in ids)
 
-    def _chunk(self, chunk: bytes) -> tuple[int, bytes, bytes]:
-        ids = self.encode(chunk.decode())
-        known = (len(ids), " ".join(map(str, ids)).encode(), self.decode(ids).encode())
-        if len(self.chunks) >= CACHED_CHUNKS:
-            self.chunks.clear()
-        self.chunks[chunk] = known
-        return known
-
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Ids, SHA-256 of the decimal ids, SHA-256 of the decoded text; null is empty."""
-        parts = []
-        for chunk in (text or "").encode().split():
-            known = self.chunks.get(chunk) or self._chunk(chunk)
-            if known[0]:
-                parts.append(known)
-        ids = b" ".join([p[1] for p in parts])
-        decoded = b" ".join([p[2] for p in parts])
-        return sum([p[0] for p in parts]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+    def _learn(self, units: list[bytes]) -> None:
+        for unit in units:
+            # A symbol that the vocabulary lacks is left out, as without unk_token.
+            ids = [i for w in self.usual.words(unit) for i in self.automaton.encode(w) or []]
+            self.units[unit] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+
+    @staticmethod
+    def _digest(count: int, ids: str, decoded: str) -> tuple[int, str, str]:
+        return count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
+        """Ids, SHA-256 of the decimal ids, SHA-256 of the decoded text of each; null is empty."""
+        texts = [t or "" for t in texts]
+        usual = [self.usual.holds(t) for t in texts]
+        units, which, begins = distinct_units([t.lower().encode() for t, u in zip(texts, usual, strict=True) if u])
+        self._learn(self.units.missing(units))
+        known = [self.units[u] for u in units]
+        counts = np.r_[0, np.cumsum(np.array([k[0] for k in known], np.int64)[which])][begins].tolist()
+        columns = [np.array([k[j] for k in known], object)[which] for j in (1, 2)]
+        out, at = [], 0
+        for text, simple in zip(texts, usual, strict=True):
+            if simple:
+                a, b = begins[at], begins[at + 1]
+                joined = [" ".join([x for x in c[a:b].tolist() if x]) for c in columns]
+                out.append(self._digest(counts[at + 1] - counts[at], *joined))
+                at += 1
+            else:
+                ids = self.encode(text)
+                out.append(self._digest(len(ids), " ".join(map(str, ids)), self.decode(ids)))
+        return out
 
 
 @cache
@@ -198,7 +224,8 @@ def _digests(path: str):
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = automaton_tokenizer(path)
         for batch in batches:
-            rows = [tokenizer.digest(t) for t in batch["text"].to_pylist()]
+            texts = batch["text"].to_pylist()
+            rows = [d for a, b in text_parts(texts) for d in tokenizer.digests(texts[a:b])]
             counts, ids, texts = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
