@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from callflow.llm import (
     bpe_automaton,
     embedding_links,
+    html_extraction,
     jaccard_join,
+    oracle,
     quality_cascade,
     repeated_spans,
     sharding,
@@ -25,6 +27,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract_pages(read(spark, folder, "pages"))
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, folder, "documents")).drop("hash")
 
@@ -62,6 +68,7 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ALL = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
@@ -73,4 +80,4 @@ ALL = {
     "op10_embedding_links": op10_embedding_links,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = dict(oracle.ALL)

@@ -23,7 +23,6 @@ STEMS = (4, 5, 6)
 #: Toxic documents of the sample that a word must occur in.
 LEAST_TOXIC = 3
 FOLDS = 3
-THRESHOLD = 0.5
 
 #: Categories before the last, by words that mark them in a toxic document. The last is
 #: the label itself, which also holds toxic documents of languages without such words here.
@@ -98,6 +97,7 @@ class Chain:
 
     words: dict[str, int]
     links: list[tuple[str, Linear]]
+    threshold: float = 0.5
 
     def __post_init__(self):
         # Any feature of a word begins with the word's first letters.
@@ -139,7 +139,19 @@ def fit_chain(
             z = np.bincount(rows, part.weights[columns], n) + dense @ part.dense + part.bias
             outside[~inside] = sigmoid(z[~inside])
         dense = np.column_stack([dense, outside])
-    return Chain({w: i for i, w in enumerate(words)}, links)
+    return Chain({w: i for i, w in enumerate(words)}, links, best_threshold(dense[:, -1], target))
+
+
+def best_threshold(probabilities: np.ndarray, target: np.ndarray) -> float:
+    """Where out-of-fold probabilities part best (F1), halfway in log odds to the next one below."""
+    order = np.argsort(-probabilities, kind="stable")
+    sorted_p = probabilities[order]
+    hits = np.cumsum(target[order])
+    last = np.r_[sorted_p[1:] != sorted_p[:-1], True]
+    score = np.where(last, 2 * hits / (np.arange(1, len(order) + 1) + target.sum()), -1)
+    best = int(np.argmax(score))
+    pair = np.clip([sorted_p[best], sorted_p[best + 1] if best + 1 < len(order) else 0.0], 1e-6, 1 - 1e-6)
+    return float(sigmoid(np.log(pair / (1 - pair)).mean()))
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,13 +212,15 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
 NAMES = [*CATEGORIES, LAST]
 
 
-def _score(chain: Chain | None, carry: list[str], text: str, threshold: float):
+def _score(chain: Chain | None, carry: list[str], text: str, threshold: float | None):
+    limit = threshold if threshold is not None or chain is None else chain.threshold
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch[text].to_pylist()
             found = [chain.probabilities(t) if chain else [0.0] * len(NAMES) for t in texts]
             columns = list(zip(*found, strict=True)) if found else [()] * len(NAMES)
-            toxic = [p[-1] >= threshold for p in found]
+            toxic = [chain is not None and p[-1] >= limit for p in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch[c] for c in carry],
@@ -221,11 +235,13 @@ def _score(chain: Chain | None, carry: list[str], text: str, threshold: float):
 
 
 def classify(
-    documents: DataFrame, labels: DataFrame, carry: list[str], text: str = "text", threshold: float = THRESHOLD
+    documents: DataFrame, labels: DataFrame, carry: list[str], text: str = "text",
+    threshold: float | None = None,
 ) -> DataFrame:
     """``carry`` columns with p_insult, p_contempt, p_toxic, toxic and kept of every text.
 
-    Whole texts are scored in one pass without a shuffle. A null or empty text has no
+    Whole texts are scored in one pass without a shuffle, against ``threshold`` or else the one at
+    which out-of-fold probabilities of the labelled sample part best. A null or empty text has no
     words, so it gets the probability of a text that says nothing; without labelled rows
     of both kinds all probabilities are 0 and all is kept. Repeated rows get the same scores; an empty table gives no rows.
     """
