@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callflow.llm.embedding_links import whole_units
@@ -23,7 +23,9 @@ COORDINATES = 64
 SMALL = 512
 #: Coordinates that a bucket is split on.
 CHILDREN = 2
-#: Splits after which a bucket that is still large counts as one family.
+#: A large bucket with at least this share of the bucket it was split from is one family: its
+#: sets agree on most tokens, so splitting would not end. After ``DEPTH`` splits any large bucket is.
+DENSE = 0.5
 DEPTH = 5
 #: Agreeing coordinates, of 64, below which sets are not compared exactly (similarity 0.55 at the mean).
 SKETCH = 35
@@ -102,7 +104,8 @@ def _split(children: int, root: bool = False):
                 at = ((chosen + np.uint64(child * 23)) % np.uint64(COORDINATES)).astype(np.int64)
                 token = sign[np.arange(len(path)), at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_mix(path, at, token)), batch["set"], batch["sign"]], names=["path", "set", "sign"]
+                    [pa.array(_mix(path, at, token)), batch["set"], batch["sign"], batch["size"]],
+                    names=["path", "set", "sign", "above"],
                 )
 
     return split
@@ -130,13 +133,13 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
 
     ``sets(set, sign)`` holds distinct sets. Buckets are counted, with partial sums,
     before any of their rows move; small ones are compared within a task, large ones
-    split on. A bucket still large after the last split is one family without comparison.
+    split on. A large bucket that a split hardly shrinks, or that is left after the last, is one
+    family without comparison; the exact step settles which of its sets link.
     """
-    names = "path long, set binary, sign binary"
+    names = "path long, set binary, sign binary, above long"
     roots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs_for(similarity, recall)).cast("long")))
-    rows = written(
-        sets.select(roots.alias("path"), "set", "sign").mapInArrow(_split(1, root=True), names), "paths"
-    )
+    started = sets.select(roots.alias("path"), "set", "sign", F.lit(sets.count()).cast("long").alias("size"))
+    rows = written(started.mapInArrow(_split(1, root=True), names), "paths")
     edges = []
     for depth in range(DEPTH + 1):
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -144,13 +147,14 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
         small = sized.where(F.col("size") <= SMALL).select("path", "set", "sign")
         found = small.repartition("path").sortWithinPartitions("path", "set").mapInArrow(_similar, "a binary, b binary")
         edges.append(written(found.distinct(), "similar"))
-        large = sized.where(F.col("size") > SMALL).select("path", "set", "sign")
+        dense = F.col("size") >= DENSE * F.col("above") if depth else F.lit(False)
+        large = sized.where(F.col("size") > SMALL).withColumn("dense", dense | F.lit(depth == DEPTH))
+        family = large.where("dense").select("path", "set")
+        first = family.groupBy("path").agg(F.min("set").alias("b"))
+        edges.append(written(family.join(first, "path").select(F.col("set").alias("a"), "b").distinct(), "families"))
+        large = large.where("NOT dense").select("path", "set", "sign", "size")
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            first = large.groupBy("path").agg(F.min("set").alias("b"))
-            edges.append(written(large.join(first, "path").select(F.col("set").alias("a"), "b"), "similar"))
-            break
         rows = written(large.mapInArrow(_split(CHILDREN), names), "paths")
     union = edges[0]
     for more in edges[1:]:
@@ -326,9 +330,12 @@ def keep_one(documents: DataFrame) -> DataFrame:
     plain = documents.toDF(*[f"c{k}" for k in range(len(names))])
     id_, text = (f"c{names.index(n)}" for n in ("doc_id", "text"))
     source = plain.select(F.col(id_).alias("doc_id"), F.col(text).alias("text"))
-    kept = near_duplicates(source).where("kept").groupBy("doc_id", "hash").agg(F.count(F.lit(1)).alias("rows"))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "rows")
-    hashed = plain.withColumn("_h", F.xxhash64(F.col(text)))
-    return hashed.join(
-        kept, F.col(id_).cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
-    ).select(*plain.columns).toDF(*names)
+    kept = near_duplicates(source).where("kept")
+    keys = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("doc_id", "hash").alias("_hash")]
+    kept = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    own = F.col(id_).cast("long")
+    keyed = plain.withColumn("_id", F.coalesce(own, F.lit(0))).withColumn("_hash", F.xxhash64(own, F.xxhash64(F.col(text))))
+    # Rows of one id and text are numbered where the join has put them; one stays, or all without words.
+    same = Window.partitionBy("_id", "_hash").orderBy("_id")
+    met = keyed.join(kept, ["_id", "_hash"]).withColumn("_number", F.row_number().over(same))
+    return met.where(F.col("_number") <= F.col("_rows")).select(*plain.columns).toDF(*names)
