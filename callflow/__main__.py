@@ -5,10 +5,13 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
+from pyspark.sql import SparkSession
+
 from callflow.functions import records
 from callflow.plans import jobs
 from callflow.schemas import create_tables
-from callflow.session import build_session
+from callflow.session import build_session, clean_work
+from callflow.streaming import arrivals
 
 # The two API feeds and the members that differ between them.
 FEEDS = {
@@ -31,8 +34,15 @@ def parser() -> argparse.ArgumentParser:
     add("create-tables", "tables")
     add("load-calls", "exports", "tables", "out").add_argument("--broker-id")
     add("load-leads", "exports", "tables", "out")
-    add("load-brokers", "roster", "tables", "out")
-    add("load-transcripts", "transcripts", "tables", "out")
+    for name, source in (("load-brokers", "roster"), ("load-transcripts", "transcripts")):
+        batch = add(name, source, "tables", "out")
+        batch.add_argument("--one-value", action="store_true", help="each JSON file is one array, not lines")
+    for name in ("load-arrived-calls", "load-arrived-leads"):
+        arrived = add(name, "arrivals", "out", "checkpoint")
+        arrived.add_argument("--suffix", default="", help="load only files whose names end so")
+        if name == "load-arrived-calls":
+            arrived.add_argument("--broker-id")
+    add("call-report", "tables", "out")
     landed = add("land-pages", "pages", "out")
     landed.add_argument("--feed", choices=FEEDS, default="telephony")
     exported = add("export-records", "landed", "out")
@@ -47,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     add("split-export", "source", "out").add_argument("--rows", type=int, default=2000)
     add("list-expired", "store", "out").add_argument("--as-of", type=datetime.fromisoformat)
     add("check-tables", "tables", "out")
-    add("query", "tables", "statement").add_argument("--out", help="write Parquet instead of showing rows")
+    add("query", "tables", "statement").add_argument("--out", help="write Parquet instead of printing all rows")
     add("insert-rows", "tables", "name", "rows", "out")
     updated = add("update-rows", "tables", "name", "where", "out")
     updated.add_argument("--set", action="append", required=True, metavar="COLUMN=EXPRESSION")
@@ -58,6 +68,13 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(args.master)
+    try:
+        run(spark, args)
+    finally:
+        clean_work(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "create-tables":
         create_tables(spark, args.tables)
     elif args.job == "load-calls":
@@ -65,9 +82,17 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load-leads":
         print(jobs.load_leads(spark, args.exports, args.tables, args.out))
     elif args.job == "load-brokers":
-        print(jobs.load_brokers(spark, args.roster, args.tables, args.out))
+        print(jobs.load_brokers(spark, args.roster, args.tables, args.out, args.one_value))
     elif args.job == "load-transcripts":
-        print(jobs.load_transcripts(spark, args.transcripts, args.tables, args.out))
+        print(jobs.load_transcripts(spark, args.transcripts, args.tables, args.out, args.one_value))
+    elif args.job == "load-arrived-calls":
+        arrivals.load_arrived_calls(
+            spark, args.arrivals, args.out, args.checkpoint, args.broker_id, suffix=args.suffix
+        )
+    elif args.job == "load-arrived-leads":
+        arrivals.load_arrived_leads(spark, args.arrivals, args.out, args.checkpoint, suffix=args.suffix)
+    elif args.job == "call-report":
+        jobs.call_report(spark, args.tables, args.out)
     elif args.job == "land-pages":
         print(jobs.land_pages(spark, args.pages, args.out, *FEEDS[args.feed][:2], not args.lines))
     elif args.job == "export-records":
@@ -86,7 +111,12 @@ def main(argv: list[str] | None = None) -> None:
         jobs.check_tables(spark, args.tables, args.out)
     elif args.job == "query":
         rows = jobs.query(spark, args.tables, args.statement)
-        rows.write.parquet(args.out) if args.out else rows.show(truncate=False)
+        if args.out:
+            rows.write.parquet(args.out)
+        else:
+            print(*rows.columns, sep="\t")
+            for row in rows.toLocalIterator():
+                print(*row, sep="\t")
     elif args.job == "insert-rows":
         jobs.insert_rows(spark, args.tables, args.name, args.rows, args.out)
     elif args.job == "update-rows":

@@ -82,3 +82,14 @@ def truthy(record: Column, path: str) -> Column:
 
 def as_text(record: Column) -> Column:
     return F.to_json(record)
+
+
+def with_id(record: Column, made: Column) -> Column:
+    """The record as text, with ``made`` as its id where it has none, or one that is null or ''."""
+    members = F.try_variant_get(record, "$", "map<string,variant>")
+    quoted = F.to_json(F.array(made))
+    text = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    others = F.map_filter(members, lambda name, _: name != F.lit(RECORD_ID.removeprefix("$.")))
+    renewed = F.map_concat(others, F.create_map(F.lit(RECORD_ID.removeprefix("$.")), F.parse_json(text)))
+    given = F.nullif(member(record, RECORD_ID), F.lit(""))
+    return F.when(given.isNull(), F.to_json(renewed)).otherwise(as_text(record))

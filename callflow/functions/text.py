@@ -118,8 +118,9 @@ def call_of_recording(path: Column) -> Column:
     return F.when(name.endswith(RECORDING_SUFFIX), F.substring(name, F.lit(1), stem_length))
 
 
-def chunk_key(path: Column, part: Column) -> Column:
-    """``calls.csv`` and 3 → ``calls-part3.csv``."""
-    name = F.element_at(F.split(path, "/"), -1)
-    base = F.replace(name, F.lit(CSV_SUFFIX), F.lit(""))
+def chunk_key(path: Column, part: Column, root: str | None = None) -> Column:
+    """``calls.csv`` and 3 → ``calls-part3.csv``, with the folders below ``root`` if that is named."""
+    name = F.element_at(F.split(path, "/"), -1) if root is None else F.substring(path, F.lit(len(root) + 2), F.length(path))
+    ends = F.lower(name).endswith(CSV_SUFFIX)
+    base = F.when(ends, F.left(name, F.length(name) - len(CSV_SUFFIX))).otherwise(name)
     return F.concat(base, F.lit("-part"), part.cast("string"), F.lit(CSV_SUFFIX))

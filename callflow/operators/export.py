@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callflow.functions import records, text
 from callflow.operators.merge import last_per_key
-from callflow.operators.running import block_starts, total_before
+from callflow.operators.running import block_starts
 from callflow.session import written
 from callflow.sources.exports import ORDER, write_options
 from callflow.sources.landing import record_id
@@ -22,9 +24,10 @@ def latest_records(listed: DataFrame, order: Column) -> DataFrame:
     by every operator.
     """
     record = F.col("record")
+    made = record_id(record, F.col("path"), F.col("place").cast("string"))
     rows = listed.select(
-        record_id(record, F.col("path"), F.col("place").cast("string")).alias("id"),
-        records.as_text(record).alias("json"),
+        made.alias("id"),
+        records.with_id(record, made).alias("json"),
         order.alias(ORDER),
     )
     return last_per_key(rows, "id")
@@ -33,10 +36,11 @@ def latest_records(listed: DataFrame, order: Column) -> DataFrame:
 def land_records(latest: DataFrame, path: str, day: Column) -> None:
     """Write ``latest`` as JSON lines under ``dt=<day>``, many records to a file.
 
+    ``path`` must be new: a fetch lands in a folder of its own and overwrites nothing.
     The rebalance splits a day with a large share of the rows over several tasks.
     """
     rows = latest.select(F.col("json").alias("value"), day.alias("dt"))
-    rows.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").text(path)
+    rows.hint("rebalance", "dt").write.partitionBy("dt").text(path)
 
 
 def project_records(landed: DataFrame, time_member: str, only_recorded: bool = False) -> DataFrame:
@@ -63,11 +67,24 @@ def write_projection(rows: DataFrame, path: str, files: int | None = None) -> No
     rows.write.options(**write_options()).csv(path)
 
 
-def number_export_rows(rows: DataFrame) -> DataFrame:
-    """``row_index`` from 0 in file order, for each file of an export scan."""
+def _placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with their file, split and id, and where each split starts, one row per split."""
     placed = rows.select("*", *[F.col(f"{ORDER}.{c}").alias(f"_{c}") for c in ("path", "block", "row")])
-    counted = total_before(placed, "_path", "_block", "_row", F.lit(1))
-    return counted.select(*rows.columns, F.col("before").alias("row_index"))
+    return placed, block_starts(placed, "_path", "_block", "_row", F.lit(1))
+
+
+def _numbered(rows: DataFrame, placed: DataFrame, starts: DataFrame) -> DataFrame:
+    index = F.col("before") + F.col("_row") - F.col("first_row")
+    return placed.join(starts, ["_path", "_block"]).select(*rows.columns, index.alias("row_index"))
+
+
+def number_export_rows(rows: DataFrame) -> DataFrame:
+    """``row_index`` from 0 in file order, for each file of an export scan.
+
+    Ids rise by one inside a split, so the place in a file is the id less the split's
+    first one, plus the rows of earlier splits: counts only, no row is shuffled or sorted.
+    """
+    return _numbered(rows, *_placed(rows))
 
 
 def number_rows(rows: DataFrame, *order: str) -> DataFrame:
@@ -94,12 +111,16 @@ def chunk_number(row_index: Column, size: int = ROWS_PER_CHUNK) -> Column:
 def write_chunks(rows: DataFrame, path: str, size: int = ROWS_PER_CHUNK) -> None:
     """Write an export scan as CSV files of at most ``size`` rows in input order.
 
-    Each chunk is one file with a header in the folder ``chunk=<base>-part<n>.csv``.
-    Rows from ``read_large_export`` keep cells to the character.
+    Each chunk is one file with a header in the folder ``chunk=<key>``, its key the
+    path of the input below the folder that all inputs share, as
+    ``<base>-part<n>.csv``: files of one name in two folders stay apart. One shuffle.
     """
     columns = [c for c in rows.columns if c != ORDER]
     part = chunk_number(F.col("row_index"), size)
-    named = number_export_rows(rows).withColumn("chunk", text.chunk_key(F.col(f"{ORDER}.path"), part))
+    placed, starts = _placed(rows)
+    first, last = starts.agg(F.min("_path"), F.max("_path")).first()
+    root = os.path.commonprefix([first or "", last or ""]).rpartition("/")[0]
+    named = _numbered(rows, placed, starts).withColumn("chunk", text.chunk_key(F.col(f"{ORDER}.path"), part, root))
     placed = named.repartition("chunk").sortWithinPartitions("chunk", "row_index")
     placed.select(*columns, "chunk").write.partitionBy("chunk").options(**write_options()).csv(path)
 

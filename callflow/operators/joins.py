@@ -5,71 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.0005
-HOT_ROWS = 1_000_000
 
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``unique`` by ``left`` or ``left_anti``.
 
-def planned_bytes(df: DataFrame) -> int:
-    """The size Catalyst plans ``df`` with; files count with what they hold on disk."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def will_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst broadcasts ``df`` in a join, by its own size limit."""
-    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= planned_bytes(df) <= limit
-
-
-def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE, least: int = HOT_ROWS) -> list:
-    """Keys that hold at least ``share`` of all rows, hence at most ``1 / share``.
-
-    NULL counts as a key: it matches nothing, but its rows would share a task.
-    Reads the key column only and counts before the shuffle.
-    """
-    largest = rows.groupBy(key).count().orderBy(F.desc("count")).limit(int(1 / share)).collect()
-    if not largest or largest[0]["count"] < least:
-        return []
-    bar = max(least, share * rows.count())
-    return [row[key] for row in largest if row["count"] >= bar]
-
-
-def join_unique(
-    rows: DataFrame,
-    unique: DataFrame,
-    key: str,
-    how: str = "left",
-    share: float = HOT_SHARE,
-    least: int = HOT_ROWS,
-) -> DataFrame:
-    """``rows`` joined with ``unique`` (one row per key) by ``left`` or ``left_anti``.
-
-    A side that Catalyst broadcasts moves no row of the other. Beyond that size
-    both sides shuffle on the key, except the hot keys: their rows stay where
-    they are and meet a broadcast of the at most ``1 / share`` matching rows.
+    A plain join: Catalyst broadcasts a small ``unique``, and beyond that adaptive
+    execution splits the tasks of a key, or of NULL, that many rows share. Where
+    ``unique`` holds a key twice, its rows all meet, however common the key is.
     """
     if how not in ("left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    if how == "left_anti":
-        unique = unique.select(key)
-    hot = [] if will_broadcast(unique) else hot_keys(rows, key, share, least)
-    if not hot:
-        return rows.join(unique, key, how)
-    named = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
-    is_hot = named | F.col(key).isNull() if None in hot else named
-    few = unique.filter(named).dropDuplicates([key])
-    spread = rows.filter(is_hot).join(F.broadcast(few), key, how)
-    return rows.filter(~is_hot).join(unique, key, how).unionByName(spread)
+    return rows.join(unique.select(key) if how == "left_anti" else unique, key, how)
 
 
 def call_report(calls: DataFrame, brokers: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Each call with its broker and transcript, NULL where there is none.
 
-    All calls of a load may carry the same broker, so that join treats hot keys.
     Calls and transcripts are both unique by call. Tenure is not recorded for any
     broker and is NULL.
     """
     spoken = transcripts.filter(F.col("call_id").isNotNull()).select("call_id", "transcript")
     joined = join_unique(calls, brokers, "broker_id").join(spoken, "call_id", "left")
+    # The columns of the report in order.
     return joined.select(
         "call_id",
         "call_platform",

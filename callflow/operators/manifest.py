@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from callflow.functions import records, text
 from callflow.operators.filters import has_recording, has_web_recording
 from callflow.operators.merge import last_per_key, not_in
+from callflow.session import written
 from callflow.sources.exports import ORDER
 
 
@@ -16,15 +17,17 @@ def _manifest(rows: DataFrame, order: str) -> DataFrame:
     return last_per_key(rows, "call_id", order).withColumn("target_key", text.recording_key(F.col("call_id")))
 
 
-def wanted_of_export(rows: DataFrame, order: str = ORDER) -> DataFrame:
+def wanted_of_export(rows: DataFrame, order: str = ORDER, keep: str | None = None) -> DataFrame:
     """``call_id, url, target_key`` from export rows with a web address.
 
     Rows without a call id have no key to store under and are left to the load's
     rejects, unless the export has no such header at all: then all share one name.
+    ``keep`` names a column to carry where each row stood.
     """
     call_id = text.field(rows, "Call Id") if "Call Id" in rows.columns else F.lit(text.UNKNOWN_CALL)
     url = text.field(rows, "Recording")
-    listed = rows.select(call_id.alias("call_id"), url.alias("url"), order)
+    kept = [F.col(order).alias(keep)] if keep else []
+    listed = rows.select(call_id.alias("call_id"), url.alias("url"), order, *kept)
     return _manifest(listed.filter(has_web_recording(F.col("url")) & F.col("call_id").isNotNull()), order)
 
 
@@ -40,5 +43,6 @@ def wanted_of_records(
 
 
 def pending(wanted: DataFrame, stored: DataFrame) -> DataFrame:
-    """Wanted recordings that are not among the ``call_id`` values of ``stored``."""
+    """Wanted recordings that are not among the ``call_id`` values of ``stored``, evaluated once."""
+    wanted = written(wanted, "wanted")
     return not_in(wanted, wanted, stored, "call_id")

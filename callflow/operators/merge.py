@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callflow.session import written
 from callflow.sources.exports import ORDER
 
 
@@ -33,8 +34,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, ke
 
     ``target`` keeps its partitioning and is not shuffled while the batch's keys
     fit a broadcast. Batch rows without a key replace nothing and are all added;
-    ``keyless=False`` saves a scan where there can be none.
+    ``keyless=False`` saves a scan where there can be none. The batch is evaluated
+    once, into a table that keys and rows are then read from.
     """
+    batch = written(batch, "batch")
     keyed = batch.filter(F.col(key).isNotNull())
     kept = target.join(keyed.select(key).distinct(), key, "left_anti").select(*target.columns)
     merged = kept.unionByName(last_per_key(keyed, key, order), allowMissingColumns=True)
@@ -44,14 +47,23 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, ke
     return merged
 
 
+def upsert_brokers(target: DataFrame, batch: DataFrame, order: str = ORDER) -> DataFrame:
+    """Brokers replaced by name; nameless ones by the id that follows from their other fields."""
+    batch = written(batch, "roster")
+    named = F.col("broker_name").isNotNull()
+    by_name = upsert(target.filter(named), batch.filter(named), "broker_name", order, keyless=False)
+    by_id = upsert(target.filter(~named), batch.filter(~named), "broker_id", order, keyless=False)
+    return by_name.unionByName(by_id)
+
+
 def insert_absent(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER) -> DataFrame:
     """``target`` plus the first batch row of each key it lacks; its own rows stay."""
     return target.unionByName(absent_rows(target, batch, key, order), allowMissingColumns=True)
 
 
 def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER) -> DataFrame:
-    """The rows :func:`insert_absent` adds. NULL keys are skipped."""
-    keyed = batch.filter(F.col(key).isNotNull())
+    """The rows :func:`insert_absent` adds. NULL keys are skipped. The batch is evaluated once."""
+    keyed = written(batch.filter(F.col(key).isNotNull()), "batch")
     return not_in(first_per_key(keyed, key, order), keyed, target, key)
 
 

@@ -150,7 +150,8 @@ def normalize_leads(rows: DataFrame, time_formats: Sequence[str] = EXPORT_TIME_F
 def normalize_brokers(roster: DataFrame) -> DataFrame:
     """Broker rows whose id follows from the name, so reloading keeps it.
 
-    A broker without a name gets an id of its other fields.
+    A broker without a name gets an id of its other fields and is replaced by that id, see
+    :func:`callflow.operators.merge.upsert_brokers`.
     """
     name = field(roster, "name")
     others = [field(roster, f) for f in ROSTER_FIELDS[1:]]

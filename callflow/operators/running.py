@@ -18,17 +18,3 @@ def block_starts(rows: DataFrame, source: str, block: str, row: str, amount: Col
     earlier = Window.partitionBy(source).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
     return written(totals.select(source, block, "first_row", before.alias("before")), "block_starts")
-
-
-def total_before(rows: DataFrame, source: str, block: str, row: str, amount: Column) -> DataFrame:
-    """``rows`` with ``before``, the total of ``amount`` over all earlier rows of the file.
-
-    Also adds ``place``, the number of the row in its block from 1. The running
-    part stays inside a block, which is no larger than an input split.
-    """
-    starts = block_starts(rows, source, block, row, amount).drop("first_row")
-    in_block = Window.partitionBy(source, block).orderBy(row)
-    inside = F.sum(amount).over(in_block.rowsBetween(Window.unboundedPreceding, -1))
-    placed = rows.withColumns({"_inside": F.coalesce(inside, F.lit(0)), "place": F.row_number().over(in_block)})
-    joined = placed.join(starts, [source, block])
-    return joined.withColumn("before", F.col("before") + F.col("_inside")).drop("_inside")

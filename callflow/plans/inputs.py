@@ -79,8 +79,8 @@ def brokers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transcript_rows(conversations: DataFrame) -> DataFrame:
-    """What the user says, turn by turn; the last turn of a call is its transcript."""
-    return conversations.filter(F.col("role") == "user").select(
+    """What is said, turn by turn; the last turn of a call is its transcript."""
+    return conversations.select(
         _text(F.col("conv_id")).alias("call_id"), F.col("text").alias("transcript"), F.col("turn").alias(ORDER)
     )
 

@@ -6,18 +6,18 @@ a folder of its own, because files can not be replaced while they are read.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callflow.functions.text import RECORD_SUFFIX, RECORDING_SUFFIX
-from callflow.operators import export, manifest, merge, normalize, quality, retention
+from callflow.operators import export, joins, manifest, merge, normalize, quality, retention
 from callflow.schemas import BOUNDED_TEXT, FOREIGN_KEYS, LOAD_KEYS, PRIMARY_KEYS
 from callflow.session import written
 from callflow.sources import batches, landing, listing
-from callflow.sources.exports import ORDER
-from callflow.sources.large_exports import read_exports, read_large_export
+from callflow.sources.exports import ORDER, read_export
 from callflow.sources.tables import read_table
 
 
@@ -40,7 +40,7 @@ def load_calls(
     spark: SparkSession, exports: str | list[str], tables: str, out: str, broker_id: Column | str | None = None
 ) -> dict[str, int]:
     """Call exports into ``call``, the leads they name into ``lead``, plus rejects and recordings."""
-    export_rows = read_exports(spark, exports)
+    export_rows = read_export(spark, exports)
     rows, counts = _stored_once(normalize.normalize_calls(export_rows, broker_id))
     good, rejects = normalize.split_rejects(rows)
     latest = written(merge.last_per_key(good.drop("recording", "names_lead"), "call_id"), "latest")
@@ -56,7 +56,7 @@ def load_calls(
 
 
 def load_leads(spark: SparkSession, exports: str | list[str], tables: str, out: str) -> dict[str, int]:
-    rows, counts = _stored_once(normalize.normalize_leads(read_exports(spark, exports)))
+    rows, counts = _stored_once(normalize.normalize_leads(read_export(spark, exports)))
     good, rejects = normalize.split_rejects(rows)
     latest = written(merge.last_per_key(good, "lead_id"), "latest")
     _write(_replaced(read_table(spark, tables, "lead"), latest, "lead_id"), out, "lead")
@@ -64,18 +64,31 @@ def load_leads(spark: SparkSession, exports: str | list[str], tables: str, out:
     return counts
 
 
-def load_brokers(spark: SparkSession, roster: str, tables: str, out: str) -> dict[str, int]:
-    rows, counts = _stored_once(normalize.normalize_brokers(batches.read_roster(spark, roster)))
-    _write(merge.upsert(read_table(spark, tables, "broker"), rows, LOAD_KEYS["broker"]), out, "broker")
+def load_brokers(
+    spark: SparkSession, roster: str, tables: str, out: str, one_value: bool = False
+) -> dict[str, int]:
+    """Roster entries into ``broker``, replaced by name, or by id where there is no name."""
+    rows, counts = _stored_once(normalize.normalize_brokers(batches.read_roster(spark, roster, one_value)))
+    stored = read_table(spark, tables, "broker")
+    _write(merge.upsert_brokers(stored, rows), out, "broker")
     return counts
 
 
-def load_transcripts(spark: SparkSession, transcripts: str, tables: str, out: str) -> dict[str, int]:
-    rows, counts = _stored_once(normalize.normalize_transcripts(batches.read_transcripts(spark, transcripts)))
+def load_transcripts(
+    spark: SparkSession, transcripts: str, tables: str, out: str, one_value: bool = False
+) -> dict[str, int]:
+    read = batches.read_transcripts(spark, transcripts, one_value)
+    rows, counts = _stored_once(normalize.normalize_transcripts(read))
     _write(merge.upsert(read_table(spark, tables, "transcript"), rows, LOAD_KEYS["transcript"]), out, "transcript")
     return counts
 
 
+def call_report(spark: SparkSession, tables: str, out: str) -> None:
+    """Every call with its broker and transcript."""
+    stored = [read_table(spark, tables, name) for name in ("call", "broker", "transcript")]
+    joins.call_report(*stored).write.parquet(out)
+
+
 def _replaced(target: DataFrame, latest: DataFrame, key: str) -> DataFrame:
     """``target`` with the rows of ``latest``, which has one row per key."""
     kept = target.join(latest.select(key), key, "left_anti").select(*target.columns)
@@ -89,13 +102,17 @@ def _read_json(spark: SparkSession, path: str, one_per_file: bool) -> DataFrame:
 def land_pages(
     spark: SparkSession, pages: str, out: str, member: str, time_member: str, one_per_file: bool = True
 ) -> dict[str, str | None]:
-    """Records of landed API pages as JSON lines by day; tells an unfinished fetch by its cursor."""
+    """Records of landed API pages as JSON lines by day; tells an unfinished fetch by its cursor.
+
+    Each run lands in ``fetch=<id>`` of its own, so what was landed before stays.
+    """
+    fetch = f"fetch={uuid.uuid4().hex}"
     fetched, malformed = landing.split_objects(_read_json(spark, pages, one_per_file))
     order = F.struct(F.col("position"), F.col("place"))
     latest = written(export.latest_records(landing.page_records(fetched, member), order), "records")
     start = F.get_json_object("json", time_member)
-    export.land_records(latest, f"{out}/records", F.substring(start, 1, 10))
-    _write(malformed, out, "malformed")
+    export.land_records(latest, f"{out}/records/{fetch}", F.substring(start, 1, 10))
+    _write(malformed, out, f"malformed/{fetch}")
     cursor = landing.open_cursor(fetched).first()
     return {"cursor": cursor["cursor"] if cursor else None}
 
@@ -130,9 +147,11 @@ def pending_recordings(
     manifest.pending(manifest.wanted_of_records(objects, member), stored).write.parquet(out)
 
 
-def split_export(spark: SparkSession, source: str, out: str, size: int = export.ROWS_PER_CHUNK) -> None:
-    """An export as files of at most ``size`` rows."""
-    export.write_chunks(read_large_export(spark, source), out, size)
+def split_export(
+    spark: SparkSession, source: str, out: str, size: int = export.ROWS_PER_CHUNK, multi_line: bool = True
+) -> None:
+    """An export as files of at most ``size`` rows; without ``multi_line`` many tasks read a file."""
+    export.write_chunks(read_export(spark, source, multi_line=multi_line), out, size)
 
 
 def list_expired(spark: SparkSession, store: str, out: str, as_of: datetime) -> None:
@@ -149,7 +168,7 @@ def query(spark: SparkSession, tables: str, statement: str) -> DataFrame:
 
 def insert_rows(spark: SparkSession, tables: str, name: str, rows: str, out: str) -> None:
     """Rows of a CSV whose headers are column names, appended without a look at keys."""
-    added = normalize.as_table(read_exports(spark, rows).drop(ORDER), name)
+    added = normalize.as_table(read_export(spark, rows).drop(ORDER), name)
     _write(merge.append(read_table(spark, tables, name), added), out, name)
 
 

@@ -49,7 +49,7 @@ FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
 TRANSCRIPTS = """
 SELECT md5(CAST(conv_id AS VARCHAR)) AS transcript_id, CAST(conv_id AS VARCHAR) AS call_id, text AS transcript
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn
-      FROM conversations WHERE role = 'user') AS t
+      FROM conversations) AS t
 WHERE rn = 1
 """
 
@@ -108,6 +108,17 @@ FROM customer
     "iso_times": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM events",
     "csv_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "large_csv_scan": "SELECT doc_id, lang, text FROM documents",
+    "csv_mixed_headers": CALLS + """
+SELECT n.call_id, n.lead_text, n.call_type AS origin,
+  CASE WHEN n.seq % 3 = 2 THEN NULL
+    ELSE CASE n.call_type WHEN 'purchase' THEN concat('https://rec.example/', CAST(n.seq AS VARCHAR))
+      WHEN 'error' THEN NULL ELSE concat('pending ', CAST(n.seq AS VARCHAR)) END END AS recording
+FROM n
+""",
+    "row_order": """
+SELECT o_orderkey, row_number() OVER (PARTITION BY floor(o_orderkey / 10000) ORDER BY o_orderkey) - 1 AS place FROM orders
+""",
+    "list_files": "SELECT c_nationkey AS nation, CAST(1 AS BIGINT) AS files FROM customer GROUP BY 1",
     "json_scan": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
   concat('{"k":', json_extract_string(props, '$.k'), '}') AS json
@@ -156,18 +167,33 @@ UNION ALL SELECT CAST(conv_id AS VARCHAR), CAST(NULL AS VARCHAR), turn FROM conv
     "upsert_leads": REPLACED_LEADS,
     "leads_of_both_feeds": CALLS + """, stored AS (
   SELECT CAST(c_custkey AS INTEGER) AS lead_id, c_mktsegment AS source, CAST(NULL AS TIMESTAMP) AS creation_date
-  FROM customer
+  FROM customer WHERE c_custkey % 2 = 0
   UNION ALL
   SELECT CAST(s_suppkey AS INTEGER), s_name, CAST(NULL AS TIMESTAMP) FROM supplier AS s
-  WHERE NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = s.s_suppkey))
+  WHERE s_suppkey % 3 <> 0
+    AND NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = s.s_suppkey AND c_custkey % 2 = 0))
 SELECT lead_id, source, creation_date FROM stored
 UNION ALL
 SELECT lead_id, 'Velocify', date_time
 FROM (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY seq) AS rn FROM n WHERE lead_id IS NOT NULL) AS t
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM stored AS s WHERE s.lead_id = t.lead_id)
 """,
-    "upsert_transcripts": TRANSCRIPTS,
-    "brokers": BROKERS,
+    "upsert_transcripts": """
+SELECT md5(CAST(conv_id AS VARCHAR)) AS transcript_id, CAST(conv_id AS VARCHAR) AS call_id, text AS transcript
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS first,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations) AS t
+WHERE (last = 1 AND conv_id % 3 <> 1) OR (first = 1 AND conv_id % 2 = 0 AND conv_id % 3 = 1)
+""",
+    "brokers": f"""
+SELECT b.broker_id, b.broker_name, b.phonenumber, b.email, b.extension, b.state,
+  CASE WHEN s_suppkey % 2 = 0 THEN b.role ELSE 'Old' END AS role
+FROM ({BROKERS}) AS b JOIN supplier ON s_name = b.broker_name
+WHERE s_suppkey % 2 = 0 OR s_suppkey % 3 <> 0
+""",
+    "empty_tables": """
+SELECT name, n FROM (VALUES ('stage', 0), ('customer', 0), ('call', 0), ('broker', 0), ('transcript', 0)) AS v(name, n)
+UNION ALL SELECT 'lead', count(*) FROM customer
+""",
     "insert_absent_leads": NEW_LEADS,
     "insert_values": """
 SELECT p_partkey, p_name FROM part
@@ -189,6 +215,12 @@ SELECT c.call_id, c.call_platform, c.broker_id, c.lead_id, c.call_type,
 FROM latest AS c
 LEFT JOIN b ON c.broker_id = b.broker_id
 LEFT JOIN tr ON c.call_id = tr.call_id
+""",
+    "report_doubled_brokers": CALLS + f""", b AS (
+  SELECT x.*, s_suppkey FROM ({BROKERS}) AS x JOIN supplier ON s_name = x.broker_name), both_rows AS (
+  SELECT broker_id, broker_name, role FROM b
+  UNION ALL SELECT broker_id, broker_name, 'again' FROM b WHERE s_suppkey % 2 = 0)
+SELECT c.call_id, c.broker_id, t.broker_name, t.role FROM latest AS c LEFT JOIN both_rows AS t ON c.broker_id = t.broker_id
 """,
     "fk_orphans": CALLS + """
 SELECT g.seq, g.lead_id FROM g
@@ -210,9 +242,18 @@ SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM events WHERE json_extract_string(props, '$.k') NOT IN ('0', '', 'false', 'null', '{}', '[]')
 """,
     "land_records": """
-SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "startTime"
+SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS start_time,
+  strftime(ts, '%Y-%m-%d') AS dt
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id % 4000 ORDER BY event_id DESC) AS rn FROM events) AS t
 WHERE rn = 1
+""",
+    "land_two_fetches": """
+SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS start_time,
+  strftime(ts, '%Y-%m-%d') AS dt
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY event_id % 4000 ORDER BY floor(event_id / 100) % 3 = 0 DESC, event_id DESC) AS rn
+      FROM events WHERE floor(event_id / 100) % 3 = 0 OR floor(event_id / 100) % 2 = 0) AS t
+WHERE rn = 1
 """,
     "chunk_rows": CHUNKS,
     "chunk_counts": f"SELECT part, count(*) AS n FROM ({CHUNKS}) AS c GROUP BY part",
@@ -223,8 +264,23 @@ SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-02-14 00:00:00' - INTERVA
     "retention_kept": """
 SELECT event_id FROM events WHERE NOT coalesce(ts < TIMESTAMP '2024-02-14 00:00:00' - INTERVAL '2592000' SECOND, false)
 """,
-    "export_chunks": "SELECT o_orderkey, o_orderpriority FROM orders",
+    "export_chunks": """
+SELECT f, part, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, f, CAST((row_number() OVER (PARTITION BY f ORDER BY o_orderkey) - 1) // 2000 + 1 AS INTEGER) AS part
+      FROM (SELECT o_orderkey, CAST(floor(o_orderkey / 10000) AS BIGINT) AS f FROM orders) AS o) AS t
+GROUP BY f, part
+""",
+    "unknown_recordings": """
+SELECT 'unknown' AS call_id, concat('https://rec.example/', CAST(max(event_id) AS VARCHAR)) AS url,
+  'unknown.mp3' AS target_key
+FROM events WHERE event_type = 'purchase' HAVING count(*) > 0
+""",
     "stream_calls": LATEST_CALLS,
+    "stream_two_batches": CALLS + """
+SELECT call_id, call_platform, broker_id, lead_id, call_type, date_time, talk_time
+FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY seq % 3 <> 0 DESC, seq DESC) AS rn FROM g) AS t
+WHERE rn = 1
+""",
     "stream_new_leads": NEW_LEADS,
     "stream_rejects": REJECTS,
     "stream_recordings": WANTED,

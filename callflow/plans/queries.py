@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -12,8 +13,9 @@ from callflow.functions import records, text
 from callflow.operators import export, filters, joins, manifest, merge, normalize, quality, retention
 from callflow.plans import inputs
 from callflow.plans.inputs import table
+from callflow.schemas import PRIMARY_KEYS, create_tables
 from callflow.session import new_work_path, written
-from callflow.sources import exports, landing, large_exports, tables
+from callflow.sources import batches, exports, landing, listing, tables
 from callflow.sources.exports import ORDER
 from callflow.streaming import arrivals
 
@@ -97,14 +99,59 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def large_csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents, whole texts, written as CSV and read in parallel by line."""
+    """All documents, whole texts with line breaks, written as CSV and read back."""
     documents = table(spark, folder, "documents").select(F.col("doc_id").cast("string"), "lang", "text")
     path = new_work_path(spark, "documents")
     documents.write.options(**exports.write_options()).csv(path)
-    rows = large_exports.read_large_export(spark, path, documents.columns)
+    rows = exports.read_export(spark, path, documents.columns)
     return rows.select(text.whole_number(F.col("doc_id")).cast("bigint").alias("doc_id"), "lang", "text")
 
 
+def csv_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """All calls in files of three layouts: as they are, turned around with one column more, and one less."""
+    rows = inputs.call_export(table(spark, folder, "events"))
+    path, headers = new_work_path(spark, "layouts"), normalize.CALL_HEADERS
+    layouts = [headers, ("Extra", *reversed(headers)), [h for h in headers if h != "Recording"]]
+    for k, names in enumerate(layouts):
+        part = rows.filter(F.col(ORDER) % 3 == k).withColumn("Extra", F.lit("more")).select(*names)
+        part.write.options(**exports.write_options()).csv(f"{path}/layout{k}")
+    found = exports.read_export(spark, path, headers)
+    return found.select(
+        text.field(found, "Call Id").alias("call_id"),
+        text.field(found, "Lead Id").alias("lead_text"),
+        text.field(found, "Origin").alias("origin"),
+        text.field(found, "Recording").alias("recording"),
+    )
+
+
+def _orders_in_files(spark: SparkSession, folder: str) -> str:
+    """Orders as CSV, ten thousand keys to a file, each in the order of its keys."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    orders = orders.withColumn("f", F.floor(F.col("o_orderkey") / 10_000))
+    path = new_work_path(spark, "orders")
+    sorted_orders = orders.repartition("f").sortWithinPartitions("f", "o_orderkey")
+    sorted_orders.write.partitionBy("f").options(**exports.write_options()).csv(path)
+    return path
+
+
+def row_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each order in its file, as the scan tells it."""
+    rows = exports.read_export(spark, _orders_in_files(spark, folder), ("o_orderkey",), multi_line=False)
+    numbered = export.number_export_rows(rows)
+    return numbered.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("row_index").alias("place"))
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Listed ``.csv`` files of customers, one for each nation; those of suppliers are JSON."""
+    path = new_work_path(spark, "listed")
+    customers = table(spark, folder, "customer").select("c_nationkey", "c_name")
+    customers.repartition("c_nationkey").write.partitionBy("c_nationkey").csv(f"{path}/customers")
+    table(spark, folder, "supplier").write.json(f"{path}/suppliers")
+    listed = listing.list_objects(spark, path, ".CSV").filter(F.col("length") > 0)
+    nation = F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1).cast("int")
+    return listed.groupBy(nation.alias("nation")).agg(F.count(F.lit(1)).alias("files"))
+
+
 def json_scan(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "props")
     parsed = records.with_record(events.filter(records.is_object_text(F.col("props"))), F.col("props"))
@@ -228,22 +275,35 @@ def upsert_leads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leads_of_both_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers as leads, replaced by the lead export of customers, then those calls name."""
-    customers = table(spark, folder, "customer")
+    """Two of three suppliers as leads, some replaced by every other customer, then those calls name."""
+    customers = table(spark, folder, "customer").filter(F.col("c_custkey") % 2 == 0)
     batch = inputs.customer_leads(customers).withColumn(ORDER, F.col("lead_id"))
-    stored = merge.upsert(inputs.supplier_leads(table(spark, folder, "supplier")), batch, "lead_id")
+    suppliers = table(spark, folder, "supplier").filter(F.col("s_suppkey") % 3 != 0)
+    stored = merge.upsert(inputs.supplier_leads(suppliers), batch, "lead_id")
     named = normalize.leads_of_calls(_normalized(spark, folder))
     return merge.insert_absent(stored, named, "lead_id").select("lead_id", "source", "creation_date")
 
 
 def upsert_transcripts(spark: SparkSession, folder: str) -> DataFrame:
-    return _transcripts(spark, folder).select("transcript_id", "call_id", "transcript")
+    """Every other call's first turn is stored; the last turns of two of three calls come as JSON lines."""
+    turns = table(spark, folder, "conversations")
+    first = normalize.normalize_transcripts(inputs.transcript_rows(turns.filter(F.col("conv_id") % 2 == 0)))
+    stored = merge.first_per_key(first, "call_id")
+    path = new_work_path(spark, "transcripts")
+    spoken = turns.filter(F.col("conv_id") % 3 != 1).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "turn")
+    spoken.select(F.col("conv_id").cast("string").alias("call_id"), F.col("text").alias("transcript")).write.json(path)
+    batch = normalize.normalize_transcripts(batches.read_transcripts(spark, path))
+    return merge.upsert(stored, batch, "call_id").select("transcript_id", "call_id", "transcript")
 
 
 def brokers(spark: SparkSession, folder: str) -> DataFrame:
-    """The roster loaded twice: the second load replaces every broker by name."""
-    rows = inputs.brokers(spark, folder)
-    return merge.upsert(rows.drop(ORDER), rows, "broker_name")
+    """Two of three suppliers are stored in an old role; a roster of every other one comes as JSON lines."""
+    rows = inputs.roster(table(spark, folder, "supplier"), table(spark, folder, "nation"))
+    old = rows.filter(F.col(ORDER) % 3 != 0).withColumn("role", F.lit("Old"))
+    stored = normalize.normalize_brokers(old).drop(ORDER)
+    path = new_work_path(spark, "roster")
+    rows.filter(F.col(ORDER) % 2 == 0).drop(ORDER).write.json(path)
+    return merge.upsert_brokers(stored, normalize.normalize_brokers(batches.read_roster(spark, path)))
 
 
 def insert_absent_leads(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,6 +312,18 @@ def insert_absent_leads(spark: SparkSession, folder: str) -> DataFrame:
     return merge.insert_absent(stored, named, "lead_id").select("lead_id", "source", "creation_date")
 
 
+def empty_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each of the six tables after their creation and one load of customers as leads."""
+    path = new_work_path(spark, "six")
+    create_tables(spark, path)
+    inputs.customer_leads(table(spark, folder, "customer")).write.mode("append").parquet(f"{path}/lead")
+    counts = [
+        tables.read_table(spark, path, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name in PRIMARY_KEYS
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 def insert_values(spark: SparkSession, folder: str) -> DataFrame:
     """Literal rows appended to the parts, whose keys they may repeat."""
     parts = table(spark, folder, "part").select("p_partkey", "p_name")
@@ -277,6 +349,15 @@ def call_broker_transcript(spark: SparkSession, folder: str) -> DataFrame:
     return joins.call_report(_calls(spark, folder), stored, _transcripts(spark, folder))
 
 
+def report_doubled_brokers(spark: SparkSession, folder: str) -> DataFrame:
+    """Calls with their brokers where every other broker is stored twice: both rows meet each call."""
+    stored = inputs.brokers(spark, folder).withColumn("second", F.lit(False))
+    doubled = stored.filter(F.col(ORDER) % 2 == 0).withColumn("role", F.lit("again")).withColumn("second", F.lit(True))
+    both = written(stored.unionByName(doubled).drop(ORDER, "second"), "brokers")
+    joined = joins.join_unique(_calls(spark, folder), both, "broker_id")
+    return joined.select("call_id", "broker_id", "broker_name", "role")
+
+
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
     rows = _good(spark, folder).select(F.col(ORDER).alias("seq"), "lead_id")
     return quality.orphan_rows(rows, "lead_id", inputs.supplier_leads(table(spark, folder, "supplier")), "lead_id")
@@ -306,7 +387,10 @@ def json_export(spark: SparkSession, folder: str) -> DataFrame:
     events = records.with_record(table(spark, folder, "events").select("event_id", "props"), F.col("props"))
     record = F.col("record")
     kept = events.filter(records.truthy(record, "$.k"))
-    return kept.select(F.col("event_id").alias("id"), records.member(record, "$.k", "bigint").alias("k"))
+    path = new_work_path(spark, "projection")
+    export.write_projection(kept.select(F.col("event_id").alias("id"), records.member(record, "$.k").alias("k")), path)
+    rows = exports.read_export(spark, path, ("id", "k"), multi_line=False)
+    return rows.select(F.col("id").cast("bigint").alias("id"), F.col("k").cast("bigint").alias("k"))
 
 
 def land_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,7 +402,29 @@ def land_records(spark: SparkSession, folder: str) -> DataFrame:
     path = new_work_path(spark, "landed")
     export.land_records(latest, path, F.substring(start, 1, 10))
     objects, _ = landing.split_objects(landing.read_json(spark, path, one_per_file=False, suffix=""))
-    return export.project_records(objects, records.TELEPHONY_START)
+    return _with_day(objects)
+
+
+def _with_day(objects: DataFrame) -> DataFrame:
+    """``id``, start time and the day folder of landed objects."""
+    record = F.col("record")
+    return objects.select(
+        records.member(record, records.RECORD_ID).alias("id"),
+        records.member(record, records.TELEPHONY_START).alias("start_time"),
+        F.regexp_extract("path", "dt=([0-9-]+)/", 1).alias("dt"),
+    )
+
+
+def land_two_fetches(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second page landed by one fetch, every third by the next; the later one counts."""
+    root = new_work_path(spark, "fetched")
+    for number, share in enumerate((2, 3)):
+        listed = landing.page_records(_pages(spark, folder).filter(F.col("position") % share == 0))
+        latest = export.latest_records(listed, F.struct(F.col("position"), F.col("place")))
+        start = F.get_json_object("json", records.TELEPHONY_START)
+        export.land_records(latest, f"{root}/fetch={number}", F.substring(start, 1, 10))
+    objects, _ = landing.split_objects(landing.read_json(spark, root, one_per_file=False, suffix=""))
+    return _with_day(landing.latest_objects(objects))
 
 
 def chunk_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -332,13 +438,29 @@ def chunk_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def export_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders written as CSV, split into chunk files, and read back."""
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string"), "o_orderpriority")
-    source, out = new_work_path(spark, "orders"), new_work_path(spark, "chunks")
-    orders.write.options(**exports.write_options()).csv(source)
-    export.write_chunks(exports.read_export(spark, source, orders.columns, multi_line=False), out)
-    rows = spark.read.options(**exports.csv_options()).schema(exports.text_schema(orders.columns)).csv(out)
-    return rows.select(text.whole_number(F.col("o_orderkey")).cast("bigint").alias("o_orderkey"), "o_orderpriority")
+    """All orders, in several files, split into chunk files: what each written file holds."""
+    source, out = _orders_in_files(spark, folder), new_work_path(spark, "chunks")
+    export.write_chunks(exports.read_export(spark, source, multi_line=False), out)
+    rows = spark.read.options(header=True, escape='"').csv(out)
+    key = F.col("o_orderkey").cast("bigint")
+    written_files = rows.groupBy(F.col("_metadata.file_path").alias("path"), "chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key")
+    )
+    return written_files.select(
+        # The path of a single file has no folder that differs.
+        F.coalesce(
+            F.regexp_extract("chunk", "f=([0-9]+)/", 1).try_cast("bigint"), F.floor(F.col("first_key") / 10_000)
+        ).alias("f"),
+        F.regexp_extract("chunk", "-part([0-9]+)[.]csv$", 1).cast("int").alias("part"),
+        "n",
+        "first_key",
+        "last_key",
+    )
+
+
+def unknown_recordings(spark: SparkSession, folder: str) -> DataFrame:
+    """Recordings of a call export without call ids: all share one name."""
+    return manifest.wanted_of_export(inputs.call_export(table(spark, folder, "events")).drop("Call Id"))
 
 
 def pending_recordings(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,6 +502,19 @@ def stream_calls(spark: SparkSession, folder: str) -> DataFrame:
     return arrivals.current_calls(spark, _streamed_calls(spark, folder)).select(*CALL_COLUMNS)
 
 
+def stream_two_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over two arrivals that share calls; the rows of the later one count."""
+    rows = inputs.call_export(table(spark, folder, "events"))
+    inbox, root, checkpoint = (new_work_path(spark, n) for n in ("inbox", "tables", "checkpoint"))
+    for number, left_out in enumerate((1, 0)):
+        part = rows.filter(F.col(ORDER) % 3 != left_out).withColumn("Row", F.col(ORDER) + number * 10**12).drop(ORDER)
+        part.write.options(**exports.write_options()).csv(f"{inbox}/arrival{number}")
+        arrivals.load_arrived_calls(
+            spark, inbox, root, checkpoint, inputs.broker_of_call(), row_order=F.col("Row").cast("bigint"), suffix=".csv"
+        )
+    return arrivals.current_calls(spark, root).select(*CALL_COLUMNS)
+
+
 def stream_new_leads(spark: SparkSession, folder: str) -> DataFrame:
     stored = inputs.supplier_leads(table(spark, folder, "supplier"))
     leads = arrivals.leads_with_calls(spark, _streamed_calls(spark, folder), stored)
@@ -422,6 +557,9 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         iso_times,
         csv_scan,
         large_csv_scan,
+        csv_mixed_headers,
+        row_order,
+        list_files,
         json_scan,
         page_records,
         open_cursor,
@@ -441,23 +579,28 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_transcripts,
         brokers,
         insert_absent_leads,
+        empty_tables,
         insert_values,
         update_where,
         delete_where,
         call_broker_transcript,
+        report_doubled_brokers,
         fk_orphans,
         fk_orphan_keys,
         pk_duplicates,
         overlong_text,
         json_export,
         land_records,
+        land_two_fetches,
         chunk_rows,
         chunk_counts,
         export_chunks,
         pending_recordings,
+        unknown_recordings,
         retention_expired,
         retention_kept,
         stream_calls,
+        stream_two_batches,
         stream_new_leads,
         stream_rejects,
         stream_recordings,

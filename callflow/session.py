@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from functools import cache
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -52,7 +55,22 @@ def _own_folder(application: str) -> str:
 
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{work_folder(spark)}/callflow/{uuid.uuid4().hex}/{name}"
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{work_folder(spark)}/callflow/{spark.sparkContext.applicationId}"
+
+
+def clean_work(spark: SparkSession) -> None:
+    """Delete what this application wrote under the shared folder, when its jobs are done.
+
+    Where Arrow cannot reach the folder it is left to the folder's own retention rule.
+    """
+    path = _application_folder(spark)
+    with contextlib.suppress(pa.ArrowInvalid, OSError):
+        system, inner = fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a://") else path)
+        system.delete_dir(inner)
 
 
 def written(df: DataFrame, name: str = "stage") -> DataFrame:

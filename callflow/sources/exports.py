@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from callflow.functions.text import CSV_SUFFIX
-
 # Position of a row: files by age, then path, then place inside the file.
 ORDER = "_position"
 
+POSITION = "struct<modified: timestamp, path: string, block: bigint, row: bigint>"
+
 FILES_PER_BATCH = 10_000
 
 
@@ -21,16 +23,15 @@ def csv_options(multi_line: bool = True, line_end: str | None = None) -> dict[st
 
     A file whose quoted cells may hold line breaks is read by one task. Set
     ``multi_line=False`` for exports known to have none, which lets large files
-    be split. Header names are compared, so a file with other columns fails
-    instead of loading into the wrong ones. Line ends are found by looking, and
-    then a cell's own ``\\r\\n`` reads as ``\\n``; name ``line_end`` to keep it.
+    be split. Line ends are found by looking, and then a cell's own ``\\r\\n``
+    reads as ``\\n``; name ``line_end`` to keep it. Nothing depends on the size of a file.
     """
     options = {"lineSep": line_end} if line_end else {}
     return options | {
         "header": "true",
         "escape": '"',
         "multiLine": str(multi_line).lower(),
-        "enforceSchema": "false",
+        "recursiveFileLookup": "true",
         "encoding": "UTF-8",
     }
 
@@ -63,6 +64,23 @@ def position() -> Column:
     return F.struct(*place(), F.monotonically_increasing_id().alias("row"))
 
 
+def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header layout, oldest first. Files without a line are left out.
+
+    Only the first line of each file comes to the driver, like its name.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    placed = lines.select(*place(), F.monotonically_increasing_id().alias("row"), "value")
+    found = placed.filter("block = 0").groupBy("modified", "path").agg(F.min_by("value", "row").alias("line"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in found.orderBy("modified", "path").collect():
+        names: list[str] = []
+        for k, name in enumerate(next(csv.reader([row["line"].lstrip("\ufeff")]), [])):
+            names.append(name if name and name not in names else f"_{k}_{name}")
+        layouts.setdefault(tuple(names), []).append(unquote(row["path"]))  # the scan gives it as a URI
+    return layouts
+
+
 def read_export(
     spark: SparkSession,
     paths: str | list[str],
@@ -70,28 +88,48 @@ def read_export(
     multi_line: bool = True,
     line_end: str | None = None,
 ) -> DataFrame:
-    """Rows of one or many exports plus ``_position``.
+    """Rows of one or many exports, folders below included, plus ``_position``.
 
-    Without ``headers`` the names come from the first file. Cells missing at the
-    end of a short row are NULL and cells beyond the header are ignored.
+    Cells go by the names in the header of their own file: columns may stand in another
+    order, be missing (NULL) or be more. ``headers`` picks columns; without it all names
+    occur, those of the oldest file first. Cells missing at the end of a short row are
+    NULL and cells beyond the header are ignored.
     """
-    reader = spark.read.options(**csv_options(multi_line, line_end))
+    layouts = file_headers(spark, paths)
     if headers is None:
-        headers = reader.csv(paths).columns
-    return reader.schema(text_schema(headers)).csv(paths).withColumn(ORDER, position())
-
-
-def stream_arrivals(spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
-    """A stream of ``path, length`` of the exports that arrive in ``path``, each once.
+        headers = list(dict.fromkeys(name for names in layouts for name in names))
+    reader = spark.read.options(**csv_options(multi_line, line_end))
+    rows = None
+    for names, files in layouts.items():
+        part = reader.schema(text_schema(names)).csv(files).withColumn(ORDER, position())
+        cells = [F.col(f"`{h}`") if h in names else F.lit(None).cast("string").alias(h) for h in headers]
+        part = part.select(*cells, ORDER)
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        empty = spark.createDataFrame([], text_schema(headers))
+        return empty.withColumn(ORDER, F.lit(None).cast(POSITION))
+    return rows
+
+
+def stream_arrivals(
+    spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH, suffix: str = ""
+) -> DataFrame:
+    """A stream of ``path, modificationTime, length`` of what arrives in ``path`` and below, each once.
 
-    Only names stream, at most ``max_files`` to a batch. A batch reads its files
-    like any other set of exports, so that a large one is split.
+    Only names stream, at most ``max_files`` to a batch. However old a file is, it
+    counts as new until it has been seen, so names are remembered for good. ``suffix``
+    leaves out files that end otherwise, in capitals or not.
     """
     files = spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp_ltz, length bigint, content binary"
     )
-    files = files.option("pathGlobFilter", f"*{CSV_SUFFIX}").option("maxFilesPerTrigger", max_files)
-    return files.load(path).select("path", "length")
+    files = files.option("pathGlobFilter", suffix_glob(suffix)).option("recursiveFileLookup", True)
+    files = files.option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
+    return files.load(path).select("path", "modificationTime", "length")
+
+
+def suffix_glob(suffix: str) -> str:
+    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
 
 
 def rows_per_file(rows: DataFrame) -> DataFrame:

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callflow.functions import text
+from callflow.sources.exports import suffix_glob
 
 
 def list_objects(spark: SparkSession, root: str | list[str], suffix: str = "") -> DataFrame:
-    """``path, modificationTime, length`` of every object whose name ends in ``suffix``.
+    """``path, modificationTime, length`` of every object whose name ends in ``suffix``,
+    in capitals or not.
 
     The contents column is not selected, so no file is opened.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
+        .option("pathGlobFilter", suffix_glob(suffix))
         .load(root)
     )
     return files.select("path", "modificationTime", "length")

@@ -2,86 +2,124 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from callflow.functions.text import EXPORT_TIME_FORMATS
 from callflow.operators.manifest import wanted_of_export
 from callflow.operators.merge import first_per_key, insert_absent, last_per_key, upsert
 from callflow.operators.normalize import (
-    CALL_HEADERS,
-    LEAD_HEADERS,
     leads_of_calls,
     normalize_calls,
     normalize_leads,
     split_rejects,
 )
 from callflow.schemas import TABLES
-from callflow.sources.exports import FILES_PER_BATCH, ORDER, stream_arrivals
-from callflow.sources.large_exports import read_exports
+from callflow.sources.exports import FILES_PER_BATCH, ORDER, read_export, stream_arrivals
+from callflow.sources.listing import list_objects
 
-BATCH = "batch_id"
-BEFORE_FIRST = -1
+LOAD, PLACE, SEEN = "load", "place", "arrivals"
 
 REJECTS = StructType([StructField(name, StringType()) for name in ("reason", "raw")])
 RECORDINGS = StructType([StructField(name, StringType()) for name in ("call_id", "url", "target_key")])
+ARRIVALS = "path string, modificationTime timestamp_ltz"
 
 
-def _call_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
+def _call_outputs(normalized: DataFrame, headers: Sequence[str]) -> dict[str, DataFrame]:
     good, rejects = split_rejects(normalized)
+    place = F.col(ORDER).alias(PLACE)
     named = normalized.withColumnsRenamed({"call_id": "Call Id", "recording": "Recording"})
+    if "Call Id" not in headers:  # in none of the files: their recordings share one name
+        named = named.drop("Call Id")
     return {
-        "calls": last_per_key(good.drop("recording", "names_lead"), "call_id"),
-        "new_leads": first_per_key(leads_of_calls(normalized), "lead_id"),
-        "recordings": wanted_of_export(named),
+        "calls": last_per_key(good.drop("recording", "names_lead").select("*", place), "call_id"),
+        "new_leads": first_per_key(leads_of_calls(normalized).select("*", place), "lead_id"),
+        "recordings": wanted_of_export(named, keep=PLACE),
         "rejects": rejects.drop(ORDER),
     }
 
 
-def _lead_outputs(normalized: DataFrame) -> dict[str, DataFrame]:
+def _lead_outputs(normalized: DataFrame, headers: Sequence[str]) -> dict[str, DataFrame]:
     good, rejects = split_rejects(normalized)
-    return {"leads": last_per_key(good, "lead_id"), "rejects": rejects.drop(ORDER)}
+    placed = good.select("*", F.col(ORDER).alias(PLACE))
+    return {"leads": last_per_key(placed, "lead_id"), "rejects": rejects.drop(ORDER)}
+
+
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the checkpoint, kept in it: a new checkpoint never rewrites loads of an old one."""
+    path = f"{checkpoint}/load_id"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").write.text(path)
+    return spark.read.text(path).first()[0]
 
 
 def _run(
-    arrivals: DataFrame,
+    spark: SparkSession,
+    arrivals: str,
     root: str,
     checkpoint: str,
-    headers: Sequence[str],
+    headers: Sequence[str] | None,
     normalized: Callable[[DataFrame], DataFrame],
-    outputs: Callable[[DataFrame], dict[str, DataFrame]],
+    outputs: Callable[[DataFrame, Sequence[str]], dict[str, DataFrame]],
     row_order: Column | None,
+    max_files: int,
+    suffix: str,
 ) -> None:
-    def store(batch: DataFrame, batch_id: int) -> None:
-        files = batch.collect()  # names and sizes, at most max_files
+    identity = _identity(spark, checkpoint)
+
+    def store(batch: DataFrame, load: str) -> None:
+        files = batch.collect()  # names and times, at most max_files
         if not files:
             return
-        largest = max(file["length"] for file in files)
-        exports = read_exports(batch.sparkSession, [file["path"] for file in files], headers, largest=largest)
+        exports = read_export(batch.sparkSession, [file["path"] for file in files], headers)
         if row_order is not None:
             exports = exports.withColumn(ORDER, row_order)
         # parsed once for all outputs; it may spill, and lost blocks are computed
         # again from the files
         rows = normalized(exports).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for name, output in outputs(rows).items():
-                # named by batch, so that a replay rewrites what it wrote before
-                output.write.mode("overwrite").parquet(f"{root}/{name}/{BATCH}={batch_id}")
+            for name, output in outputs(rows, exports.columns).items():
+                # named by checkpoint and batch, so that a replay rewrites what it wrote before
+                output.write.mode("overwrite").parquet(f"{root}/{name}/{LOAD}={load}")
         finally:
             rows.unpersist()
+        seen = batch.sparkSession.createDataFrame([(f["path"], f["modificationTime"]) for f in files], ARRIVALS)
+        seen.write.mode("overwrite").parquet(f"{root}/{SEEN}/{LOAD}={load}")
 
     query = (
-        arrivals.writeStream.foreachBatch(store)
+        stream_arrivals(spark, arrivals, max_files, suffix)
+        .writeStream.foreachBatch(lambda batch, number: store(batch, f"{identity}-{number:09d}"))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    # A file put again under its name is no news to the stream: its time tells.
+    changed = _changed(spark, arrivals, root, suffix)
+    while files := changed.limit(max_files).collect():
+        batch = spark.createDataFrame([tuple(f) for f in files], ARRIVALS)
+        last = max(f["modificationTime"] for f in files)
+        store(batch, f"{identity}-again-{last:%Y%m%d%H%M%S%f}-{len(files)}")
+        changed = _changed(spark, arrivals, root, suffix)
+
+
+def _changed(spark: SparkSession, arrivals: str, root: str, suffix: str) -> DataFrame:
+    """Files that were loaded before and are newer now, oldest first."""
+    seen = _stored(spark, root, SEEN, spark.createDataFrame([], ARRIVALS).schema)
+    latest = seen.groupBy("path").agg(F.max("modificationTime").alias("loaded"))
+    listed = list_objects(spark, arrivals, suffix).select("path", "modificationTime")
+    newer = listed.join(latest, "path").filter(F.col("modificationTime") > F.col("loaded"))
+    return newer.select("path", "modificationTime").orderBy("modificationTime", "path")
 
 
 def load_arrived_calls(
@@ -90,14 +128,17 @@ def load_arrived_calls(
     root: str,
     checkpoint: str,
     broker_id: Column | str | None = None,
-    headers: Sequence[str] = CALL_HEADERS,
+    headers: Sequence[str] | None = None,
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
     max_files: int = FILES_PER_BATCH,
+    suffix: str = "",
 ) -> None:
     """Load every call export not loaded before; one arrival feeds all four outputs.
 
-    A run with nothing new changes nothing. ``row_order`` replaces file order
+    Files of any age and, without ``suffix``, any name load, those of folders below too, and again when
+    put again. Cells go by the header of their file; without ``Call Id`` its rows are rejects. A run with
+    nothing new changes nothing. ``row_order`` replaces the order of files and rows
     where the export itself carries one. Each batch adds its own rows only: the
     tables are merged when read, see :func:`current_calls`.
     """
@@ -105,8 +146,7 @@ def load_arrived_calls(
     def normalized(rows: DataFrame) -> DataFrame:
         return normalize_calls(rows, broker_id, time_formats)
 
-    names = stream_arrivals(spark, arrivals, max_files)
-    _run(names, root, checkpoint, headers, normalized, _call_outputs, row_order)
+    _run(spark, arrivals, root, checkpoint, headers, normalized, _call_outputs, row_order, max_files, suffix)
 
 
 def load_arrived_leads(
@@ -114,65 +154,75 @@ def load_arrived_leads(
     arrivals: str,
     root: str,
     checkpoint: str,
-    headers: Sequence[str] = LEAD_HEADERS,
+    headers: Sequence[str] | None = None,
     time_formats: Sequence[str] = EXPORT_TIME_FORMATS,
     row_order: Column | None = None,
     max_files: int = FILES_PER_BATCH,
+    suffix: str = "",
 ) -> None:
     """Load every lead export not loaded before, see :func:`load_arrived_calls`."""
 
     def normalized(rows: DataFrame) -> DataFrame:
         return normalize_leads(rows, time_formats)
 
-    names = stream_arrivals(spark, arrivals, max_files)
-    _run(names, root, checkpoint, headers, normalized, _lead_outputs, row_order)
+    _run(spark, arrivals, root, checkpoint, headers, normalized, _lead_outputs, row_order, max_files, suffix)
 
 
 def _stored(spark: SparkSession, root: str, output: str, schema: StructType) -> DataFrame:
-    """All batches of an output with their ``batch_id``; none before the first arrival."""
-    schema = StructType([*schema.fields, StructField(BATCH, LongType())])
+    """All loads of an output with their name; none before the first arrival."""
     try:
-        return spark.read.schema(schema).parquet(f"{root}/{output}")
+        found = spark.read.parquet(f"{root}/{output}")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
+        found = spark.createDataFrame([], schema).withColumn(PLACE, F.lit(0)).withColumn(LOAD, F.lit(""))
+    return found
+
+
+def changes(
+    spark: SparkSession, root: str, output: str, table: str, done: Sequence[str] = ()
+) -> DataFrame:
+    """Stored rows of an output with their ``load`` and ``place``, without the loads in ``done``."""
+    rows = _stored(spark, root, output, TABLES[table])
+    return rows.filter(~F.col(LOAD).isin(*done)) if done else rows
 
 
-def changes(spark: SparkSession, root: str, output: str, table: str, after: int = BEFORE_FIRST) -> DataFrame:
-    """Stored batches of an output with their ``batch_id``, those later than ``after``."""
-    return _stored(spark, root, output, TABLES[table]).filter(F.col(BATCH) > after)
+def loads(spark: SparkSession, root: str, output: str) -> list[str]:
+    """The names of the loads stored so far, one per batch."""
+    rows = _stored(spark, root, output, StructType())
+    return sorted(row[LOAD] for row in rows.select(LOAD).distinct().collect())
 
 
 def current_calls(
-    spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST
+    spark: SparkSession, root: str, base: DataFrame | None = None, done: Sequence[str] = ()
 ) -> DataFrame:
-    """The call table after all batches: the last batch of a call counts.
+    """The call table after all loads: of a call, the row that stands last counts.
 
-    ``base`` is a snapshot that holds the batches up to ``after``. Writing this
-    result now and then as the next snapshot keeps the part to merge small.
+    Files stand by their time, whatever order they were loaded in. ``base`` is a snapshot
+    that holds the loads in ``done``. Writing this result now and then as the next
+    snapshot keeps the part to merge small.
     """
-    later = changes(spark, root, "calls", "call", after)
-    return last_per_key(later, "call_id", BATCH) if base is None else upsert(base, later, "call_id", BATCH, False)
+    later = changes(spark, root, "calls", "call", done).drop(LOAD)
+    return last_per_key(later, "call_id", PLACE) if base is None else upsert(base, later, "call_id", PLACE, False)
 
 
 def current_leads(
-    spark: SparkSession, root: str, base: DataFrame | None = None, after: int = BEFORE_FIRST
+    spark: SparkSession, root: str, base: DataFrame | None = None, done: Sequence[str] = ()
 ) -> DataFrame:
-    """The lead table after all lead batches, see :func:`current_calls`."""
-    later = changes(spark, root, "leads", "lead", after)
-    return last_per_key(later, "lead_id", BATCH) if base is None else upsert(base, later, "lead_id", BATCH, False)
+    """The lead table after all lead loads, see :func:`current_calls`."""
+    later = changes(spark, root, "leads", "lead", done).drop(LOAD)
+    return last_per_key(later, "lead_id", PLACE) if base is None else upsert(base, later, "lead_id", PLACE, False)
 
 
-def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, after: int = BEFORE_FIRST) -> DataFrame:
+def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, done: Sequence[str] = ()) -> DataFrame:
     """``leads`` plus those that only calls name, as the first call named them."""
-    return insert_absent(leads, changes(spark, calls_root, "new_leads", "lead", after), "lead_id", BATCH)
+    return insert_absent(leads, changes(spark, calls_root, "new_leads", "lead", done).drop(LOAD), "lead_id", PLACE)
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    return _stored(spark, root, "rejects", REJECTS).drop(BATCH)
+    return _stored(spark, root, "rejects", REJECTS).select(*REJECTS.names)
 
 
 def wanted_recordings(spark: SparkSession, root: str) -> DataFrame:
-    """``call_id, url, target_key`` of all batches, the last address of each call."""
-    return last_per_key(_stored(spark, root, "recordings", RECORDINGS), "call_id", BATCH)
+    """``call_id, url, target_key`` of all loads, the last address of each call."""
+    return last_per_key(_stored(spark, root, "recordings", RECORDINGS).drop(LOAD), "call_id", PLACE)

@@ -70,7 +70,7 @@ def test_load_the_other_tables(spark, tmp_path, tables):
     assert {(r.lead_id, r.source) for r in read_table(spark, str(tmp_path / "l"), "lead").collect()} == {(1, "web"), (2, "old")}
 
     (tmp_path / "roster.json").write_text(json.dumps([{"name": "A", "role": "Jr"}, {"name": "A", "role": "Sr"}, {"name": "B"}]))
-    main(["load-brokers", str(tmp_path / "roster.json"), tables, str(tmp_path / "b")])
+    main(["load-brokers", str(tmp_path / "roster.json"), tables, str(tmp_path / "b"), "--one-value"])
     assert {(r.broker_name, r.role) for r in read_table(spark, str(tmp_path / "b"), "broker").collect()} == {("A", "Sr"), ("B", None)}
 
     (tmp_path / "t.json").write_text('{"call_id":"1","transcript":"x"}\n{"call_id":"1","transcript":"y"}\n{"transcript":"z"}\n')
@@ -90,13 +90,18 @@ def test_pages_to_csv_and_pending(spark, tmp_path, capsys):
     main(["land-pages", str(pages), landed])
     assert "{'cursor': 'next'}" in capsys.readouterr().out
     assert spark.read.parquet(f"{landed}/malformed").count() == 1
+    (pages / "p1.json").write_text(json.dumps({"records": [record(3), record(2) | {"startTime": "2024-01-02T01:00:00"}]}))
+    main(["land-pages", str(pages), landed])
+    (pages / "p1.json").write_text(json.dumps(page))
     out = str(tmp_path / "csv")
     main(["export-records", f"{landed}/records", out, "--feed", "telephony", "--lines", "--files", "1"])
     rows = spark.read.option("header", True).csv(out).orderBy("id").collect()
-    assert [tuple(r) for r in rows] == [("1", "2024-01-01T00:00:00"), ("2", "2024-01-02T00:00:00")]
+    assert [tuple(r) for r in rows] == [
+        ("1", "2024-01-01T00:00:00"), ("2", "2024-01-02T01:00:00"), ("3", "2024-01-03T00:00:00")
+    ]
 
     main(["pending-recordings", f"{landed}/records", str(pages), str(tmp_path / "all"), "--lines"])
-    assert spark.read.parquet(str(tmp_path / "all")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 3
 
     single, stored = tmp_path / "single", tmp_path / "store"
     single.mkdir(), stored.mkdir()

@@ -142,10 +142,10 @@ def test_a_small_batch_does_not_shuffle_the_table(spark, tmp_path):
     target, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
     # the batch is shuffled to its keys, the table is only scanned
     inserted = merge.absent_rows(target, batch, "k")
-    assert exchanges(inserted) == 2 and "LeftSemi, BuildRight" in inserted._jdf.queryExecution().executedPlan().toString()
+    assert exchanges(inserted) <= 2 and "LeftSemi, BuildRight" in inserted._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.k for r in inserted.collect()) == [200_000 + i for i in range(5)]
     replaced = merge.upsert(target, batch, "k", keyless=False)
-    assert exchanges(replaced) == 2 and replaced.count() == 200_005
+    assert exchanges(replaced) <= 2 and replaced.count() == 200_005
 
 
 def test_a_bucketed_table_is_not_shuffled(spark):
@@ -180,25 +180,51 @@ def hot_rows(spark, value):
 
 
 @pytest.mark.parametrize("how", ["left", "left_anti"])
-@pytest.mark.parametrize("has_hot", [True, False])
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
 @pytest.mark.parametrize("value", [7, None])
-def test_join_with_hot_keys_equals_the_plain_join(spark, how, has_hot, value):
+def test_join_with_hot_keys_and_doubles(spark, how, limit, value):
     rows = hot_rows(spark, value)
-    unique = spark.range(0 if has_hot else 8, 30).select(F.col("id").cast("int").alias("k"), F.upper(F.hex("id")).alias("w"))
-    want = sort(rows.join(unique, "k", how).select(*(["id", "w"] if how == "left" else ["id"])).collect())
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    others = [(k, str(k)) for k in range(30)] + [(7, "again"), (8, "again")]
+    unique = spark.createDataFrame(others, "k int, w string")
+    held = [(r.k, r.id) for r in rows.collect()]
+    if how == "left":
+        want = sort([(i, w) for k, i in held for w in [w for o, w in others if o == k] or [""]])
+    else:
+        want = sort([(i,) for k, i in held if k is None or k >= 30])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
-        assert joins.hot_keys(rows, "k", 0.1, 10) == [value]
-        got = joins.join_unique(rows, unique, "k", how, share=0.1, least=10)
-        plan = got._jdf.queryExecution().executedPlan().toString()
-        assert "Union" in plan and "SortMergeJoin" in plan
-        assert ("BroadcastHashJoin" in plan) == (value is not None)  # NULL needs no join at all
-        assert sort(got.select(*(["id", "w"] if how == "left" else ["id"])).collect()) == want
-        assert joins.hot_keys(rows, "k", 0.1, 1_000_000) == []
+        got = joins.join_unique(rows, unique, "k", how)
+        columns = ["id", F.coalesce("w", F.lit("")).alias("w")] if how == "left" else ["id"]
+        assert sort(got.select(*columns).collect()) == want
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert joins.will_broadcast(unique)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_nameless_brokers_are_not_doubled(spark):
+    entries = [(None, "1", 0), ("Ann", "2", 1), (None, "3", 2)]
+    roster = spark.createDataFrame(entries, f"name string, phoneNumber string, {ORDER} int")
+    rows = normalize.normalize_brokers(roster)
+    once = merge.upsert_brokers(normalize.as_table(spark.createDataFrame([], "broker_id string"), "broker"), rows)
+    twice = merge.upsert_brokers(once, rows)
+    assert sort([tuple(map(str, r)) for r in twice.collect()]) == sort([tuple(map(str, r)) for r in once.collect()])
+    assert once.count() == 3
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([(i % 7, i, i) for i in range(100)], f"k int, v int, {ORDER} int")
+    target = spark.range(5).select(F.col("id").cast("int").alias("k"), F.lit(-1).alias("v"))
+    for load in (merge.upsert, merge.insert_absent):
+        before = reads.value
+        load(target, source.mapInArrow(counted, source.schema), "k").collect()
+        assert reads.value - before == 100
 
 
 def test_call_report_keeps_every_call(spark):

@@ -7,11 +7,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from callflow.plans import oracle, queries as catalogue
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.ALL, oracle.ALL
 KINDS = {
     "string": "VARCHAR",
     "bigint": "BIGINT",

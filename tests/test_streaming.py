@@ -5,8 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from callflow.operators import merge, normalize
-from callflow.sources import exports, large_exports
-from callflow.sources.large_exports import read_large_export as by_line
+from callflow.sources import exports
 from callflow.streaming import arrivals
 
 CALLS = ",".join(normalize.CALL_HEADERS)
@@ -14,7 +13,7 @@ LEADS = ",".join(normalize.LEAD_HEADERS)
 
 
 def arrive(folder, name, header, lines, age):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     path = folder / name
     path.write_text(header + "\n" + "".join(line + "\n" for line in lines))
     os.utime(path, (1_700_000_000 + age, 1_700_000_000 + age))
@@ -58,43 +57,67 @@ def test_arrivals_equal_a_batch_load(spark, tmp_path):
     }
 
     before = sorted(os.listdir(f"{root}/calls"))
-    assert before == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    assert len([n for n in before if n.startswith("load=")]) == 3
     load()  # nothing new
     assert sorted(os.listdir(f"{root}/calls")) == before
     assert snapshot(arrivals.current_calls(spark, root)) == snapshot(batch)
 
-    # a snapshot of the first batch and the batches after it give the same table
+    # a snapshot of the first load and the loads after it give the same table
     base = str(tmp_path / "base")
-    done = arrivals.changes(spark, root, "calls", "call").filter(F.col("batch_id") <= 0)
-    merge.last_per_key(done, "call_id", "batch_id").write.parquet(base)
-    later = arrivals.current_calls(spark, root, spark.read.parquet(base), after=0)
+    done = arrivals.loads(spark, root, "calls")[:1]
+    first_load = arrivals.changes(spark, root, "calls", "call").filter(F.col("load").isin(done)).drop("load")
+    merge.last_per_key(first_load, "call_id", "place").write.parquet(base)
+    later = arrivals.current_calls(spark, root, spark.read.parquet(base), done=done)
     assert snapshot(later) == snapshot(batch)
 
 
-def test_a_large_arrival_is_split(spark, tmp_path, monkeypatch):
+def kinds(spark, root):
+    return {r.call_id: r.call_type for r in arrivals.current_calls(spark, root).collect()}
+
+
+def test_no_arrival_is_lost(spark, tmp_path):
+    inbox, root, check = tmp_path / "inbox", str(tmp_path / "tables"), str(tmp_path / "check")
+    load = lambda: arrivals.load_arrived_calls(spark, str(inbox), root, check)
+    arrive(inbox, "new.csv", CALLS, [call(1, 5, "a")], 1000)
+    load()
+    arrive(inbox, "old.csv", CALLS, [call(2, 5, "b")], 1000 - 30 * 86_400)
+    arrive(inbox, "c.CSV", CALLS, [call(3, 5, "c")], 1001)
+    arrive(inbox, "plain", CALLS, [call(4, 5, "d")], 1002)
+    arrive(inbox / "sub", "b.csv", CALLS, [call(5, 5, "e")], 1003)
+    load()
+    assert kinds(spark, root) == {"1": "a", "2": "b", "3": "c", "4": "d", "5": "e"}
+    arrive(inbox, "new.csv", CALLS, [call(1, 5, "put again"), call(6, 5, "f")], 2000)
+    for _ in range(2):
+        load()
+        assert kinds(spark, root) == {"1": "put again", "2": "b", "3": "c", "4": "d", "5": "e", "6": "f"}
+
+
+def test_layouts_of_arrivals(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
-    lines = [f'{i},{i},"a\n{i}",2024-01-01 00:00:00,0:00:01,' for i in range(500)]
-    arrive(inbox, "a.csv", CALLS, lines, 0)
-    read = []
-    monkeypatch.setattr(large_exports, "read_large_export", lambda *a: read.append(a) or by_line(*a))
-    monkeypatch.setattr(large_exports.read_exports, "__defaults__", (None, 1000, None))
+    arrive(inbox, "a.csv", "Extra," + CALLS, ["x," + call(1, 5, "a")], 0)
+    arrive(inbox, "b.csv", "Origin,Call Id", ["b,2"], 1)
+    arrive(inbox, "c.csv", "Origin", ["no id"], 2)
     arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
-    assert len(read) == 1
-    assert {(r.call_id, r.call_type) for r in arrivals.current_calls(spark, root).collect()} == {
-        (str(i), f"a\n{i}") for i in range(500)
-    }
+    assert kinds(spark, root) == {"1": "a", "2": "b"}
+    assert [r.reason for r in arrivals.rejects(spark, root).collect()] == ["call_id_missing"]
+
+
+def test_recordings_without_call_ids_share_a_name(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    arrive(inbox, "a.csv", "Origin,Recording", ["x,http://1", "y,http://2"], 0)
+    arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    got = arrivals.wanted_recordings(spark, root).collect()
+    assert [(r.call_id, r.url, r.target_key) for r in got] == [("unknown", "http://2", "unknown.mp3")]
 
 
-def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+def test_a_new_checkpoint_keeps_later_rows(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
-    arrive(inbox, "a.csv", CALLS, [call(i % 4, i, "a") for i in range(1, 9)], 0)
-    for attempt in range(2):  # a new checkpoint numbers its batches from 0 again
-        arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / f"check{attempt}"))
-        got = snapshot(arrivals.current_calls(spark, root))
-        assert len(got) == 4
-        if attempt:
-            assert got == earlier  # noqa: F821
-        earlier = got  # noqa: F841
+    for age, kind in enumerate(("first", "second")):
+        arrive(inbox, f"{kind}.csv", CALLS, [call(1, 5, kind)], age)
+        arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    arrive(inbox, "third.csv", CALLS, [call(1, 5, "third")], 2)
+    arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "renewed"), max_files=1)
+    assert kinds(spark, root) == {"1": "third"}
 
 
 def test_nothing_arrived_yet(spark, tmp_path):
