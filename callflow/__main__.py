@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from callflow.functions import records
 from callflow.plans import jobs
 from callflow.schemas import create_tables
-from callflow.session import build_session, clean_work
+from callflow.session import build_session, work_cleaned
 from callflow.streaming import arrivals
 
 # The two API feeds and the members that differ between them.
@@ -68,10 +68,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(args.master)
-    try:
+    with work_cleaned():
         run(spark, args)
-    finally:
-        clean_work(spark)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -53,24 +53,31 @@ def _own_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"callflow-{application}-")
 
 
-def new_work_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{name}"
+_made: list[str] = []
 
 
-def _application_folder(spark: SparkSession) -> str:
-    return f"{work_folder(spark)}/callflow/{spark.sparkContext.applicationId}"
+def new_work_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that no other run uses."""
+    path = f"{work_folder(spark)}/callflow/{uuid.uuid4().hex}"
+    _made.append(path)
+    return f"{path}/{name}"
 
 
-def clean_work(spark: SparkSession) -> None:
-    """Delete what this application wrote under the shared folder, when its jobs are done.
+@contextlib.contextmanager
+def work_cleaned():
+    """Deletes the work paths made inside, for jobs that write all their results elsewhere.
 
-    Where Arrow cannot reach the folder it is left to the folder's own retention rule.
+    Where Arrow cannot reach the folder they are left to the folder's own retention rule.
     """
-    path = _application_folder(spark)
-    with contextlib.suppress(pa.ArrowInvalid, OSError):
-        system, inner = fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a://") else path)
-        system.delete_dir(inner)
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            with contextlib.suppress(pa.ArrowInvalid, OSError):
+                system, inner = fs.FileSystem.from_uri("s3" + path[3:] if path.startswith("s3a://") else path)
+                system.delete_dir(inner)
+        del _made[before:]
 
 
 def written(df: DataFrame, name: str = "stage") -> DataFrame:
