@@ -106,6 +106,11 @@ SELECT c_custkey, concat(c_name, '.json') AS record_key, concat(c_name, '.mp3')
 FROM customer
 """,
     "iso_times": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM events",
+    "time_formats": """
+SELECT event_id, CASE WHEN event_id % 5 < 3 THEN date_trunc('second', ts)
+  WHEN event_id % 5 = 3 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS read
+FROM events
+""",
     "csv_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "large_csv_scan": "SELECT doc_id, lang, text FROM documents",
     "csv_mixed_headers": CALLS + """
@@ -163,6 +168,17 @@ SELECT call_id, call_type AS origin, CAST(NULL AS BIGINT) AS turn FROM n
 UNION ALL SELECT CAST(conv_id AS VARCHAR), CAST(NULL AS VARCHAR), turn FROM conversations
 """,
     "reject_rows": REJECTS,
+    "reject_reasons": CALLS + """, c AS (
+  SELECT 'calls' AS feed, seq, CASE WHEN call_id IS NULL THEN 'call_id_missing'
+    WHEN lead_text IS NOT NULL AND lead_id IS NULL THEN 'lead_id_not_integer'
+    WHEN seq % 11 = 0 THEN 'time_unparsable' WHEN seq % 13 = 0 THEN 'talk_time_out_of_range' END AS reason
+  FROM n
+  UNION ALL
+  SELECT 'leads', event_id, CASE WHEN event_id % 7 = 0 THEN 'lead_id_missing'
+    WHEN event_id % 7 = 1 THEN 'lead_id_not_integer' WHEN event_id % 11 = 0 THEN 'time_unparsable' END
+  FROM events)
+SELECT feed, seq, reason FROM c WHERE reason IS NOT NULL
+""",
     "upsert_calls": LATEST_CALLS,
     "upsert_leads": REPLACED_LEADS,
     "leads_of_both_feeds": CALLS + """, stored AS (

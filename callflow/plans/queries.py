@@ -79,6 +79,15 @@ def iso_times(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", text.iso_utc(F.col("ts")).alias("iso"))
 
 
+def time_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Times of events written in each accepted form, and in one that is not, read back."""
+    events = table(spark, folder, "events").select("event_id", "ts")
+    written_as = ["yyyy-MM-dd HH:mm:ss", *text.EXPORT_TIME_FORMATS, "'at' HH:mm"]
+    kind = F.col("event_id") % len(written_as)
+    cell = F.coalesce(*[F.when(kind == k, F.date_format("ts", form)) for k, form in enumerate(written_as)])
+    return events.select("event_id", text.timestamp(cell).alias("read"))
+
+
 # sources
 
 
@@ -259,6 +268,27 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.select(F.col(ORDER).alias("seq"), "reason")
 
 
+def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Reasons of both exports, with broken times, huge durations and leads without id besides."""
+    events = table(spark, folder, "events")
+    seq = F.col(ORDER)
+    broken = {
+        "Time": F.when(seq % 11 == 0, F.lit("soon")).otherwise(F.col("Time")),
+        normalize.CALL_HEADERS[4]: F.when(seq % 13 == 0, F.lit("999999999:0:0")).otherwise(F.col(normalize.CALL_HEADERS[4])),
+    }
+    calls = normalize.normalize_calls(inputs.call_export(events).withColumns(broken))
+    cells = {
+        "Id": F.when(seq % 7 == 0, F.lit("")).when(seq % 7 == 1, F.lit("1e3")).otherwise(F.col("Id")),
+        "Date Added": F.when(seq % 11 == 0, F.lit("soon")).otherwise(F.col("Date Added")),
+    }
+    leads = normalize.normalize_leads(inputs.lead_export(events).withColumns(cells))
+    parts = [
+        normalize.split_rejects(rows)[1].select(F.lit(feed).alias("feed"), F.col(ORDER).alias("seq"), "reason")
+        for feed, rows in (("calls", calls), ("leads", leads))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def upsert_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Calls of a first load replaced by those of a second one."""
     good = _good(spark, folder)
@@ -555,6 +585,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         clean_text,
         object_keys,
         iso_times,
+        time_formats,
         csv_scan,
         large_csv_scan,
         csv_mixed_headers,
@@ -573,6 +604,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table_scan,
         feed_union,
         reject_rows,
+        reject_reasons,
         upsert_calls,
         upsert_leads,
         leads_of_both_feeds,
