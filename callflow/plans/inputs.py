@@ -10,10 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callflow.functions.records import TRACKING_EXTRA_FIELDS
 from callflow.operators.normalize import as_table, normalize_brokers
 from callflow.sources.exports import ORDER
 
 
+# Extra members of the call-tracking feed that no column of ``orders`` stands for; half of the records have each.
+MADE_FIELDS = [f for f in TRACKING_EXTRA_FIELDS if f not in ("campaign", "lead_status", "person_id")]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -134,6 +139,10 @@ def tracking_pages(orders: DataFrame, size: int = 100) -> DataFrame:
         F.col("o_orderpriority").alias("campaign"),
         F.col("o_orderstatus").alias("lead_status"),
         F.col("o_custkey").alias("person_id"),
+        *[
+            F.when(F.col("o_orderkey") % 2 == k % 2, F.concat(F.lit(f"{name} "), _text(F.col("o_orderkey")))).alias(name)
+            for k, name in enumerate(MADE_FIELDS)
+        ],
     )
     pages = orders.groupBy((F.floor(F.col("o_orderkey") / size) + 1).alias("number")).agg(
         F.array_sort(F.collect_list(record)).alias("calls")

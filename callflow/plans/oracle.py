@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from callflow.plans.inputs import MADE_FIELDS
+
 # The call export and what normalising makes of it: n has all rows, g the good ones.
 CALLS = r"""
 WITH src AS (
@@ -96,6 +98,11 @@ FROM (SELECT event_id, CAST(event_id % 4000 AS VARCHAR) AS call_id,
 WHERE rn = 1
 """
 
+MADE = ", ".join(
+    f"CASE WHEN o_orderkey % 2 = {k % 2} THEN concat('{name} ', CAST(o_orderkey AS VARCHAR)) END AS {name}"
+    for k, name in enumerate(MADE_FIELDS)
+)
+
 ALL: dict[str, str] = {
     "duration_seconds": CALLS + "SELECT seq, talk_time FROM n",
     "clean_text": CALLS + "SELECT seq, call_id, lead_text, lead_id, CAST(NULL AS VARCHAR) AS absent FROM n",
@@ -137,11 +144,11 @@ FROM events
 """,
     "open_cursor": "SELECT CAST(CAST(floor(max(event_id) / 100) AS BIGINT) + 1 AS VARCHAR) AS cursor FROM events",
     "page_counts": "SELECT CAST(floor(event_id / 100) AS BIGINT) AS page, count(*) AS n FROM events GROUP BY 1",
-    "numbered_pages": """
+    "numbered_pages": f"""
 SELECT CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS page,
   CAST(row_number() OVER (PARTITION BY floor(o_orderkey / 100) ORDER BY o_orderkey) - 1 AS INTEGER) AS place,
   CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS start_time,
-  o_orderpriority AS campaign, o_orderstatus AS lead_status, CAST(o_custkey AS VARCHAR) AS person_id
+  o_orderpriority AS campaign, o_orderstatus AS lead_status, CAST(o_custkey AS VARCHAR) AS person_id, {MADE}
 FROM orders
 """,
     "pages_complete": """

@@ -203,7 +203,7 @@ def _tracking_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def numbered_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of numbered pages with the extra members that occur here."""
+    """Records of numbered pages with all extra members."""
     listed = landing.page_records(_tracking_pages(spark, folder), records.TRACKING_RECORDS)
     record = F.col("record")
     chosen = listed.select(
@@ -213,7 +213,7 @@ def numbered_pages(spark: SparkSession, folder: str) -> DataFrame:
         records.member(record, records.TRACKING_START).alias("start_time"),
         *landing.select_extra_fields(record),
     )
-    return chosen.select("page", "place", "id", "start_time", "campaign", "lead_status", "person_id")
+    return chosen
 
 
 def pages_complete(spark: SparkSession, folder: str) -> DataFrame:
