@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import INVERSE, mix, powers, prefix_sums, spans_hash
+from callflow.llm.shared import INVERSE, forget, mix, powers, prefix_sums, spans_hash
 from callflow.session import written
 
 LENGTH = 200
-GRAM = 48
+GRAM = 32
 #: Windows of one text hashed at once; longer texts are hashed in parts that overlap.
-PART_WINDOWS = 1 << 22
+PART_WINDOWS = 1 << 20
 #: Offsets that the second round takes together.
 BLOCK = 16
 
@@ -93,18 +93,22 @@ def _segment_batch(batch, columns, rows) -> pa.RecordBatch:
     )
 
 
-def refine(rows: DataFrame, *keys: str) -> DataFrame:
-    """One round on ``rows(core, whole, row, ...)``.
+def refine(rows: DataFrame, row: Column, *keys: str) -> tuple[DataFrame, list[DataFrame]]:
+    """One round on ``rows(core, whole, ...)``; ``row`` numbers them by their keys.
 
     ``core`` is what all windows of a row share, ``whole`` all their bytes. A row
     whose core is alone in its bucket has no repeated window and goes. Rows with equal
-    whole are repeated (``done``). Rows still ``open`` go to the next round: those not done, and of each
-    set of equal rows one, if its bucket holds others that may match a part of it.
-    Counts are aggregated before the shuffle, so a hot bucket is a few sums.
+    whole are repeated (``done``). Rows still ``open`` go to the next round: those not
+    done, and of each set of equal rows one, if its bucket holds others that may match
+    a part of it. Counts are aggregated before the shuffle, so a hot bucket is a few sums.
+    ``rows``, a written table, is deleted; so may be the tables returned, once the result is written.
     """
-    parts = rows.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("_same"), F.min("row").alias("_first"))
+    shared = rows.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core")
+    source, rows = rows, written(rows.join(shared, "core"), "shared")
+    forget(source)
+    parts = rows.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("_same"), F.min(row).alias("_first"))
     parts = written(parts, "parts")
-    buckets = parts.groupBy("core").agg(F.sum("_same").alias("_all")).where("_all > 1")
+    buckets = parts.groupBy("core").agg(F.sum("_same").alias("_all"))
     marked = parts.join(buckets, "core").select(
         "core",
         "whole",
@@ -112,8 +116,8 @@ def refine(rows: DataFrame, *keys: str) -> DataFrame:
         F.when(F.col("_all") > F.col("_same"), F.col("_first")).alias("_first"),
     )
     joined = rows.join(marked, ["core", "whole"])
-    is_open = (F.col("row") == F.col("_first")) | (~F.col("done"))
-    return joined.select(*keys, "core", "done", F.coalesce(is_open, F.lit(False)).alias("open"))
+    is_open = (row == F.col("_first")) | (~F.col("done"))
+    return joined.select(*keys, "core", "done", F.coalesce(is_open, F.lit(False)).alias("open")), [rows, parts]
 
 
 def _merge(spans: np.ndarray) -> np.ndarray:
@@ -227,12 +231,12 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
         F.col(text).cast("binary").alias("bytes"),
     )
     fields = ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
-    row = F.xxhash64("doc_id", "hash", "place")
     segments = docs.where(F.length("bytes") >= LENGTH).select("doc_id", "hash", "bytes").mapInArrow(
         _segments, "core long, whole long, place long, doc_id long, hash long"
     )
-    segments = written(segments, "segments").withColumn("row", row)
-    first = refine(segments, "doc_id", "hash", "place").where("done OR open")
+    row = F.xxhash64("doc_id", "hash", "place")
+    first, used = refine(written(segments, "segments"), row, "doc_id", "hash", "place")
+    first = first.where("done OR open")
     found = first.groupBy("doc_id", "hash").agg(
         F.collect_set(F.struct("place", "core", "done", "open")).alias("found")
     ).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), "found")
@@ -242,6 +246,7 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
     passed = written(
         met.select(*inner, "bytes", "found").mapInArrow(_first_pass(inner, keep_bytes), schema), "first_pass"
     )
+    forget(*used)
     open_docs = passed.where("open_segments IS NOT NULL")
     start, more, offset = (F.expr("place >> 16"), F.expr("(place >> 8) & 255"), F.expr("place & 255"))
     # Equal rows that are both here are repeated anyway, so that they count twice is right.
@@ -259,7 +264,6 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
         )
     )
     rows = written(rows, "open_rows")
-    row = F.xxhash64("doc_id", "hash", "anchor", "low", "high")
     j = F.explode(F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK)))
     blocks = rows.withColumn("j", j).withColumnRenamed("low", "_low").withColumnRenamed("high", "top")
     blocks = blocks.withColumn("low", F.greatest("_low", F.col("j") * BLOCK)).withColumn(
@@ -271,24 +275,37 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
         (F.col("top") - F.col("high")).cast("int"),
         (F.col("high") - F.col("low") + LENGTH).cast("int"),
     )
+    ends = ["doc_id", "hash", "anchor", "low", "high"]
     blocks = blocks.select(
-        "doc_id", "hash", "gram", "anchor", "low", "high",
-        union.alias("content"),
-        F.xxhash64("gram", "j", shared).alias("core"),
-        F.xxhash64("low", "high", union, "gram").alias("whole"),
-        row.alias("row"),
+        *ends, F.xxhash64("gram", "j", shared).alias("core"), F.xxhash64("low", "high", union, "gram").alias("whole")
+    )
+    second, used = refine(written(blocks, "blocks"), F.xxhash64(*ends), *ends)
+    second = written(second.where("done OR open"), "second")
+    forget(*used)
+    # The bytes of open blocks are fetched from their rows again.
+    inside = rows.select(
+        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("anchor").alias("_anchor"),
+        F.col("high").alias("top"), F.col("low").alias("_low"), "gram", "content",
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+        & (F.col("hash") == F.col("_hash"))
+        & (F.col("anchor") == F.col("_anchor"))
+        & (F.col("high") <= F.col("top"))
+        & (F.col("low") >= F.col("_low"))
     )
-    keys = ["doc_id", "hash", "gram", "anchor", "low", "high", "content"]
-    second = written(refine(written(blocks, "blocks"), *keys).where("done OR open"), "second")
-    singles = second.where("open").withColumn("at", F.explode(F.sequence(F.col("low"), F.col("high"))))
-    window = _part("content", (F.col("high") - F.col("at")).cast("int"), F.lit(LENGTH))
+    singles = second.where("open").select(*ends).distinct().join(inside.distinct(), same)
+    singles = singles.withColumn("at", F.explode(F.sequence(F.col("low"), F.col("high"))))
+    window = _part("content", (F.col("top") - F.col("at")).cast("int"), F.lit(LENGTH))
     singles = singles.select(
         "doc_id", "hash", "anchor", "at",
         F.xxhash64("gram", "at", window).alias("core"),
         F.xxhash64(window, "at").alias("whole"),
-        F.xxhash64("doc_id", "hash", "anchor", "at").alias("row"),
     )
-    third = refine(written(singles, "singles"), "doc_id", "hash", "anchor", "at").where("done")
+    # Equal windows: of one core and one whole. Those of one place are one window.
+    singles = written(singles, "singles")
+    twice = singles.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core", "whole")
+    third = singles.join(twice, ["core", "whole"])
     spans = second.where("done").select(
         "doc_id", "hash", (F.col("anchor") - F.col("high")).alias("start"),
         (F.col("anchor") - F.col("low") + LENGTH).alias("end"),
@@ -335,13 +352,16 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     counted anew. Null text stays null.
     """
     names = documents.columns
-    others = [c for c in names if c not in ("text",)]
-    out = repeated_spans(documents.withColumn("_null", F.col("text").isNull()), [*others, "_null"], keep_bytes=True)
-    text = F.when(~F.col("_null"), whole_characters(F.col("kept")))
-    out = out.withColumn("text", text)
+    plain = documents.toDF(*[f"d{k}" for k in range(len(names))])
+    at = {n: f"d{names.index(n)}" for n in names}
+    source = plain.withColumn("no_text", F.col(at["text"]).isNull()).withColumn("doc_id", F.col(at["doc_id"]))
+    carry = [*[c for c in plain.columns if c != at["text"]], "no_text", "doc_id"]
+    out = repeated_spans(source, carry, text=at["text"], keep_bytes=True)
+    out = out.withColumn(at["text"], F.when(~F.col("no_text"), whole_characters(F.col("kept"))))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return out.select(*names)
+        kind = documents.schema["n_chars"].dataType
+        out = out.withColumn(at["n_chars"], F.coalesce(F.length(at["text"]), F.lit(0)).cast(kind))
+    return out.select(*plain.columns).toDF(*names)
 
 
 def whole_characters(data: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import zlib
 from functools import reduce
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -131,6 +134,15 @@ def pair_units(rows: DataFrame, group: list[str], member: Column, most: int) ->
     )
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more; left alone where Arrow cannot reach them."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            with contextlib.suppress(pa.ArrowInvalid, OSError):
+                system, path = fs.FileSystem.from_uri("s3" + folder[3:] if folder.startswith("s3a://") else folder)
+                system.delete_dir(path)
+
+
 class Forest:
     """Union-find over 0..n-1; the smaller index is the root."""
 
@@ -167,7 +179,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """``base**0 .. base**(n-1)`` modulo 2**64; kept per process."""
     if len(_POWERS.get(base, ())) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         out = np.ones(size, np.uint64)
         out[1:] = np.uint64(base)
         _POWERS[base] = np.multiply.accumulate(out)
@@ -198,7 +210,7 @@ def spans_hash(sums: np.ndarray, starts, ends) -> np.ndarray:
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 #: Bytes hashed at once; longer texts are hashed in parts cut between words.
-PART = 1 << 22
+PART = 1 << 20
 
 
 def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
