@@ -19,10 +19,10 @@ from callflow.llm.shared import word_bounds, word_hashes
 
 #: Pages of the table that the network is trained on, at most, and pages made up from their sentences.
 TRAIN_PAGES = 200
-MADE_PAGES = 500
-TAGS, WORDS, NUMBERS = 128, 24, 8
+MADE_PAGES = 800
+TAGS, WORDS, NUMBERS = 384, 24, 8
 HIDDEN = 20
-EPOCHS = 10
+EPOCHS = 12
 
 # Elements that do not end a block, that have no content, and whose content is no text.
 INLINE = frozenset(
@@ -365,8 +365,10 @@ OTHER_PARTS = (
     "|div.paywall|div.popup|div.modal|div.ad|div.ads|div.advert|div.advertisement|aside.ad|div.sponsored|div.promo"
     "|div.promotion|section.ad|form|form.search|form.login|form.newsletter|div.newsletter;form|div.subscribe"
     "|div.signup|section.comments|div.comments|div#comments|div.comment|div.comment list|ol.comments|ul.comments"
-    "|div.reply|div.replies|div.disqus|div.discussion|div.reader comments|div.responses|div.share|div.social"
-    "|div.tags|div.author bio|div.pagination|div.toolbar|div.disclaimer|div.legal"
+    "|div.reply|div.replies|div.disqus|div#disqus thread|div.discussion|div.reader comments|div.responses|div.feedback"
+    "|div.user reviews|div.share|div.social|div.tags|div.author bio|div.pagination|div.toolbar|div.disclaimer|div.legal"
+    "|div.teaser|div.teasers|div.trending|div.most read|div.sponsor|div.partner content|div.outbrain|div.taboola"
+    "|div.site notice|div#cookie consent|div.privacy notice|div.message|form.comment form|form.contact|form#poll"
 ).split("|")
 LABELS = "Home|About|Contact|Search|Log in|Sign up|Share|Subscribe|Next|Previous|Privacy|Terms|Reply|More|Menu|Send".split("|")
 
@@ -409,7 +411,7 @@ def made_page(sentences: list[str], rng: random.Random) -> tuple[str, str]:
                 out.append(f"<table><tr><td>{mark}{prose(1, 1)}</td><td>{mark}{prose(1, 1)}</td></tr></table>")
             else:
                 out.append(f"<p>{mark}{text}</p>")
-            if inside and rng.random() < 0.12:
+            if inside and rng.random() < 0.2:
                 out.append(other())
         return "".join(out)
 
