@@ -189,12 +189,11 @@ SELECT feed, seq, reason FROM c WHERE reason IS NOT NULL
     "upsert_calls": LATEST_CALLS,
     "upsert_leads": REPLACED_LEADS,
     "leads_of_both_feeds": CALLS + """, stored AS (
-  SELECT CAST(c_custkey AS INTEGER) AS lead_id, c_mktsegment AS source, CAST(NULL AS TIMESTAMP) AS creation_date
-  FROM customer WHERE c_custkey % 2 = 0
+  SELECT CAST(c_custkey * 2 AS INTEGER) AS lead_id, c_mktsegment AS source, CAST(NULL AS TIMESTAMP) AS creation_date
+  FROM customer
   UNION ALL
   SELECT CAST(s_suppkey AS INTEGER), s_name, CAST(NULL AS TIMESTAMP) FROM supplier AS s
-  WHERE s_suppkey % 3 <> 0
-    AND NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey = s.s_suppkey AND c_custkey % 2 = 0))
+  WHERE NOT EXISTS (SELECT 1 FROM customer AS c WHERE c.c_custkey * 2 = s.s_suppkey))
 SELECT lead_id, source, creation_date FROM stored
 UNION ALL
 SELECT lead_id, 'Velocify', date_time
@@ -205,13 +204,12 @@ WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM stored AS s WHERE s.lead_id = t.lead_
 SELECT md5(CAST(conv_id AS VARCHAR)) AS transcript_id, CAST(conv_id AS VARCHAR) AS call_id, text AS transcript
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS first,
         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations) AS t
-WHERE (last = 1 AND conv_id % 3 <> 1) OR (first = 1 AND conv_id % 2 = 0 AND conv_id % 3 = 1)
+WHERE (last = 1 AND (conv_id % 3 <> 1 OR conv_id % 2 = 1)) OR (first = 1 AND conv_id % 2 = 0 AND conv_id % 3 = 1)
 """,
     "brokers": f"""
 SELECT b.broker_id, b.broker_name, b.phonenumber, b.email, b.extension, b.state,
-  CASE WHEN s_suppkey % 2 = 0 THEN b.role ELSE 'Old' END AS role
+  CASE WHEN s_suppkey % 2 = 0 OR s_suppkey % 3 = 0 THEN b.role ELSE 'Old' END AS role
 FROM ({BROKERS}) AS b JOIN supplier ON s_name = b.broker_name
-WHERE s_suppkey % 2 = 0 OR s_suppkey % 3 <> 0
 """,
     "empty_tables": """
 SELECT name, n FROM (VALUES ('stage', 0), ('customer', 0), ('call', 0), ('broker', 0), ('transcript', 0)) AS v(name, n)
@@ -274,8 +272,8 @@ WHERE rn = 1
 SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS start_time,
   strftime(ts, '%Y-%m-%d') AS dt
 FROM (SELECT *, row_number() OVER (
-        PARTITION BY event_id % 4000 ORDER BY floor(event_id / 100) % 3 = 0 DESC, event_id DESC) AS rn
-      FROM events WHERE floor(event_id / 100) % 3 = 0 OR floor(event_id / 100) % 2 = 0) AS t
+        PARTITION BY event_id % 4000 ORDER BY floor(event_id / 100) % 3 <> 0 DESC, event_id DESC) AS rn
+      FROM events) AS t
 WHERE rn = 1
 """,
     "chunk_rows": CHUNKS,

@@ -305,34 +305,33 @@ def upsert_leads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leads_of_both_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    """Two of three suppliers as leads, some replaced by every other customer, then those calls name."""
-    customers = table(spark, folder, "customer").filter(F.col("c_custkey") % 2 == 0)
+    """Suppliers as leads, those of even id replaced by customers, whose ids are doubled, then those calls name."""
+    customers = table(spark, folder, "customer").withColumn("c_custkey", F.col("c_custkey") * 2)
     batch = inputs.customer_leads(customers).withColumn(ORDER, F.col("lead_id"))
-    suppliers = table(spark, folder, "supplier").filter(F.col("s_suppkey") % 3 != 0)
-    stored = merge.upsert(inputs.supplier_leads(suppliers), batch, "lead_id")
+    stored = merge.upsert(inputs.supplier_leads(table(spark, folder, "supplier")), batch, "lead_id")
     named = normalize.leads_of_calls(_normalized(spark, folder))
     return merge.insert_absent(stored, named, "lead_id").select("lead_id", "source", "creation_date")
 
 
 def upsert_transcripts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every other call's first turn is stored; the last turns of two of three calls come as JSON lines."""
+    """Every other call's first turn is stored; the last turns of all calls but some of those come as JSON lines."""
     turns = table(spark, folder, "conversations")
     first = normalize.normalize_transcripts(inputs.transcript_rows(turns.filter(F.col("conv_id") % 2 == 0)))
     stored = merge.first_per_key(first, "call_id")
     path = new_work_path(spark, "transcripts")
-    spoken = turns.filter(F.col("conv_id") % 3 != 1).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "turn")
+    spoken = turns.filter((F.col("conv_id") % 3 != 1) | (F.col("conv_id") % 2 == 1)).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "turn")
     spoken.select(F.col("conv_id").cast("string").alias("call_id"), F.col("text").alias("transcript")).write.json(path)
     batch = normalize.normalize_transcripts(batches.read_transcripts(spark, path))
     return merge.upsert(stored, batch, "call_id").select("transcript_id", "call_id", "transcript")
 
 
 def brokers(spark: SparkSession, folder: str) -> DataFrame:
-    """Two of three suppliers are stored in an old role; a roster of every other one comes as JSON lines."""
+    """Two of three suppliers are stored in an old role; a roster of half of them and all others comes as JSON lines."""
     rows = inputs.roster(table(spark, folder, "supplier"), table(spark, folder, "nation"))
     old = rows.filter(F.col(ORDER) % 3 != 0).withColumn("role", F.lit("Old"))
     stored = normalize.normalize_brokers(old).drop(ORDER)
     path = new_work_path(spark, "roster")
-    rows.filter(F.col(ORDER) % 2 == 0).drop(ORDER).write.json(path)
+    rows.filter((F.col(ORDER) % 2 == 0) | (F.col(ORDER) % 3 == 0)).drop(ORDER).write.json(path)
     return merge.upsert_brokers(stored, normalize.normalize_brokers(batches.read_roster(spark, path)))
 
 
@@ -446,10 +445,10 @@ def _with_day(objects: DataFrame) -> DataFrame:
 
 
 def land_two_fetches(spark: SparkSession, folder: str) -> DataFrame:
-    """Every second page landed by one fetch, every third by the next; the later one counts."""
+    """Two of three pages landed by one fetch, two of three by the next; the later one counts."""
     root = new_work_path(spark, "fetched")
-    for number, share in enumerate((2, 3)):
-        listed = landing.page_records(_pages(spark, folder).filter(F.col("position") % share == 0))
+    for number, left_out in enumerate((2, 0)):
+        listed = landing.page_records(_pages(spark, folder).filter(F.col("position") % 3 != left_out))
         latest = export.latest_records(listed, F.struct(F.col("position"), F.col("place")))
         start = F.get_json_object("json", records.TELEPHONY_START)
         export.land_records(latest, f"{root}/fetch={number}", F.substring(start, 1, 10))
