@@ -13,7 +13,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.encoding import CACHED_UNITS, Kept, UsualText, distinct_units, load_tokenizer, text_parts
+from callflow.llm.encoding import (
+    CACHED_UNITS,
+    PART,
+    Kept,
+    UsualText,
+    distinct_units,
+    load_tokenizer,
+    text_cuts,
+    text_parts,
+)
 
 
 class MergeAutomaton:
@@ -188,29 +197,36 @@ class AutomatonTokenizer:
             ids = [i for w in self.usual.words(unit) for i in self.automaton.encode(w) or []]
             self.units[unit] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
 
-    @staticmethod
-    def _digest(count: int, ids: str, decoded: str) -> tuple[int, str, str]:
-        return count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    def _labels(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, ids and decoded text of usual texts."""
+        units, which, begins = distinct_units([t.lower().encode() for t in texts])
+        self._learn(self.units.missing(units))
+        known = [self.units[u] for u in units]
+        counts = np.r_[0, np.cumsum(np.array([k[0] for k in known], np.int64)[which])][begins]
+        columns = [np.array([k[j] for k in known], object)[which] for j in (1, 2)]
+        return [
+            (int(n), *(" ".join([x for x in c[a:b].tolist() if x]) for c in columns))
+            for n, a, b in zip(np.diff(counts), begins[:-1], begins[1:], strict=True)
+        ]
 
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Ids, SHA-256 of the decimal ids, SHA-256 of the decoded text of each; null is empty."""
         texts = [t or "" for t in texts]
         usual = [self.usual.holds(t) for t in texts]
-        units, which, begins = distinct_units([t.lower().encode() for t, u in zip(texts, usual, strict=True) if u])
-        self._learn(self.units.missing(units))
-        known = [self.units[u] for u in units]
-        counts = np.r_[0, np.cumsum(np.array([k[0] for k in known], np.int64)[which])][begins].tolist()
-        columns = [np.array([k[j] for k in known], object)[which] for j in (1, 2)]
-        out, at = [], 0
-        for text, simple in zip(texts, usual, strict=True):
-            if simple:
-                a, b = begins[at], begins[at + 1]
-                joined = [" ".join([x for x in c[a:b].tolist() if x]) for c in columns]
-                out.append(self._digest(counts[at + 1] - counts[at], *joined))
-                at += 1
+        short = [u and len(t) <= 2 * PART for t, u in zip(texts, usual, strict=True)]
+        together = iter(self._labels([t for t, s in zip(texts, short, strict=True) if s]))
+        out = []
+        for text, simple, is_short in zip(texts, usual, short, strict=True):
+            if is_short:
+                count, ids, decoded = next(together)
+            elif simple:
+                parts = [self._labels([p])[0] for p in text_cuts(text)]
+                count = sum(p[0] for p in parts)
+                ids, decoded = (" ".join([p[j] for p in parts if p[j]]) for j in (1, 2))
             else:
-                ids = self.encode(text)
-                out.append(self._digest(len(ids), " ".join(map(str, ids)), self.decode(ids)))
+                found = self.encode(text)
+                count, ids, decoded = len(found), " ".join(map(str, found)), self.decode(found)
+            out.append((count, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
         return out
 
 

@@ -15,7 +15,12 @@ import regex
 from callflow.llm.shared import prefix_sums, spans_hash
 
 #: Distinct units that a worker keeps, up to twice. Results do not depend on it.
-CACHED_UNITS = 400_000
+CACHED_UNITS = 250_000
+
+
+#: Characters that are cut into units at once, about. Longer texts are cut at white space first.
+PART = 2 << 20
+_SPACE = re.compile(r"[ \t-\r]")
 
 
 def load_tokenizer(path: str):
@@ -87,6 +92,18 @@ def distinct_units(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     return units, inverse, np.searchsorted(starts, begins)
 
 
+def text_cuts(text: str) -> list[str]:
+    """A text in parts of about ``PART`` characters, cut before white space where there is some."""
+    out, at = [], 0
+    while len(text) - at > PART:
+        found = _SPACE.search(text, at + PART)
+        if not found:
+            break
+        out.append(text[at : found.start()])
+        at = found.start()
+    return [*out, text[at:]]
+
+
 class UsualText:
     """Whether a tokenizer file cuts usual Latin text in a way that can be followed here.
 
@@ -174,7 +191,21 @@ class TextEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         texts = [t or "" for t in texts]
         usual = [self.usual.holds(t) for t in texts]
-        units, which, begins = distinct_units([t.lower().encode() for t, u in zip(texts, usual, strict=True) if u])
+        long = [u and len(t) > 2 * PART for t, u in zip(texts, usual, strict=True)]
+        together = iter(self._encode([t for t, u, x in zip(texts, usual, long, strict=True) if u and not x]))
+        others = [t for t, u in zip(texts, usual, strict=True) if not u]
+        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
+        out = []
+        for text, simple, is_long in zip(texts, usual, long, strict=True):
+            if is_long:
+                out.append(np.concatenate([self._encode([p])[0] for p in text_cuts(text)]))
+            else:
+                out.append(next(together) if simple else np.array(next(whole).ids, "<u4"))
+        return out
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of usual texts."""
+        units, which, begins = distinct_units([t.lower().encode() for t in texts])
         self._learn(self.units.missing(units))
         parts = [self.units[u] for u in units]
         flat = np.frombuffer(b"".join(parts), "<u4")
@@ -185,10 +216,7 @@ class TextEncoder:
         places = np.repeat(sources[which] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
         ids = flat[places]
         bounds = np.r_[0, ends][begins].tolist()
-        split = iter([ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        others = [t for t, u in zip(texts, usual, strict=True) if not u]
-        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else ())
-        return [next(split) if u else np.array(next(whole).ids, "<u4") for u in usual]
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 @cache
@@ -197,7 +225,7 @@ def text_encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
-def text_parts(texts: list[str | None], most: int = 4 << 20):
+def text_parts(texts: list[str | None], most: int = PART):
     """``(start, end)`` of runs of rows with about ``most`` characters, one row at least."""
     start = size = 0
     for k, text in enumerate(texts):

@@ -12,6 +12,7 @@ import pytest
 from callflow.llm import (
     bpe_automaton,
     embedding_links,
+    encoding,
     html_extraction,
     jaccard_join,
     quality_cascade,
@@ -80,6 +81,20 @@ def test_encoder_equals_library(rows):
         assert automaton.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_long_texts_are_cut_at_white_space(monkeypatch):
+    rng = random.Random(13)
+    text = sentence(rng, 3000) + "\n\n" + "x" * 900 + " it's 42. " + sentence(rng, 50)
+    want = library_ids(text)
+    digest = bpe_automaton.AutomatonTokenizer(PATH).digests([text])
+    for module in (encoding, bpe_automaton):
+        monkeypatch.setattr(module, "PART", 200)
+    assert "".join(encoding.text_cuts(text)) == text and len(encoding.text_cuts(text)) > 20
+    assert [x.tolist() for x in TextEncoder(PATH).encode([text, None, "ab 中", "ab"])] == [
+        want, [], library_ids("ab 中"), library_ids("ab")
+    ]
+    assert bpe_automaton.AutomatonTokenizer(PATH).digests([text]) == digest
+
+
 def library_ids(text):
     return load_tokenizer(PATH).encode(text or "", add_special_tokens=False).ids
 
