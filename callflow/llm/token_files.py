@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callflow.llm.encoding import text_encoder, text_parts
-from callflow.llm.shared import crc32
+from callflow.llm.shared import crc32, importable
 from callflow.session import new_work_path, written
 
 #: Ids per block; a multiple of 8, so that every block ends on a byte.
@@ -73,7 +73,8 @@ class TokenFileWriter:
         system.create_dir(inner.rpartition("/")[0], recursive=True)
         self.out, self.width = system.open_output_stream(inner), width
         self.out.write(MAGIC)
-        self.at, self.ids, self.rest = len(MAGIC), 0, np.empty(0, np.uint32)
+        self.at, self.ids, self.waiting = len(MAGIC), 0, 0
+        self.parts: list[np.ndarray] = []  # ids that no block holds yet
         self.blocks: list[int] = []
         self.documents: list[int | None] = []
         self.lengths: list[int] = []
@@ -82,11 +83,14 @@ class TokenFileWriter:
         self.documents.append(document)
         self.lengths.append(len(ids))
         self.ids += len(ids)
-        self.rest = np.concatenate([self.rest, ids])
-        whole = len(self.rest) // BLOCK * BLOCK
-        for start in range(0, whole, BLOCK):
-            self._block(self.rest[start : start + BLOCK])
-        self.rest = self.rest[whole:]
+        self.parts.append(ids)
+        self.waiting += len(ids)
+        if self.waiting >= BLOCK:
+            rest = np.concatenate(self.parts)
+            whole = len(rest) // BLOCK * BLOCK
+            for start in range(0, whole, BLOCK):
+                self._block(rest[start : start + BLOCK])
+            self.parts, self.waiting = [rest[whole:]], len(rest) - whole
 
     def _block(self, ids: np.ndarray) -> None:
         data = pack_bits(ids, self.width)
@@ -95,8 +99,8 @@ class TokenFileWriter:
         self.at += len(data)
 
     def close(self) -> int:
-        if len(self.rest):
-            self._block(self.rest)
+        if self.waiting:
+            self._block(np.concatenate(self.parts))
         index = self.at
         self.out.write(np.array([*self.blocks, index], "<i8").tobytes())
         self.out.write(np.array([d is not None for d in self.documents], np.uint8).tobytes())
@@ -209,6 +213,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int, folder:
     come first; equal doc_ids are ordered by their length and packed ids. No documents: no files.
     ``folder`` must be one that all executors and Arrow can open (file, S3, HDFS, GCS).
     """
+    importable(documents.sparkSession)
     from callflow.llm.encoding import load_tokenizer
 
     width = bits_for(max(load_tokenizer(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1))
@@ -249,6 +254,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_digests(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files listed."""
+    importable(files.sparkSession)
     spread = files.select("file_no", "path", "first_id").repartition(max(1, files.count()), "file_no")
     return spread.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
