@@ -23,6 +23,7 @@ from callflow.llm.encoding import (
     text_cuts,
     text_parts,
 )
+from callflow.llm.shared import importable
 
 
 class MergeAutomaton:
@@ -272,6 +273,7 @@ def _encoded(path: str):
 
 def encode_documents(documents: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, ids, decoded text. One pass without a shuffle; null text is empty."""
+    importable(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(_encoded(tokenizer), "doc_id long, ids array<int>, decoded string")
 
@@ -281,6 +283,7 @@ def document_digests(documents: DataFrame, tokenizer: str) -> DataFrame:
 
     Rows of equal doc_id stay apart, null text is empty, other columns are not read.
     """
+    importable(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(
         _digests(tokenizer), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import Forest, pair_units, smallest_reachable
+from callflow.llm.shared import Forest, importable, pair_units, smallest_reachable
 from callflow.session import written
 
 #: The width of a projection's steps, in distances of the threshold.
@@ -222,6 +222,7 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = RECAL
     of their own; one without vec_id takes part, and is kept if it is alone.
     Other columns are not read; an empty table gives no rows.
     """
+    importable(vectors.sparkSession)
     plain = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     rows = written(plain.mapInArrow(_classes, "vec_id long, class binary, size int, data binary"), "vectors")
     classes = written(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import word_bounds, word_hashes
+from callflow.llm.shared import importable, word_bounds, word_hashes
 
 #: Pages of the table that the network is trained on, at most, and pages made up from their sentences.
 TRAIN_PAGES = 200
@@ -531,6 +531,7 @@ def extract_pages(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> DataFrame
     an empty text, as do pages without an article. Rows of equal page_id are rows of
     their own; other columns are not read; an empty table gives no rows. One pass, no shuffle but that of the sample.
     """
+    importable(pages.sparkSession)
     sample = pages.where("html IS NOT NULL").select("html").orderBy(F.xxhash64("html"), "html").limit(train_pages)
     # One task trains on the bounded sample, on one thread; the weights are some tens of kilobytes.
     trained = sample.repartition(1).mapInArrow(_trained, "weights binary").collect()

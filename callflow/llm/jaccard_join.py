@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callflow.llm.embedding_links import whole_units
-from callflow.llm.shared import Forest, pair_units, shingles, smallest_reachable
+from callflow.llm.shared import Forest, importable, pair_units, shingles, smallest_reachable
 from callflow.session import written
 
 SIMILARITY = 0.8
@@ -259,6 +259,7 @@ def near_duplicates(
     doc_id take part; they are kept only if no row of their class has one. Other
     columns are not read; an empty table gives no rows. ``documents`` is read twice.
     """
+    importable(documents.sparkSession)
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.col(text)).alias("hash"),

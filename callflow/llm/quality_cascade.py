@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from callflow.llm.shared import importable
 
 #: Rows that the costs and selectivities are estimated on, at most.
 SAMPLE_ROWS = 2000
@@ -225,6 +226,7 @@ def judge(
     and empty texts have no words and fail the base. Every row is judged by itself:
     repeated rows and ids give the same verdict each. An empty table gives no rows.
     """
+    importable(documents.sparkSession)
     ordered = order_rules(documents.select(F.col(text).alias("text")), list(RULES if rules is None else rules))
     rows = documents.select(*carry, F.col(text).alias("_text"))
     fields = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carry)

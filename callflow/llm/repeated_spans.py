@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import INVERSE, forget, mix, powers, prefix_sums, spans_hash
+from callflow.llm.shared import INVERSE, forget, importable, mix, powers, prefix_sums, spans_hash
 from callflow.session import written
 
 LENGTH = 200
@@ -222,6 +222,7 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
     lose nothing; of equal texts of 200 bytes or more all bytes go, equal rows
     included. ``kept`` is null unless ``keep_bytes``. ``documents`` is read twice.
     """
+    importable(documents.sparkSession)
     names = [f"c{k}" for k in range(len(carry))]
     types = [documents.schema[c].dataType.simpleString() for c in carry]
     docs = documents.select(

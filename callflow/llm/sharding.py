@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import CELL_ROWS, cells_for, dense_positions
+from callflow.llm.shared import CELL_ROWS, cells_for, dense_positions, importable
 from callflow.session import written
 
 #: A parcel holds at most this share of an even shard.
@@ -125,6 +125,7 @@ def shard(df: DataFrame, group: str, size: str, shards: int, order: list[str]) -
     number from 1 on, the same for all rows of a group. Rows repeated in full each take a slot.
     An empty table gives no rows. ``df`` is read several times: pass a table.
     """
+    importable(df.sparkSession)
     spark = df.sparkSession
     columns = df.columns
     rows = df.withColumn("_key", F.coalesce(F.col(group), F.lit(b"")))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callflow.llm.shared import importable
 from callflow.session import written
 
 #: Labelled rows that the chain is fitted on, at most.
@@ -173,6 +174,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     document the toxic one holds. The sample is the ``rows`` ids with the least hash, so it is the same in any
     run; its words are counted by Spark and only chosen words' numbers are collected.
     """
+    importable(documents.sparkSession)
     chosen = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("_doc"))
@@ -245,6 +247,7 @@ def classify(
     words, so it gets the probability of a text that says nothing; without labelled rows
     of both kinds all probabilities are 0 and all is kept. Repeated rows get the same scores; an empty table gives no rows.
     """
+    importable(documents.sparkSession)
     chain = train(documents.select(F.col(_id(documents, carry)).alias("doc_id"), F.col(text).alias("text")), labels)
     used = list(dict.fromkeys([*carry, text]))
     fields = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carry)

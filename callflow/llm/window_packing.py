@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from callflow.llm.encoding import text_encoder, text_parts
-from callflow.llm.shared import cells_for, crc32
+from callflow.llm.shared import cells_for, crc32, importable
 from callflow.session import written
 
 WINDOW = 4096
@@ -85,6 +85,7 @@ def cut_documents(
     documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, with_ids: bool = False
 ) -> DataFrame:
     """The pieces of each document: whole windows, and the rest. Null text is empty: one ``end_id``."""
+    importable(documents.sparkSession)
     schema = PIECES + (", ids binary" if with_ids else "")
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _pieces(tokenizer, end_id, window, with_ids), schema
@@ -119,6 +120,7 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     times: pass a table. Columns other than doc_id, start, length, ids_crc32,
     doc_tokens are kept. No pieces: no rows. Repeated pieces are each placed.
     """
+    importable(pieces.sparkSession)
     cells = cells_for(pieces.count(), CELL_PIECES)
     order = F.xxhash64("doc_id", "start", "length", "ids_crc32", F.lit(11))
     dealt = pieces.withColumn("order", order).withColumn("cell", F.pmod("order", F.lit(cells)).cast("int"))
