@@ -15,7 +15,7 @@ import regex
 from callflow.llm.shared import prefix_sums, spans_hash
 
 #: Distinct units that a worker keeps, up to twice. Results do not depend on it.
-CACHED_UNITS = 250_000
+CACHED_UNITS = 150_000
 
 
 #: Characters that are cut into units at once, about. Longer texts are cut at white space first.

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from callflow.llm.shared import importable
 
 #: Rows that the costs and selectivities are estimated on, at most.
