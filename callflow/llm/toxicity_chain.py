@@ -6,6 +6,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from callflow.llm.shared import importable
 from callflow.session import written
 
-#: Labelled rows that the chain is fitted on, at most.
+#: Labelled documents that the chain is fitted on, at most; half of each kind where both abound.
 LABELLED_ROWS = 20_000
 #: Words and stems it may use, at most: those most tied to the toxic label.
 VOCABULARY = 512
@@ -99,6 +100,8 @@ class Chain:
     words: dict[str, int]
     links: list[tuple[str, Linear]]
     threshold: float = 0.5
+    #: Labelled documents that a toxic and a clean one of the sample stand for.
+    weights: tuple[float, float] = (1.0, 1.0)
 
     def __post_init__(self):
         # Any feature of a word begins with the word's first letters.
@@ -111,14 +114,26 @@ class Chain:
         before: list[float] = []
         for _, link in self.links:
             before.append(float(sigmoid(link.margin(features, before))))
-        return before
+        return among_all(before, self.weights)
+
+
+def among_all(probabilities: list[float], weights: tuple[float, float]) -> list[float]:
+    """Probabilities in the sample, the last that of a toxic document, as those among all labelled."""
+    toxic, clean = weights
+    if toxic == clean:
+        return probabilities
+    last = probabilities[-1]
+    return [min(1.0, p * toxic / (last * toxic + (1 - last) * clean)) for p in probabilities]
 
 
 def fit_chain(
-    words: list[str], features: list[list[int]], labels: dict[str, np.ndarray], folds: int = FOLDS
+    words: list[str], features: list[list[int]], labels: dict[str, np.ndarray], folds: int = FOLDS,
+    weights: tuple[float, float] = (1.0, 1.0),
 ) -> Chain:
-    """Fit the links in the order of ``labels``.
+    """Fit the links in the order of ``labels``; ``weights`` count for the threshold and the probabilities.
 
+    The links are fitted on the sample as it is: weighted by kind, the loss of rare toxic documents
+    would vanish beside the penalty.
     What a later link learns from are out-of-fold probabilities of the earlier ones: a
     document's own label never made the probability that it is trained with.
     """
@@ -140,16 +155,21 @@ def fit_chain(
             z = np.bincount(rows, part.weights[columns], n) + dense @ part.dense + part.bias
             outside[~inside] = sigmoid(z[~inside])
         dense = np.column_stack([dense, outside])
-    return Chain({w: i for i, w in enumerate(words)}, links, best_threshold(dense[:, -1], target))
+    threshold = best_threshold(dense[:, -1], target, weights)
+    return Chain({w: i for i, w in enumerate(words)}, links, among_all([threshold], weights)[0], weights)
 
 
-def best_threshold(probabilities: np.ndarray, target: np.ndarray) -> float:
+def best_threshold(
+    probabilities: np.ndarray, target: np.ndarray, weights: tuple[float, float] = (1.0, 1.0)
+) -> float:
     """Where out-of-fold probabilities part best (F1), halfway in log odds to the next one below."""
     order = np.argsort(-probabilities, kind="stable")
     sorted_p = probabilities[order]
-    hits = np.cumsum(target[order])
+    toxic, clean = weights
+    hits = np.cumsum(target[order]) * toxic
+    misses = np.cumsum(1 - target[order]) * clean
     last = np.r_[sorted_p[1:] != sorted_p[:-1], True]
-    score = np.where(last, 2 * hits / (np.arange(1, len(order) + 1) + target.sum()), -1)
+    score = np.where(last, 2 * hits / (hits + misses + target.sum() * toxic), -1)
     best = int(np.argmax(score))
     pair = np.clip([sorted_p[best], sorted_p[best + 1] if best + 1 < len(order) else 0.0], 1e-6, 1 - 1e-6)
     return float(sigmoid(np.log(pair / (1 - pair)).mean()))
@@ -168,26 +188,38 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Chain | None:
-    """The chain for labelled ``documents``; None if the sample lacks toxic or clean ones.
+    """The chain for labelled ``documents``; None if no toxic or no clean one is among them.
 
-    ``labels(doc_id, toxic)``: rows without either are left out, and of several for a
-    document the toxic one holds. The sample is the ``rows`` ids with the least hash, so it is the same in any
+    ``labels(doc_id, toxic)``: rows without either are left out, as are those of ids that ``documents``
+    does not hold, and of several for a document the toxic one holds. The sample is, of each kind, the ids with the
+    least hash, half of ``rows`` or what the other kind leaves, so it is the same in any
     run; its words are counted by Spark and only chosen words' numbers are collected.
     """
     importable(documents.sparkSession)
-    chosen = (
+    present = documents.select(F.col("doc_id").cast("long").alias("_doc")).distinct()
+    labelled = written(
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("_doc"))
         .agg(F.max("toxic").cast("int").alias("_toxic"))
-        .orderBy(F.xxhash64("_doc"), "_doc")
-        .limit(rows)
+        .join(present, "_doc", "left_semi"),
+        "labels",
     )
+    kinds = {r.bad: r["count"] for r in labelled.groupBy((F.col("_toxic") != 0).alias("bad")).count().collect()}
+    if len(kinds) < 2:
+        return None
+    drawn = {bad: min(n, max(1, rows // 2, rows - kinds[not bad])) for bad, n in kinds.items()}
+    chosen = reduce(
+        DataFrame.unionAll,
+        [
+            labelled.where((F.col("_toxic") != 0) == bad).orderBy(F.xxhash64("_doc"), "_doc").limit(n)
+            for bad, n in drawn.items()
+        ],
+    )
+    weights = (kinds[True] / drawn[True], kinds[False] / drawn[False])
     texts = documents.select(F.col("doc_id").cast("long").alias("_doc"), "text")
     sample = texts.join(F.broadcast(chosen), "_doc").select("_doc", "_toxic", "text")
     sample = written(sample.mapInArrow(_word_lists, "doc_id long, toxic int, words array<string>"), "labelled")
     clean, toxic = (sample.where(f"toxic {how} 0").count() for how in ("=", "<>"))
-    if not clean or not toxic:
-        return None
     rate = (F.col("bad") + F.col("good")) / (clean + toxic)
     score = (F.col("bad") / toxic - F.col("good") / clean) / F.sqrt(rate * (1 - rate) + 1e-9)
     counted = (
@@ -208,7 +240,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     found = sample.select("doc_id", "toxic", known.alias("words"), *marks).orderBy(F.xxhash64("doc_id")).collect()
     bad = np.array([r.toxic != 0 for r in found])
     targets = {name: bad & np.array([r[name] for r in found]) for name in CATEGORIES}
-    return fit_chain(words, [[index[w] for w in r.words] for r in found], targets | {LAST: bad})
+    return fit_chain(words, [[index[w] for w in r.words] for r in found], targets | {LAST: bad}, weights=weights)
 
 
 NAMES = [*CATEGORIES, LAST]

@@ -446,6 +446,30 @@ def test_op6_without_labels_keeps_all(documents, spark):
     assert out.columns == documents.columns and out.count() == documents.count()
 
 
+def test_op6_labels_of_other_documents_take_no_place(spark):
+    rows = toxic_rows(random.Random(7), 600)
+    documents = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = [(i, bad) for i, _, bad in rows[:300]] + [(i, i % 2) for i in range(10_000, 30_000)]
+    chain = toxicity_chain.train(documents, spark.createDataFrame(labels, "doc_id long, toxic int"), rows=300)
+    assert chain.weights == (1.0, 1.0)
+    wrong = [i for i, t, bad in rows[300:] if (chain.probabilities(t)[-1] >= chain.threshold) != bool(bad)]
+    assert len(wrong) <= 6
+
+
+def test_op6_rare_toxic_documents_are_in_the_sample(spark):
+    rows = toxic_rows(random.Random(7), 3000)
+    rows = [r for r in rows if not r[2] or r[0] < 100]  # 20 of 2,420
+    documents = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "doc_id long, toxic int")
+    chain = toxicity_chain.train(documents, labels, rows=200)
+    assert chain.weights == (1.0, 2400 / 180)
+    caught = [chain.probabilities(t)[-1] >= chain.threshold for _, t, bad in rows if bad]
+    assert sum(caught) >= 18
+    assert not toxicity_chain.train(documents, labels.where("toxic = 0"), rows=200)
+    # A document as likely toxic as not in the sample is less likely so among all.
+    assert toxicity_chain.among_all([0.25, 0.5], (1.0, 3.0)) == [0.125, 0.25]
+
+
 def test_op6_links_see_only_out_of_fold_probabilities():
     rng = np.random.default_rng(1)
     features = [[int(x)] for x in rng.integers(0, 2, 400)]
