@@ -193,7 +193,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     ``labels(doc_id, toxic)``: rows without either are left out, as are those of ids that ``documents``
     does not hold, and of several for a document the toxic one holds. The sample is, of each kind, the ids with the
     least hash, half of ``rows`` or what the other kind leaves, so it is the same in any
-    run; its words are counted by Spark and only chosen words' numbers are collected.
+    run; of several rows of an id it holds the text with the least hash. Its words are counted by Spark and only chosen words' numbers are collected.
     """
     importable(documents.sparkSession)
     present = documents.select(F.col("doc_id").cast("long").alias("_doc")).distinct()
@@ -217,7 +217,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     )
     weights = (kinds[True] / drawn[True], kinds[False] / drawn[False])
     texts = documents.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    sample = texts.join(F.broadcast(chosen), "_doc").select("_doc", "_toxic", "text")
+    # One row per id, reduced within each task before any text moves: ids may be shared by many rows.
+    text = F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text").alias("text"))
+    found = texts.join(F.broadcast(chosen), "_doc").groupBy("_doc", "_toxic").agg(F.min(text).alias("first"))
+    sample = found.select("_doc", "_toxic", F.col("first.text").alias("text"))
     sample = written(sample.mapInArrow(_word_lists, "doc_id long, toxic int, words array<string>"), "labelled")
     clean, toxic = (sample.where(f"toxic {how} 0").count() for how in ("=", "<>"))
     rate = (F.col("bad") + F.col("good")) / (clean + toxic)

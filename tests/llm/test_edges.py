@@ -470,6 +470,20 @@ def test_op6_rare_toxic_documents_are_in_the_sample(spark):
     assert toxicity_chain.among_all([0.25, 0.5], (1.0, 3.0)) == [0.125, 0.25]
 
 
+def test_op6_one_row_of_an_id_is_in_the_sample(spark, monkeypatch):
+    rows = toxic_rows(random.Random(7), 900)
+    ids = [0 if k % 3 == 0 else k for k in range(900)]
+    documents = [(i, t) for i, (_, t, _) in zip(ids, rows, strict=True)] + [(0, None), (1, None)]
+    labels = spark.createDataFrame([(i, rows[i][2]) for i in set(ids)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity_chain.fit_chain
+    monkeypatch.setattr(toxicity_chain, "fit_chain", lambda w, f, *a, **b: seen.append((w, f)) or fit(w, f, *a, **b))
+    for order in (documents, documents[::-1]):
+        toxicity_chain.train(spark.createDataFrame(order, "doc_id long, text string").repartition(5), labels)
+    assert [len(f) for _, f in seen] == [len(set(ids))] * 2
+    assert seen[0][0] == seen[1][0] and [set(x) for x in seen[0][1]] == [set(x) for x in seen[1][1]]
+
+
 def test_op6_links_see_only_out_of_fold_probabilities():
     rng = np.random.default_rng(1)
     features = [[int(x)] for x in rng.integers(0, 2, 400)]
