@@ -311,7 +311,7 @@ class BlockLabeller:
         return out
 
     def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS, seed: int = 4) -> None:
-        """Adam on the mean log loss per block."""
+        """Adam on the mean log loss per block; those labelled -1 do not count."""
         rng = random.Random(seed)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.weights.items()}
         step, size = 0, 24
@@ -322,9 +322,9 @@ class BlockLabeller:
             for group in groups:
                 x, lengths = _padded([pages[k] for k in group])
                 y, _ = _padded([labels[k][:, None].astype(np.float32) for k in group])
-                mask = np.arange(len(x))[:, None] < lengths
+                mask = (np.arange(len(x))[:, None] < lengths) & (y[:, :, 0] >= 0)
                 logits, states, turned, keep_a, keep_b = self._both(x, lengths)
-                error = ((_sigmoid(logits) - y[:, :, 0]) * mask / mask.sum()).astype(np.float32)
+                error = ((_sigmoid(logits) - y[:, :, 0]) * mask / max(1, mask.sum())).astype(np.float32)
                 grads = {
                     "out": np.einsum("tbh,tb->h", states, error)[:, None],
                     "out_b": np.array([error.sum()], np.float32),
@@ -370,6 +370,8 @@ OTHER_PARTS = (
     "|div.teaser|div.teasers|div.trending|div.most read|div.sponsor|div.partner content|div.outbrain|div.taboola"
     "|div.site notice|div#cookie consent|div.privacy notice|div.message|form.comment form|form.contact|form#poll"
 ).split("|")
+#: The names of each of the other parts, without tags.
+OTHER_NAMES = {frozenset(n.split()) for part in OTHER_PARTS for n in re.findall(r"[.#]([^;]+)", part)}
 LABELS = "Home|About|Contact|Search|Log in|Sign up|Share|Subscribe|Next|Previous|Privacy|Terms|Reply|More|Menu|Send".split("|")
 
 
@@ -442,14 +444,32 @@ def made_page(sentences: list[str], rng: random.Random) -> tuple[str, str]:
     return f"<html><head><title>{prose(1, 1)}</title></head><body>{body}</body></html>", "\x01"
 
 
+def article_label(path: tuple[str, ...]) -> int:
+    """What an article element tells of a block: 1 main text, 0 not, -1 not known.
+
+    Navigation and asides are not, nor are forms and further articles inside the article. A footer,
+    and an element named as the other parts are, may be either: the made-up pages decide.
+    """
+    tags = [e.split(" ", 1)[0] for e in path]
+    if "article" not in tags:
+        return 0
+    inside = tags[tags.index("article") + 1 :]
+    if {"nav", "aside"} & set(tags) or {"form", "article"} & set(inside):
+        return 0
+    named = (set(e.split(" ")[1:]) for e, t in zip(path, tags, strict=True) if t not in ("html", "body"))
+    if "footer" in tags or any(part <= names for names in named for part in OTHER_NAMES):
+        return -1
+    return 1
+
+
 def labelled(sources: list[str], made: int = MADE_PAGES, seed: int = 12) -> tuple[list[list[Block]], list[np.ndarray]]:
-    """Blocks and labels: pages as they are, where an article element tells, and made-up ones."""
+    """Blocks and labels (see ``article_label``): pages as they are, where an article element tells, and made-up ones."""
     pages, labels, sentences = [], [], []
     for source in sources:
         blocks = page_blocks(source.replace("\x01", " "))
         sentences += [s for b in blocks for s in re.split(r"(?<=[.!?]) ", b.text) if 0 < len(s) <= 400]
-        main = np.array([any(e.split(" ")[0] == "article" for e in b.path) for b in blocks], bool)
-        if main.any():
+        main = np.array([article_label(b.path) for b in blocks], np.int8)
+        if (main == 1).any():
             pages.append(blocks)
             labels.append(main)
     rng = random.Random(seed)
@@ -458,7 +478,7 @@ def labelled(sources: list[str], made: int = MADE_PAGES, seed: int = 12) -> tupl
         source, mark = made_page(sentences, rng)
         blocks = page_blocks(source)
         pages.append([Block(b.path, b.text.replace(mark, ""), b.linked) for b in blocks])
-        labels.append(np.array([mark in b.text for b in blocks]))
+        labels.append(np.array([mark in b.text for b in blocks], np.int8))
     return pages, labels
 
 

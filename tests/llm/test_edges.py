@@ -530,6 +530,26 @@ def test_op1_held_out_pages():
     assert wrong < 0.04 * sum(map(len, labels))
 
 
+def test_op1_parts_inside_an_article_are_not_taught_as_text():
+    rng = random.Random(12)
+    parts = ["<section class='comments'><article>{}</article></section>", "<div class='ad'>{}</div>", "<nav>{}</nav>",
+             "<div><aside><div>{}</div></aside></div>", "<form>{}</form>", "<footer>{}</footer>"]
+
+    def page(k):
+        part = parts[k % len(parts)].format("<p>Buy this now. Call us today.</p>")
+        return PAGE.replace("<p>Third one.", f"<header><p>{sentence(rng, 30)}.</p></header>{part}<p>Third one.")
+
+    sources = [page(k) for k in range(80)]
+    for k, known in enumerate([0, -1, 0, 0, 0, -1]):
+        labels = html_extraction.labelled([sources[k]], made=0)[1][0].tolist()
+        assert [x for x in labels if x != 0] == [1] * 4 + [known] * (known != 0) + [1]
+    model = html_extraction.train_labeller(sources)
+    for k in range(80, 92):
+        blocks = html_extraction.page_blocks(page(k))
+        text = html_extraction.main_text(blocks, model.probabilities([html_extraction.page_features(blocks)])[0])
+        assert "Third one." in text and "Buy this" not in text
+
+
 def test_op1_network_gradients():
     model = html_extraction.BlockLabeller(inputs=5, hidden=3)
     model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
