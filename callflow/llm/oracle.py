@@ -82,4 +82,112 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM embeddings JOIN components ON v = vec_id LEFT JOIN degrees ON x = vec_id
 """
 
-ALL = {"op2_jaccard_join": OP2, "op3_quality": OP3, "op10_embedding_links": OP10}
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text,
+    list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+  FROM documents
+), fields AS (
+  SELECT r, doc_id, source, crc, text,
+    list_aggregate(list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
+      lambda v: coalesce(strlen(v) || ':' || v, '-')), 'string_agg', '') AS head
+  FROM docs
+), hashed AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed, head
+  FROM fields
+), leaves AS (
+  SELECT r, doc_id, source, leaf, sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS other,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM hashed
+), nodes(source, level, pos, n, digest) AS (
+  SELECT source, 0, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1
+  GROUP BY source, level, pos // 3, n
+), subroots AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops(level, pos, n, digest) AS (
+  SELECT 0, pos, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1
+  GROUP BY level, pos // 3, n
+), runs AS (
+  SELECT source, level, pos // 3 AS up, string_agg(digest, '' ORDER BY pos) AS digests FROM nodes WHERE n > 1
+  GROUP BY source, level, pos // 3
+), top_runs AS (
+  SELECT level, pos // 3 AS up, string_agg(digest, '' ORDER BY pos) AS digests FROM tops WHERE n > 1 GROUP BY level, pos // 3
+), climb(r, source, level, pos, n, others, digest) AS (
+  SELECT r, source, 0, pos, n, '', other FROM leaves
+  UNION ALL
+  SELECT r, c.source, c.level + 1, pos // 3, (n + 2) // 3,
+    others || digests[: pos % 3 * 64] || digests[pos % 3 * 64 + 65 :],
+    sha256(digests[: pos % 3 * 64] || digest || digests[pos % 3 * 64 + 65 :])
+  FROM climb c JOIN runs ON runs.source IS NOT DISTINCT FROM c.source AND runs.level = c.level AND up = pos // 3
+  WHERE n > 1
+), over(r, level, pos, n, others, digest) AS (
+  SELECT r, 0, s.pos, s.n, others, digest FROM climb c JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+  WHERE c.n = 1
+  UNION ALL
+  SELECT r, o.level + 1, pos // 3, (n + 2) // 3,
+    others || digests[: pos % 3 * 64] || digests[pos % 3 * 64 + 65 :],
+    sha256(digests[: pos % 3 * 64] || digest || digests[pos % 3 * 64 + 65 :])
+  FROM over o JOIN top_runs ON top_runs.level = o.level AND up = pos // 3 WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, root.digest AS root, sha256(others) AS proof_sha256, o.digest AS folded_root,
+  o.digest = root.digest AS verified
+FROM leaves JOIN over o ON o.r = leaves.r AND o.n = 1
+JOIN subroots ON subroots.source IS NOT DISTINCT FROM leaves.source, (SELECT digest FROM tops WHERE n = 1) root
+"""
+
+OP13 = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[:32] AS unit, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, unit) AS d FROM turns
+), heads AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), joined AS (
+  SELECT heads.conv_id, unit, length(text) AS tokens, 0 AS side, d FROM heads JOIN own ON own.conv_id = base AND d <= h
+  UNION ALL
+  SELECT heads.conv_id, unit, length(text), 1, d FROM heads JOIN own ON own.conv_id = heads.conv_id AND d > h
+), rebuilt AS (
+  SELECT conv_id, tokens, row_number() OVER w AS depth, sha256(string_agg(unit, '') OVER w) AS node
+  FROM joined WINDOW w AS (PARTITION BY conv_id ORDER BY side, d)
+), members AS (
+  SELECT conv_id, depth, tokens, node, lag(node, 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS up FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, 'root', NULL FROM heads
+), ends AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+nodes AS (
+  SELECT node, m.depth, min(up) AS up, min(m.conv_id) AS conv_id, count(*) AS n_convs, min(tokens) AS tokens,
+    sha256(coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (WHERE e.depth = m.depth), '')) AS ends
+  FROM members m JOIN ends e ON e.conv_id = m.conv_id GROUP BY node, m.depth
+), children AS (SELECT up, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+valued AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children, (n_convs - 1) * tokens AS saved
+  FROM nodes LEFT JOIN children ON children.up = nodes.node
+), sums AS (
+  SELECT m.node, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM valued v JOIN members m ON m.conv_id = v.conv_id AND m.depth <= v.depth GROUP BY m.node
+)
+SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs,
+  v.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  v.ends AS ends_sha256
+FROM valued v JOIN sums ON sums.node = v.node LEFT JOIN nodes p ON p.node = v.up
+"""
+
+ALL = {"op2_jaccard_join": OP2, "op3_quality": OP3, "op10_embedding_links": OP10, "op12_merkle_manifest": OP12,
+       "op13_prefix_trie": OP13}

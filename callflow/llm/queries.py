@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from callflow.llm import (
     bpe_automaton,
     embedding_links,
+    histogram_packing,
     html_extraction,
     jaccard_join,
+    merkle_manifest,
     oracle,
+    prefix_trie,
     quality_cascade,
     repeated_spans,
     sharding,
@@ -20,11 +23,11 @@ from callflow.llm import (
 from callflow.llm.shared import read
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The public tokenizer that the queries use; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +70,18 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links.link_vectors(read(spark, folder, "embeddings"))
 
 
+def op11_histogram_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return histogram_packing.pack_documents(read(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.document_proofs(read(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, folder, "conversations"))
+
+
 ALL = {
     "op1_html_extraction": op1_html_extraction,
     "op2_jaccard_join": op2_jaccard_join,
@@ -78,6 +93,9 @@ ALL = {
     "op8_sharding": op8_sharding,
     "op9_repeated_spans": op9_repeated_spans,
     "op10_embedding_links": op10_embedding_links,
+    "op11_histogram_packing": op11_histogram_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = dict(oracle.ALL)

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "labels"):
+    for name in ("documents", "embeddings", "pages", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
@@ -26,8 +26,8 @@ def test_query_equals_sql(spark, duck, name):
     assert collections.Counter(tuple(r) for r in got.collect()) == collections.Counter(want)
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.ALL) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.ALL) == list(range(1, 14))
 
 
 EMPTY = {
@@ -35,6 +35,7 @@ EMPTY = {
     "embeddings": "vec_id long, embedding array<float>, label int",
     "pages": "page_id long, url string, html string",
     "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 
 
