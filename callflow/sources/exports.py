@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from callflow.sources.heads import file_heads
+from callflow.sources.listing import suffix_glob
+from callflow.sources.storage import literal
+
 # Position of a row: files by age, then path, then place inside the file.
 ORDER = "_position"
 
@@ -67,18 +69,18 @@ def position() -> Column:
 def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """The files of each header layout, oldest first. Files without a line are left out.
 
-    Only the first line of each file comes to the driver, like its name.
+    Headers are read and grouped by tasks; the driver gets one row per layout, with the names that
+    Spark's reader then takes. A file that cannot be read counts to the first layout, so that the
+    scan reports it.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(paths)
-    placed = lines.select(*place(), F.monotonically_increasing_id().alias("row"), "value")
-    found = placed.filter("block = 0").groupBy("modified", "path").agg(F.min_by("value", "row").alias("line"))
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in found.orderBy("modified", "path").collect():
-        names: list[str] = []
-        for k, name in enumerate(next(csv.reader([row["line"].lstrip("\ufeff")]), [])):
-            names.append(name if name and name not in names else f"_{k}_{name}")
-        layouts.setdefault(tuple(names), []).append(unquote(row["path"]))  # the scan gives it as a URI
-    return layouts
+    heads = file_heads(spark, paths).filter("names IS NOT NULL OR error IS NOT NULL")
+    grouped = heads.groupBy("names").agg(F.array_sort(F.collect_list(F.struct("modified", "path"))).alias("files"))
+    found = {tuple(r["names"]) if r["names"] is not None else None: [f["path"] for f in r["files"]]
+             for r in grouped.orderBy(F.col("files")[0]).collect()}
+    broken = found.pop(None, [])
+    if broken:
+        found.setdefault(next(iter(found), ()), []).extend(broken)
+    return found
 
 
 def read_export(
@@ -101,7 +103,7 @@ def read_export(
     reader = spark.read.options(**csv_options(multi_line, line_end))
     rows = None
     for names, files in layouts.items():
-        part = reader.schema(text_schema(names)).csv(files).withColumn(ORDER, position())
+        part = reader.schema(text_schema(names)).csv([literal(f) for f in files]).withColumn(ORDER, position())
         cells = [F.col(f"`{h}`") if h in names else F.lit(None).cast("string").alias(h) for h in headers]
         part = part.select(*cells, ORDER)
         rows = part if rows is None else rows.unionByName(part)
@@ -128,9 +130,5 @@ def stream_arrivals(
     return files.load(path).select("path", "modificationTime", "length")
 
 
-def suffix_glob(suffix: str) -> str:
-    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
-
-
 def rows_per_file(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.col(f"{ORDER}.path").alias("path")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,14 +20,18 @@ from callflow.operators.normalize import (
     split_rejects,
 )
 from callflow.schemas import TABLES
+from callflow.session import work_cleaned, written
 from callflow.sources.exports import FILES_PER_BATCH, ORDER, read_export, stream_arrivals
+from callflow.sources.heads import unreadable
 from callflow.sources.listing import list_objects
+from callflow.streaming import commits
+from callflow.streaming.commits import LOAD
 
-LOAD, PLACE, SEEN = "load", "place", "arrivals"
+PLACE, BAD = "place", "bad_files"
 
 REJECTS = StructType([StructField(name, StringType()) for name in ("reason", "raw")])
 RECORDINGS = StructType([StructField(name, StringType()) for name in ("call_id", "url", "target_key")])
-ARRIVALS = "path string, modificationTime timestamp_ltz"
+BAD_FILES = StructType([StructField(name, StringType()) for name in ("path", "error")])
 
 
 def _call_outputs(normalized: DataFrame, headers: Sequence[str]) -> dict[str, DataFrame]:
@@ -51,18 +54,6 @@ def _lead_outputs(normalized: DataFrame, headers: Sequence[str]) -> dict[str, Da
     return {"leads": last_per_key(placed, "lead_id"), "rejects": rejects.drop(ORDER)}
 
 
-def _identity(spark: SparkSession, checkpoint: str) -> str:
-    """A name for the checkpoint, kept in it: a new checkpoint never rewrites loads of an old one."""
-    path = f"{checkpoint}/load_id"
-    try:
-        return spark.read.text(path).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").write.text(path)
-    return spark.read.text(path).first()[0]
-
-
 def _run(
     spark: SparkSession,
     arrivals: str,
@@ -75,51 +66,54 @@ def _run(
     max_files: int,
     suffix: str,
 ) -> None:
-    identity = _identity(spark, checkpoint)
-
-    def store(batch: DataFrame, load: str) -> None:
-        files = batch.collect()  # names and times, at most max_files
-        if not files:
-            return
-        exports = read_export(batch.sparkSession, [file["path"] for file in files], headers)
+    def write(load: str, paths: list[str]) -> list[str]:
+        exports = read_export(spark, paths, headers)
         if row_order is not None:
             exports = exports.withColumn(ORDER, row_order)
-        # parsed once for all outputs; it may spill, and lost blocks are computed
-        # again from the files
-        rows = normalized(exports).persist(StorageLevel.MEMORY_AND_DISK)
+        # parsed once, into a file that all outputs read
+        with work_cleaned():
+            rows = written(normalized(exports), "normalized")
+            found = outputs(rows, exports.columns)
+            for name, output in found.items():
+                output.write.parquet(f"{root}/{name}/{LOAD}={load}")
+        return list(found)
+
+    def store(batch: DataFrame) -> None:
+        files = [tuple(f) for f in commits.not_committed(batch, root).collect()]  # at most max_files
+        if not files:
+            return
+        paths, bad = [path for path, _, _ in files], None
+        load = commits.new_load(spark, root)
         try:
-            for name, output in outputs(rows, exports.columns).items():
-                # named by checkpoint and batch, so that a replay rewrites what it wrote before
-                output.write.mode("overwrite").parquet(f"{root}/{name}/{LOAD}={load}")
-        finally:
-            rows.unpersist()
-        seen = batch.sparkSession.createDataFrame([(f["path"], f["modificationTime"]) for f in files], ARRIVALS)
-        seen.write.mode("overwrite").parquet(f"{root}/{SEEN}/{LOAD}={load}")
+            names = write(load, paths)
+        except (Py4JJavaError, PySparkException):
+            bad = written(unreadable(spark, paths), "bad")
+            broken = {row["path"] for row in bad.collect()}
+            if not broken:
+                raise
+            # what the first attempt wrote is in no commit; the others load under another name
+            load, good = commits.new_load(spark, root), [p for p in paths if p not in broken]
+            names = write(load, good) if good else []
+            bad.write.parquet(f"{root}/{BAD}/{LOAD}={load}")
+            names = [*names, BAD]
+        commits.commit(spark, root, load, names, files)
 
     query = (
         stream_arrivals(spark, arrivals, max_files, suffix)
-        .writeStream.foreachBatch(lambda batch, number: store(batch, f"{identity}-{number:09d}"))
+        .writeStream.foreachBatch(lambda batch, _: store(commits.identified(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    # A file put again under its name is no news to the stream: its time tells.
-    changed = _changed(spark, arrivals, root, suffix)
-    while files := changed.limit(max_files).collect():
-        batch = spark.createDataFrame([tuple(f) for f in files], ARRIVALS)
-        last = max(f["modificationTime"] for f in files)
-        store(batch, f"{identity}-again-{last:%Y%m%d%H%M%S%f}-{len(files)}")
-        changed = _changed(spark, arrivals, root, suffix)
-
-
-def _changed(spark: SparkSession, arrivals: str, root: str, suffix: str) -> DataFrame:
-    """Files that were loaded before and are newer now, oldest first."""
-    seen = _stored(spark, root, SEEN, spark.createDataFrame([], ARRIVALS).schema)
-    latest = seen.groupBy("path").agg(F.max("modificationTime").alias("loaded"))
-    listed = list_objects(spark, arrivals, suffix).select("path", "modificationTime")
-    newer = listed.join(latest, "path").filter(F.col("modificationTime") > F.col("loaded"))
-    return newer.select("path", "modificationTime").orderBy("modificationTime", "path")
+    # A file put again under its name is no news to the stream: its time or size tells. What is
+    # listed now is loaded now; what changes meanwhile is the next run's.
+    listed = commits.identified(list_objects(spark, arrivals, suffix))
+    again = written(commits.not_committed(listed, root), "again").orderBy("modified", "path")
+    left = again.count()
+    while left > 0:
+        store(spark.createDataFrame(commits.not_committed(again, root).orderBy("modified", "path").limit(max_files).collect(), commits.FILES))
+        left -= max_files
 
 
 def load_arrived_calls(
@@ -141,6 +135,11 @@ def load_arrived_calls(
     nothing new changes nothing. ``row_order`` replaces the order of files and rows
     where the export itself carries one. Each batch adds its own rows only: the
     tables are merged when read, see :func:`current_calls`.
+
+    A load writes its outputs to folders of its own name and then one commit row that names them and
+    its files; readers take committed loads only, so one that was killed shows nothing, and a file is
+    loaded once as of each time and size. A file that cannot be read to its end is listed in
+    :func:`bad_files` and loads when put again; the others of its batch load.
     """
 
     def normalized(rows: DataFrame) -> DataFrame:
@@ -169,14 +168,13 @@ def load_arrived_leads(
 
 
 def _stored(spark: SparkSession, root: str, output: str, schema: StructType) -> DataFrame:
-    """All loads of an output with their name; none before the first arrival."""
-    try:
-        found = spark.read.parquet(f"{root}/{output}")
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        found = spark.createDataFrame([], schema).withColumn(PLACE, F.lit(0)).withColumn(LOAD, F.lit(""))
-    return found
+    """Rows of an output in all committed loads, with their load."""
+    return commits.outputs_of(spark, root, output, schema, PLACE)
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Rows that stand in files and, of a file loaded twice as of one time, in loads."""
+    return rows.withColumn(PLACE, F.struct(PLACE, LOAD)).drop(LOAD)
 
 
 def changes(
@@ -188,9 +186,8 @@ def changes(
 
 
 def loads(spark: SparkSession, root: str, output: str) -> list[str]:
-    """The names of the loads stored so far, one per batch."""
-    rows = _stored(spark, root, output, StructType())
-    return sorted(row[LOAD] for row in rows.select(LOAD).distinct().collect())
+    """The names of the loads committed so far, one per batch."""
+    return commits.loads_of(spark, root, output)
 
 
 def current_calls(
@@ -202,7 +199,7 @@ def current_calls(
     that holds the loads in ``done``. Writing this result now and then as the next
     snapshot keeps the part to merge small.
     """
-    later = changes(spark, root, "calls", "call", done).drop(LOAD)
+    later = _in_order(changes(spark, root, "calls", "call", done))
     return last_per_key(later, "call_id", PLACE) if base is None else upsert(base, later, "call_id", PLACE, False)
 
 
@@ -210,13 +207,13 @@ def current_leads(
     spark: SparkSession, root: str, base: DataFrame | None = None, done: Sequence[str] = ()
 ) -> DataFrame:
     """The lead table after all lead loads, see :func:`current_calls`."""
-    later = changes(spark, root, "leads", "lead", done).drop(LOAD)
+    later = _in_order(changes(spark, root, "leads", "lead", done))
     return last_per_key(later, "lead_id", PLACE) if base is None else upsert(base, later, "lead_id", PLACE, False)
 
 
 def leads_with_calls(spark: SparkSession, calls_root: str, leads: DataFrame, done: Sequence[str] = ()) -> DataFrame:
     """``leads`` plus those that only calls name, as the first call named them."""
-    return insert_absent(leads, changes(spark, calls_root, "new_leads", "lead", done).drop(LOAD), "lead_id", PLACE)
+    return insert_absent(leads, _in_order(changes(spark, calls_root, "new_leads", "lead", done)), "lead_id", PLACE)
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
@@ -225,4 +222,9 @@ def rejects(spark: SparkSession, root: str) -> DataFrame:
 
 def wanted_recordings(spark: SparkSession, root: str) -> DataFrame:
     """``call_id, url, target_key`` of all loads, the last address of each call."""
-    return last_per_key(_stored(spark, root, "recordings", RECORDINGS).drop(LOAD), "call_id", PLACE)
+    return last_per_key(_in_order(_stored(spark, root, "recordings", RECORDINGS)), "call_id", PLACE)
+
+
+def bad_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path, error`` of files that could not be read to their end and were left out of their load."""
+    return _stored(spark, root, BAD, BAD_FILES).select(*BAD_FILES.names)

@@ -1,7 +1,9 @@
 """Arrivals: loaded once, in order, and equal to a batch load."""
 
+import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from callflow.operators import merge, normalize
@@ -139,3 +141,89 @@ def test_lead_arrivals(spark, tmp_path):
     got = {r.lead_id: (r.source, r.lead_status, str(r.creation_date)) for r in arrivals.current_leads(spark, root).collect()}
     assert got == {1: ("phone", None, "2024-01-02 13:02:03"), 2: ('a "b"', None, "None")}
     assert [r.reason for r in arrivals.rejects(spark, root).collect()] == ["lead_id_missing"]
+
+
+def test_files_put_again_at_one_time_stamp_all_load(spark, tmp_path):
+    inbox, root, check = tmp_path / "inbox", str(tmp_path / "tables"), str(tmp_path / "check")
+    load = lambda n: arrivals.load_arrived_calls(spark, str(inbox), root, check, max_files=n)
+    for name, i in (("a.csv", 1), ("b.csv", 2)):
+        arrive(inbox, name, CALLS, [call(i, 5, "old")], 0)
+    load(10)
+    for name, i in (("a.csv", 1), ("b.csv", 2)):
+        arrive(inbox, name, CALLS, [call(i, 5, "new")], 100)
+    load(1)  # ends, though each batch holds one of two files of one time
+    assert kinds(spark, root) == {"1": "new", "2": "new"}
+    for kind in ("newer", "newest"):  # two runs find two files of one time, then of the same time and another size
+        for name, i in (("a.csv", 1), ("b.csv", 2)):
+            arrive(inbox, name, CALLS, [call(i, 5, kind)], 200)
+            load(1)
+    assert kinds(spark, root) == {"1": "newest", "2": "newest"}
+    assert len(arrivals.loads(spark, root, "calls")) == 7
+
+
+def test_a_load_that_was_killed_shows_nothing(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    arrive(inbox, "a.csv", CALLS, [call(1, 5, "a", "http://1"), call(2, "x", "a")], 0)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(arrivals.commits, "commit", killed)
+        with pytest.raises(Exception):  # noqa: B017
+            arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    assert os.listdir(f"{root}/calls")  # written, but named by no commit
+    for output in (arrivals.current_calls, arrivals.rejects, arrivals.wanted_recordings):
+        assert output(spark, root).collect() == []
+    for _ in range(2):
+        arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+        assert kinds(spark, root) == {"1": "a"} and arrivals.rejects(spark, root).count() == 1
+
+
+def test_a_file_is_loaded_once_whatever_the_checkpoint(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    arrive(inbox, "a.csv", CALLS, [call(2, "x", "a")], 0)
+    for check in ("one", "two", "one"):
+        arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / check))
+    assert arrivals.rejects(spark, root).count() == 1 and len(arrivals.loads(spark, root, "rejects")) == 1
+
+
+def test_a_broken_file_does_not_stop_the_others(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    load = lambda: arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    inbox.mkdir()
+
+    def packed(lines):
+        return gzip.compress((CALLS + "\n" + "".join(line + "\n" for line in lines)).encode())
+
+    many = [f"{os.urandom(16).hex()},5,cut,2024-01-01 00:00:00,0:00:01," for _ in range(9000)]
+    (inbox / "a.csv.gz").write_bytes(packed([call(1, 5, "a")]))
+    (inbox / "b.csv.gz").write_bytes(packed(many)[:-20_000])
+    (inbox / "c.csv.gz").write_bytes(packed([call(3, 5, "c")]))
+    (inbox / "d.csv.gz").write_bytes(b"no gzip at all")
+    load()
+    assert kinds(spark, root) == {"1": "a", "3": "c"}
+    bad = {os.path.basename(r.path): r.error for r in arrivals.bad_files(spark, root).collect()}
+    assert set(bad) == {"b.csv.gz", "d.csv.gz"} and all(bad.values())
+    load()
+    assert arrivals.bad_files(spark, root).count() == 2
+    (inbox / "b.csv.gz").write_bytes(packed([call(2, 5, "whole")]))
+    load()
+    assert kinds(spark, root) == {"1": "a", "2": "whole", "3": "c"}
+
+
+def test_only_broken_files(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    inbox.mkdir()
+    (inbox / "d.csv.gz").write_bytes(b"no gzip at all")
+    arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    assert arrivals.current_calls(spark, root).collect() == [] and arrivals.bad_files(spark, root).count() == 1
+
+
+def test_empty_files_are_loaded_once(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "tables")
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("")
+    for _ in range(2):
+        arrivals.load_arrived_calls(spark, str(inbox), root, str(tmp_path / "check"))
+    assert arrivals.current_calls(spark, root).collect() == [] and len(arrivals.loads(spark, root, "calls")) == 1
