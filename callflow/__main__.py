@@ -11,7 +11,7 @@ from callflow.functions import records
 from callflow.plans import jobs
 from callflow.schemas import create_tables
 from callflow.session import build_session, work_cleaned
-from callflow.streaming import arrivals
+from callflow.streaming import arrivals, pages
 
 # The two API feeds and the members that differ between them.
 FEEDS = {
@@ -42,6 +42,10 @@ def parser() -> argparse.ArgumentParser:
         arrived.add_argument("--suffix", default="", help="load only files whose names end so")
         if name == "load-arrived-calls":
             arrived.add_argument("--broker-id")
+    arrived = add("land-arrived-pages", "arrivals", "out", "checkpoint")
+    arrived.add_argument("--feed", choices=FEEDS, default="telephony")
+    arrived.add_argument("--lines", action="store_true", help="one page per line, not per file")
+    add("compact-pages", "out")
     add("call-report", "tables", "out")
     landed = add("land-pages", "pages", "out")
     landed.add_argument("--feed", choices=FEEDS, default="telephony")
@@ -89,6 +93,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     elif args.job == "load-arrived-leads":
         arrivals.load_arrived_leads(spark, args.arrivals, args.out, args.checkpoint, suffix=args.suffix)
+    elif args.job == "land-arrived-pages":
+        pages.land_arrived_pages(
+            spark, args.arrivals, args.out, args.checkpoint, *FEEDS[args.feed][:2], one_per_file=not args.lines
+        )
+        cursor = pages.open_cursor(spark, args.out).first()
+        print({"cursor": cursor["cursor"] if cursor else None})
+    elif args.job == "compact-pages":
+        pages.compact(spark, args.out)
     elif args.job == "call-report":
         jobs.call_report(spark, args.tables, args.out)
     elif args.job == "land-pages":

@@ -17,10 +17,10 @@ from callflow.sources.landing import record_id
 ROWS_PER_CHUNK = 2000  # fixed value: default size of a chunk
 
 
-def latest_records(listed: DataFrame, order: Column) -> DataFrame:
+def latest_records(listed: DataFrame, order: Column, keep: str | None = None) -> DataFrame:
     """``id, record`` with the last record of each id; ``listed`` comes from pages.
 
-    The record travels as text: VARIANT values can not be compared or shuffled
+    ``keep`` names a column to carry where each record stood. The record travels as text: VARIANT values can not be compared or shuffled
     by every operator.
     """
     record = F.col("record")
@@ -29,6 +29,7 @@ def latest_records(listed: DataFrame, order: Column) -> DataFrame:
         made.alias("id"),
         records.with_id(record, made).alias("json"),
         order.alias(ORDER),
+        *([order.alias(keep)] if keep else []),
     )
     return last_per_key(rows, "id")
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from callflow.functions import records, text
 from callflow.operators.filters import has_recording, has_web_recording
-from callflow.operators.merge import last_per_key, not_in
-from callflow.session import written
+from callflow.operators.merge import lacking, last_per_key
 from callflow.sources.exports import ORDER
 
 
@@ -44,5 +43,4 @@ def wanted_of_records(
 
 def pending(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     """Wanted recordings that are not among the ``call_id`` values of ``stored``, evaluated once."""
-    wanted = written(wanted, "wanted")
-    return not_in(wanted, wanted, stored, "call_id")
+    return lacking(wanted, stored, "call_id")

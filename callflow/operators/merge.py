@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from callflow.operators import prefilter
 from callflow.session import written
 from callflow.sources.exports import ORDER
 
@@ -29,17 +30,62 @@ def first_per_key(rows: DataFrame, key: str, order: str = ORDER) -> DataFrame:
     return _one_per_key(rows, key, F.col(order).asc()).drop(order)
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, keyless: bool = True) -> DataFrame:
+def _stored_batch(batch: DataFrame, key: str) -> tuple[DataFrame, int, int]:
+    """A batch as a table, with how many keys it has at most and the bytes that they take."""
+    seen = Observation("batch")
+    size = F.octet_length(F.col(key).cast("string"))
+    batch = written(batch.observe(seen, F.count(key).alias("keys"), F.sum(size).alias("bytes")), "batch")
+    return batch, seen.get["keys"], seen.get["bytes"] or 0
+
+
+def _too_many(keys: DataFrame, number: int, size: int, table: DataFrame, most: int | None) -> bool:
+    """Whether keys would not fit a broadcast, so that joining them shuffles ``table``."""
+    if keys.dtypes[0][1] != dict(table.dtypes)[keys.columns[0]]:
+        return False  # equal values of two types hash apart
+    bound = prefilter.broadcast_bytes(table.sparkSession) if most is None else most
+    return size + prefilter.KEY_BYTES * number > bound
+
+
+def without_keys(table: DataFrame, keys: DataFrame, key: str, number: int, size: int, most: int | None = None) -> DataFrame:
+    """Rows of ``table`` whose key is not in ``keys``, those without a key included.
+
+    Keys that fit a broadcast (``most`` bytes) are joined where the table lies. Of others a Bloom
+    filter is broadcast: rows it does not know, and those without a key, stay as they are, and only
+    the others are shuffled, beside keys that are a table, so that adaptive execution may split a
+    key that many rows share.
+    """
+    keys = keys.select(key).distinct()
+    if not _too_many(keys, number, size, table, most):
+        return table.join(keys, key, "left_anti").select(*table.columns)
+    keys = written(keys, "keys")
+    rows = prefilter.marked(table, keys, key, number)
+    rest = rows.filter("_may").join(keys, key, "left_anti")
+    return rows.filter("NOT _may").drop("_may").unionByName(rest.select(*table.columns))
+
+
+def known_keys(table: DataFrame, keys: DataFrame, key: str, number: int, size: int, most: int | None = None) -> DataFrame:
+    """The keys of ``table`` that are in ``keys``; beyond a broadcast only those a Bloom filter lets through are shuffled."""
+    keys, held = keys.select(key).distinct(), table.select(key)
+    if _too_many(keys, number, size, table, most):
+        keys = written(keys, "keys")
+        held = prefilter.marked(held, keys, key, number).filter("_may").select(key).distinct()
+    return held.join(keys, key, "left_semi")
+
+
+def upsert(
+    target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, keyless: bool = True, most: int | None = None
+) -> DataFrame:
     """``target`` with the rows of each key in ``batch`` replaced by its last one.
 
     ``target`` keeps its partitioning and is not shuffled while the batch's keys
-    fit a broadcast. Batch rows without a key replace nothing and are all added;
+    fit a broadcast (the session's bound, or ``most`` bytes); beyond it only rows that may be
+    replaced are, see :func:`without_keys`. Batch rows without a key replace nothing and are all added;
     ``keyless=False`` saves a scan where there can be none. The batch is evaluated
     once, into a table that keys and rows are then read from.
     """
-    batch = written(batch, "batch")
+    batch, number, size = _stored_batch(batch, key)
     keyed = batch.filter(F.col(key).isNotNull())
-    kept = target.join(keyed.select(key).distinct(), key, "left_anti").select(*target.columns)
+    kept = without_keys(target, keyed, key, number, size, most)
     merged = kept.unionByName(last_per_key(keyed, key, order), allowMissingColumns=True)
     if keyless:
         added = batch.filter(F.col(key).isNull()).drop(order)
@@ -61,21 +107,28 @@ def insert_absent(target: DataFrame, batch: DataFrame, key: str, order: str = OR
     return target.unionByName(absent_rows(target, batch, key, order), allowMissingColumns=True)
 
 
-def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER) -> DataFrame:
+def absent_rows(target: DataFrame, batch: DataFrame, key: str, order: str = ORDER, most: int | None = None) -> DataFrame:
     """The rows :func:`insert_absent` adds. NULL keys are skipped. The batch is evaluated once."""
-    keyed = written(batch.filter(F.col(key).isNotNull()), "batch")
-    return not_in(first_per_key(keyed, key, order), keyed, target, key)
+    keyed, number, size = _stored_batch(batch.filter(F.col(key).isNotNull()), key)
+    return not_in(first_per_key(keyed, key, order), keyed, target, key, number, size, most)
 
 
-def not_in(rows: DataFrame, keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def not_in(
+    rows: DataFrame, keys: DataFrame, table: DataFrame, key: str, number: int, size: int, most: int | None = None
+) -> DataFrame:
     """``rows`` whose key is not in ``table``, which may be far larger.
 
     An anti join can broadcast its right side only, and would shuffle all keys of
     ``table`` for a few rows. So the table is first cut down to ``keys``, the keys
-    of ``rows``, which it can do where it lies while they fit a broadcast.
+    of ``rows``, see :func:`known_keys`.
     """
-    known = table.select(key).join(keys.select(key).distinct(), key, "left_semi")
-    return rows.join(known, key, "left_anti").select(*rows.columns)
+    return rows.join(known_keys(table, keys, key, number, size, most), key, "left_anti").select(*rows.columns)
+
+
+def lacking(rows: DataFrame, table: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """``rows``, one per key, whose key ``table`` lacks; they are evaluated once."""
+    rows, number, size = _stored_batch(rows, key)
+    return not_in(rows, rows, table, key, number, size, most)
 
 
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:

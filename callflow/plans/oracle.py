@@ -103,6 +103,55 @@ MADE = ", ".join(
     for k, name in enumerate(MADE_FIELDS)
 )
 
+TWO_ARRIVALS = CALLS + """
+SELECT call_id, call_platform, broker_id, lead_id, call_type, date_time, talk_time
+FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY seq % 3 <> 0 DESC, seq DESC) AS rn FROM g) AS t
+WHERE rn = 1
+"""
+
+TWO_FETCHES = """
+SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS start_time,
+  strftime(ts, '%Y-%m-%d') AS dt
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY event_id % 4000 ORDER BY floor(event_id / 100) % 3 <> 0 DESC, event_id DESC) AS rn
+      FROM events) AS t
+WHERE rn = 1
+"""
+
+CHAINS = """
+WITH RECURSIVE numbered AS (SELECT DISTINCT CAST(floor(event_id / 10) AS BIGINT) AS number FROM events),
+nodes AS (
+  SELECT CAST(floor(number / 700) AS BIGINT) AS feed, CAST(number AS VARCHAR) AS page,
+    CASE WHEN number % 10 = 9 THEN NULL WHEN number % 50 = 24 THEN CAST(number - 4 AS VARCHAR)
+      WHEN number % 40 = 33 THEN CAST(number + 3 AS VARCHAR) ELSE CAST(number + 1 AS VARCHAR) END AS following
+  FROM numbered WHERE number % 30 <> 12),
+leads AS (
+  SELECT t.feed, t.page, min(s.page) AS before FROM nodes AS s JOIN nodes AS t ON s.feed = t.feed AND s.following = t.page
+  GROUP BY t.feed, t.page),
+walk AS (
+  SELECT feed, page, page AS chain, CAST(0 AS BIGINT) AS place FROM nodes AS n
+  WHERE NOT EXISTS (SELECT 1 FROM leads AS l WHERE l.feed = n.feed AND l.page = n.page)
+  UNION ALL
+  SELECT l.feed, l.page, chain, place + 1 FROM walk AS w JOIN leads AS l ON l.feed = w.feed AND l.before = w.page),
+around AS (
+  SELECT feed, page, page AS other FROM nodes AS n
+  WHERE NOT EXISTS (SELECT 1 FROM walk AS w WHERE w.feed = n.feed AND w.page = n.page)
+  UNION
+  SELECT a.feed, a.page, l.page FROM around AS a JOIN leads AS l ON l.feed = a.feed AND l.before = a.other),
+low AS (SELECT feed, page, min(other) AS chain FROM around GROUP BY feed, page),
+rounds AS (
+  SELECT feed, page, chain, CAST(0 AS BIGINT) AS place FROM low WHERE page = chain
+  UNION ALL
+  SELECT l.feed, l.page, chain, place + 1 FROM rounds AS r JOIN leads AS l ON l.feed = r.feed AND l.before = r.page
+  WHERE l.page <> chain),
+placed AS (SELECT * FROM walk UNION ALL SELECT * FROM rounds)
+SELECT n.feed, n.page, chain, place,
+  CASE WHEN following IS NULL THEN 'end' WHEN l.page IS NULL THEN 'open' WHEN l.before <> n.page THEN 'joined'
+    WHEN l.page = chain THEN 'loop' END AS ends
+FROM nodes AS n JOIN placed AS p ON p.feed = n.feed AND p.page = n.page
+LEFT JOIN leads AS l ON l.feed = n.feed AND l.page = n.following
+"""
+
 ALL: dict[str, str] = {
     "duration_seconds": CALLS + "SELECT seq, talk_time FROM n",
     "clean_text": CALLS + "SELECT seq, call_id, lead_text, lead_id, CAST(NULL AS VARCHAR) AS absent FROM n",
@@ -129,6 +178,12 @@ FROM n
 """,
     "row_order": """
 SELECT o_orderkey, row_number() OVER (PARTITION BY floor(o_orderkey / 10000) ORDER BY o_orderkey) - 1 AS place FROM orders
+""",
+    "resume_rows": """
+SELECT o_orderkey, o_orderpriority, place FROM (
+  SELECT o_orderkey, o_orderpriority, CAST(floor(o_orderkey / 10000) AS BIGINT) AS f,
+    row_number() OVER (PARTITION BY floor(o_orderkey / 10000) ORDER BY o_orderkey) - 1 AS place FROM orders) AS t
+WHERE place >= f * 37 % 2500
 """,
     "list_files": "SELECT c_nationkey AS nation, CAST(1 AS BIGINT) AS files FROM customer GROUP BY 1",
     "json_scan": """
@@ -156,6 +211,15 @@ SELECT page AS last_page, n < 100 AS complete
 FROM (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS page, count(*) AS n FROM orders GROUP BY 1) AS p
 ORDER BY page DESC LIMIT 1
 """,
+    "page_gaps": """
+WITH kept AS (
+  SELECT DISTINCT n % 3 AS feed, CAST(floor(n / 3) AS BIGINT) AS number
+  FROM (SELECT CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS n FROM orders) AS p
+  WHERE n % 7 <> 3 AND n % 11 NOT IN (4, 5)),
+before AS (SELECT feed, number, lag(number, 1, -1) OVER (PARTITION BY feed ORDER BY number) + 1 AS start FROM kept)
+SELECT feed, start AS first_missing, number - 1 AS last_missing, number - start AS n FROM before WHERE number > start
+""",
+    "cursor_chains": CHAINS,
     "malformed_records": "SELECT event_id, concat(props, '}') AS raw FROM events WHERE event_type = 'error'",
     "wanted_records": """
 SELECT call_id, url, concat(call_id, '.mp3') AS target_key
@@ -170,6 +234,10 @@ WHERE event_type IN ('view', 'click') AND props IS NOT NULL AND props <> '' AND
 """,
     "calls_yesterday": "SELECT event_id, ts FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
     "table_scan": "SELECT * FROM customer",
+    "stored_tables": CALLS + """
+SELECT c_mktsegment AS source, call_type, count(*) AS calls, max(talk_time) AS longest
+FROM latest LEFT JOIN customer ON lead_id = c_custkey GROUP BY c_mktsegment, call_type
+""",
     "feed_union": CALLS + """
 SELECT call_id, call_type AS origin, CAST(NULL AS BIGINT) AS turn FROM n
 UNION ALL SELECT CAST(conv_id AS VARCHAR), CAST(NULL AS VARCHAR), turn FROM conversations
@@ -187,6 +255,8 @@ UNION ALL SELECT CAST(conv_id AS VARCHAR), CAST(NULL AS VARCHAR), turn FROM conv
 SELECT feed, seq, reason FROM c WHERE reason IS NOT NULL
 """,
     "upsert_calls": LATEST_CALLS,
+    "upsert_prefiltered": LATEST_CALLS,
+    "upsert_buckets": LATEST_CALLS,
     "upsert_leads": REPLACED_LEADS,
     "leads_of_both_feeds": CALLS + """, stored AS (
   SELECT CAST(c_custkey * 2 AS INTEGER) AS lead_id, c_mktsegment AS source, CAST(NULL AS TIMESTAMP) AS creation_date
@@ -253,6 +323,9 @@ WHERE g.lead_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier AS s WHERE s.
 GROUP BY g.lead_id
 """,
     "pk_duplicates": CALLS + "SELECT call_id, count(*) AS n FROM g GROUP BY call_id HAVING count(*) > 1",
+    "pk_broken": CALLS + """
+SELECT call_id, count(*) AS n FROM n GROUP BY call_id HAVING count(*) > 1 OR call_id IS NULL
+""",
     "overlong_text": """
 SELECT doc_id, 'source' AS column_name, CAST(strlen(text) AS INTEGER) AS octets FROM documents WHERE strlen(text) > 255
 UNION ALL SELECT doc_id, 'lead_status', CAST(strlen(lang) AS INTEGER) FROM documents WHERE strlen(lang) > 255
@@ -268,14 +341,7 @@ SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id % 4000 ORDER BY event_id DESC) AS rn FROM events) AS t
 WHERE rn = 1
 """,
-    "land_two_fetches": """
-SELECT CAST(event_id % 4000 AS VARCHAR) AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS start_time,
-  strftime(ts, '%Y-%m-%d') AS dt
-FROM (SELECT *, row_number() OVER (
-        PARTITION BY event_id % 4000 ORDER BY floor(event_id / 100) % 3 <> 0 DESC, event_id DESC) AS rn
-      FROM events) AS t
-WHERE rn = 1
-""",
+    "land_two_fetches": TWO_FETCHES,
     "chunk_rows": CHUNKS,
     "chunk_counts": f"SELECT part, count(*) AS n FROM ({CHUNKS}) AS c GROUP BY part",
     "pending_recordings": WANTED + " AND call_id NOT IN (SELECT CAST(conv_id AS VARCHAR) FROM conversations)",
@@ -297,11 +363,9 @@ SELECT 'unknown' AS call_id, concat('https://rec.example/', CAST(max(event_id) A
 FROM events WHERE event_type = 'purchase' HAVING count(*) > 0
 """,
     "stream_calls": LATEST_CALLS,
-    "stream_two_batches": CALLS + """
-SELECT call_id, call_platform, broker_id, lead_id, call_type, date_time, talk_time
-FROM (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY seq % 3 <> 0 DESC, seq DESC) AS rn FROM g) AS t
-WHERE rn = 1
-""",
+    "stream_two_batches": TWO_ARRIVALS,
+    "stream_put_again": TWO_ARRIVALS,
+    "stream_pages": TWO_FETCHES,
     "stream_new_leads": NEW_LEADS,
     "stream_rejects": REJECTS,
     "stream_recordings": WANTED,

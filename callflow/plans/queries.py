@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callflow.functions import records, text
-from callflow.operators import export, filters, joins, manifest, merge, normalize, quality, retention
-from callflow.plans import inputs
+from callflow.operators import buckets, export, filters, joins, manifest, merge, normalize, pages, quality, retention
+from callflow.plans import inputs, jobs
 from callflow.plans.inputs import table
-from callflow.schemas import PRIMARY_KEYS, create_tables
+from callflow.schemas import PRIMARY_KEYS, TABLES, create_tables
 from callflow.session import new_work_path, written
-from callflow.sources import batches, exports, landing, listing, tables
+from callflow.sources import batches, exports, landing, listing, ranges, storage, tables
 from callflow.sources.exports import ORDER
 from callflow.streaming import arrivals
+from callflow.streaming import pages as page_stream
 
 CALL_COLUMNS = ("call_id", "call_platform", "broker_id", "lead_id", "call_type", "date_time", "talk_time")
 SECOND_LOAD = datetime(2024, 1, 20)
@@ -150,6 +151,21 @@ def row_order(spark: SparkSession, folder: str) -> DataFrame:
     return numbered.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("row_index").alias("place"))
 
 
+def resume_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders from some row of each file on, read by ranges of 64 KiB from stored row starts."""
+    starts = ranges.row_starts(spark, _orders_in_files(spark, folder), 1 << 16)
+    files = starts.select("path").distinct()
+    begin = files.withColumn("row", _file_number() * 37 % 2500)
+    rows = ranges.read_from(spark, starts, begin)
+    return rows.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority", F.col("row_index").alias("place")
+    )
+
+
+def _file_number() -> F.Column:
+    return F.regexp_extract("path", "f=([0-9]+)/", 1).cast("bigint")
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Listed ``.csv`` files of customers, one for each nation; those of suppliers are JSON."""
     path = new_work_path(spark, "listed")
@@ -220,6 +236,28 @@ def pages_complete(spark: SparkSession, folder: str) -> DataFrame:
     return landing.numbered_pages_complete(_tracking_pages(spark, folder), "position")
 
 
+def page_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of missing pages of three fetches, some of whose pages were taken out."""
+    number = F.col("position")
+    kept = _tracking_pages(spark, folder).filter((number % 7 != 3) & ~(number % 11).isin(4, 5))
+    fetched = kept.select((number % 3).alias("feed"), F.floor(number / 3).alias("number"))
+    return pages.page_gaps(fetched, "number", ["feed"], first=0)
+
+
+def cursor_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of ten records in fetches of up to 700, some missing, some with another next page, as chains."""
+    made = inputs.telephony_pages(table(spark, folder, "events"), 10).filter(F.col("number") % 30 != 12)
+    number, following = F.col("number"), F.get_json_object("text", records.TELEPHONY_NEXT_PAGE)
+    following = (
+        F.when(number % 10 == 9, F.lit(None).cast("string"))
+        .when(number % 50 == 24, (number - 4).cast("string"))
+        .when(number % 40 == 33, (number + 3).cast("string"))
+        .otherwise(following)
+    )
+    landed = made.select(F.floor(number / 700).alias("feed"), number.cast("string").alias("page"), following.alias("following"))
+    return pages.cursor_chains(landed, "page", "following", ["feed"])
+
+
 def malformed_records(spark: SparkSession, folder: str) -> DataFrame:
     """Landed values that are no JSON; arrays are valid and in neither part."""
     files = inputs.landed_files(table(spark, folder, "events"))
@@ -250,6 +288,19 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     return tables.run_sql(spark, "SELECT * FROM {customer}", customer=table(spark, folder, "customer"))
 
 
+def stored_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Calls and leads written as tables, joined and counted by SQL over the stored tables."""
+    path = new_work_path(spark, "stored")
+    create_tables(spark, path)
+    _calls(spark, folder).write.mode("append").parquet(f"{path}/call")
+    inputs.customer_leads(table(spark, folder, "customer")).write.mode("append").parquet(f"{path}/lead")
+    statement = """
+        SELECT l.source, c.call_type, count(*) AS calls, max(c.talk_time) AS longest
+        FROM call AS c LEFT JOIN lead AS l ON c.lead_id = l.lead_id GROUP BY l.source, c.call_type
+    """
+    return jobs.query(spark, path, statement)
+
+
 def feed_union(spark: SparkSession, folder: str) -> DataFrame:
     """Two feeds appended; the dialer's rows have no record id."""
     dialer = inputs.call_export(table(spark, folder, "events"))
@@ -297,6 +348,25 @@ def upsert_calls(spark: SparkSession, folder: str) -> DataFrame:
     return merge.upsert(first, second, "call_id", keyless=False).select(*CALL_COLUMNS)
 
 
+def upsert_prefiltered(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`upsert_calls` as with more keys than a broadcast takes: rows that a Bloom filter lets through are shuffled."""
+    good = _good(spark, folder)
+    first = merge.last_per_key(good.filter(F.col("date_time") < text.moment(SECOND_LOAD)), "call_id")
+    second = good.filter(F.col("date_time") >= text.moment(SECOND_LOAD))
+    return merge.upsert(written(first, "first"), second, "call_id", keyless=False, most=0).select(*CALL_COLUMNS)
+
+
+def upsert_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`upsert_calls` on a table in 64 folders by key, of which the second load rewrites those it falls in."""
+    good, root = _good(spark, folder), new_work_path(spark, "buckets")
+    first = merge.last_per_key(good.filter(F.col("date_time") < text.moment(SECOND_LOAD)), "call_id")
+    buckets.create(first.select(*CALL_COLUMNS), root, "call_id", 64)
+    second = good.filter(F.col("date_time") >= text.moment(SECOND_LOAD)).select(*CALL_COLUMNS, ORDER)
+    schema = first.select(*CALL_COLUMNS).schema
+    buckets.upsert(spark, root, schema, second)
+    return buckets.read(spark, root, schema)
+
+
 def upsert_leads(spark: SparkSession, folder: str) -> DataFrame:
     stored = inputs.customer_leads(table(spark, folder, "customer"))
     good, _ = normalize.split_rejects(normalize.normalize_leads(inputs.lead_export(table(spark, folder, "events"))))
@@ -401,6 +471,11 @@ def pk_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return quality.broken_keys(_good(spark, folder), "call_id")
 
 
+def pk_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of calls before rejects are taken out: those that repeat, and NULL."""
+    return quality.broken_keys(_normalized(spark, folder), "call_id")
+
+
 def overlong_text(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as leads: whole texts in a column that is bounded."""
     leads = table(spark, folder, "documents").select(
@@ -544,6 +619,40 @@ def stream_two_batches(spark: SparkSession, folder: str) -> DataFrame:
     return arrivals.current_calls(spark, root).select(*CALL_COLUMNS)
 
 
+def stream_put_again(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files that arrive, are loaded, and are put again under their names with other rows; the later rows count."""
+    rows = inputs.call_export(table(spark, folder, "events"))
+    inbox, root, checkpoint = (new_work_path(spark, n) for n in ("inbox", "tables", "checkpoint"))
+    for number, left_out in enumerate((1, 0)):
+        part = rows.filter(F.col(ORDER) % 3 != left_out).withColumn("Row", F.col(ORDER) + number * 10**12)
+        for k in range(2):
+            staged = new_work_path(spark, "staged")
+            half = part.filter(F.col(ORDER) % 2 == k).drop(ORDER).coalesce(1)
+            half.write.options(**exports.write_options()).csv(staged)
+            (source,) = [r["path"] for r in listing.list_objects(spark, staged, ".csv").collect()]
+            system, inner = storage.opened(storage.qualified(spark, f"{inbox}/calls{k}.csv"))
+            system.create_dir(inner.rpartition("/")[0])
+            system.copy_file(storage.opened(source)[1], inner)
+        arrivals.load_arrived_calls(
+            spark, inbox, root, checkpoint, inputs.broker_of_call(), row_order=F.col("Row").cast("bigint"), max_files=1
+        )
+    return arrivals.current_calls(spark, root).select(*CALL_COLUMNS)
+
+
+def stream_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Two of three pages land as they arrive, are compacted, and two of three land later; the later record counts."""
+    made = inputs.telephony_pages(table(spark, folder, "events"))
+    inbox, root, checkpoint = (new_work_path(spark, n) for n in ("inbox", "landed", "checkpoint"))
+    for number, left_out in enumerate((2, 0)):
+        arrived = made.filter(F.col("number") % 3 != left_out).orderBy("number").coalesce(1).select("text")
+        arrived.write.text(f"{inbox}/arrival{number}")
+        page_stream.land_arrived_pages(spark, inbox, root, checkpoint, suffix="", one_per_file=False)
+        if number == 0:
+            page_stream.compact(spark, root)
+    landed = page_stream.current_records(spark, root)
+    return landed.select("id", F.get_json_object("json", records.TELEPHONY_START).alias("start_time"), F.col("day").alias("dt"))
+
+
 def stream_new_leads(spark: SparkSession, folder: str) -> DataFrame:
     stored = inputs.supplier_leads(table(spark, folder, "supplier"))
     leads = arrivals.leads_with_calls(spark, _streamed_calls(spark, folder), stored)
@@ -589,6 +698,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         large_csv_scan,
         csv_mixed_headers,
         row_order,
+        resume_rows,
         list_files,
         json_scan,
         page_records,
@@ -596,15 +706,20 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         page_counts,
         numbered_pages,
         pages_complete,
+        page_gaps,
+        cursor_chains,
         malformed_records,
         wanted_records,
         source_filters,
         calls_yesterday,
         table_scan,
+        stored_tables,
         feed_union,
         reject_rows,
         reject_reasons,
         upsert_calls,
+        upsert_prefiltered,
+        upsert_buckets,
         upsert_leads,
         leads_of_both_feeds,
         upsert_transcripts,
@@ -619,6 +734,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fk_orphans,
         fk_orphan_keys,
         pk_duplicates,
+        pk_broken,
         overlong_text,
         json_export,
         land_records,
@@ -632,6 +748,8 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         retention_kept,
         stream_calls,
         stream_two_batches,
+        stream_put_again,
+        stream_pages,
         stream_new_leads,
         stream_rejects,
         stream_recordings,

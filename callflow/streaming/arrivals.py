@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,17 +19,20 @@ from callflow.operators.normalize import (
 )
 from callflow.schemas import TABLES
 from callflow.session import work_cleaned, written
-from callflow.sources.exports import FILES_PER_BATCH, ORDER, read_export, stream_arrivals
-from callflow.sources.heads import unreadable
-from callflow.sources.listing import list_objects
+from callflow.sources.exports import FILES_PER_BATCH, ORDER, read_export
 from callflow.streaming import commits
 from callflow.streaming.commits import LOAD
+from callflow.streaming.loads import bad_files, load_arrivals
 
-PLACE, BAD = "place", "bad_files"
+__all__ = [
+    "bad_files", "changes", "current_calls", "current_leads", "leads_with_calls", "load_arrived_calls", "load_arrived_leads",
+    "loads", "rejects", "wanted_recordings",
+]
+
+PLACE = "place"
 
 REJECTS = StructType([StructField(name, StringType()) for name in ("reason", "raw")])
 RECORDINGS = StructType([StructField(name, StringType()) for name in ("call_id", "url", "target_key")])
-BAD_FILES = StructType([StructField(name, StringType()) for name in ("path", "error")])
 
 
 def _call_outputs(normalized: DataFrame, headers: Sequence[str]) -> dict[str, DataFrame]:
@@ -78,42 +79,7 @@ def _run(
                 output.write.parquet(f"{root}/{name}/{LOAD}={load}")
         return list(found)
 
-    def store(batch: DataFrame) -> None:
-        files = [tuple(f) for f in commits.not_committed(batch, root).collect()]  # at most max_files
-        if not files:
-            return
-        paths, bad = [path for path, _, _ in files], None
-        load = commits.new_load(spark, root)
-        try:
-            names = write(load, paths)
-        except (Py4JJavaError, PySparkException):
-            bad = written(unreadable(spark, paths), "bad")
-            broken = {row["path"] for row in bad.collect()}
-            if not broken:
-                raise
-            # what the first attempt wrote is in no commit; the others load under another name
-            load, good = commits.new_load(spark, root), [p for p in paths if p not in broken]
-            names = write(load, good) if good else []
-            bad.write.parquet(f"{root}/{BAD}/{LOAD}={load}")
-            names = [*names, BAD]
-        commits.commit(spark, root, load, names, files)
-
-    query = (
-        stream_arrivals(spark, arrivals, max_files, suffix)
-        .writeStream.foreachBatch(lambda batch, _: store(commits.identified(batch)))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    # A file put again under its name is no news to the stream: its time or size tells. What is
-    # listed now is loaded now; what changes meanwhile is the next run's.
-    listed = commits.identified(list_objects(spark, arrivals, suffix))
-    again = written(commits.not_committed(listed, root), "again").orderBy("modified", "path")
-    left = again.count()
-    while left > 0:
-        store(spark.createDataFrame(commits.not_committed(again, root).orderBy("modified", "path").limit(max_files).collect(), commits.FILES))
-        left -= max_files
+    load_arrivals(spark, arrivals, root, checkpoint, write, max_files, suffix)
 
 
 def load_arrived_calls(
@@ -169,7 +135,8 @@ def load_arrived_leads(
 
 def _stored(spark: SparkSession, root: str, output: str, schema: StructType) -> DataFrame:
     """Rows of an output in all committed loads, with their load."""
-    return commits.outputs_of(spark, root, output, schema, PLACE)
+    found = commits.outputs_of(spark, root, output, schema)
+    return found if PLACE in found.columns else found.withColumn(PLACE, F.lit(0))
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
@@ -224,7 +191,3 @@ def wanted_recordings(spark: SparkSession, root: str) -> DataFrame:
     """``call_id, url, target_key`` of all loads, the last address of each call."""
     return last_per_key(_in_order(_stored(spark, root, "recordings", RECORDINGS)), "call_id", PLACE)
 
-
-def bad_files(spark: SparkSession, root: str) -> DataFrame:
-    """``path, error`` of files that could not be read to their end and were left out of their load."""
-    return _stored(spark, root, BAD, BAD_FILES).select(*BAD_FILES.names)

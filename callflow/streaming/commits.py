@@ -15,7 +15,7 @@ COMMITS = "commits"
 #: A file as it was when it was listed: put again, it has another time or size.
 FILE = ["path", "modified", "length"]
 FILES = "path string, modified bigint, length bigint"
-COMMIT = f"{LOAD} string, outputs array<string>, files array<struct<path: string, modified: bigint, length: bigint>>"
+COMMIT = f"{LOAD} string, outputs array<string>, files array<struct<path: string, modified: bigint, length: bigint>>, merged array<string>"
 
 
 def identified(listed: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def identified(listed: DataFrame) -> DataFrame:
 
 
 def committed(spark: SparkSession, root: str) -> DataFrame:
-    """One row per committed load: ``load, outputs, files``."""
+    """One row per committed load: ``load, outputs, files, merged``."""
     try:
         return spark.read.schema(COMMIT).option("recursiveFileLookup", True).parquet(f"{root}/{COMMITS}")
     except AnalysisException as error:
@@ -45,23 +45,26 @@ def new_load(spark: SparkSession, root: str) -> str:
     return f"{int(last.partition('-')[0]) + 1 if last else 0:09d}-{uuid.uuid4().hex}"
 
 
-def commit(spark: SparkSession, root: str, load: str, outputs: Sequence[str], files: Sequence[tuple]) -> None:
+def commit(
+    spark: SparkSession, root: str, load: str, outputs: Sequence[str], files: Sequence[tuple], merged: Sequence[str] = ()
+) -> None:
     """Make the outputs of ``load`` visible, all at once.
 
-    The row is one file, which the store shows whole or not at all. ``files`` are at most those of a batch.
+    The row is one file, which the store shows whole or not at all. ``files`` are at most those of a
+    batch; ``merged`` names the loads that a snapshot holds.
     """
-    row = spark.createDataFrame([(load, list(outputs), list(files))], COMMIT)
+    row = spark.createDataFrame([(load, list(outputs), list(files), list(merged))], COMMIT)
     row.coalesce(1).write.parquet(f"{root}/{COMMITS}/{LOAD}={load}")
 
 
-def outputs_of(spark: SparkSession, root: str, output: str, schema: StructType, place: str) -> DataFrame:
+def outputs_of(spark: SparkSession, root: str, output: str, schema: StructType | str) -> DataFrame:
     """Rows of an output in committed loads, with the name of their load; none before the first."""
     try:
         found = spark.read.parquet(f"{root}/{output}")
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema).withColumns({place: F.lit(0), LOAD: F.lit("")})
+        return spark.createDataFrame([], schema).withColumn(LOAD, F.lit(""))
     whole = committed(spark, root).filter(F.array_contains("outputs", output)).select(LOAD)
     return found.join(whole, LOAD, "left_semi")
 
