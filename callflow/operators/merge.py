@@ -43,7 +43,7 @@ def _too_many(keys: DataFrame, number: int, size: int, table: DataFrame, most: i
     if keys.dtypes[0][1] != dict(table.dtypes)[keys.columns[0]]:
         return False  # equal values of two types hash apart
     bound = prefilter.broadcast_bytes(table.sparkSession) if most is None else most
-    return size + prefilter.KEY_BYTES * number > bound
+    return 0 <= bound < size + prefilter.KEY_BYTES * number  # a session may forbid broadcasts, filters too
 
 
 def without_keys(table: DataFrame, keys: DataFrame, key: str, number: int, size: int, most: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ WORD_BYTES, KEY_BYTES = 48, 48
 
 
 def broadcast_bytes(spark: SparkSession) -> int:
-    """The size up to which the session broadcasts a side of a join."""
+    """The size up to which the session broadcasts a side of a join; negative if it never does."""
     sizes = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").lower().removesuffix("b") or "0"
     unit = text[-1] if text[-1] in sizes else "b"

@@ -94,7 +94,7 @@ def row_starts(spark: SparkSession, paths: str | list[str], size: int = RANGE) -
     spans = listed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k"))
     spans = spans.withColumn("begin", F.col("k") * size)
     spans = written(spans.select("path", "modified", "begin", end.alias("end")), "spans")
-    spread = spans.repartition(max(1, min(spans.count(), 1 << 14)), "path", "begin")
+    spread = spans.repartition(max(2, min(spans.count(), 1 << 14)), "path", "begin")
     counted = spread.mapInArrow(_counted, "path string, modified bigint, begin bigint, end bigint, rows bigint")
     earlier = Window.partitionBy("path").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
     return written(counted.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))), "row_starts")
@@ -113,7 +113,7 @@ def read_from(
     met = starts.join(wanted, F.col("path") == F.col("_path")).filter(F.col("before") + F.col("rows") > F.col("wanted") + 1)
     spans = written(met.select("path", "begin", "end", "before", "wanted"), "spans")
     number = spans.count()
-    spread = spans.repartition(max(1, min(number, 1 << 14)), "path", "begin")
+    spread = spans.repartition(max(2, min(number, 1 << 14)), "path", "begin")
     lines = spread.mapInArrow(_emitted, LINES)
     files = [r["path"] for r in spans.select("path").distinct().collect()]  # of the ranges that are read
     layouts = file_headers(spark, files) if files else {}
