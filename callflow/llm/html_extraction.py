@@ -6,7 +6,6 @@ import html
 import io
 import random
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,8 +18,8 @@ from callflow.llm.shared import importable, word_bounds, word_hashes
 
 #: Pages of the table that the network is trained on, at most, and pages made up from their sentences.
 TRAIN_PAGES = 200
-MADE_PAGES = 800
-TAGS, WORDS, NUMBERS = 384, 24, 8
+MADE_PAGES = 1600
+WORDS, NUMBERS = 24, 8
 HIDDEN = 20
 EPOCHS = 12
 
@@ -73,7 +72,7 @@ def _element(tag: str, rest: str) -> str:
         return tag
     names = " ".join(m.group(1) for m in _NAMES.finditer(rest))
     names = re.sub(r"([a-z])([A-Z])", r"\1 \2", html.unescape(names)).lower()
-    return " ".join([tag, *[n for n in _SPLIT.split(names) if n][:12]])
+    return " ".join([tag, *filter(None, _SPLIT.split(names))])
 
 
 def page_blocks(source: str) -> list[Block]:
@@ -92,7 +91,7 @@ def page_blocks(source: str) -> list[Block]:
     def flush() -> None:
         nonlocal parts, linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 blocks.append(Block(path, text, len("".join(linked))))
             parts, linked = [], []
@@ -111,9 +110,9 @@ def page_blocks(source: str) -> list[Block]:
         if stop > at and not silent:
             if not parts:
                 path = tuple(stack)
-            parts.append(source[at:stop])
+            parts.append(html.unescape(source[at:stop]))  # a reference does not reach over markup
             if links:
-                linked.append(source[at:stop])
+                linked.append(parts[-1])
         if not found:
             break
         at = found.end()
@@ -158,31 +157,76 @@ def page_blocks(source: str) -> list[Block]:
     return blocks
 
 
+# What pages are made of for training: names of parts that hold the article, and of parts that do not.
+ARTICLE_PARTS = (
+    "article|main|main;article|div.article|div.article body|div.post|div.post content|div.entry content|div.story"
+    "|div.story body|div#content|div.main content;article|section.article|div.text|main;div.content|article;div.body"
+    "|article;section|div.page;article|div.container;article|div.wrapper;main;article"
+).split("|")
+OTHER_PARTS = (
+    "nav|nav.menu|div.menu|div.navigation|ul.nav|div.navbar|div.breadcrumbs|header|header.site header|div.header"
+    "|div.masthead|div.banner|div.topbar|footer|footer.site footer|div.footer|div.copyright|div#footer|aside"
+    "|aside.sidebar|div.sidebar|div#sidebar|div.widget|div.related|div.related posts|div.recommended|section.related"
+    "|div.notice|div.cookie|div.cookie notice|div.cookie banner|div.consent|div.gdpr|div.alert|div.warning"
+    "|div.paywall|div.popup|div.modal|div.ad|div.ads|div.advert|div.advertisement|aside.ad|div.sponsored|div.promo"
+    "|div.promotion|section.ad|form|form.search|form.login|form.newsletter|div.newsletter;form|div.subscribe"
+    "|div.signup|section.comments|div.comments|div#comments|div.comment|div.comment list|ol.comments|ul.comments"
+    "|div.reply|div.replies|div.disqus|div#disqus thread|div.discussion|div.reader comments|div.responses|div.feedback"
+    "|div.user reviews|div.share|div.social|div.tags|div.author bio|div.pagination|div.toolbar|div.disclaimer|div.legal"
+    "|div.teaser|div.teasers|div.trending|div.most read|div.sponsor|div.partner content|div.outbrain|div.taboola"
+    "|div.site notice|div#cookie consent|div.privacy notice|div.message|form.comment form|form.contact|form#poll"
+    "|div.hatnote|div.toc|div.navbox|table.infobox|div.dialog|div.toast|div.drawer|div.carousel|div.ticker|div.bio"
+    "|div@navigation|div@banner|div@complementary|section@complementary|div@contentinfo|div@search|div@form|div@note"
+    "|div@alert|div@dialog|div@alertdialog|div@menu|ul@menubar|div@toolbar|div@status"
+).split("|")
+WRAPPERS = "div.page|div#wrapper|div.container|div.site;div.layout|div@main|div@document|div.row;div.col".split("|")
+ROLE_PARTS = [part for part in OTHER_PARTS if "@" in part]
+#: The names of each of the other parts, without tags.
+OTHER_NAMES = {frozenset(n.split()) for part in OTHER_PARTS for n in re.findall(r"[.#@]([^;]+)", part)}
+# Elements that the network tells apart.
+ELEMENTS = (
+    "a abbr address article aside b blockquote button caption center cite code dd del details dialog div dl dt em fieldset "
+    "figcaption figure font footer form h1 h2 h3 h4 h5 h6 header hgroup i ins kbd label legend li main mark menu nav ol p "
+    "pre q s section small span strong sub summary sup table tbody td tfoot th thead time tr u ul"
+).split()
+#: Names that the network tells apart: those of the parts. All others are one and the same to it.
+NAMES = sorted(
+    {n for part in (*ARTICLE_PARTS, *OTHER_PARTS, *WRAPPERS) for names in re.findall(r"[.#@]([^;]+)", part) for n in names.split()}
+)
+_PLACES = {f"<{e}": k for k, e in enumerate(ELEMENTS)} | {n: len(ELEMENTS) + k for k, n in enumerate(NAMES)}
+_LAST = len(_PLACES)  # places of the last block element follow
+OTHER_NAME, OTHER_ELEMENT = _LAST + len(ELEMENTS), _LAST + len(ELEMENTS) + 1
+TAGS = OTHER_ELEMENT + 1
+LABELS = "Home|About|Contact|Search|Log in|Sign up|Share|Subscribe|Next|Previous|Privacy|Terms|Reply|More|Menu|Send".split("|")
+
+
 _PATHS: dict[tuple[str, ...], np.ndarray] = {}
 
 
 def path_features(path: tuple[str, ...]) -> np.ndarray:
-    """Hashed places of the tags and names on a path, and of the last block element."""
+    """Places of the elements and names on a path, and of its last block element.
+
+    Every element and name that training does not know has the same place as any other, so that a
+    made-up class never looks like one that tells something.
+    """
     known = _PATHS.get(path)
     if known is None:
-        words = {w for e in path for w in _path_words(e)}
-        block = [e for e in path if e.split(" ", 1)[0] not in INLINE]
-        if block:
-            words.add("<last>" + block[-1].split(" ", 1)[0])
-        places = {zlib.crc32(w.encode()) % TAGS for w in words}
+        places = set()
+        for element in path:
+            tag, *names = element.split(" ")
+            if tag not in ("html", "body"):
+                places.add(_PLACES.get("<" + tag, OTHER_ELEMENT))
+                places.update(_PLACES.get(n, OTHER_NAME) for n in names)
+        block = [e.split(" ", 1)[0] for e in path]
+        block = [e for e in block if e not in INLINE]
+        if block and f"<{block[-1]}" in _PLACES:
+            places.add(_LAST + _PLACES[f"<{block[-1]}"])
         if len(_PATHS) > 100_000:
             _PATHS.clear()
         known = _PATHS[path] = np.array(sorted(places), np.int64)
     return known
 
 
-def _path_words(element: str) -> Iterator[str]:
-    tag, *names = element.split(" ")
-    if tag not in ("html", "body"):
-        yield "<" + tag
-        yield from names
-
-
 def page_features(blocks: list[Block]) -> np.ndarray:
     """A row per block: tag path, hashed words, and numbers such as length and link share."""
     out = np.zeros((len(blocks), TAGS + WORDS + NUMBERS), np.float32)
@@ -208,7 +252,7 @@ def page_features(blocks: list[Block]) -> np.ndarray:
     numbers[:, 3] = [b.text.endswith((".", "!", "?", ":", '"')) for b in blocks]
     numbers[:, 4] = np.arange(len(blocks)) / len(blocks)
     numbers[:, 5] = np.log1p(len(blocks)) / 5
-    numbers[:, 6] = [sum(map(str.isdigit, b.text[:200])) / len(b.text[:200]) for b in blocks]
+    numbers[:, 6] = [sum(map(b.text.count, "0123456789")) / len(b.text) for b in blocks]
     numbers[:, 7] = length / max(1.0, float(length.sum()))
     return np.minimum(out, 4)
 
@@ -351,54 +395,68 @@ def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, lengths
 
 
-# What pages are made of for training: names of parts that hold the article, and of parts that do not.
-ARTICLE_PARTS = (
-    "article|main|main;article|div.article|div.article body|div.post|div.post content|div.entry content|div.story"
-    "|div.story body|div#content|div.main content;article|section.article|div.text|main;div.content|article;div.body"
-    "|article;section|div.page;article|div.container;article|div.wrapper;main;article"
-).split("|")
-OTHER_PARTS = (
-    "nav|nav.menu|div.menu|div.navigation|ul.nav|div.navbar|div.breadcrumbs|header|header.site header|div.header"
-    "|div.masthead|div.banner|div.topbar|footer|footer.site footer|div.footer|div.copyright|div#footer|aside"
-    "|aside.sidebar|div.sidebar|div#sidebar|div.widget|div.related|div.related posts|div.recommended|section.related"
-    "|div.notice|div.cookie|div.cookie notice|div.cookie banner|div.consent|div.gdpr|div.alert|div.warning"
-    "|div.paywall|div.popup|div.modal|div.ad|div.ads|div.advert|div.advertisement|aside.ad|div.sponsored|div.promo"
-    "|div.promotion|section.ad|form|form.search|form.login|form.newsletter|div.newsletter;form|div.subscribe"
-    "|div.signup|section.comments|div.comments|div#comments|div.comment|div.comment list|ol.comments|ul.comments"
-    "|div.reply|div.replies|div.disqus|div#disqus thread|div.discussion|div.reader comments|div.responses|div.feedback"
-    "|div.user reviews|div.share|div.social|div.tags|div.author bio|div.pagination|div.toolbar|div.disclaimer|div.legal"
-    "|div.teaser|div.teasers|div.trending|div.most read|div.sponsor|div.partner content|div.outbrain|div.taboola"
-    "|div.site notice|div#cookie consent|div.privacy notice|div.message|form.comment form|form.contact|form#poll"
-).split("|")
-#: The names of each of the other parts, without tags.
-OTHER_NAMES = {frozenset(n.split()) for part in OTHER_PARTS for n in re.findall(r"[.#]([^;]+)", part)}
-LABELS = "Home|About|Contact|Search|Log in|Sign up|Share|Subscribe|Next|Previous|Privacy|Terms|Reply|More|Menu|Send".split("|")
+_SYLLABLES = "ba co di fle gra hu jo kri lo mu nex pla qui ro sta tri vo wi xo yel zu".split()
+_UTILITIES = "mt-4|u-px2|col-md-8|css-1x2y3z|sc-bdVaJa|jsx-41|x|b12|f-g|is-on|l-s2|w-100|d-flex|js-k|c-0".split("|")
+
+
+def made_name(rng: random.Random) -> str:
+    """A class that tells nothing."""
+    if rng.random() < 0.3:
+        return rng.choice(_UTILITIES)
+    name = "".join(rng.choice(_SYLLABLES) for _ in range(rng.randint(1, 4)))
+    return rng.choice([name, name, f"{rng.choice('abcmtuxz')}-{name}", f"{name}{rng.randint(1, 99)}", name.title()])
 
 
-def _open(part: str) -> tuple[str, str]:
+def made_names(rng: random.Random, most: int = 4) -> str:
+    return " ".join(made_name(rng) for _ in range(rng.randint(1, most)))
+
+
+def _open(part: str, more: str = "") -> tuple[str, str]:
+    """The tags of a part; ``more`` are classes besides, on its first element."""
     start = end = ""
-    for piece in part.split(";"):
-        tag, kind, names = re.fullmatch(r"(\w+)([.#]?)(.*)", piece).groups()
-        attribute = {".": f' class="{names.replace(" ", "-")}"', "#": f' id="{names}"', "": ""}[kind]
-        start, end = f"{start}<{tag}{attribute}>", f"</{tag}>{end}"
+    for k, piece in enumerate(part.split(";")):
+        tag, kind, names = re.fullmatch(r"(\w+)([.#@]?)(.*)", piece).groups()
+        classes = more if k == 0 else ""
+        if kind == ".":
+            classes = f"{names.replace(' ', '-')} {classes}".strip()
+        attributes = f' class="{classes}"' if classes else ""
+        if kind in ("#", "@") and kind:
+            attributes += f' {"id" if kind == "#" else "role"}="{names.replace(" ", "-") if kind == "@" else names}"'
+        start, end = f"{start}<{tag}{attributes}>", f"</{tag}>{end}"
     return start, end
 
 
+def _neutral(rng: random.Random) -> tuple[str, str]:
+    """One or two elements that tell nothing, or only that they are some part of the page."""
+    tags = [rng.choice(["div", "div", "div", "section", "main"]) for _ in range(rng.randint(1, 3))]
+    opened = [f'<{t} class="{made_names(rng)}">' if rng.random() < 0.8 else f"<{t}>" for t in tags]
+    return "".join(opened), "".join(f"</{t}>" for t in reversed(tags))
+
+
 def made_page(sentences: list[str], rng: random.Random) -> tuple[str, str]:
-    """A page made up from sentences, with U+0001 before each block of its article."""
+    """A page made up from sentences, with U+0001 before each block of its article.
+
+    Classes that tell nothing stand on articles, on what surrounds and divides them, and on other
+    parts alike; other parts without any telling name or element hold links or labels only.
+    """
 
     def prose(least: int, most: int) -> str:
         return html.escape(" ".join(rng.choice(sentences) for _ in range(rng.randint(least, most))))
 
+    def tag(name: str) -> str:
+        return f'<{name} class="{made_names(rng, 2)}">' if rng.random() < named else f"<{name}>"
+
     def paragraphs(mark: str, inside: str) -> str:
         out = []
         if rng.random() < 0.8:
             out.append(f"<h{(k := rng.choice('112'))}>{mark}{prose(1, 1)}</h{k}>")
+            if inside and rng.random() < 0.15:
+                out.append(other())
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             text = prose(1, 6)
             if kind < 0.12:
-                out.append(f"<ul>{''.join(f'<li>{mark}{prose(1, 2)}</li>' for _ in range(rng.randint(2, 4)))}</ul>")
+                out.append(f"{tag('ul')}{''.join(f'<li>{mark}{prose(1, 2)}</li>' for _ in range(rng.randint(2, 4)))}</ul>")
             elif kind < 0.2:
                 out.append(f"<blockquote><p>{mark}{text}</p></blockquote>")
             elif kind < 0.28:
@@ -408,19 +466,25 @@ def made_page(sentences: list[str], rng: random.Random) -> tuple[str, str]:
             elif kind < 0.46:
                 out.append(f"<p>{mark}{text}<br>{mark}{prose(1, 3)}</p>")
             elif kind < 0.5:
-                out.append(f"<div>{mark}{text}</div>")
+                out.append(f"{tag('div')}{mark}{text}</div>")
             elif kind < 0.54:
                 out.append(f"<table><tr><td>{mark}{prose(1, 1)}</td><td>{mark}{prose(1, 1)}</td></tr></table>")
+            elif kind < 0.6:
+                start, end = _neutral(rng)
+                out.append(f"{start}<p>{mark}{text}</p><p>{mark}{prose(1, 4)}</p>{end}")
             else:
-                out.append(f"<p>{mark}{text}</p>")
-            if inside and rng.random() < 0.2:
+                out.append(f"{tag('p')}{mark}{text}</p>")
+            if inside and rng.random() < 0.3:
                 out.append(other())
         return "".join(out)
 
     def other() -> str:
-        part = rng.choice(OTHER_PARTS)
-        start, end = _open(part)
+        part = rng.choice(ROLE_PARTS if rng.random() < 0.2 else OTHER_PARTS)
+        start, end = _open(part, made_names(rng) if rng.random() < 0.35 else "")
         kind = rng.random()
+        if rng.random() < 0.12:  # nothing tells but what it holds
+            part, kind = "", kind * 0.3
+            start, end = _neutral(rng)
         if kind < 0.3:
             inner = "".join(f'<li><a href="/x">{rng.choice([prose(1, 1)[:25], rng.choice(LABELS)])}</a></li>' for _ in range(rng.randint(2, 8)))
             inner = f"<ul>{inner}</ul>"
@@ -429,17 +493,26 @@ def made_page(sentences: list[str], rng: random.Random) -> tuple[str, str]:
         elif kind < 0.6 or "form" in part:
             inner = f"<label>{rng.choice(LABELS)}</label><input><p>{prose(1, 1)}</p><button>{rng.choice(LABELS)}</button>"
         else:
-            inner = "".join(f"<p>{prose(1, 5)}</p>" for _ in range(rng.randint(1, 5)))
+            inner = "".join(f"{tag('p')}{prose(1, 5)}</p>" for _ in range(rng.randint(1, 5)))
             if rng.random() < 0.3:
                 inner = f"<h3>{rng.choice(LABELS)}</h3>{inner}"
+        if inner and rng.random() < 0.2:
+            around = _neutral(rng)
+            inner = f"{around[0]}{inner}{around[1]}"
         return f"{start}{inner}{end}"
 
-    start, end = _open(rng.choice(ARTICLE_PARTS))
+    named = rng.choice([0, 0.1, 0.1, 0.9])  # on some pages every paragraph has a class
+    if rng.random() < 0.5:
+        start, end = _neutral(rng)
+        if rng.random() < 0.4:
+            start, end = ("<article>" + start, end + "</article>") if rng.random() < 0.5 else (start + "<article>", "</article>" + end)
+    else:
+        start, end = _open(rng.choice(ARTICLE_PARTS), made_names(rng) if rng.random() < 0.35 else "")
     above = "".join(other() for _ in range(rng.randint(0, 4)))
     below = "".join(other() for _ in range(rng.randint(0, 5)))
     body = f"{above}{start}{paragraphs(chr(1), 'inside')}{end}{below}"
-    if rng.random() < 0.3:
-        wrap = _open(rng.choice(["div.page", "div#wrapper", "div.container", "div.site;div.layout"]))
+    if rng.random() < 0.4:
+        wrap = _open(rng.choice(WRAPPERS), made_names(rng) if rng.random() < 0.5 else "") if rng.random() < 0.6 else _neutral(rng)
         body = f"{wrap[0]}{body}{wrap[1]}"
     return f"<html><head><title>{prose(1, 1)}</title></head><body>{body}</body></html>", "\x01"
 
@@ -484,14 +557,7 @@ def labelled(sources: list[str], made: int = MADE_PAGES, seed: int = 12) -> tupl
 
 def train_labeller(sources: list[str], made: int = MADE_PAGES) -> BlockLabeller:
     pages, labels = labelled(sources, made)
-    # Random parts of the names are left out, so that the network also learns from context.
-    rng = np.random.default_rng(8)
-    features = []
-    for blocks in pages:
-        x = page_features(blocks)
-        if rng.random() < 0.25:
-            x[:, :TAGS] *= rng.random(TAGS) > 0.1
-        features.append(x)
+    features = [page_features(blocks) for blocks in pages]
     model = BlockLabeller()
     model.train(features, labels)
     return model
@@ -516,8 +582,13 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([_saved(train_labeller(sources))], pa.binary())], names=["weights"])
 
 
+#: A block is text from here on, or, where no block of a page is, from the lower bound on.
+LIKELY, AT_LEAST = 0.4, 0.2
+
+
 def main_text(blocks: list[Block], probabilities: np.ndarray) -> str:
-    return "\n".join(b.text for b, p in zip(blocks, probabilities, strict=True) if p >= 0.5)
+    bound = LIKELY if (probabilities >= LIKELY).any() else AT_LEAST
+    return "\n".join(b.text for b, p in zip(blocks, probabilities, strict=True) if p >= bound)
 
 
 def _extract(model: BlockLabeller, carry: list[str]):
