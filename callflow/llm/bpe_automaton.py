@@ -29,110 +29,117 @@ from callflow.llm.shared import importable
 class MergeAutomaton:
     """The deterministic automaton that accepts exactly the token sequences of BPE.
 
-    It starts as one state with a loop for every symbol. Each merge ``(u, v) -> w``, in
-    order, adds a gadget: the arc of ``w`` runs from wherever ``u`` and then ``v`` led
-    to where that path ended, and the state behind ``u`` is split off without its arc of
-    ``v``, so that ``u`` then ``v`` can no longer be read. The state after a token thus depends on the
-    token alone, and states are named by it. Written out, 49 thousand states with as
-    many arcs each would take gigabytes; so the gadgets are kept as tables: ``left`` and
-    ``right`` (the parts of a token), ``birth`` (the merge that made it), ``cut`` (the arc that a
-    merge removes). An arc ``p -> w`` is missing if the part of ``p`` that its state came
-    from lost it before ``p`` was made, while ``w`` still was the part it starts with; each
-    arc is worked out at its first use and then kept in the transition table.
+    State 0 is where a word begins; it has an arc for every symbol, as has the state that each
+    symbol leads to. Each merge ``(u, v) -> w``, in order, adds a gadget: a new state that is a copy
+    of the one ``v`` leads to, as it is then, an arc ``w`` to it from every state in which ``u`` and
+    then ``v`` can be read, and the state behind ``u`` loses its arc ``v``. So the state after
+    a token is known from the token, and states are numbered in the order of their gadgets.
+
+    A copy shares what it was copied from: a state holds the number of its ``origin``, the gadget
+    ``made`` that copied it, and ``lost``, the arcs that later gadgets took from it. A row of the
+    transition table, ``table[state][token]`` to the next state or -1, is filled from these as tokens are
+    met: with 49 thousand states written out it would take gigabytes. ``ARCS`` bounds the table.
     """
 
+    ARCS = 400_000
+
     def __init__(self, merges: list[tuple[str, str]], vocabulary: dict[str, int], suffix: str = ""):
-        self.vocabulary, self.suffix = vocabulary, suffix
-        # Tokens spelt backwards, as trees: those that end a word, and the others.
-        self.last: dict = {}
-        self.inner: dict = {}
+        self.suffix = suffix
+        self.state_of: dict[int, int] = {}  # the state after each token
+        self.label: dict[int, str] = {i: t for t, i in vocabulary.items()}
+        # Of a state: the state it was copied from, the gadget that made it, and lost arcs with theirs.
+        self.origin, self.made, self.lost = [-1], [-1], [{}]
+        # Of a token: the merge that made it, and its first part.
+        self.born: dict[int, int] = {}
+        self.first: dict[int, int] = {}
+        parts = {u + v for u, v in merges}
         for token, number in vocabulary.items():
-            ends = bool(suffix) and token.endswith(suffix)
-            for tree in (self.last, self.inner) if not suffix else (self.last if ends else self.inner,):
-                node = tree
-                for letter in reversed(token[: len(token) - len(suffix)] if ends else token):
-                    node = node.setdefault(letter, {})
-                node[""] = number
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
-        self.birth: dict[int, int] = {}
-        self.cut: dict[tuple[int, int], int] = {}
+            if token not in parts:
+                self.state_of[number] = self._state(-1, -1)
         for rank, (u, v) in enumerate(merges):
             self._gadget(rank, vocabulary[u], vocabulary[v], vocabulary[u + v])
-        self.label = {i: t for t, i in vocabulary.items()}
-        self.arcs: dict[int, bool] = {}
+        # Labels as a tree, to read a word's tokens from any place on; a suffix ends a word.
+        self.letters: dict = {}
+        for token, number in vocabulary.items():
+            ends = bool(suffix) and token.endswith(suffix)
+            node = self.letters
+            for letter in token[: len(token) - len(suffix)] if ends else token:
+                node = node.setdefault(letter, {})
+            if ends or not suffix:
+                node["last"] = number
+            if not ends:
+                node["token"] = number
+        self.table: list[dict[int, int]] = [{} for _ in self.origin]
+        self.filled = 0
+
+    def _state(self, origin: int, rank: int) -> int:
+        self.origin.append(origin)
+        self.made.append(rank)
+        self.lost.append({})
+        return len(self.origin) - 1
 
     def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
-        self.cut[u, v] = rank
-        if w not in self.birth:
-            self.left[w], self.right[w], self.birth[w] = u, v, rank
-
-    def has_arc(self, p: int, w: int) -> bool:
-        """Whether ``w`` can be read in the state after ``p``."""
-        key = p << 32 | w
-        known = self.arcs.get(key)
-        if known is None:
-            known = self.arcs[key] = self._arc(p, w)
-        return known
-
-    def _arc(self, p: int, w: int) -> bool:
-        until = 1 << 60  # the merge at which what came from ``state`` was split off
-        state: int | None = p
-        while state is not None:
-            first, begun = w, 1 << 60
-            while first is not None:
-                rank = self.cut.get((state, first))
-                if rank is not None and rank < until and rank <= begun and rank < 1 << 60:
+        if w in self.first:
+            raise ValueError("two merges give one token")
+        self.first[w] = u
+        if u not in self.state_of or v not in self.state_of or not self._has(self.state_of[u], v):
+            return  # earlier merges always part u from v: no path reads them, so no arc w is added
+        self.born[w] = rank
+        self.state_of[w] = self._state(self.state_of[v], rank)
+        self.lost[self.state_of[u]][v] = rank
+
+    def step(self, state: int, token: int) -> int:
+        """The state that ``token`` leads to from ``state``, or -1: one entry of the table."""
+        after = self.table[state].get(token)
+        if after is None:
+            if self.filled == self.ARCS:
+                self.table, self.filled = [{} for _ in self.origin], 0
+            found = token in self.state_of and self._has(state, token)
+            after = self.table[state][token] = self.state_of[token] if found else -1
+            self.filled += 1
+        return after
+
+    def _has(self, state: int, token: int) -> bool:
+        """Whether the gadgets so far left the arc: a copy has what its origin had when it was made,
+        and an arc ``w`` was only added where its first part could be read then."""
+        until = 1 << 60  # of the states copied from, only what came before the copy counts
+        while state > 0:
+            part, begun = token, 1 << 60
+            while part is not None:
+                rank = self.lost[state].get(part)
+                if rank is not None and rank < until and rank <= begun:
                     return False
-                begun = self.birth.get(first, -1)
-                first = self.left.get(first)
-            until = self.birth.get(state, -1)
-            state = self.right.get(state)
+                begun = self.born.get(part, -1)
+                part = self.first.get(part) if begun >= 0 else None
+            until, state = self.made[state], self.origin[state]
         return True
 
     def encode(self, word: str) -> list[int] | None:
-        """The one path of the automaton that spells the word; None if a symbol is unknown.
+        """The labels' numbers on the one path that spells the word; None if a symbol is unknown.
 
-        ``word`` is a sequence of symbols of one character, the last with the suffix.
-        The state after each prefix is unique, so the longest token that ends here and has an arc
-        from the state where it begins is the only one.
+        ``word`` is a sequence of symbols of one character, the last with the suffix. What is read
+        goes forward: exactly one path spells each prefix, so each place has one state at most, and
+        the tokens that begin there are looked up in that state's row.
         """
-        n = len(word)
-        found: list[tuple[int, int] | None] = [None] * (n + 1)  # token that ends at i, and its begin
-        open_ends: list[tuple[int, list]] = []
-
-        def endings(i: int) -> list[tuple[int, int]]:
-            """Tokens that end at ``i`` with their begins, longest last."""
-            node, out = (self.last if i == n else self.inner), []
-            while i:
-                node = node.get(word[i - 1])
+        n, step = len(word), self.step
+        states, came = [-1] * (n + 1), [None] * (n + 1)
+        states[0] = 0
+        for at in range(n):
+            state, node = states[at], self.letters
+            if state < 0:
+                continue
+            for to in range(at, n):
+                node = node.get(word[to])
                 if node is None:
                     break
-                i -= 1
-                if "" in node:
-                    out.append((node[""], i))
-            return out
-
-        if not n:
-            return []
-        open_ends.append((n, endings(n)))
-        while open_ends:
-            i, choices = open_ends[-1]
-            while choices:
-                token, begin = choices[-1]
-                if begin and found[begin] is None:
-                    open_ends.append((begin, endings(begin)))
-                    break
-                if not begin or self.has_arc(found[begin][0], token):
-                    found[i] = (token, begin)
-                    open_ends.pop()
-                    break
-                choices.pop()
-            else:
-                return None
+                token = node.get("token" if to + 1 < n else "last")
+                if token is not None and (after := step(state, token)) >= 0:
+                    states[to + 1], came[to + 1] = after, (token, at)
+        if states[n] < 0:
+            return None
         out, at = [], n
         while at:
-            token, at = found[at]
+            token, at = came[at]
             out.append(token)
         return out[::-1]
 
@@ -281,7 +288,8 @@ def encode_documents(documents: DataFrame, tokenizer: str) -> DataFrame:
 def document_digests(documents: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of what ``encode_documents`` gives.
 
-    Rows of equal doc_id stay apart, null text is empty, other columns are not read.
+    Rows of equal doc_id stay apart, null text is empty, a very long one is cut at white space,
+    an empty table gives no rows, and other columns are not read.
     """
     importable(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long"), "text")
