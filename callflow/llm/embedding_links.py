@@ -11,14 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import Forest, importable, pair_units, smallest_reachable
+from callflow.llm.shared import cells_for, importable, mix, pair_units, smallest_reachable
 from callflow.session import written
 
 #: The width of a projection's steps, in distances of the threshold.
 STEPS = 8.0
 RECALL = 0.9999
-#: Vectors of a bucket that meet in one task; larger buckets are dealt out by blocks.
+#: Members of a bucket or family that meet in one task; larger ones are dealt out by blocks.
 BLOCK_ROWS = 1024
+#: Signs of projections that stand for a vector in its buckets.
+SIGNS = 128
+#: Vectors that one task hashes, about.
+HASHED_ROWS = 1 << 14
 
 
 def collision(distance: float, width: float) -> float:
@@ -98,79 +102,149 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def sketch_bound(cosine: float, loss: float = 1e-6) -> int:
+    """The most signs of ``SIGNS`` in which a pair at the threshold differs, but with chance ``loss``."""
+    p, total = math.acos(cosine) / math.pi, 0.0
+    for k in range(SIGNS + 1):
+        total += math.comb(SIGNS, k) * p**k * (1 - p) ** (SIGNS - k)
+        if 1 - total <= loss:
+            return k
+    return SIGNS
+
+
 def _buckets(cosine: float, projections: int, tables: int):
+    """A row per vector and table: bucket, number of the vector, and the signs of its projections on 128 lines."""
+
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[int, PStable] = {}
+        hashes: dict[int, tuple[PStable, np.ndarray]] = {}
         for batch in batches:
-            sizes = batch["size"].to_numpy()
+            sizes, numbers = batch["size"].to_numpy(), batch["number"].to_numpy()
             data = batch["data"].to_pylist()
             for size in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == size)
                 if size not in hashes:
-                    hashes[size] = PStable(size, cosine, projections, tables)
+                    lines = np.random.default_rng(17 + size).standard_normal((size, SIGNS))
+                    hashes[size] = PStable(size, cosine, projections, tables), lines
                 for part in np.array_split(rows, -(-len(rows) // 1000)):
-                    keys = hashes[size].keys(np.stack([_vector(data[k], size) for k in part]))
-                    again = pa.array(np.repeat(part, tables))
-                    all_keys = pa.array([k.astype("<i4").tobytes() for k in keys], pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.tile(np.arange(tables, dtype=np.int32), len(part))),
-                            batch["size"].take(again),
-                            pa.array(keys.reshape(-1)),
-                            batch["class"].take(again),
-                            batch["copies"].take(again),
-                            batch["data"].take(again),
-                            all_keys.take(pa.array(np.repeat(np.arange(len(part)), tables))),
-                        ],
-                        names=["table", "size", "key", "class", "copies", "data", "keys"],
-                    )
+                    units = np.stack([_vector(data[k], size) for k in part])
+                    table, lines = hashes[size]
+                    keys = table.keys(units).astype(np.int64).astype(np.uint64)
+                    keys = mix((keys << np.uint64(24)) + np.arange(tables, dtype=np.uint64) + (np.uint64(size) << np.uint64(12)))
+                    signs = np.packbits(units @ lines > 0, axis=1).view("<i8")
+                    columns = [keys.view(np.int64).reshape(-1), np.repeat(numbers[part], tables)]
+                    columns += [np.repeat(signs[:, k], tables) for k in range(2)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "number", "s0", "s1"])
 
     return buckets
 
 
+def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least index that each of 0..n-1 reaches over the pairs."""
+    label = np.arange(n)
+    while len(u):
+        least = np.minimum(label[u], label[v])
+        np.minimum.at(label, u, least)
+        np.minimum.at(label, v, least)
+        label = label[label]
+        open_pairs = label[u] != label[v]
+        u, v = u[open_pairs], v[open_pairs]
+    while (label[label] != label).any():
+        label = label[label]
+    return label
+
+
+def _near(bound: int):
+    """Edges that span what is near by its signs inside each unit of a bucket; all of a unit's rows take part."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for units in unit_groups(batches, ["bucket", "first", "second"], 1 << 15):
+            unit, signs = units["unit"], np.stack([units["s0"], units["s1"]], axis=1).view(np.uint64)
+            label, at, lag = np.arange(len(unit)), np.arange(len(unit)), 1
+            pairs: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
+            while True:
+                at = at[: np.searchsorted(at, len(unit) - lag)]
+                at = at[unit[at + lag] == unit[at]]
+                if not len(at):
+                    break
+                apart = at[label[at] != label[at + lag]]
+                close = apart[np.bitwise_count(signs[apart] ^ signs[apart + lag]).sum(axis=1, dtype=np.int64) <= bound]
+                if len(close):
+                    pairs.append((close, close + lag))
+                    held += len(close)
+                lag += 1
+                if held > 1 << 16:
+                    pairs.append((label, np.arange(len(unit))))
+                    label, pairs, held = components(len(unit), *map(np.concatenate, zip(*pairs, strict=True))), [], 0
+            if pairs:
+                pairs.append((label, np.arange(len(unit))))
+                label = components(len(unit), *map(np.concatenate, zip(*pairs, strict=True)))
+            own = np.flatnonzero(label != np.arange(len(unit)))
+            if len(own):
+                number = units["number"]
+                yield pa.RecordBatch.from_arrays([pa.array(number[own]), pa.array(number[label[own]])], names=["a", "b"])
+
+    return near
+
+
+def unit_groups(batches: Iterator[pa.RecordBatch], by: list[str], most: int) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of whole units (runs of rows that agree in ``by``) from sorted batches, with ``unit``
+    telling them apart; several units together while they have up to ``most`` rows."""
+    kept: dict[str, list[np.ndarray]] = {}
+    for batch in batches:
+        for name in batch.schema.names:
+            kept.setdefault(name, []).append(batch[name].to_numpy())
+        if sum(map(len, kept[by[0]])) < most:
+            continue
+        whole = {name: np.concatenate(parts) for name, parts in kept.items()}
+        cuts = _unit_cuts(whole, by)
+        last = int(cuts[-1]) if len(cuts) else 0
+        if last:
+            yield {n: c[:last] for n, c in whole.items()} | {"unit": np.searchsorted(cuts, np.arange(last), "right")}
+        kept = {name: [column[last:]] for name, column in whole.items()}
+    if kept and sum(map(len, kept[by[0]])):
+        whole = {name: np.concatenate(parts) for name, parts in kept.items()}
+        cuts = _unit_cuts(whole, by)
+        yield whole | {"unit": np.searchsorted(cuts, np.arange(len(whole[by[0]])), "right")}
+
+
+def _unit_cuts(columns: dict[str, np.ndarray], by: list[str]) -> np.ndarray:
+    """Where another unit begins."""
+    other = np.zeros(max(0, len(columns[by[0]]) - 1), bool)
+    for name in by:
+        other |= columns[name][1:] != columns[name][:-1]
+    return np.flatnonzero(other) + 1
+
+
 def _meet(cosine: float):
-    """Links inside the units of one table: per class its links, and edges that span them."""
+    """Links inside the units of a family: per vector its links, and edges that span them."""
 
-    def links(unit) -> tuple[list, list, list]:
-        table, block = unit["table"][0], unit["block"]
-        first, second = unit["first"][0], unit["second"][0]
-        names, copies = unit["class"], unit["copies"]
+    def links(unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        block, first, second = unit["block"], unit["first"][0], unit["second"][0]
+        numbers, copies = unit["number"], unit["copies"]
         vectors = np.stack([_vector(d, int(unit["size"][0])) for d in unit["data"]])
-        keys = np.stack([np.frombuffer(k, "<i4") for k in unit["keys"]])
         left = np.flatnonzero(block == first)
         right = left if first == second else np.flatnonzero(block == second)
-        degree, forest = np.zeros(len(names), np.int64), Forest(len(names))
+        degree, label = np.zeros(len(numbers), np.int64), np.arange(len(numbers))
         for start in range(0, len(left), 256):
             part = left[start : start + 256]
             x, y = np.nonzero(vectors[part] @ vectors[right].T >= cosine)
             x, y = part[x], right[y]
             if first == second:
                 x, y = x[x < y], y[x < y]
-            # A pair counts in the first table where it meets, and in no other.
-            for at in range(0, len(x), 1 << 16):
-                u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                own = (keys[u] == keys[v]).argmax(axis=1) == table
-                u, v = u[own], v[own]
-                degree += np.bincount(u, copies[v], len(names)).astype(np.int64)
-                degree += np.bincount(v, copies[u], len(names)).astype(np.int64)
-                for a, b in zip(u.tolist(), v.tolist(), strict=True):
-                    forest.join(a, b)
+            degree += np.bincount(x, copies[y], len(numbers)).astype(np.int64)
+            degree += np.bincount(y, copies[x], len(numbers)).astype(np.int64)
+            apart = label[x] != label[y]
+            label = components(len(numbers), np.r_[x[apart], label], np.r_[y[apart], np.arange(len(numbers))])
         touched = np.flatnonzero(degree)
-        return (
-            [names[k] for k in touched],
-            degree[touched].tolist(),
-            [names[forest.find(k)] for k in touched.tolist()],
-        )
+        return numbers[touched], degree[touched], numbers[label[touched]]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in whole_units(batches, ["table", "size", "key", "first", "second"]):
-            if len(unit["table"]) > 1:
+        for unit in whole_units(batches, ["root", "first", "second"]):
+            if len(unit["number"]) > 1:
                 found = links(unit)
-                if found[0]:
-                    kinds = (pa.binary(), pa.int64(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(found, kinds, strict=True)], names=["class", "links", "root"]
-                    )
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["number", "links", "root"])
 
     return meet
 
@@ -211,15 +285,16 @@ def _columns(parts: list[pa.RecordBatch]) -> dict:
 def link_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors(vec_id, embedding)``.
 
-    Rows whose unit vectors are equal bit for bit are one class with a number of
-    copies. Classes are hashed into the buckets of several tables; as many tables as
-    a pair at the threshold needs to meet with chance ``recall``. Members of a bucket are
-    compared exactly, in double precision, in units of two blocks at most, so no task holds a
-    large bucket; a pair counts in the first table where it meets. What leaves a
-    unit is a row per member: its links there, and an edge of a spanning forest.
-    A vector that is null, empty, zero or holds null or non-finite components links with
-    nothing. Vectors of different length never link. Rows with equal vec_id are rows
-    of their own; one without vec_id takes part, and is kept if it is alone.
+    Rows whose unit vectors are equal bit for bit are one class with a number of copies. Classes are
+    hashed into the buckets of several tables; as many tables as a pair at the threshold needs to
+    meet with chance ``recall``. A bucket holds numbers of classes and 128 signs of projections, 40
+    bytes in place of the vector: those of its members that differ in so few signs as a pair at
+    the threshold does are joined, all tables' edges together make families, and only in families the
+    vectors meet. There all pairs are compared exactly, in double precision, each in one unit of two
+    blocks at most, so no task holds a large bucket or family, and a link inside a family is found
+    whatever the tables missed. A vector that is null, empty, zero or holds null or non-finite
+    components links with nothing. Vectors of different length never link. Rows with equal vec_id are
+    rows of their own; one without vec_id takes part, and is kept if it is alone.
     Other columns are not read; an empty table gives no rows.
     """
     importable(vectors.sparkSession)
@@ -228,35 +303,41 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = RECAL
     classes = written(
         rows.where("class IS NOT NULL")
         .groupBy("class")
-        .agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("data").alias("data")),
+        .agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("data").alias("data"))
+        .withColumn("number", F.monotonically_increasing_id()),
         "classes",
     )
-    projections = projections_for(classes.count())
+    count = classes.count()
+    projections = projections_for(count)
     tables = tables_for(cosine, projections, recall)
+    spread = classes.select("number", "size", "data").repartition(cells_for(count, HASHED_ROWS, 2), "number")
     buckets = written(
-        classes.repartition("class").mapInArrow(
-            _buckets(cosine, projections, tables),
-            "table int, size int, key int, class binary, copies long, data binary, keys binary",
-        ),
-        "buckets",
+        spread.mapInArrow(_buckets(cosine, projections, tables), "bucket long, number long, s0 long, s1 long"), "buckets"
     )
-    by = ["table", "size", "key", "first", "second"]
-    units = pair_units(buckets, ["table", "size", "key"], F.col("class"), BLOCK_ROWS)
+    units = pair_units(buckets, ["bucket"], F.col("number"), BLOCK_ROWS)
+    by = ["bucket", "first", "second"]
+    near = units.repartition(*by).sortWithinPartitions(*by, "number").select(*by, "number", "s0", "s1")
+    edges = near.mapInArrow(_near(sketch_bound(cosine)), "a long, b long").distinct()
+    families = smallest_reachable(edges)
+    together = classes.join(families.withColumnRenamed("node", "number"), "number")
+    together = written(together.select("root", "number", "copies", "size", "data"), "families")
+    by = ["root", "first", "second"]
+    units = pair_units(together, ["root"], F.col("number"), BLOCK_ROWS)
     found = written(
-        units.repartition(*by).sortWithinPartitions(*by, "class").mapInArrow(
-            _meet(cosine), "class binary, links long, root binary"
+        units.repartition(*by).sortWithinPartitions(*by, "number").mapInArrow(
+            _meet(cosine), "number long, links long, root long"
         ),
         "links",
     )
-    degrees = found.groupBy("class").agg(F.sum("links").alias("links"))
-    roots = smallest_reachable(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
+    degrees = found.groupBy("number").agg(F.sum("links").alias("links"))
+    roots = smallest_reachable(found.select(F.col("number").alias("a"), F.col("root").alias("b")))
     named = (
-        classes.select("class", "copies")
-        .join(degrees, "class", "left")
-        .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+        classes.select("class", "number", "copies")
+        .join(degrees, "number", "left")
+        .join(roots.select(F.col("node").alias("number"), "root"), "number", "left")
         .select(
             "class",
-            F.coalesce("root", "class").alias("root"),
+            F.coalesce("root", "number").alias("root"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
@@ -274,4 +355,4 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = RECAL
     )
 
 
-__all__ = ["PStable", "link_vectors", "tables_for", "whole_units"]
+__all__ = ["PStable", "components", "link_vectors", "sketch_bound", "tables_for", "whole_units"]
