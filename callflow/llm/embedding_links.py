@@ -112,28 +112,52 @@ def sketch_bound(cosine: float, loss: float = 1e-6) -> int:
     return SIGNS
 
 
-def _buckets(cosine: float, projections: int, tables: int):
-    """A row per vector and table: bucket, number of the vector, and the signs of its projections on 128 lines."""
+class Hashes:
+    """Buckets and signs of unit vectors of any size, the same in every task."""
+
+    def __init__(self, cosine: float, projections: int, tables: int):
+        self.given, self.of_size = (cosine, projections, tables), {}
+
+    def __call__(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Numbers, buckets (a column per table) and signs (two words) of some vectors at a time."""
+        sizes, numbers, data = batch["size"].to_numpy(), batch["number"].to_numpy(), batch["data"].to_pylist()
+        tables = self.given[2]
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            if size not in self.of_size:
+                lines = np.random.default_rng(17 + size).standard_normal((size, SIGNS))
+                self.of_size[size] = PStable(size, *self.given), lines
+            table, lines = self.of_size[size]
+            for part in np.array_split(rows, -(-len(rows) // 1000)):
+                units = np.stack([_vector(data[k], size) for k in part])
+                keys = table.keys(units).astype(np.int64).astype(np.uint64) << np.uint64(24)
+                keys = mix(keys + np.arange(tables, dtype=np.uint64) + (np.uint64(size) << np.uint64(12)))
+                yield numbers[part], keys.view(np.int64), np.packbits(units @ lines > 0, axis=1).view("<i8")
+
+
+def _cells(hashes: Hashes, cells: int):
+    """How many rows of a task fall in each of some cells of buckets."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            for _, keys, _ in hashes(batch):
+                total += np.bincount(keys.reshape(-1) % cells, minlength=cells)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["cell", "n"])
+
+    return count
+
+
+def _buckets(hashes: Hashes):
+    """A row per vector and table: bucket, number of the vector, and its signs."""
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[int, tuple[PStable, np.ndarray]] = {}
         for batch in batches:
-            sizes, numbers = batch["size"].to_numpy(), batch["number"].to_numpy()
-            data = batch["data"].to_pylist()
-            for size in np.unique(sizes).tolist():
-                rows = np.flatnonzero(sizes == size)
-                if size not in hashes:
-                    lines = np.random.default_rng(17 + size).standard_normal((size, SIGNS))
-                    hashes[size] = PStable(size, cosine, projections, tables), lines
-                for part in np.array_split(rows, -(-len(rows) // 1000)):
-                    units = np.stack([_vector(data[k], size) for k in part])
-                    table, lines = hashes[size]
-                    keys = table.keys(units).astype(np.int64).astype(np.uint64)
-                    keys = mix((keys << np.uint64(24)) + np.arange(tables, dtype=np.uint64) + (np.uint64(size) << np.uint64(12)))
-                    signs = np.packbits(units @ lines > 0, axis=1).view("<i8")
-                    columns = [keys.view(np.int64).reshape(-1), np.repeat(numbers[part], tables)]
-                    columns += [np.repeat(signs[:, k], tables) for k in range(2)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "number", "s0", "s1"])
+            for numbers, keys, signs in hashes(batch):
+                tables = keys.shape[1]
+                columns = [keys.reshape(-1), np.repeat(numbers, tables), *(np.repeat(signs[:, k], tables) for k in range(2))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "number", "s0", "s1"])
 
     return buckets
 
@@ -153,32 +177,41 @@ def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return label
 
 
-def _near(bound: int):
-    """Edges that span what is near by its signs inside each unit of a bucket; all of a unit's rows take part."""
+#: Units of fewer rows are compared by lags, all together; others by a product of their signs.
+SMALL_UNIT = 24
+
+
+def _near(bound: int, by: list[str]):
+    """Edges that span what is near by its signs inside each unit of a bucket."""
+
+    def joined(signs: np.ndarray) -> np.ndarray:
+        """The least row that each row of a unit reaches over near pairs."""
+        x = np.unpackbits(signs.view(np.uint8).reshape(len(signs), -1), axis=1).astype(np.float32) * 2 - 1
+        label = np.arange(len(x))
+        for start in range(0, len(x), 512):
+            u, v = np.nonzero(x[start : start + 512] @ x[start:].T >= SIGNS - 2 * bound)
+            u, v = u + start, v + start
+            apart = label[u] != label[v]
+            label = components(len(x), np.r_[u[apart], label], np.r_[v[apart], np.arange(len(x))])
+        return label
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for units in unit_groups(batches, ["bucket", "first", "second"], 1 << 15):
+        for units in unit_groups(batches, by, 1 << 15):
             unit, signs = units["unit"], np.stack([units["s0"], units["s1"]], axis=1).view(np.uint64)
-            label, at, lag = np.arange(len(unit)), np.arange(len(unit)), 1
-            pairs: list[tuple[np.ndarray, np.ndarray]] = []
-            held = 0
-            while True:
+            sizes = np.bincount(unit)
+            ends = np.cumsum(sizes)
+            label = np.arange(len(unit))
+            for k in np.flatnonzero(sizes >= SMALL_UNIT).tolist():
+                start = int(ends[k] - sizes[k])
+                label[start : ends[k]] = joined(signs[start : ends[k]]) + start
+            at, pairs = np.flatnonzero(sizes[unit] < SMALL_UNIT), []
+            for lag in range(1, SMALL_UNIT):
                 at = at[: np.searchsorted(at, len(unit) - lag)]
                 at = at[unit[at + lag] == unit[at]]
-                if not len(at):
-                    break
-                apart = at[label[at] != label[at + lag]]
-                close = apart[np.bitwise_count(signs[apart] ^ signs[apart + lag]).sum(axis=1, dtype=np.int64) <= bound]
-                if len(close):
-                    pairs.append((close, close + lag))
-                    held += len(close)
-                lag += 1
-                if held > 1 << 16:
-                    pairs.append((label, np.arange(len(unit))))
-                    label, pairs, held = components(len(unit), *map(np.concatenate, zip(*pairs, strict=True))), [], 0
-            if pairs:
-                pairs.append((label, np.arange(len(unit))))
-                label = components(len(unit), *map(np.concatenate, zip(*pairs, strict=True)))
+                close = at[np.bitwise_count(signs[at] ^ signs[at + lag]).sum(axis=1, dtype=np.int64) <= bound]
+                pairs.append((close, close + lag))
+            pairs.append((label, np.arange(len(unit))))
+            label = components(len(unit), *map(np.concatenate, zip(*pairs, strict=True)))
             own = np.flatnonzero(label != np.arange(len(unit)))
             if len(own):
                 number = units["number"]
@@ -304,20 +337,31 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95, recall: float = RECAL
         rows.where("class IS NOT NULL")
         .groupBy("class")
         .agg(F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("data").alias("data"))
-        .withColumn("number", F.monotonically_increasing_id()),
+        .withColumn("number", F.monotonically_increasing_id())
+        .repartition(cells_for(rows.count(), HASHED_ROWS, 2), "number"),  # as many tasks hash them
         "classes",
     )
     count = classes.count()
     projections = projections_for(count)
     tables = tables_for(cosine, projections, recall)
-    spread = classes.select("number", "size", "data").repartition(cells_for(count, HASHED_ROWS, 2), "number")
-    buckets = written(
-        spread.mapInArrow(_buckets(cosine, projections, tables), "bucket long, number long, s0 long, s1 long"), "buckets"
-    )
-    units = pair_units(buckets, ["bucket"], F.col("number"), BLOCK_ROWS)
-    by = ["bucket", "first", "second"]
-    near = units.repartition(*by).sortWithinPartitions(*by, "number").select(*by, "number", "s0", "s1")
-    edges = near.mapInArrow(_near(sketch_bound(cosine)), "a long, b long").distinct()
+    spread = classes.select("number", "size", "data")
+    hashes = Hashes(cosine, projections, tables)
+    # Cells with no more rows than a unit hold no large bucket; buckets of others are measured and dealt out.
+    cells = cells_for(count * tables, BLOCK_ROWS // 4)
+    counted = spread.mapInArrow(_cells(hashes, cells), "cell long, n long")
+    full = written(counted.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK_ROWS).select("cell"), "full")
+    rows_of = spread.mapInArrow(_buckets(hashes), "bucket long, number long, s0 long, s1 long")
+    cell, edge = F.pmod("bucket", F.lit(cells)), "a long, b long"
+    near = _near(sketch_bound(cosine), ["bucket"])
+    loose = rows_of.join(full, cell == F.col("cell"), "left_anti")
+    edges = loose.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(near, edge)
+    if not full.isEmpty():
+        by = ["bucket", "first", "second"]
+        dense = written(rows_of.join(full, cell == F.col("cell"), "left_semi"), "dense")
+        units = pair_units(dense, ["bucket"], F.col("number"), BLOCK_ROWS).select(*by, "number", "s0", "s1")
+        units = units.repartition(*by).sortWithinPartitions(*by)
+        edges = edges.unionByName(units.mapInArrow(_near(sketch_bound(cosine), by), edge))
+    edges = edges.distinct()
     families = smallest_reachable(edges)
     together = classes.join(families.withColumnRenamed("node", "number"), "number")
     together = written(together.select("root", "number", "copies", "size", "data"), "families")
