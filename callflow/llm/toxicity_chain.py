@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callflow.llm.shared import importable
@@ -18,21 +18,20 @@ from callflow.session import written
 
 #: Labelled documents that the chain is fitted on, at most; half of each kind where both abound.
 LABELLED_ROWS = 20_000
-#: Words and stems it may use, at most: those most tied to the toxic label.
-VOCABULARY = 512
+#: Words and stems that it uses stand so many standard deviations more often in documents of a kind
+#: than in the others; there is no bound on their number.
+BAR = 4.0
 #: Letters of the beginnings that count as stems, written with a star.
 STEMS = (4, 5, 6)
 #: Toxic documents of the sample that a word must occur in.
 LEAST_TOXIC = 3
 FOLDS = 3
 
-#: Categories before the last, by words that mark them in a toxic document. The last is
-#: the label itself, which also holds toxic documents of languages without such words here.
-CATEGORIES = {
-    "insult": ("clown", "idiot", "loser", "moron", "stupid"),
-    "contempt": ("disgusting", "pathetic", "scum", "trash", "worthless"),
-}
-LAST = "toxic"
+#: Kinds that toxic documents of the sample are clustered into.
+KINDS = 2
+#: The links in their order: documents labelled of low quality, the kinds of toxic documents, and the label itself.
+LOW, LAST = "low_quality", "toxic"
+NAMES = [LOW, *[f"kind_{k + 1}" for k in range(KINDS)], LAST]
 _WORD = re.compile(r"\w+")
 
 
@@ -123,11 +122,57 @@ def among_all(probabilities: list[float], weights: tuple[float, float]) -> list[
     if toxic == clean:
         return probabilities
     last = probabilities[-1]
-    return [min(1.0, p * toxic / (last * toxic + (1 - last) * clean)) for p in probabilities]
+    rest = last * toxic + (1 - last) * clean
+    # Low quality, where it is a link, is no part of toxic: it stays as it is.
+    whole = len(probabilities) - len(NAMES) + 1 if len(probabilities) == len(NAMES) else 0
+    return [p if k < whole else min(1.0, p * toxic / rest) for k, p in enumerate(probabilities)]
+
+
+def kinds_of(rows: np.ndarray, columns: np.ndarray, n: int, width: int, toxic: np.ndarray, kinds: int = KINDS):
+    """A function that clusters the toxic documents of some rows, and tells the kind of any document or -1.
+
+    Spherical k-means over the features that a document holds, from seeds that lie far apart. What
+    is clustered inside a fold starts from the centres over all rows, so that kinds keep their numbers.
+    """
+    size = np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
+    value = 1 / size[rows]
+
+    def towards(centre: np.ndarray) -> np.ndarray:
+        return np.bincount(rows, value * centre[columns], n)
+
+    def mean_of(chosen: np.ndarray) -> np.ndarray:
+        held = chosen[rows]
+        total = np.bincount(columns[held], value[held], width)
+        return total / max(1e-12, np.sqrt(total @ total))
+
+    def cluster(inside: np.ndarray, centres: list[np.ndarray] | None) -> tuple[np.ndarray, list[np.ndarray]]:
+        some = toxic & inside
+        if centres is None:
+            centres = [mean_of(some)]
+            nearest = np.full(n, -np.inf)
+            for _ in range(kinds):
+                nearest = np.maximum(nearest, towards(centres[-1]))
+                far = np.where(some & (size > 1), nearest, np.inf)
+                first = np.zeros(n, bool)
+                first[int(np.argmin(far))] = True
+                centres.append(mean_of(first))
+            centres = centres[1:]
+        kind = np.zeros(n, int)
+        for _ in range(10):
+            kind = np.argmax(np.column_stack([towards(c) for c in centres]), axis=1)
+            centres = [mean_of(some & (kind == k)) if (some & (kind == k)).any() else c for k, c in enumerate(centres)]
+        return np.where(toxic, kind, -1), centres
+
+    everything, shared = cluster(np.ones(n, bool), None)
+
+    def kind(inside: np.ndarray) -> np.ndarray:
+        return everything if inside.all() else cluster(inside, shared)[0]
+
+    return kind
 
 
 def fit_chain(
-    words: list[str], features: list[list[int]], labels: dict[str, np.ndarray], folds: int = FOLDS,
+    words: list[str], features: list[list[int]], labels: dict[str, np.ndarray | Callable], folds: int = FOLDS,
     weights: tuple[float, float] = (1.0, 1.0),
 ) -> Chain:
     """Fit the links in the order of ``labels``; ``weights`` count for the threshold and the probabilities.
@@ -135,7 +180,8 @@ def fit_chain(
     The links are fitted on the sample as it is: weighted by kind, the loss of rare toxic documents
     would vanish beside the penalty.
     What a later link learns from are out-of-fold probabilities of the earlier ones: a
-    document's own label never made the probability that it is trained with.
+    document's own label never made the probability that it is trained with. A label that is a function gives the
+    targets as far as the rows inside a mask tell.
     """
     n = len(features)
     rows = np.repeat(np.arange(n), [len(f) for f in features])
@@ -143,15 +189,18 @@ def fit_chain(
     fold = np.arange(n) % folds
     dense = np.zeros((n, 0))
     links = []
-    for name, target in labels.items():
-        target = target.astype(np.float64)
+    everything = np.ones(n, bool)
+    for name, label in labels.items():
+        target_of = label if callable(label) else lambda _, label=label: label
+        target = target_of(everything).astype(np.float64)
         links.append((name, fit_linear(rows, columns, dense, target, len(words))))
         outside = np.zeros(n)
         for k in range(folds):
             inside = fold != k
             place = np.cumsum(inside) - 1
             bits = inside[rows]
-            part = fit_linear(place[rows[bits]], columns[bits], dense[inside], target[inside], len(words))
+            known = target_of(inside)[inside].astype(np.float64)
+            part = fit_linear(place[rows[bits]], columns[bits], dense[inside], known, len(words))
             z = np.bincount(rows, part.weights[columns], n) + dense @ part.dense + part.bias
             outside[~inside] = sigmoid(z[~inside])
         dense = np.column_stack([dense, outside])
@@ -159,6 +208,18 @@ def fit_chain(
     return Chain({w: i for i, w in enumerate(words)}, links, among_all([threshold], weights)[0], weights)
 
 
+def chain_labels(features: list[list[int]], width: int, low: np.ndarray, toxic: np.ndarray) -> dict:
+    """The targets of the links: low quality, each kind of toxic documents, toxic."""
+    n = len(features)
+    rows = np.repeat(np.arange(n), [len(f) for f in features])
+    columns = np.array([c for f in features for c in f], np.int64)
+    kind = kinds_of(rows, columns, n, width, toxic)
+    found: dict[str, np.ndarray | Callable] = {LOW: low}
+    for k, name in enumerate(NAMES[1:-1]):
+        found[name] = lambda inside, k=k: kind(inside) == k
+    return found | {LAST: toxic}
+
+
 def best_threshold(
     probabilities: np.ndarray, target: np.ndarray, weights: tuple[float, float] = (1.0, 1.0)
 ) -> float:
@@ -181,26 +242,38 @@ def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch["_doc"],
                 batch["_toxic"],
+                batch["_low"],
                 pa.array([sorted(with_stems(words_of(t))) for t in batch["text"].to_pylist()], pa.list_(pa.string())),
             ],
-            names=["doc_id", "toxic", "words"],
+            names=["doc_id", "toxic", "low", "words"],
         )
 
 
+def _excess(of: Column, of_all: int, others: Column, others_all: int) -> Column:
+    """How many standard deviations a word is more frequent in some documents than in the others."""
+    rate = (of + others) / (of_all + others_all)
+    spread = rate * (1 - rate) * (1 / max(1, of_all) + 1 / max(1, others_all))
+    return (of / max(1, of_all) - others / max(1, others_all)) / F.sqrt(spread + 1e-12)
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Chain | None:
     """The chain for labelled ``documents``; None if no toxic or no clean one is among them.
 
-    ``labels(doc_id, toxic)``: rows without either are left out, as are those of ids that ``documents``
-    does not hold, and of several for a document the toxic one holds. The sample is, of each kind, the ids with the
+    ``labels(doc_id, toxic, quality)``, quality if there is one: rows without id or toxic are left out, as are
+    those of ids that ``documents`` does not hold, and of several for a document the toxic one and the low quality
+    hold. The sample is, of each kind, the ids with the
     least hash, half of ``rows`` or what the other kind leaves, so it is the same in any
-    run; of several rows of an id it holds the text with the least hash. Its words are counted by Spark and only chosen words' numbers are collected.
+    run; of several rows of an id it holds the text with the least hash. Its words are counted by Spark. Those that
+    stand ``BAR`` standard deviations more often in toxic documents than in clean ones, or in low ones than in others,
+    are the features; they and which documents hold them are collected, which the sample bounds.
     """
     importable(documents.sparkSession)
     present = documents.select(F.col("doc_id").cast("long").alias("_doc")).distinct()
+    low = F.coalesce(F.col("quality") == 0, F.lit(False)) if "quality" in labels.columns else F.lit(False)
     labelled = written(
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("_doc"))
-        .agg(F.max("toxic").cast("int").alias("_toxic"))
+        .agg(F.max("toxic").cast("int").alias("_toxic"), F.max(low).alias("_low"))
         .join(present, "_doc", "left_semi"),
         "labels",
     )
@@ -219,34 +292,30 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
     texts = documents.select(F.col("doc_id").cast("long").alias("_doc"), "text")
     # One row per id, reduced within each task before any text moves: ids may be shared by many rows.
     text = F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text").alias("text"))
-    found = texts.join(F.broadcast(chosen), "_doc").groupBy("_doc", "_toxic").agg(F.min(text).alias("first"))
-    sample = found.select("_doc", "_toxic", F.col("first.text").alias("text"))
-    sample = written(sample.mapInArrow(_word_lists, "doc_id long, toxic int, words array<string>"), "labelled")
-    clean, toxic = (sample.where(f"toxic {how} 0").count() for how in ("=", "<>"))
-    rate = (F.col("bad") + F.col("good")) / (clean + toxic)
-    score = (F.col("bad") / toxic - F.col("good") / clean) / F.sqrt(rate * (1 - rate) + 1e-9)
+    found = texts.join(F.broadcast(chosen), "_doc").groupBy("_doc", "_toxic", "_low").agg(F.min(text).alias("first"))
+    sample = found.select("_doc", "_toxic", "_low", F.col("first.text").alias("text"))
+    schema = "doc_id long, toxic int, low boolean, words array<string>"
+    sample = written(sample.mapInArrow(_word_lists, schema), "labelled")
+    is_bad, is_low = F.col("toxic") != 0, F.col("low")
+    bad, low, size = sample.agg(F.count_if(is_bad), F.count_if(is_low), F.count(F.lit(1))).first()
     counted = (
-        sample.select("toxic", F.explode("words").alias("word"))
+        sample.select("toxic", "low", F.explode("words").alias("word"))
         .groupBy("word")
-        .agg(
-            F.count_if(F.col("toxic") != 0).alias("bad"),
-            F.count_if(F.col("toxic") == 0).alias("good"),
-        )
-        .where(F.col("bad") >= min(LEAST_TOXIC, toxic))
-        .orderBy(score.desc(), "word")
-        .limit(VOCABULARY)
+        .agg(F.count_if(is_bad).alias("bad"), F.count_if(is_low).alias("poor"), F.count(F.lit(1)).alias("all"))
+    )
+    tells_bad = (_excess(F.col("bad"), bad, F.col("all") - F.col("bad"), size - bad) >= BAR) & (
+        F.col("bad") >= min(LEAST_TOXIC, bad)
+    )
+    tells_low = (_excess(F.col("poor"), low, F.col("all") - F.col("poor"), size - low) >= BAR) & (
+        F.col("poor") >= LEAST_TOXIC
     )
-    words = [r.word for r in counted.select("word").collect()]
+    words = [r.word for r in counted.where(tells_bad | tells_low).select("word").orderBy("word").collect()]
     index = {w: i for i, w in enumerate(words)}
-    marks = [F.arrays_overlap("words", F.array(*map(F.lit, m))).alias(n) for n, m in CATEGORIES.items()]
     known = F.array_intersect("words", F.lit(words)).alias("words") if words else F.lit([]).cast("array<string>")
-    found = sample.select("doc_id", "toxic", known.alias("words"), *marks).orderBy(F.xxhash64("doc_id")).collect()
-    bad = np.array([r.toxic != 0 for r in found])
-    targets = {name: bad & np.array([r[name] for r in found]) for name in CATEGORIES}
-    return fit_chain(words, [[index[w] for w in r.words] for r in found], targets | {LAST: bad}, weights=weights)
-
-
-NAMES = [*CATEGORIES, LAST]
+    found = sample.select("doc_id", "toxic", "low", known.alias("words")).orderBy(F.xxhash64("doc_id")).collect()
+    toxic, poor = np.array([r.toxic != 0 for r in found]), np.array([r.low for r in found])
+    features = [[index[w] for w in r.words] for r in found]
+    return fit_chain(words, features, chain_labels(features, len(words), poor, toxic), weights=weights)
 
 
 def _score(chain: Chain | None, carry: list[str], text: str, threshold: float | None):
@@ -275,7 +344,7 @@ def classify(
     documents: DataFrame, labels: DataFrame, carry: list[str], text: str = "text",
     threshold: float | None = None,
 ) -> DataFrame:
-    """``carry`` columns with p_insult, p_contempt, p_toxic, toxic and kept of every text.
+    """``carry`` columns with p_low_quality, p_kind_1, p_kind_2, p_toxic, toxic and kept of every text.
 
     Whole texts are scored in one pass without a shuffle, against ``threshold`` or else the one at
     which out-of-fold probabilities of the labelled sample part best. A null or empty text has no
@@ -297,12 +366,16 @@ def _id(documents: DataFrame, carry: list[str]) -> str:
 
 
 def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the probability of each category, toxic and kept for every document."""
+    """doc_id, the probability of each category, toxic and kept for every document.
+
+    Null, empty and very long texts, repeated rows and empty tables are as for ``classify``; other columns
+    are not read.
+    """
     return classify(documents.select("doc_id", "text"), labels, ["doc_id"])
 
 
 def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not toxic, with their own columns, whatever their names."""
+    """The documents that are not toxic, with their own columns, whatever their names; see ``classify``."""
     names = documents.columns
     order = ["doc_id", *[n for n in names if n != "doc_id"]]
     plain = documents.select(*order).toDF(*[f"c{k}" for k in range(len(order))])
