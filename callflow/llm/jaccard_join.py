@@ -142,7 +142,8 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
     rows = written(started.mapInArrow(_split(1, root=True), names), "paths")
     edges = []
     for depth in range(DEPTH + 1):
-        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        # Written, as adaptive execution splits a hot bucket beside a table only.
+        sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         sized = written(rows.join(sizes, "path"), "sized")
         small = sized.where(F.col("size") <= SMALL).select("path", "set", "sign")
         found = small.repartition("path").sortWithinPartitions("path", "set").mapInArrow(_similar, "a binary, b binary")
@@ -150,7 +151,7 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
         dense = F.col("size") >= DENSE * F.col("above") if depth else F.lit(False)
         large = sized.where(F.col("size") > SMALL).withColumn("dense", dense | F.lit(depth == DEPTH))
         family = large.where("dense").select("path", "set")
-        first = family.groupBy("path").agg(F.min("set").alias("b"))
+        first = written(family.groupBy("path").agg(F.min("set").alias("b")), "first")
         edges.append(written(family.join(first, "path").select(F.col("set").alias("a"), "b").distinct(), "families"))
         large = large.where("NOT dense").select("path", "set", "sign", "size")
         if large.isEmpty():
@@ -315,7 +316,7 @@ def near_duplicates(
         "members",
     )
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "_row")
-    firsts = members.where("class IS NOT NULL").groupBy("class").agg(F.min(order).alias("_first"))
+    firsts = written(members.where("class IS NOT NULL").groupBy("class").agg(F.min(order).alias("_first")), "firsts")
     return members.join(firsts, "class", "left").select(
         "doc_id",
         "hash",
@@ -326,17 +327,23 @@ def near_duplicates(
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents without all but one of each class, with their own columns."""
+    """The documents without all but one of each class, with their own columns.
+
+    Of rows equal in id and text one stays, whichever; without words, all do. Null, empty and very long texts,
+    ties, an empty table and clashing names are as for ``near_duplicates``.
+    """
     names = documents.columns
     plain = documents.toDF(*[f"c{k}" for k in range(len(names))])
     id_, text = (f"c{names.index(n)}" for n in ("doc_id", "text"))
     source = plain.select(F.col(id_).alias("doc_id"), F.col(text).alias("text"))
     kept = near_duplicates(source).where("kept")
     keys = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("doc_id", "hash").alias("_hash")]
-    kept = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = written(kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "kept")
     own = F.col(id_).cast("long")
     keyed = plain.withColumn("_id", F.coalesce(own, F.lit(0))).withColumn("_hash", F.xxhash64(own, F.xxhash64(F.col(text))))
-    # Rows of one id and text are numbered where the join has put them; one stays, or all without words.
+    met = keyed.join(kept, ["_id", "_hash"])
+    # A text with words is kept once; Spark lets one of equal rows out of each task, however many there are.
     same = Window.partitionBy("_id", "_hash").orderBy("_id")
-    met = keyed.join(kept, ["_id", "_hash"]).withColumn("_number", F.row_number().over(same))
-    return met.where(F.col("_number") <= F.col("_rows")).select(*plain.columns).toDF(*names)
+    one = met.where("_rows = 1").withColumn("_number", F.row_number().over(same)).where("_number = 1")
+    both = one.select(*plain.columns).unionByName(met.where("_rows > 1").select(*plain.columns))
+    return both.toDF(*names)

@@ -101,23 +101,26 @@ def refine(rows: DataFrame, row: Column, *keys: str) -> tuple[DataFrame, list[Da
     whole are repeated (``done``). Rows still ``open`` go to the next round: those not
     done, and of each set of equal rows one, if its bucket holds others that may match
     a part of it. Counts are aggregated before the shuffle, so a hot bucket is a few sums.
+    Aggregates are written before they meet rows: beside a table, adaptive execution splits a hot core.
     ``rows``, a written table, is deleted; so may be the tables returned, once the result is written.
     """
     shared = rows.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core")
+    shared = written(shared, "cores")
     source, rows = rows, written(rows.join(shared, "core"), "shared")
     forget(source)
     parts = rows.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("_same"), F.min(row).alias("_first"))
     parts = written(parts, "parts")
-    buckets = parts.groupBy("core").agg(F.sum("_same").alias("_all"))
+    buckets = written(parts.groupBy("core").agg(F.sum("_same").alias("_all")), "sizes")
     marked = parts.join(buckets, "core").select(
         "core",
         "whole",
         (F.col("_same") > 1).alias("done"),
         F.when(F.col("_all") > F.col("_same"), F.col("_first")).alias("_first"),
     )
+    marked = written(marked, "marked")
     joined = rows.join(marked, ["core", "whole"])
     is_open = (row == F.col("_first")) | (~F.col("done"))
-    return joined.select(*keys, "core", "done", F.coalesce(is_open, F.lit(False)).alias("open")), [rows, parts]
+    return joined.select(*keys, "core", "done", F.coalesce(is_open, F.lit(False)).alias("open")), [rows, shared, parts, buckets, marked]
 
 
 def _merge(spans: np.ndarray) -> np.ndarray:
@@ -306,6 +309,7 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
     # Equal windows: of one core and one whole. Those of one place are one window.
     singles = written(singles, "singles")
     twice = singles.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core", "whole")
+    twice = written(twice, "twice")
     third = singles.join(twice, ["core", "whole"])
     spans = second.where("done").select(
         "doc_id", "hash", (F.col("anchor") - F.col("high")).alias("start"),
@@ -330,7 +334,10 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
 
 
 def span_digests(documents: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
+
+    Null, short, empty and very long texts, equal rows and an empty table are as for ``repeated_spans``.
+    """
     ends = F.aggregate(
         F.sequence(F.lit(0), F.size("spans") - 1),
         F.lit(0).cast("long"),

@@ -120,9 +120,10 @@ def pair_units(rows: DataFrame, group: list[str], member: Column, most: int) ->
     A group of up to ``most`` members is one unit. A larger one is cut into blocks,
     and every pair of blocks is a unit, so all pairs of members meet, each in exactly
     one unit, and no task holds a large group. Adds ``block``, ``first``, ``second``
-    (blocks of the unit; equal for pairs inside a block). ``rows`` is read twice.
+    (blocks of the unit; equal for pairs inside a block). ``rows`` is read twice. Sizes are written, as adaptive
+    execution splits a hot group of rows only beside a table, not beside an aggregate.
     """
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    sizes = written(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")).where("_size > 1"), "sizes")
     dealt = rows.join(sizes, group).withColumn("_blocks", F.ceil(F.col("_size") / most).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(member, F.lit(7)), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))

@@ -28,7 +28,7 @@ LEAST_TOXIC = 3
 FOLDS = 3
 
 #: Kinds that toxic documents of the sample are clustered into.
-KINDS = 2
+KINDS = 3
 #: The links in their order: documents labelled of low quality, the kinds of toxic documents, and the label itself.
 LOW, LAST = "low_quality", "toxic"
 NAMES = [LOW, *[f"kind_{k + 1}" for k in range(KINDS)], LAST]
@@ -344,7 +344,7 @@ def classify(
     documents: DataFrame, labels: DataFrame, carry: list[str], text: str = "text",
     threshold: float | None = None,
 ) -> DataFrame:
-    """``carry`` columns with p_low_quality, p_kind_1, p_kind_2, p_toxic, toxic and kept of every text.
+    """``carry`` columns with p_low_quality, p_kind_1 to p_kind_3, p_toxic, toxic and kept of every text.
 
     Whole texts are scored in one pass without a shuffle, against ``threshold`` or else the one at
     which out-of-fold probabilities of the labelled sample part best. A null or empty text has no
