@@ -144,7 +144,7 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
     for depth in range(DEPTH + 1):
         # Written, as adaptive execution splits a hot bucket beside a table only.
         sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-        sized = written(rows.join(sizes, "path"), "sized")
+        sized = written(rows.join(sizes.hint("merge"), "path"), "sized")  # alike at every size
         small = sized.where(F.col("size") <= SMALL).select("path", "set", "sign")
         found = small.repartition("path").sortWithinPartitions("path", "set").mapInArrow(_similar, "a binary, b binary")
         edges.append(written(found.distinct(), "similar"))

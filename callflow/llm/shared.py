@@ -124,7 +124,7 @@ def pair_units(rows: DataFrame, group: list[str], member: Column, most: int) ->
     execution splits a hot group of rows only beside a table, not beside an aggregate.
     """
     sizes = written(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")).where("_size > 1"), "sizes")
-    dealt = rows.join(sizes, group).withColumn("_blocks", F.ceil(F.col("_size") / most).cast("int"))
+    dealt = rows.join(sizes.hint("merge"), group).withColumn("_blocks", F.ceil(F.col("_size") / most).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(member, F.lit(7)), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     return (

@@ -310,11 +310,19 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
         F.col("poor") >= LEAST_TOXIC
     )
     words = [r.word for r in counted.where(tells_bad | tells_low).select("word").orderBy("word").collect()]
-    index = {w: i for i, w in enumerate(words)}
-    known = F.array_intersect("words", F.lit(words)).alias("words") if words else F.lit([]).cast("array<string>")
-    found = sample.select("doc_id", "toxic", "low", known.alias("words")).orderBy(F.xxhash64("doc_id")).collect()
-    toxic, poor = np.array([r.toxic != 0 for r in found]), np.array([r.low for r in found])
-    features = [[index[w] for w in r.words] for r in found]
+    numbers = documents.sparkSession.createDataFrame(list(zip(words, range(len(words)), strict=True)), "word string, number int")
+    # The sample's documents as numbers of features: what goes to the driver is bounded by the sample.
+    held = (
+        sample.select("doc_id", F.explode("words").alias("word"))
+        .join(numbers, "word")
+        .groupBy(F.col("doc_id").alias("_doc"))
+        .agg(F.collect_list("number").alias("numbers"))
+    )
+    found = sample.select("doc_id", "toxic", "low").join(held, F.col("doc_id") == F.col("_doc"), "left")
+    found = found.select("toxic", "low", "numbers", F.xxhash64("doc_id").alias("order")).orderBy("order").toArrow()
+    toxic = found["toxic"].to_numpy() != 0
+    poor = found["low"].to_numpy()
+    features = [sorted(n or ()) for n in found["numbers"].to_pylist()]
     return fit_chain(words, features, chain_labels(features, len(words), poor, toxic), weights=weights)
 
 
