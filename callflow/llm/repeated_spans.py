@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import INVERSE, forget, importable, mix, powers, prefix_sums, spans_hash
+from callflow.llm.shared import BASE, INVERSE, forget, importable, mix, powers, prefix_sums
 from callflow.session import written
 
 LENGTH = 200
@@ -19,6 +19,10 @@ GRAM = 32
 PART_WINDOWS = 1 << 20
 #: Offsets that the second round takes together.
 BLOCK = 16
+#: Bytes that all windows of a block share.
+SHARED = LENGTH - BLOCK + 1
+#: Rows of the later rounds, each at most 368 bytes of text, that Python takes at once.
+ROUND_ROWS = 4096
 
 
 def pointers(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -34,26 +38,60 @@ def pointers(hashes: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
+def gram_buckets(sums: np.ndarray) -> np.ndarray:
+    """The initial buckets: the identifier of the q-gram at every offset."""
+    return mix((sums[GRAM:] - sums[:-GRAM]) * powers(INVERSE, len(sums))[: len(sums) - GRAM])
+
+
+def _pair(own: np.ndarray, later: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bucket that ``own`` is refined to by the bucket at a later offset, for strings of ``length`` bytes."""
+    return mix(mix(own + length * np.uint64(BASE)) + later * np.uint64(INVERSE))
+
+
+def refined(buckets: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+    """Identifiers of the buckets that strings of ``length`` bytes (``GRAM`` or more) at offsets ``at`` fall in.
+
+    A bucket of strings of 32, 64, 128 ... bytes, the most that are fewer than
+    ``length``, is refined by the bucket of as many bytes at the later offset where
+    they end with the string; both are refinements of shorter ones. The identifier
+    follows from the pair and the length, so equal strings have the same one in all
+    texts and no task has to look up a number that another one gave.
+    """
+    length = np.broadcast_to(np.asarray(length, np.int64), at.shape)
+    out, known = buckets[at], GRAM
+    while len(longer := np.flatnonzero(length > known)):
+        rows = longer[length[longer] <= 2 * known]
+        if len(rows):
+            ends = np.stack([at[rows], at[rows] + length[rows] - known])
+            parts, size = buckets[ends[..., None] + np.arange(0, known, GRAM)], GRAM
+            while size < known:
+                size *= 2
+                parts = _pair(parts[..., ::2], parts[..., 1::2], np.array([size], np.uint64))
+            out[rows] = _pair(parts[0, :, 0], parts[1, :, 0], length[rows].astype(np.uint64))
+        known *= 2
+    return out
+
+
 def text_segments(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows that point to the same q-gram: (bucket, content, start, windows - 1, offset).
+    """Runs of windows that point to the same q-gram: (bucket, refined bucket, start, windows - 1, offset).
 
-    A window of 200 bytes points to its smallest q-gram hash, which depends on its
-    content alone. So equal windows lie at equal offsets from q-grams of one bucket.
+    A window of 200 bytes points to its smallest q-gram, by identifier, which depends
+    on its content alone. So equal windows lie at equal offsets from q-grams of one
+    bucket. The bucket is refined by those at later offsets up to the end of the run.
     """
     windows = len(data) - LENGTH + 1
     width = LENGTH - GRAM + 1
     for at in range(0, windows, PART_WINDOWS):
         count = min(PART_WINDOWS, windows - at)
         raw = np.frombuffer(data, np.uint8, count + LENGTH - 1, at)
-        sums = prefix_sums(raw)
-        grams = mix((sums[GRAM:] - sums[:-GRAM]) * powers(INVERSE, len(sums))[: len(sums) - GRAM])
+        grams = gram_buckets(prefix_sums(raw))
         place = pointers(grams, width)
         starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         ends = np.r_[starts[1:], count] - 1
         anchor = place[starts]
         yield (
             grams[anchor].view(np.int64),
-            spans_hash(sums, starts, ends + LENGTH).view(np.int64),
+            refined(grams, starts, ends - starts + LENGTH).view(np.int64),
             starts + at,
             ends - starts,
             anchor - starts,
@@ -93,6 +131,67 @@ def _segment_batch(batch, columns, rows) -> pa.RecordBatch:
     )
 
 
+def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every number of each range ``first..last``, with the row of its range."""
+    sizes = last - first + 1
+    rows = np.repeat(np.arange(len(first)), sizes)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[rows]
+
+
+def _contents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The q-gram buckets of all contents of a batch, laid end to end, and where each content begins."""
+    parts = batch["content"].to_pylist()
+    begins = np.cumsum([0, *map(len, parts)])[:-1]
+    return gram_buckets(prefix_sums(np.frombuffer(b"".join(parts), np.uint8))), begins
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROUND_ROWS):
+            yield batch.slice(at, ROUND_ROWS)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows cut into blocks of offsets from their q-gram, with the buckets of what a block shares and of all of it."""
+    for batch in _small(batches):
+        buckets, begins = _contents(batch)
+        low, top = (batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "high"))
+        row, block = _expand(low // BLOCK, top // BLOCK)
+        first = np.maximum(low[row], block * BLOCK)
+        last = np.minimum(top[row], block * BLOCK + BLOCK - 1)
+        begin = begins[row] + top[row]
+        shared = refined(buckets, begin - block * BLOCK, SHARED)
+        union = refined(buckets, begin - last, last - first + LENGTH)
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch[c].take(take) for c in ("doc_id", "hash", "anchor", "gram")],
+                *[pa.array(c, pa.int64()) for c in (first, last, block, shared.view(np.int64), union.view(np.int64))],
+            ],
+            names=["doc_id", "hash", "anchor", "gram", "low", "high", "block", "shared", "union"],
+        )
+
+
+def _singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of open blocks, with the q-gram buckets at their first and last offset.
+
+    All windows of a block share the bytes between, which the bucket of the block stands for.
+    """
+    for batch in _small(batches):
+        buckets, begins = _contents(batch)
+        low, high, top = (batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "high", "top"))
+        row, at = _expand(low, high)
+        begin = begins[row] + top[row] - at
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch[c].take(take) for c in ("doc_id", "hash", "anchor", "bucket")],
+                *[pa.array(c.view(np.int64)) for c in (at, buckets[begin], buckets[begin + LENGTH - GRAM])],
+            ],
+            names=["doc_id", "hash", "anchor", "bucket", "at", "own", "later"],
+        )
+
+
 def refine(rows: DataFrame, row: Column, *keys: str) -> tuple[DataFrame, list[DataFrame]]:
     """One round on ``rows(core, whole, ...)``; ``row`` numbers them by their keys.
 
@@ -208,19 +307,15 @@ def _last_pass(carry: list[str], keep_bytes: bool):
     return last_pass
 
 
-def _part(content: str, start: Column, length: Column) -> Column:
-    return F.col(content).substr(start + 1, length)
-
-
 def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", keep_bytes: bool = False) -> DataFrame:
     """``carry`` columns with n_bytes, spans (flat starts and ends), kept_sha256 and kept.
 
     Each byte covered by a 200-byte string that also starts anywhere else in a text of
     the input is in a span. Round one buckets the windows by the q-gram they point
     to, in runs; round two refines what is open by blocks of 16 offsets from that
-    q-gram; round three by single offsets. In each, the bucket of a row is the pair
-    of its bucket before and the bytes at later offsets. Buckets are compared by two
-    64-bit hashes together. Texts move twice at most: once to meet the spans of round one, and those
+    q-gram; round three by single offsets. In each, a row's bucket is refined by the
+    identifiers of the buckets at later offsets, and the refined bucket is the one
+    that the next round starts from. Buckets are told apart by two 64-bit names together. Texts move twice at most: once to meet the spans of round one, and those
     with open rows once more. ``carry`` must hold doc_id. Null text is empty; texts under 200 bytes and an empty table
     lose nothing; of equal texts of 200 bytes or more all bytes go, equal rows
     included. ``kept`` is null unless ``keep_bytes``. ``documents`` is read twice.
@@ -268,20 +363,14 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
         )
     )
     rows = written(rows, "open_rows")
-    j = F.explode(F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK)))
-    blocks = rows.withColumn("j", j).withColumnRenamed("low", "_low").withColumnRenamed("high", "top")
-    blocks = blocks.withColumn("low", F.greatest("_low", F.col("j") * BLOCK)).withColumn(
-        "high", F.least("top", F.col("j") * BLOCK + BLOCK - 1)
-    )
-    shared = _part("content", (F.col("top") - F.col("j") * BLOCK).cast("int"), F.lit(LENGTH - BLOCK + 1))
-    union = _part(
-        "content",
-        (F.col("top") - F.col("high")).cast("int"),
-        (F.col("high") - F.col("low") + LENGTH).cast("int"),
-    )
     ends = ["doc_id", "hash", "anchor", "low", "high"]
-    blocks = blocks.select(
-        *ends, F.xxhash64("gram", "j", shared).alias("core"), F.xxhash64("low", "high", union, "gram").alias("whole")
+    blocks = rows.mapInArrow(
+        _blocks,
+        "doc_id long, hash long, anchor long, gram long, low long, high long, block long, shared long, `union` long",
+    ).select(
+        *ends,
+        F.xxhash64("gram", "block", "shared").alias("core"),
+        F.xxhash64("low", "high", "union", "gram").alias("whole"),
     )
     second, used = refine(written(blocks, "blocks"), F.xxhash64(*ends), *ends)
     second = written(second.where("done OR open"), "second")
@@ -298,13 +387,14 @@ def repeated_spans(documents: DataFrame, carry: list[str], text: str = "text", k
         & (F.col("high") <= F.col("top"))
         & (F.col("low") >= F.col("_low"))
     )
-    singles = second.where("open").select(*ends).distinct().join(inside.distinct(), same)
-    singles = singles.withColumn("at", F.explode(F.sequence(F.col("low"), F.col("high"))))
-    window = _part("content", (F.col("top") - F.col("at")).cast("int"), F.lit(LENGTH))
+    singles = second.where("open").select(*ends, F.col("core").alias("bucket")).distinct().join(inside.distinct(), same)
+    singles = singles.select(*ends, "bucket", "top", "content").mapInArrow(
+        _singles, "doc_id long, hash long, anchor long, bucket long, at long, own long, later long"
+    )
     singles = singles.select(
         "doc_id", "hash", "anchor", "at",
-        F.xxhash64("gram", "at", window).alias("core"),
-        F.xxhash64(window, "at").alias("whole"),
+        F.xxhash64("bucket", "at", "own").alias("core"),
+        F.xxhash64("bucket", "at", "later").alias("whole"),
     )
     # Equal windows: of one core and one whole. Those of one place are one window.
     singles = written(singles, "singles")

@@ -257,6 +257,21 @@ def test_op9_spans(documents, rows):
     assert counted(tuple(r) for r in repeated_spans.span_digests(documents).collect()) == counted(want)
 
 
+def test_op9_equal_strings_share_refined_buckets():
+    rng = random.Random(3)
+    data = (sentence(rng, 300) + "a" * 900 + "xy" * 400 + sentence(rng, 200)).encode() * 2
+    buckets = repeated_spans.gram_buckets(repeated_spans.prefix_sums(np.frombuffer(data, np.uint8)))
+    known = {}
+    for length in (32, 33, 64, 65, 128, 185, 200, 215, 256, 257, 368):
+        at = np.arange(len(data) - length + 1)
+        for start, name in zip(at.tolist(), repeated_spans.refined(buckets, at, length).tolist(), strict=True):
+            assert known.setdefault(data[start : start + length], name) == name
+    assert len(set(known.values())) == len(known)
+    mixed = np.array([200, 368, 256, 257, 64])
+    got = repeated_spans.refined(buckets, np.full(5, 7), mixed)
+    assert got.tolist() == [known.get(data[7 : 7 + n]) for n in mixed.tolist()]
+
+
 def test_op9_long_texts_in_parts(spark, monkeypatch):
     rng = random.Random(8)
     passage = sentence(rng, 400)
