@@ -16,7 +16,10 @@ from callflow.llm.shared import Forest, importable, pair_units, shingles, smalle
 from callflow.session import written
 
 SIMILARITY = 0.8
-RECALL = 0.999999
+#: The least chance of a pair at the threshold to be found, were all its buckets large at every split.
+RECALL = 0.99999
+#: The share of what may be lost that the bound on agreeing coordinates takes; runs take the rest.
+SKETCH_SHARE = 0.01
 #: Coordinates of a signature; paths split on them.
 COORDINATES = 64
 #: A bucket of at most so many sets is compared in one task; larger ones are split on.
@@ -27,8 +30,6 @@ CHILDREN = 2
 #: sets agree on most tokens, so splitting would not end. After ``DEPTH`` splits any large bucket is.
 DENSE = 0.5
 DEPTH = 5
-#: Agreeing coordinates, of 64, below which sets are not compared exactly (similarity 0.55 at the mean).
-SKETCH = 35
 #: Sets of a family that meet in one task; larger families are dealt out by blocks.
 BLOCK_ROWS = 768
 
@@ -37,20 +38,48 @@ _FACTORS = _RNG.integers(1, 1 << 62, COORDINATES, dtype=np.int64).astype(np.uint
 _ADDENDS = _RNG.integers(1, 1 << 62, COORDINATES, dtype=np.int64).astype(np.uint64)
 
 
-def run_recall(similarity: float) -> float:
-    """The least chance that one run brings a pair at the threshold together.
+def run_recall(agreeing: float) -> float:
+    """The least chance that one run brings together a pair whose signatures agree on this share of coordinates.
 
     A run splits on one coordinate, on which the pair agrees with chance s, and its
     large buckets on two each, so the pair is lost below with chance q = (1 - s + s q)^2.
     """
     lost = 0.0
-    for _ in range(100):
-        lost = (1 - similarity + similarity * lost) ** CHILDREN
-    return similarity * (1 - lost)
+    for _ in range(DEPTH):
+        lost = (1 - agreeing + agreeing * lost) ** CHILDREN
+    return agreeing * (1 - lost)
+
+
+def agreement(similarity: float) -> list[float]:
+    """The chance that a pair at the threshold agrees on 0, 1, ... 64 coordinates."""
+    return [
+        math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) for k in range(COORDINATES + 1)
+    ]
+
+
+def sketch_bound(similarity: float, recall: float) -> int:
+    """Agreeing coordinates below which sets are not compared: few pairs at the threshold, see ``SKETCH_SHARE``."""
+    lost, bound = 0.0, 0
+    for chance in agreement(similarity):
+        lost += chance
+        if lost > (1 - recall) * SKETCH_SHARE:
+            break
+        bound += 1
+    return bound
 
 
 def runs_for(similarity: float, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - run_recall(similarity)))
+    """Runs by which pairs at the threshold lose at most the rest.
+
+    All runs split by one signature, so their chances are those of the coordinates
+    that a pair agrees on, averaged over how many these are.
+    """
+    bound = sketch_bound(similarity, recall)
+    pairs = [(chance, 1 - run_recall(k / COORDINATES)) for k, chance in enumerate(agreement(similarity)) if k >= bound]
+    runs = 1
+    while sum(chance * lost**runs for chance, lost in pairs) > (1 - recall) * (1 - SKETCH_SHARE):
+        runs += 1
+    return runs
 
 
 def signature(shingle_hashes: np.ndarray) -> np.ndarray:
@@ -111,21 +140,25 @@ def _split(children: int, root: bool = False):
     return split
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a forest that spans the sets of a small bucket with similar signatures."""
-    for unit in whole_units(batches, ["path"]):
-        names = unit["set"]
-        if len(names) < 2:
-            continue
-        signs = np.frombuffer(b"".join(unit["sign"]), "<u4").reshape(-1, COORDINATES)
-        forest = Forest(len(names))
-        for k in range(len(names) - 1):
-            for other in np.flatnonzero((signs[k + 1 :] == signs[k]).sum(axis=1) >= SKETCH).tolist():
-                forest.join(k, k + 1 + other)
-        edges = [(names[k], names[r]) for k in range(len(names)) if (r := forest.find(k)) != k]
-        if edges:
-            a, b = zip(*edges, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+def _similar(bound: int):
+    """Edges of a forest that spans the sets of a small bucket whose signatures agree on ``bound`` coordinates."""
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in whole_units(batches, ["path"]):
+            names = unit["set"]
+            if len(names) < 2:
+                continue
+            signs = np.frombuffer(b"".join(unit["sign"]), "<u4").reshape(-1, COORDINATES)
+            forest = Forest(len(names))
+            for k in range(len(names) - 1):
+                for other in np.flatnonzero((signs[k + 1 :] == signs[k]).sum(axis=1) >= bound).tolist():
+                    forest.join(k, k + 1 + other)
+            edges = [(names[k], names[r]) for k in range(len(names)) if (r := forest.find(k)) != k]
+            if edges:
+                a, b = zip(*edges, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return similar
 
 
 def candidate_families(sets: DataFrame, similarity: float, recall: float) -> DataFrame:
@@ -140,13 +173,13 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
     roots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs_for(similarity, recall)).cast("long")))
     started = sets.select(roots.alias("path"), "set", "sign", F.lit(sets.count()).cast("long").alias("size"))
     rows = written(started.mapInArrow(_split(1, root=True), names), "paths")
-    edges = []
+    edges, similar = [], _similar(sketch_bound(similarity, recall))
     for depth in range(DEPTH + 1):
         # Written, as adaptive execution splits a hot bucket beside a table only.
         sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         sized = written(rows.join(sizes.hint("merge"), "path"), "sized")  # alike at every size
         small = sized.where(F.col("size") <= SMALL).select("path", "set", "sign")
-        found = small.repartition("path").sortWithinPartitions("path", "set").mapInArrow(_similar, "a binary, b binary")
+        found = small.repartition("path").sortWithinPartitions("path", "set").mapInArrow(similar, "a binary, b binary")
         edges.append(written(found.distinct(), "similar"))
         dense = F.col("size") >= DENSE * F.col("above") if depth else F.lit(False)
         large = sized.where(F.col("size") > SMALL).withColumn("dense", dense | F.lit(depth == DEPTH))

@@ -589,3 +589,34 @@ def test_op1_network_gradients():
             slope = (up - loss()) / 2e-3
             model.weights[name][place] += 1e-3
             assert abs(slope - grads[name][place]) < 1e-3
+
+
+def test_op2_bound_and_runs_follow_from_the_recall():
+    rng = np.random.default_rng(5)
+    for similarity in (0.5, 0.65, 0.8, 0.95):
+        for recall in (0.9, 0.999):
+            bound, runs = jaccard_join.sketch_bound(similarity, recall), jaccard_join.runs_for(similarity, recall)
+            agreeing = rng.binomial(jaccard_join.COORDINATES, similarity, 200_000)
+            met = 1 - (1 - np.array([jaccard_join.run_recall(k / 64) for k in range(65)])[agreeing]) ** runs
+            assert recall - 0.002 < (met * (agreeing >= bound)).mean()
+    assert jaccard_join.sketch_bound(0.8, 0.99999) == 33 and jaccard_join.runs_for(0.8, 0.99999) == 12
+    assert jaccard_join.sketch_bound(0.5, 0.99) < 20
+
+
+def test_op2_low_similarity_loses_no_link(spark):
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for at in rng.sample(range(120), 7):
+            words[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(116)} for _, t in rows]
+    for similarity in (0.35, 0.45):
+        near = [[len(a & b) >= similarity * len(a | b) - 1e-9 for b in sets] for a in sets]
+        want = {k: sum(near[k]) - 1 for k in range(60)}
+        assert 0 < sum(want.values()) < 60 * 59
+        got = jaccard_join.near_duplicates(df, similarity=similarity, recall=0.99)
+        assert {r.doc_id: r.n_links for r in got.collect()} == want
