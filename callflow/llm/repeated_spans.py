@@ -17,6 +17,8 @@ LENGTH = 200
 GRAM = 32
 #: Windows of one text hashed at once; longer texts are hashed in parts that overlap.
 PART_WINDOWS = 1 << 20
+#: Bytes of short texts hashed together.
+TOGETHER = 1 << 18
 #: Offsets that the second round takes together.
 BLOCK = 16
 #: Bytes that all windows of a block share.
@@ -72,61 +74,74 @@ def refined(buckets: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np
     return out
 
 
-def text_segments(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows that point to the same q-gram: (bucket, refined bucket, start, windows - 1, offset).
+def _pieces(data) -> Iterator[tuple[int, np.ndarray]]:
+    """A text in parts of at most ``PART_WINDOWS`` windows, each with where it begins."""
+    windows = len(data) - LENGTH + 1
+    for at in range(0, windows, PART_WINDOWS):
+        yield at, np.frombuffer(data, np.uint8, min(PART_WINDOWS, windows - at) + LENGTH - 1, at)
+
+
+def piece_segments(pieces: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Runs of windows that point to the same q-gram: (piece, bucket, refined bucket, start, windows - 1, offset).
 
     A window of 200 bytes points to its smallest q-gram, by identifier, which depends
     on its content alone. So equal windows lie at equal offsets from q-grams of one
     bucket. The bucket is refined by those at later offsets up to the end of the run.
+    The pieces are laid end to end; windows across their borders are left out.
     """
-    windows = len(data) - LENGTH + 1
-    width = LENGTH - GRAM + 1
-    for at in range(0, windows, PART_WINDOWS):
-        count = min(PART_WINDOWS, windows - at)
-        raw = np.frombuffer(data, np.uint8, count + LENGTH - 1, at)
-        grams = gram_buckets(prefix_sums(raw))
-        place = pointers(grams, width)
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        ends = np.r_[starts[1:], count] - 1
-        anchor = place[starts]
-        yield (
-            grams[anchor].view(np.int64),
-            refined(grams, starts, ends - starts + LENGTH).view(np.int64),
-            starts + at,
-            ends - starts,
-            anchor - starts,
-        )
+    sizes = np.array([len(p) for p in pieces])
+    first = np.cumsum(sizes) - sizes
+    past = first + sizes - LENGTH + 1
+    buckets = gram_buckets(prefix_sums(np.concatenate(pieces)))
+    place = pointers(buckets, LENGTH - GRAM + 1)
+    starts = np.unique(np.concatenate([np.flatnonzero(place[1:] != place[:-1]) + 1, first, past[:-1]]))
+    ends = np.r_[starts[1:], len(place)] - 1
+    piece = np.searchsorted(first, starts, "right") - 1
+    inside = starts < past[piece]
+    starts, ends, piece = starts[inside], ends[inside], piece[inside]
+    anchor = place[starts]
+    return (
+        piece,
+        buckets[anchor].view(np.int64),
+        refined(buckets, starts, ends - starts + LENGTH).view(np.int64),
+        starts - first[piece],
+        ends - starts,
+        anchor - starts,
+    )
+
+
+def text_segments(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """The runs of one text by parts: (bucket, refined bucket, start, windows - 1, offset)."""
+    for at, piece in _pieces(data):
+        _, core, whole, start, more, offset = piece_segments([piece])
+        yield core, whole, start + at, more, offset
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns, rows = [[], [], []], []
-        size = 0
+        rows, begins, pieces, size = [], [], [], 0
         for row, text in enumerate(batch["bytes"]):
             data = text.as_buffer()
             if data is None or len(data) < LENGTH:
                 continue
-            for core, whole, start, more, offset in text_segments(data):
-                columns[0].append(core)
-                columns[1].append(whole)
-                columns[2].append(start.astype(np.int64) << 16 | more << 8 | offset)
-                rows.append(np.full(len(core), row))
-                size += len(core)
-                if size > 1 << 18:
-                    yield _segment_batch(batch, columns, rows)
-                    columns, rows, size = [[], [], []], [], 0
+            for at, piece in _pieces(data):
+                rows.append(row)
+                begins.append(at)
+                pieces.append(piece)
+                size += len(piece)
+                if size >= TOGETHER:
+                    yield _segment_batch(batch, rows, begins, pieces)
+                    rows, begins, pieces, size = [], [], [], 0
         if rows:
-            yield _segment_batch(batch, columns, rows)
+            yield _segment_batch(batch, rows, begins, pieces)
 
 
-def _segment_batch(batch, columns, rows) -> pa.RecordBatch:
-    rows = pa.array(np.concatenate(rows))
+def _segment_batch(batch: pa.RecordBatch, rows: list[int], begins: list[int], pieces: list[np.ndarray]) -> pa.RecordBatch:
+    piece, core, whole, start, more, offset = piece_segments(pieces)
+    place = (start + np.array(begins)[piece]) << 16 | more << 8 | offset
+    rows = pa.array(np.array(rows)[piece])
     return pa.RecordBatch.from_arrays(
-        [
-            *[pa.array(np.concatenate(c), pa.int64()) for c in columns],
-            batch["doc_id"].take(rows),
-            batch["hash"].take(rows),
-        ],
+        [*[pa.array(c, pa.int64()) for c in (core, whole, place)], batch["doc_id"].take(rows), batch["hash"].take(rows)],
         names=["core", "whole", "place", "doc_id", "hash"],
     )
 
