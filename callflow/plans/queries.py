@@ -15,7 +15,7 @@ from callflow.plans import inputs, jobs
 from callflow.plans.inputs import table
 from callflow.schemas import PRIMARY_KEYS, TABLES, create_tables
 from callflow.session import new_work_path, written
-from callflow.sources import batches, exports, landing, listing, ranges, storage, tables
+from callflow.sources import batches, exports, landing, listing, ranges, tables
 from callflow.sources.exports import ORDER
 from callflow.streaming import arrivals
 from callflow.streaming import pages as page_stream
@@ -626,13 +626,7 @@ def stream_put_again(spark: SparkSession, folder: str) -> DataFrame:
     for number, left_out in enumerate((1, 0)):
         part = rows.filter(F.col(ORDER) % 3 != left_out).withColumn("Row", F.col(ORDER) + number * 10**12)
         for k in range(2):
-            staged = new_work_path(spark, "staged")
-            half = part.filter(F.col(ORDER) % 2 == k).drop(ORDER).coalesce(1)
-            half.write.options(**exports.write_options()).csv(staged)
-            (source,) = [r["path"] for r in listing.list_objects(spark, staged, ".csv").collect()]
-            system, inner = storage.opened(storage.qualified(spark, f"{inbox}/calls{k}.csv"))
-            system.create_dir(inner.rpartition("/")[0])
-            system.copy_file(storage.opened(source)[1], inner)
+            exports.write_file(part.filter(F.col(ORDER) % 2 == k).drop(ORDER), f"{inbox}/calls{k}.csv")
         arrivals.load_arrived_calls(
             spark, inbox, root, checkpoint, inputs.broker_of_call(), row_order=F.col("Row").cast("bigint"), max_files=1
         )

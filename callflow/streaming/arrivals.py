@@ -20,6 +20,7 @@ from callflow.operators.normalize import (
 from callflow.schemas import TABLES
 from callflow.session import work_cleaned, written
 from callflow.sources.exports import FILES_PER_BATCH, ORDER, read_export
+from callflow.sources.lines import read_by_line
 from callflow.streaming import commits
 from callflow.streaming.commits import LOAD
 from callflow.streaming.loads import bad_files, load_arrivals
@@ -67,8 +68,8 @@ def _run(
     max_files: int,
     suffix: str,
 ) -> None:
-    def write(load: str, paths: list[str]) -> list[str]:
-        exports = read_export(spark, paths, headers)
+    def write(load: str, files: list[tuple[str, int]]) -> list[str]:
+        exports = read_export(spark, [path for path, _ in files], headers, by_line=read_by_line(spark, files))
         if row_order is not None:
             exports = exports.withColumn(ORDER, row_order)
         # parsed once, into a file that all outputs read
@@ -105,7 +106,8 @@ def load_arrived_calls(
     A load writes its outputs to folders of its own name and then one commit row that names them and
     its files; readers take committed loads only, so one that was killed shows nothing, and a file is
     loaded once as of each time and size. A file that cannot be read to its end is listed in
-    :func:`bad_files` and loads when put again; the others of its batch load.
+    :func:`bad_files` and loads when put again; the others of its batch load. A large file whose lines
+    are its rows is read by many tasks, one with line breaks inside cells by one.
     """
 
     def normalized(rows: DataFrame) -> DataFrame:

@@ -25,13 +25,13 @@ def load_arrivals(
     arrivals: str,
     root: str,
     checkpoint: str,
-    write: Callable[[str, list[str]], list[str]],
+    write: Callable[[str, list[tuple[str, int]]], list[str]],
     max_files: int,
     suffix: str,
 ) -> None:
     """Load every file below ``arrivals`` that no committed load holds as it is now.
 
-    ``write(load, paths)`` writes outputs of some files to folders of the load's name and returns their
+    ``write(load, files)`` writes outputs of some files ``(path, length)`` to folders of the load's name and returns their
     names; the commit row then makes them visible. New names come by a stream, which also remembers
     them; a file put again under its name is found by its time or size in a listing afterwards, oldest
     first, at most ``max_files`` to a load either way. If a load fails and some of its files cannot be
@@ -43,17 +43,17 @@ def load_arrivals(
         files = [tuple(f) for f in commits.not_committed(batch, root).collect()]  # at most max_files
         if not files:
             return
-        paths = [path for path, _, _ in files]
+        sizes = [(path, length) for path, _, length in files]
         load = commits.new_load(spark, root)
         try:
-            names = write(load, paths)
+            names = write(load, sizes)
         except (Py4JJavaError, PySparkException):
-            bad = written(unreadable(spark, paths), "bad")
+            bad = written(unreadable(spark, [path for path, _ in sizes]), "bad")
             broken = {row["path"] for row in bad.collect()}
             if not broken:
                 raise
             # What the first attempt wrote is in no commit; the others load under another name.
-            load, good = commits.new_load(spark, root), [p for p in paths if p not in broken]
+            load, good = commits.new_load(spark, root), [s for s in sizes if s[0] not in broken]
             bad.write.parquet(f"{root}/{BAD}/{LOAD}={load}")
             names = [*(write(load, good) if good else []), BAD]
         commits.commit(spark, root, load, names, files)

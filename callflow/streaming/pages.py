@@ -39,9 +39,9 @@ def land_arrived_pages(
     values that are no JSON. It reads nothing that was landed before. ``one_per_file`` as for ``read_json``.
     """
 
-    def write(load: str, paths: list[str]) -> list[str]:
+    def write(load: str, files: list[tuple[str, int]]) -> list[str]:
         with work_cleaned():
-            values = landing.read_json(spark, [literal(p) for p in paths], one_per_file, suffix="")
+            values = landing.read_json(spark, [literal(path) for path, _ in files], one_per_file, suffix="")
             pages, malformed = landing.split_objects(values)
             listed = landing.page_records(pages, member)
             placed = F.struct(F.col("position").alias("page"), F.col("place"))
