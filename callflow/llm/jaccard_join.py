@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callflow.llm.embedding_links import whole_units
-from callflow.llm.shared import Forest, importable, pair_units, shingles, smallest_reachable
+from callflow.llm.shared import Forest, importable, pair_units, shingles, small_slices, smallest_reachable
 from callflow.session import written
 
 SIMILARITY = 0.8
@@ -93,7 +93,7 @@ def signature(shingle_hashes: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_slices(batches, "bytes"):
         names, signs = [], []
         for value in batch["bytes"]:
             own = shingles(value.as_buffer().to_pybytes() if value.is_valid else b"")
@@ -197,7 +197,7 @@ def candidate_families(sets: DataFrame, similarity: float, recall: float) -> Dat
 
 
 def _exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_slices(batches, "bytes"):
         own = [shingles(v.as_buffer().to_pybytes()).astype("<u8").tobytes() for v in batch["bytes"]]
         yield pa.RecordBatch.from_arrays(
             [batch["root"], batch["set"], batch["copies"], pa.array(own, pa.binary())],

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import importable
+from callflow.llm.shared import importable, small_slices
 
 #: Rows that the costs and selectivities are estimated on, at most.
 SAMPLE_ROWS = 2000
@@ -190,7 +190,7 @@ COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 def _cascade(rules: list[Rule], names: list[str]):
     def cascade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_slices(batches, "_text"):
             bases, failed, reasons = [], [], []
             for value in batch["_text"].to_pylist():
                 text = Text((value or "").encode())

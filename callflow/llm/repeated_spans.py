@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import BASE, INVERSE, forget, importable, mix, powers, prefix_sums
+from callflow.llm.shared import BASE, INVERSE, forget, importable, mix, powers, prefix_sums, small_slices
 from callflow.session import written
 
 LENGTH = 200
@@ -118,7 +118,7 @@ def text_segments(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_slices(batches, "bytes"):
         rows, begins, pieces, size = [], [], [], 0
         for row, text in enumerate(batch["bytes"]):
             data = text.as_buffer()
@@ -263,7 +263,7 @@ def _first_pass(carry: list[str], keep_bytes: bool):
     """Spans of what the first round settled, and the segments that stay open."""
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_slices(batches, "bytes"):
             out = {"n_bytes": [], "spans": [], "open": [], "kept_sha256": [], "kept": [], "bytes": []}
             for value, found in zip(batch["bytes"], batch["found"].to_pylist(), strict=True):
                 data = value.as_py() or b""
@@ -296,7 +296,7 @@ def _first_pass(carry: list[str], keep_bytes: bool):
 
 def _last_pass(carry: list[str], keep_bytes: bool):
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_slices(batches, "bytes"):
             all_spans, digests, rest = [], [], []
             for value, spans, more in zip(
                 batch["bytes"], batch["spans"].to_pylist(), batch["more"].to_pylist(), strict=True

@@ -5,11 +5,13 @@ from __future__ import annotations
 import contextlib
 import os
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from callflow.session import written
 
 #: Rows that one task numbers or sorts at once, about.
 CELL_ROWS = 1 << 19
+#: Bytes of text that Python takes at once, about.
+SLICE_BYTES = 1 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -37,6 +41,19 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def small_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about ``SLICE_BYTES`` of a text column, a row at least.
+
+    Spark's batches have 10,000 rows, of which lists and results would be held whole. Arrow's free memory goes back
+    after each batch: workers are kept for later tasks, and it would stay theirs beside all other memory.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        for start, end in runs(np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES):
+            yield batch.slice(start, end - start)
+        pa.default_memory_pool().release_unused()
+
+
 def crc32(data) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callflow.llm.shared import importable
+from callflow.llm.shared import importable, small_slices
 from callflow.session import written
 
 #: Labelled documents that the chain is fitted on, at most; half of each kind where both abound.
@@ -237,7 +237,7 @@ def best_threshold(
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_slices(batches, "text"):
         yield pa.RecordBatch.from_arrays(
             [
                 batch["_doc"],
@@ -310,7 +310,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) ->
         F.col("poor") >= LEAST_TOXIC
     )
     words = [r.word for r in counted.where(tells_bad | tells_low).select("word").orderBy("word").collect()]
-    numbers = documents.sparkSession.createDataFrame(list(zip(words, range(len(words)), strict=True)), "word string, number int")
+    # From Arrow: Spark knows its size, and so need not shuffle all words of the sample to meet a few.
+    listed = pa.table({"word": pa.array(words, pa.string()), "number": pa.array(range(len(words)), pa.int32())})
+    numbers = documents.sparkSession.createDataFrame(listed)
     # The sample's documents as numbers of features: what goes to the driver is bounded by the sample.
     held = (
         sample.select("doc_id", F.explode("words").alias("word"))
@@ -330,7 +332,7 @@ def _score(chain: Chain | None, carry: list[str], text: str, threshold: float |
     limit = threshold if threshold is not None or chain is None else chain.threshold
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_slices(batches, text):
             texts = batch[text].to_pylist()
             found = [chain.probabilities(t) if chain else [0.0] * len(NAMES) for t in texts]
             columns = list(zip(*found, strict=True)) if found else [()] * len(NAMES)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from callflow.llm.encoding import text_encoder, text_parts
-from callflow.llm.shared import cells_for, crc32, importable
+from callflow.llm.shared import cells_for, crc32, importable, small_slices
 from callflow.session import written
 
 WINDOW = 4096
@@ -61,7 +61,7 @@ def _pieces(tokenizer: str, end_id: int, window: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(tokenizer)
         last = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in small_slices(batches, "text"):
             texts, keys = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
             for begin, stop in text_parts(texts):
                 rows = []
